@@ -64,6 +64,8 @@ def export_tsv(
         .option("sep", "\t")
         .option("header", "false")
         .option("nullValue", TSV_NULL)
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
     )
     if compression:
         w = w.option("compression", compression)

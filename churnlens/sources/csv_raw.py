@@ -41,11 +41,17 @@ def read_raw_csv(
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write all-text rows in the same dialect (used to stage raw inputs)."""
+    """Write all-text rows in the same dialect (used to stage raw inputs).
+
+    Spark's CSV writer trims surrounding spaces by default; padded raw values
+    are data here, so trimming is switched off.
+    """
     (
         df.write.mode(mode)
         .option("header", "true")
         .option("quote", '"')
         .option("escape", "\\")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
