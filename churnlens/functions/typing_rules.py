@@ -55,19 +55,20 @@ def norm_text(col: str | Column) -> Column:
 def to_int(col: str | Column) -> Column:
     """Text to INT, truncating a fraction; anything else NULL."""
     t = F.trim(_c(col))
-    whole = F.split_part(t, F.lit("."), F.lit(1))
+    whole = F.substring_index(t, ".", 1)  # text before the first '.', no array built
     return F.when(t.rlike(INT_PATTERN), whole.try_cast("int"))
 
 
 def int_in(col: str | Column, lo: int | None = None, hi: int | None = None) -> Column:
     """INT kept only inside ``[lo, hi]`` (either side may be open)."""
     v = to_int(col)
-    ok = F.lit(True)
+    if lo is not None and hi is not None:
+        return F.when(v.between(lo, hi), v)
     if lo is not None:
-        ok = ok & (v >= lo)
+        return F.when(v >= lo, v)
     if hi is not None:
-        ok = ok & (v <= hi)
-    return F.when(ok, v)
+        return F.when(v <= hi, v)
+    return v
 
 
 def to_double(col: str | Column) -> Column:
