@@ -1,0 +1,24 @@
+"""Keep narrow, CPU-heavy stages spread over every core.
+
+Typing is a per-row projection with no shuffle, so it runs with whatever
+partitioning its input has.  A large input already has one split per file
+block and this is a no-op; a small or unsplittable input (one gzip file, one
+parquet row group) would otherwise run in a single task.  In that case only,
+rows are dealt round-robin over the cluster's cores first.  Spark sorts rows
+before a round-robin exchange, so a retried task gets the same rows.
+
+Apply it to a scan, not to a frame that already contains a shuffle: counting
+partitions of such a frame would run its shuffle stages under AQE, and after
+a shuffle the rows are already spread over the shuffle partitions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -27,7 +27,8 @@ from churnlens.operators.rates import mapreduce_rate
 from churnlens.operators.typing import type_rows
 from churnlens.plans import reports
 from churnlens.plans.clean import clean, deduplicate
-from churnlens.schema import CLEANED_SCHEMA, COLUMNS, ROW_ID, TYPED_SCHEMA
+from churnlens.plans.parallel import spread
+from churnlens.schema import CLEANED_SCHEMA, COLUMNS, RAW_SCHEMA, ROW_ID, TYPED_SCHEMA
 from churnlens.session import scratch_dir
 from churnlens.sinks.writers import export_tsv, read_tsv
 from churnlens.sources.tables import (
@@ -37,7 +38,6 @@ from churnlens.sources.tables import (
     describe_table,
     drop_table,
 )
-from churnlens.schema import RAW_SCHEMA
 
 # --- fixed values: fields profiled for missing raw values --------------------
 MISSING_FIELDS = [
@@ -79,26 +79,48 @@ class AttritionPipeline:
         workdir: str | None = None,
         quantile_method: str = "exact",
         accuracy: int | None = None,
+        stage_raw: bool = True,
+        tables: dict[str, str] | None = None,
     ) -> None:
         self.spark = spark
         self.raw = raw
         self.workdir = workdir or scratch_dir(spark, "pipeline")
         self.quantile_method = quantile_method
         self.accuracy = accuracy
+        self.stage_raw = stage_raw
+        self.tables = tables or {}
 
     def _path(self, name: str) -> str:
         return f"{self.workdir}/{name}"
 
     def _store(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a stage once: INSERT OVERWRITE into its catalog table when one
+        is bound to the stage, else ORC under ``workdir``; return its scan."""
+        table = self.tables.get(name)
+        if table:
+            cols = self.spark.table(table).columns
+            df.select(*cols).write.insertInto(table, overwrite=True)
+            self.spark.catalog.refreshTable(table)
+            return self.spark.table(table)
         path = self._path(name)
         df.write.mode("overwrite").orc(path)
         return self.spark.read.orc(path)
 
     # ---- stages ---------------------------------------------------------
+    @cached_property
+    def raw_stored(self) -> DataFrame:
+        """The raw text parsed once into columnar ORC.
+
+        Every profile query and the typing stage read the raw input; from ORC
+        each reads only the columns it uses, instead of re-parsing (or, for a
+        derived input, recomputing) all 32 columns per query.
+        """
+        return self._store(self.raw, "raw_orc") if self.stage_raw else self.raw
+
     @cached_property
     def typed(self) -> DataFrame:
         """Typed rows (32 columns, plus the row key when the raw input has one)."""
-        return self._store(type_rows(self.raw, passthrough=[ROW_ID]), "typed_orc")
+        return self._store(type_rows(self.raw_stored, passthrough=[ROW_ID]), "typed_orc")
 
     @cached_property
     def deduplicated(self) -> DataFrame:
@@ -124,23 +146,23 @@ class AttritionPipeline:
 
     # ---- profile of the raw input ---------------------------------------
     def raw_count(self) -> DataFrame:
-        return row_count(self.raw, "raw_record_count")
+        return row_count(self.raw_stored, "raw_record_count")
 
     def raw_preview(self, n: int = 10) -> DataFrame:
         order = [ROW_ID] if ROW_ID in self.raw.columns else COLUMNS
-        return preview(self.raw, n, order=order)
+        return preview(self.raw_stored, n, order=order)
 
     def raw_key_uniqueness(self) -> DataFrame:
-        return key_uniqueness(self.raw, F.trim(F.col("customer_id")))
+        return key_uniqueness(self.raw_stored, F.trim(F.col("customer_id")))
 
     def raw_duplicate_keys(self, limit: int = 100) -> DataFrame:
-        return duplicate_keys(self.raw, "customer_id", limit, key_expr=F.trim(F.col("customer_id")))
+        return duplicate_keys(self.raw_stored, "customer_id", limit, key_expr=F.trim(F.col("customer_id")))
 
     def raw_missing(self) -> DataFrame:
-        return missing_report(self.raw, MISSING_FIELDS)
+        return missing_report(self.raw_stored, MISSING_FIELDS)
 
     def raw_frequencies(self, col: str, alias: str | None = None) -> DataFrame:
-        return value_frequencies(self.raw, col, normalise=True, alias=alias)
+        return value_frequencies(self.raw_stored, col, normalise=True, alias=alias)
 
     # ---- validation of the typed table ----------------------------------
     def typed_required_nulls(self) -> DataFrame:
@@ -150,7 +172,7 @@ class AttritionPipeline:
         return null_counts(self.typed, ANALYTIC_NULLS)
 
     def typed_invalid(self, limit: int = 100) -> DataFrame:
-        order = [ROW_ID] if ROW_ID in self.typed.columns else None
+        order = [ROW_ID] if ROW_ID in self.typed.columns else COLUMNS
         return invalid_rows(self.typed, ["customer_id", "churn"], limit, order=order)
 
     # ---- checks and reports on the cleaned table --------------------------
@@ -185,7 +207,7 @@ def run_script(
     raw_location: str,
     base: str,
     database: str = "customer_churn_db",
-) -> dict[str, DataFrame]:
+) -> dict[str, DataFrame | str]:
     """The whole batch script against a raw CSV prefix, with catalog tables.
 
     Declares the database and the three external tables (raw CSV, typed ORC,
@@ -200,38 +222,23 @@ def run_script(
     declare_orc_table(spark, typed_t, TYPED_SCHEMA, f"{base}/typed_orc")
     declare_orc_table(spark, cleaned_t, CLEANED_SCHEMA, f"{base}/cleaned_orc")
 
-    raw = spark.table(raw_t).na.fill("")
-    out: dict[str, DataFrame] = {"describe_raw": describe_table(spark, raw_t)}
-    p = AttritionPipeline(spark, raw, workdir=base)
-    out.update(
-        raw_record_count=p.raw_count(),
-        raw_preview=p.raw_preview(),
-        raw_key_uniqueness=p.raw_key_uniqueness(),
-        raw_duplicate_keys=p.raw_duplicate_keys(),
-        raw_missing=p.raw_missing(),
-        raw_churn_values=p.raw_frequencies("churn", "raw_churn_value"),
-        raw_contract_values=p.raw_frequencies("contract"),
-        raw_payment_values=p.raw_frequencies("payment_method"),
-    )
-    # typed: INSERT OVERWRITE TABLE ... SELECT <32 rules> FROM raw
-    spark.sql(f"REFRESH TABLE {typed_t}")
-    type_rows(raw).write.insertInto(typed_t, overwrite=True)
-    typed = spark.table(typed_t)
-    p.__dict__["typed"] = typed
-    out.update(
-        typed_required_nulls=p.typed_required_nulls(),
-        typed_analytic_nulls=p.typed_analytic_nulls(),
-        typed_invalid_rows=p.typed_invalid(),
-    )
-    # cleaned: dedupe written once under base, thresholds, INSERT OVERWRITE
-    dedup = deduplicate(typed)
-    dedup.write.mode("overwrite").orc(f"{base}/deduplicated")
-    p.__dict__["deduplicated"] = spark.read.orc(f"{base}/deduplicated")
-    cleaned = clean(typed, materialize=lambda df, name: p.deduplicated)
-    cleaned.write.insertInto(cleaned_t, overwrite=True)
-    spark.sql(f"REFRESH TABLE {cleaned_t}")
-    p.__dict__["cleaned"] = spark.table(cleaned_t)
+    raw = spread(spark.table(raw_t)).na.fill("")
+    p = AttritionPipeline(spark, raw, workdir=base, tables={"typed_orc": typed_t, "cleaned_orc": cleaned_t})
+    out: dict[str, DataFrame | str] = {
+        "describe_raw": describe_table(spark, raw_t),
+        "raw_record_count": p.raw_count(),
+        "raw_preview": p.raw_preview(),
+        "raw_key_uniqueness": p.raw_key_uniqueness(),
+        "raw_duplicate_keys": p.raw_duplicate_keys(),
+        "raw_missing": p.raw_missing(),
+        "raw_churn_values": p.raw_frequencies("churn", "raw_churn_value"),
+        "raw_contract_values": p.raw_frequencies("contract"),
+        "raw_payment_values": p.raw_frequencies("payment_method"),
+        "typed_required_nulls": p.typed_required_nulls(),
+        "typed_analytic_nulls": p.typed_analytic_nulls(),
+        "typed_invalid_rows": p.typed_invalid(),
+    }
     out.update(p.checks())
     out.update(p.report_tables())
-    out["export_path"] = p.export(f"{base}/export_tsv")  # type: ignore[assignment]
+    out["export_path"] = p.export(f"{base}/export_tsv")
     return out

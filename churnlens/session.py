@@ -39,6 +39,10 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.orc.compression.codec": "zstd",
+        # the 32-column typing projection compiles to one large method; let the
+        # JIT compile it instead of interpreting it
+        "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+        "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

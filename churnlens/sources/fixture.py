@@ -8,7 +8,8 @@ values, mixed-case categories and ten flag spellings.
 
 Plan shape: line items are pre-aggregated per order (partial aggregate before
 the shuffle), left-joined to orders on the order key, then joined to
-customers.  Only the columns used are read, so the scans prune to them, and
+customers.  An orders scan with fewer splits than cores is spread first, so
+the wide per-row expressions below do not run in one task.  Only the columns used are read, so the scans prune to them, and
 Spark picks broadcast vs. sort-merge for the customer join from table size
 (AQE splits a skewed customer key at run time).
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.plans.parallel import spread
 from churnlens.schema import COLUMNS, ROW_ID
 
 # --- fixed values: fixture flag spellings, indexed by ((key * P) % 101) % 10 --
@@ -51,8 +53,10 @@ def _flag(k: Column, mult: int) -> Column:
 
 def base_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its customer and line-item summary."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority"
+    orders = spread(
+        spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+            "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority"
+        )
     )
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         "c_custkey", "c_acctbal", "c_mktsegment"

@@ -36,14 +36,14 @@ def test_raw_csv_dialect(spark, tmp_out):
         fh.write("\n".join(lines) + "\n")
     df = read_raw_csv(spark, path)
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in RAW_SCHEMA]
-    rows = df.collect()
+    rows = {r["signup_date"]: r for r in df.collect()}
     assert len(rows) == 3  # header skipped
-    assert rows[0]["customer_id"] == 'C"1'
-    assert rows[0]["signup_date"] == "" and rows[0]["age"] == ""  # empty reads as text, not NULL
-    assert rows[1]["customer_id"] == "a,b"
-    assert rows[2]["customer_id"] == " padded "  # padding is data
-    nulls = read_raw_csv(spark, path, empty_as_text=False).collect()
-    assert nulls[0]["age"] is None
+    assert rows[""]["customer_id"] == 'C"1'
+    assert rows[""]["age"] == ""  # empty reads as text, not NULL
+    assert rows["2024-01-01"]["customer_id"] == "a,b"
+    assert rows["x"]["customer_id"] == " padded "  # padding is data
+    nulls = {r["customer_id"]: r for r in read_raw_csv(spark, path, empty_as_text=False).collect()}
+    assert nulls['C"1']["age"] is None
 
 
 def test_raw_csv_roundtrip_keeps_padding(spark, tmp_out):
