@@ -4,11 +4,11 @@
 ``max(1, ceil(p * N))`` among the ``N`` non-NULL values (a discrete quantile:
 always an actual value).  It runs as a short series of distributed jobs:
 
-1. one aggregate pass computes ``N`` and, with a small sketch
-   (``percentile_approx`` at ``accuracy``, rank error at most ``N/accuracy``),
-   a value just below and just above the target rank;
-2. one counting pass checks that the pair brackets the target, and counts the
-   values below, equal to and between the bracket ends;
+1. one aggregate pass finds, with a small sketch (``percentile_approx`` at
+   ``accuracy``, rank error at most ``N/accuracy``), a value just below and
+   just above the target rank;
+2. one counting pass counts ``N``, checks that the pair brackets the target,
+   and counts the values below, equal to and between the bracket ends;
 3. if the answer is a bracket end it is done; otherwise the open interior
    holds about ``4 N / accuracy`` values.  If that count is within
    ``collect_limit`` the interior's distinct values with their counts are
@@ -75,23 +75,16 @@ def exact_quantiles(
     src = df.select(*[v.alias(f"v_{i}") for i, v in enumerate(values.values())])
     col_of = {name: F.col(f"v_{i}") for i, name in enumerate(values)}
 
-    counts = src.agg(*[F.count(col_of[n]).alias(n) for n in specs]).first()
-    targets: list[_Target] = []
-    for name, (_, probs) in specs.items():
-        n = int(counts[name])
-        for p in probs:
-            t = _Target(name, float(p), _rank(float(p), n) if n else 0)
-            if n == 0:
-                t.done = True
-            targets.append(t)
-    sizes = {id(t): int(counts[t.spec]) for t in targets}
+    targets = [_Target(name, float(p), 0) for name, (_, probs) in specs.items() for p in probs]
+    sizes: dict[int, int] = {}
     eps = 2.0 / accuracy
 
     for _ in range(max_rounds):
         active = [t for t in targets if not t.done]
         if not active:
             break
-        # pass 1: bracket each target rank with the sketch
+        # pass 1: bracket each target rank with the sketch.  In the first
+        # round N is not known yet; p +- eps brackets rank ceil(p * N) anyway.
         aggs = []
         for j, t in enumerate(active):
             v = col_of[t.spec]
@@ -99,26 +92,36 @@ def exact_quantiles(
             if t.use_range:
                 aggs.append(F.array(F.min(sv), F.max(sv)).alias(f"b{j}"))
                 continue
-            q = t.k / sizes[id(t)]
+            q = t.k / sizes[id(t)] if t.k else t.prob
             qs = [max(0.0, q - eps), min(1.0, q + eps)]
             aggs.append(F.percentile_approx(sv, qs, accuracy).alias(f"b{j}"))
         brow = src.agg(*aggs).first()
-        bounds = [(brow[f"b{j}"][0], brow[f"b{j}"][1]) for j in range(len(active))]
+        bounds = []
+        for j, t in enumerate(active):
+            b = brow[f"b{j}"]
+            if b is None or b[0] is None:  # no values at all
+                t.done = True
+            bounds.append((None, None) if t.done else (b[0], b[1]))
+        active_b = [(t, b) for t, b in zip(active, bounds) if not t.done]
 
-        # pass 2: verify brackets and count around them
+        # pass 2: verify brackets and count around them (and N on the first round)
         aggs = []
-        for j, (t, (lo, hi)) in enumerate(zip(active, bounds)):
+        for j, (t, (lo, hi)) in enumerate(active_b):
             v = col_of[t.spec]
             s = _in_subset(v, t)
             aggs += [
+                F.count_if(s).alias(f"n{j}"),
                 F.count_if(s & (v < F.lit(lo))).alias(f"lt{j}"),
                 F.count_if(s & (v == F.lit(lo))).alias(f"eqlo{j}"),
                 F.count_if(s & (v <= F.lit(hi))).alias(f"lehi{j}"),
                 F.count_if(s & (v == F.lit(hi))).alias(f"eqhi{j}"),
             ]
-        crow = src.agg(*aggs).first()
-        for j, (t, (lo, hi)) in enumerate(zip(active, bounds)):
-            lt, eqlo, lehi, eqhi = (int(crow[f"{x}{j}"]) for x in ("lt", "eqlo", "lehi", "eqhi"))
+        crow = src.agg(*aggs).first() if aggs else None
+        for j, (t, (lo, hi)) in enumerate(active_b):
+            n, lt, eqlo, lehi, eqhi = (int(crow[f"{x}{j}"]) for x in ("n", "lt", "eqlo", "lehi", "eqhi"))
+            if not t.k:
+                t.k = _rank(t.prob, n)
+                sizes[id(t)] = n
             if not (lt < t.k <= lehi):
                 # sketch bound missed (not expected): bracket by min/max next round
                 t.use_range = True
@@ -134,7 +137,7 @@ def exact_quantiles(
                 sizes[id(t)] = lehi - eqhi - lt - eqlo
 
         # step 3: resolve small interiors from their distinct values
-        for t in [t for t in targets if not t.done and sizes[id(t)] <= collect_limit]:
+        for t in [t for t in targets if not t.done and t.k and sizes[id(t)] <= collect_limit]:
             v = col_of[t.spec]
             rows = (
                 src.filter(_in_subset(v, t))

@@ -19,11 +19,12 @@ from churnlens.plans import reports
 from churnlens.plans.clean import CHARGE, USAGE, threshold_specs
 from churnlens.plans.pipeline import AttritionPipeline
 from churnlens.operators.quantiles import exact_quantiles
-from churnlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, COLUMNS
+from churnlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, COLUMNS, TYPED_SCHEMA
 from churnlens.session import scratch_dir
 from churnlens.sinks.writers import export_tsv, read_tsv
 from churnlens.sources.csv_raw import read_raw_csv, write_raw_csv
 from churnlens.sources.fixture import raw_records
+from churnlens.streaming.ingest import start_running_rates, start_typed_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +75,24 @@ def _tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tsv(spark, path, CLEANED_SCHEMA)
 
 
+def _stream_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw records as CSV files, typed by the streaming ingest."""
+    raw_dir = scratch_dir(spark, "stream_raw")
+    write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), raw_dir)
+    out, ckpt = scratch_dir(spark, "stream_typed"), scratch_dir(spark, "stream_ckpt")
+    start_typed_ingest(spark, raw_dir, out, ckpt).awaitTermination()
+    return spark.read.schema(TYPED_SCHEMA).orc(out)
+
+
+def _stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running contract x payment totals over the streamed raw files."""
+    raw_dir = scratch_dir(spark, "stream_raw")
+    write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), raw_dir)
+    out, ckpt = scratch_dir(spark, "stream_rates"), scratch_dir(spark, "stream_ckpt")
+    start_running_rates(spark, raw_dir, out, ckpt).awaitTermination()
+    return spark.read.orc(out)
+
+
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "raw_csv")
     write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), path)
@@ -122,4 +141,6 @@ QUERIES: dict[str, Query] = {
     "rate_usage_support": lambda s, d: reports.rate_usage_support(_cleaned(s, d)),
     "rate_charge_contract": lambda s, d: reports.rate_charge_contract(_cleaned(s, d)),
     "mapreduce_rate": lambda s, d: mapreduce_rate(_cleaned(s, d)),
+    "stream_typed_rows": _stream_typed,
+    "stream_running_rates": _stream_rates,
 }
