@@ -8,6 +8,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlens.operators.dedupe import latest_per_key, valid_target_rows
 from churnlens.operators.quantiles import attach_scalars, exact_quantiles, quantile_thresholds
@@ -122,7 +123,8 @@ def test_deduplicate_drops_invalid_before_ranking(spark):
     for cid, date, churn, rid in [("a", dt.date(2024, 1, 2), None, 1), ("a", dt.date(2024, 1, 1), 1, 2), (None, None, 1, 3)]:
         r = dict(base, customer_id=cid, signup_date=date, churn=churn)
         rows.append(tuple(r[c] for c in COLUMNS) + (rid,))
-    df = spark.createDataFrame(rows, TYPED_SCHEMA.add("row_id", "long"))
+    schema = T.StructType(list(TYPED_SCHEMA.fields) + [T.StructField("row_id", T.LongType())])
+    df = spark.createDataFrame(rows, schema)
     out = deduplicate(df).collect()
     # the newer 'a' row has no valid target, so the older valid one is kept
     assert [(r["customer_id"], r["signup_date"]) for r in out] == [("a", dt.date(2024, 1, 1))]
