@@ -1,8 +1,10 @@
 """Descriptive statistics in one global aggregate.
 
 Mean, min, max and population standard deviation are algebraic aggregates
-(partial per task, merged once).  The median is ``percentile_approx`` at a
-bounded sketch size, so per-task memory does not grow with the data.
+(partial per task, merged once).  Medians are exact discrete medians by
+default (all of them found together by ``exact_quantiles``: two narrow passes,
+bounded memory), so they are deterministic and do not depend on how rows are
+partitioned; ``median="approx"`` uses ``percentile_approx`` at ``accuracy``.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators.quantiles import DEFAULT_ACCURACY
+from churnlens.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
 
 # --- fixed values: statistic name prefixes ----------------------------------
 STAT_NAMES = {
@@ -30,14 +32,26 @@ def describe_numeric(
     dp: int = 2,
     accuracy: int = DEFAULT_ACCURACY,
     count_name: str | None = "record_count",
+    median: str = "exact",
 ) -> DataFrame:
     """``columns`` is a list of (column, label, stats) with stats from
     ``mean median min max stddev``; output columns are ``<stat>_<label>``."""
+    medians: dict[str, float | None] = {}
+    if median == "exact":
+        specs = {f"{STAT_NAMES['median']}_{label}": (F.col(col), [0.5]) for col, label, st in columns if "median" in st}
+        if specs:
+            medians = {k: v[0] for k, v in exact_quantiles(df, specs, accuracy=accuracy).items()}
+    elif median != "approx":
+        raise ValueError(f"unknown median method {median!r}")
     aggs = [F.count(F.lit(1)).alias(count_name)] if count_name else []
+    names = [count_name] if count_name else []
     for col, label, stats in columns:
         c = F.col(col)
         for s in stats:
             name = f"{STAT_NAMES[s]}_{label}"
+            names.append(name)
+            if s == "median" and name in medians:
+                continue
             if s == "mean":
                 aggs.append(F.round(F.avg(c), dp).alias(name))
             elif s == "median":
@@ -50,4 +64,6 @@ def describe_numeric(
                 aggs.append(F.round(F.stddev_pop(c), dp).alias(name))
             else:
                 raise ValueError(f"unknown statistic {s!r}")
-    return df.agg(*aggs)
+    out = df.agg(*aggs)
+    cols = [F.lit(medians[n]).cast("double").alias(n) if n in medians else F.col(n) for n in names]
+    return out.select(*cols)

@@ -54,6 +54,31 @@ def build_session(
     return spark
 
 
+MB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Partition sizing for a job over ``input_bytes`` of raw input.
+
+    Scan splits and shuffle partitions are sized so that each task handles
+    about ``target_partition_mb`` (fits in executor memory without spilling
+    much), never fewer than two tasks per core.  AQE starts from that many
+    shuffle partitions and coalesces the small grouped results; skewed join
+    partitions are split at run time.  Example: 100 TB on 8,000 cores gives
+    256 MB scan splits and ~400k initial shuffle partitions.
+    """
+    per_task = target_partition_mb * MB
+    parts = max(2 * total_cores, -(-input_bytes // per_task))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(per_task),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_task),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(per_task * 4),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only when unset."""
     root = spark.conf.get(_CKPT_KEY, None)

@@ -118,3 +118,13 @@ def test_describe_numeric(spark):
     assert (r["minimum_tenure"], r["maximum_tenure"]) == (1, 4)
     assert r["stddev_tenure"] == 1.12
     assert (r["mean_mc"], r["median_mc"]) == (25.0, 20.0)
+
+
+def test_cluster_conf_sizes_partitions():
+    from churnlens.session import cluster_conf
+
+    conf = cluster_conf(100 * (1 << 40), 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    small = cluster_conf(10 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
