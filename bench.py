@@ -42,6 +42,7 @@ def run_once(spark, sf_dir: str) -> dict[str, float]:
         fn()
         t[name] = time.perf_counter() - t0
 
+    timed("stage_raw_orc", lambda: p.raw_stored)
     timed(
         "profile_raw",
         lambda: _collect_all(

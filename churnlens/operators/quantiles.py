@@ -5,14 +5,16 @@
 always an actual value).  It runs as a short series of distributed jobs:
 
 1. one aggregate pass finds, with a small sketch (``percentile_approx`` at
-   ``accuracy``, rank error at most ``N/accuracy``), a value just below and
-   just above the target rank;
-2. one counting pass counts ``N``, checks that the pair brackets the target,
-   and counts the values below, equal to and between the bracket ends;
+   ``accuracy``, rank error at most ``N/accuracy``), the sketch's answer and a
+   value just below and just above the target rank;
+2. one counting pass counts ``N``, tests whether the sketch's answer has the
+   exact rank (it usually does), else checks that the pair brackets the
+   target and counts the values below, equal to and between the bracket ends;
 3. if the answer is a bracket end it is done; otherwise the open interior
    holds about ``4 N / accuracy`` values.  If that count is within
    ``collect_limit`` the interior's distinct values with their counts are
-   collected (a checked, bounded result) and walked in order; if not, the
+   collected (a checked, bounded result, all targets in one job) and walked
+   in order; if not, the
    same steps repeat on the interior, which shrinks about ``accuracy / 4``
    times per round.
 
@@ -83,17 +85,18 @@ def exact_quantiles(
         active = [t for t in targets if not t.done]
         if not active:
             break
-        # pass 1: bracket each target rank with the sketch.  In the first
-        # round N is not known yet; p +- eps brackets rank ceil(p * N) anyway.
+        # pass 1: bracket each target rank with the sketch, and take the
+        # sketch's own answer as a candidate.  In the first round N is not
+        # known yet; p +- eps brackets rank ceil(p * N) anyway.
         aggs = []
         for j, t in enumerate(active):
             v = col_of[t.spec]
             sv = F.when(_in_subset(v, t), v)
             if t.use_range:
-                aggs.append(F.array(F.min(sv), F.max(sv)).alias(f"b{j}"))
+                aggs.append(F.array(F.min(sv), F.max(sv), F.min(sv)).alias(f"b{j}"))
                 continue
             q = t.k / sizes[id(t)] if t.k else t.prob
-            qs = [max(0.0, q - eps), min(1.0, q + eps)]
+            qs = [max(0.0, q - eps), min(1.0, q + eps), min(1.0, q)]
             aggs.append(F.percentile_approx(sv, qs, accuracy).alias(f"b{j}"))
         brow = src.agg(*aggs).first()
         bounds = []
@@ -101,27 +104,34 @@ def exact_quantiles(
             b = brow[f"b{j}"]
             if b is None or b[0] is None:  # no values at all
                 t.done = True
-            bounds.append((None, None) if t.done else (b[0], b[1]))
+            bounds.append((None, None, None) if t.done else (b[0], b[1], b[2]))
         active_b = [(t, b) for t, b in zip(active, bounds) if not t.done]
 
-        # pass 2: verify brackets and count around them (and N on the first round)
+        # pass 2: count N (first round), test the candidate, verify the bracket
         aggs = []
-        for j, (t, (lo, hi)) in enumerate(active_b):
+        for j, (t, (lo, hi, mid)) in enumerate(active_b):
             v = col_of[t.spec]
             s = _in_subset(v, t)
             aggs += [
                 F.count_if(s).alias(f"n{j}"),
+                F.count_if(s & (v < F.lit(mid))).alias(f"ltm{j}"),
+                F.count_if(s & (v <= F.lit(mid))).alias(f"lem{j}"),
                 F.count_if(s & (v < F.lit(lo))).alias(f"lt{j}"),
                 F.count_if(s & (v == F.lit(lo))).alias(f"eqlo{j}"),
                 F.count_if(s & (v <= F.lit(hi))).alias(f"lehi{j}"),
                 F.count_if(s & (v == F.lit(hi))).alias(f"eqhi{j}"),
             ]
         crow = src.agg(*aggs).first() if aggs else None
-        for j, (t, (lo, hi)) in enumerate(active_b):
-            n, lt, eqlo, lehi, eqhi = (int(crow[f"{x}{j}"]) for x in ("n", "lt", "eqlo", "lehi", "eqhi"))
+        for j, (t, (lo, hi, mid)) in enumerate(active_b):
+            n, ltm, lem, lt, eqlo, lehi, eqhi = (
+                int(crow[f"{x}{j}"]) for x in ("n", "ltm", "lem", "lt", "eqlo", "lehi", "eqhi")
+            )
             if not t.k:
                 t.k = _rank(t.prob, n)
                 sizes[id(t)] = n
+            if ltm < t.k <= lem:
+                t.answer, t.done = mid, True
+                continue
             if not (lt < t.k <= lehi):
                 # sketch bound missed (not expected): bracket by min/max next round
                 t.use_range = True
@@ -136,22 +146,29 @@ def exact_quantiles(
                 t.lo_open, t.hi_open = lo, hi
                 sizes[id(t)] = lehi - eqhi - lt - eqlo
 
-        # step 3: resolve small interiors from their distinct values
-        for t in [t for t in targets if not t.done and t.k and sizes[id(t)] <= collect_limit]:
-            v = col_of[t.spec]
+        # step 3: resolve every small interior in one job from its distinct
+        # values (at most collect_limit rows per target, checked above)
+        small = [t for t in targets if not t.done and t.k and sizes[id(t)] <= collect_limit]
+        if small:
+            tagged = [
+                F.when(_in_subset(col_of[t.spec], t), F.struct(F.lit(i).alias("t"), col_of[t.spec].alias("v")))
+                for i, t in enumerate(small)
+            ]
             rows = (
-                src.filter(_in_subset(v, t))
-                .groupBy(v.alias("v"))
+                src.select(F.explode(F.filter(F.array(*tagged), lambda x: x.isNotNull())).alias("p"))
+                .groupBy("p.t", "p.v")
                 .agg(F.count(F.lit(1)).alias("c"))
-                .orderBy("v")
+                .orderBy("t", "v")
                 .collect()
             )
-            seen = 0
+            seen = [0] * len(small)
             for r in rows:
-                seen += r["c"]
-                if seen >= t.k:
+                t = small[r["t"]]
+                if t.done:
+                    continue
+                seen[r["t"]] += r["c"]
+                if seen[r["t"]] >= t.k:
                     t.answer, t.done = r["v"], True
-                    break
     if any(not t.done for t in targets):
         raise RuntimeError("exact quantile did not converge")
 
