@@ -34,7 +34,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_ACCURACY = 10_000
 DEFAULT_COLLECT_LIMIT = 100_000
@@ -203,11 +202,6 @@ def quantile_thresholds(
     )
 
 
-def threshold_values(df: DataFrame, specs: Mapping[str, tuple[Column, Sequence[float]]], accuracy: int | None = None) -> dict[str, list[float | None]]:
-    """Exact thresholds as Python values, for inlining as literals."""
-    return exact_quantiles(df, specs, accuracy=accuracy or DEFAULT_ACCURACY)
-
-
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Every row of ``df`` plus the columns of a one-row frame.
 
@@ -215,6 +209,3 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     construction), so broadcasting it is bounded regardless of input size.
     """
     return df.crossJoin(F.broadcast(one_row))
-
-
-ARRAY_DOUBLE = T.ArrayType(T.DoubleType())
