@@ -202,11 +202,16 @@ class AttritionPipeline:
         }
 
 
+# --- fixed values: catalog names used by the batch script ---------------------
+DATABASE = "customer_churn_db"
+TABLE_PREFIX = "customer_churn_"
+
+
 def run_script(
     spark: SparkSession,
     raw_location: str,
     base: str,
-    database: str = "customer_churn_db",
+    database: str = DATABASE,
 ) -> dict[str, DataFrame | str]:
     """The whole batch script against a raw CSV prefix, with catalog tables.
 
@@ -215,7 +220,7 @@ def run_script(
     OVERWRITE, exports TSV, and returns every check and report frame.
     """
     create_database(spark, database)
-    raw_t, typed_t, cleaned_t = (f"{database}.customer_churn_{n}" for n in ("raw", "typed", "cleaned"))
+    raw_t, typed_t, cleaned_t = (f"{database}.{TABLE_PREFIX}{n}" for n in ("raw", "typed", "cleaned"))
     for t in (raw_t, typed_t, cleaned_t):
         drop_table(spark, t)
     declare_csv_table(spark, raw_t, RAW_SCHEMA, raw_location)
