@@ -205,7 +205,12 @@ def quantile_thresholds(
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Every row of ``df`` plus the columns of a one-row frame.
 
-    ``one_row`` must be a global aggregate or literal row (exactly one row by
-    construction), so broadcasting it is bounded regardless of input size.
+    The one-row frame becomes a single scalar subquery (a struct of its
+    columns): Spark runs it once, fails the query if it ever returns more
+    than one row, and folds its value into the projection, so no join and no
+    per-row work depends on the size of ``one_row``'s input.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    cols = one_row.columns
+    scalar = one_row.select(F.struct(*cols).alias("s")).scalar()
+    out = df.select("*", scalar.alias("__scalars"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"__scalars.`{c}`").alias(c) for c in cols])

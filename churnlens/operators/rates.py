@@ -66,12 +66,12 @@ def share_of_total(
 ) -> DataFrame:
     """Rows per key with the key's percentage of all rows, ordered by key.
 
-    The grand total is a global aggregate of the grouped result (one row),
-    attached by a broadcast of that single row, so no step gathers all
-    groups into one partition however many keys there are.
+    The grand total (the sum of the group counts, i.e. the row count) is a
+    one-row scalar subquery, so no step gathers all groups into one
+    partition however many keys there are.
     """
     agg = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
-    total = agg.agg(F.sum(count_name).alias("__total"))
+    total = df.agg(F.count(F.lit(1)).alias("__total"))
     return (
         attach_scalars(agg, total)
         .orderBy(F.asc_nulls_first(key))

@@ -17,12 +17,13 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_approx_thresholds_with_broadcast_cross_join_equal_exact(spark, tmp_out):
+def test_approx_thresholds_via_scalar_subquery_equal_exact(spark, tmp_out):
     p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "p"))
     exact = p.cleaned
     approx = clean(p.typed, method="approx", materialize=lambda df, name: p.deduplicated)
     assert approx.columns == CLEANED_COLUMNS
-    assert "BroadcastNestedLoopJoin" in _plan(approx)  # one-row thresholds, broadcast
+    plan = _plan(approx)
+    assert "Subquery" in plan and "Join" not in plan  # one-row thresholds as a scalar subquery
     assert approx.exceptAll(exact).count() == 0 and exact.exceptAll(approx).count() == 0
     # the exact path inlines the cut points: no join at all
     assert "Join" not in _plan(clean(p.typed, materialize=lambda df, name: p.deduplicated))
