@@ -84,13 +84,14 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int =
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only when unset."""
     root = spark.conf.get(_CKPT_KEY, None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    jsc = getattr(spark.sparkContext, "_jsc", None) if hasattr(spark, "sparkContext") else None
+    if not root and jsc is not None:
+        jdir = jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
-    if not root:
+    if not root:  # local runs and tests only: no shared folder configured
         root = tempfile.mkdtemp(prefix="churnlens-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if jsc is not None and not jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
