@@ -69,6 +69,25 @@ ANALYTIC_NULLS = {
 }
 
 
+def is_columnar_scan(df: DataFrame) -> bool:
+    """True when ``df`` only projects / filters a Parquet or ORC file scan."""
+    try:
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:
+        return False
+    for line in text.splitlines():
+        node = line.lstrip(" :+-")
+        if not node:
+            continue
+        head = node.split(" ", 1)[0]
+        if head in ("Project", "Filter"):
+            continue
+        if head == "Relation" and node.split()[-1] in ("parquet", "orc"):
+            continue
+        return False
+    return True
+
+
 class AttritionPipeline:
     """One run over one raw frame; each stage is written once, on first use."""
 
@@ -79,7 +98,7 @@ class AttritionPipeline:
         workdir: str | None = None,
         quantile_method: str = "exact",
         accuracy: int | None = None,
-        stage_raw: bool = True,
+        stage_raw: bool | str = "auto",
         tables: dict[str, str] | None = None,
     ) -> None:
         self.spark = spark
@@ -113,9 +132,14 @@ class AttritionPipeline:
 
         Every profile query and the typing stage read the raw input; from ORC
         each reads only the columns it uses, instead of re-parsing (or, for a
-        derived input, recomputing) all 32 columns per query.
+        derived input, recomputing) all 32 columns per query.  With
+        ``stage_raw="auto"`` an input that already is a plain Parquet/ORC
+        scan is used as it is (its scans prune columns by themselves).
         """
-        return self._store(self.raw, "raw_orc") if self.stage_raw else self.raw
+        stage = self.stage_raw
+        if stage == "auto":
+            stage = not is_columnar_scan(self.raw)
+        return self._store(self.raw, "raw_orc") if stage else self.raw
 
     @cached_property
     def typed(self) -> DataFrame:

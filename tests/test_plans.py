@@ -81,3 +81,21 @@ def test_dedupe_filter_is_pushed_below_the_window(spark):
     filt = next(i for i, ln in enumerate(lines) if "Filter" in ln and "IN (0,1)" in ln)
     exch = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning(customer_id" in ln)
     assert filt > exch
+
+
+def test_raw_staging_only_when_it_saves_work(spark, tmp_out):
+    from churnlens.plans.pipeline import is_columnar_scan
+    from churnlens.sources.csv_raw import read_raw_csv, write_raw_csv
+    from churnlens.schema import COLUMNS
+
+    derived = raw_records(spark, SF_SMALL)
+    assert not is_columnar_scan(derived)  # joins + aggregate: stage once
+    orc_dir = os.path.join(tmp_out, "raw_orc")
+    derived.write.orc(orc_dir)
+    plain = spark.read.orc(orc_dir).filter("row_id > 0").select(*COLUMNS, "row_id")
+    assert is_columnar_scan(plain)  # already columnar: read it directly
+    csv_dir = os.path.join(tmp_out, "raw_csv")
+    write_raw_csv(derived.select(*COLUMNS), csv_dir)
+    assert not is_columnar_scan(read_raw_csv(spark, csv_dir))  # text: parse once
+    p = AttritionPipeline(spark, plain, workdir=os.path.join(tmp_out, "w"))
+    assert p.raw_stored is plain
