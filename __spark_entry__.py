@@ -360,6 +360,7 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT contract, payment_method, COUNT(*) AS total_customers, CAST(SUM(churn) AS BIGINT) AS total_churned, "
         "CASE WHEN COUNT(*) > 0 THEN CAST(SUM(churn) AS DOUBLE) / COUNT(*) * 100 ELSE 0.0 END AS churn_rate "
         "FROM cleaned WHERE contract IS NOT NULL AND payment_method IS NOT NULL AND churn IN (0, 1) GROUP BY contract, payment_method",
+        "catalog_typed_rows": _T + "SELECT " + ", ".join(COLUMNS) + " FROM typed",
         "stream_typed_rows": _T + "SELECT " + ", ".join(COLUMNS) + " FROM typed",
         "stream_running_rates": _T
         + "SELECT contract, payment_method, COUNT(*) AS total_customers, CAST(SUM(churn) AS BIGINT) AS total_churned, "

@@ -231,6 +231,28 @@ DATABASE = "customer_churn_db"
 TABLE_PREFIX = "customer_churn_"
 
 
+def declare_tables(spark: SparkSession, raw_location: str, base: str, database: str = DATABASE) -> tuple[str, str, str]:
+    """CREATE DATABASE, then (re)declare the raw CSV, typed ORC and cleaned ORC
+    external tables; returns their qualified names (the session's current
+    database is left as it is)."""
+    create_database(spark, database, use=False)
+    raw_t, typed_t, cleaned_t = (f"{database}.{TABLE_PREFIX}{n}" for n in ("raw", "typed", "cleaned"))
+    for t in (raw_t, typed_t, cleaned_t):
+        drop_table(spark, t)
+    declare_csv_table(spark, raw_t, RAW_SCHEMA, raw_location)
+    declare_orc_table(spark, typed_t, TYPED_SCHEMA, f"{base}/typed_orc")
+    declare_orc_table(spark, cleaned_t, CLEANED_SCHEMA, f"{base}/cleaned_orc")
+    return raw_t, typed_t, cleaned_t
+
+
+def catalog_pipeline(spark: SparkSession, raw_location: str, base: str, database: str = DATABASE) -> AttritionPipeline:
+    """A pipeline whose raw input is the declared CSV table and whose typed and
+    cleaned stages INSERT OVERWRITE the declared ORC tables."""
+    raw_t, typed_t, cleaned_t = declare_tables(spark, raw_location, base, database)
+    raw = spread(spark.table(raw_t)).na.fill("")
+    return AttritionPipeline(spark, raw, workdir=base, tables={"typed_orc": typed_t, "cleaned_orc": cleaned_t})
+
+
 def run_script(
     spark: SparkSession,
     raw_location: str,
@@ -243,16 +265,8 @@ def run_script(
     cleaned ORC) under ``base``, fills typed and cleaned with INSERT
     OVERWRITE, exports TSV, and returns every check and report frame.
     """
-    create_database(spark, database)
-    raw_t, typed_t, cleaned_t = (f"{database}.{TABLE_PREFIX}{n}" for n in ("raw", "typed", "cleaned"))
-    for t in (raw_t, typed_t, cleaned_t):
-        drop_table(spark, t)
-    declare_csv_table(spark, raw_t, RAW_SCHEMA, raw_location)
-    declare_orc_table(spark, typed_t, TYPED_SCHEMA, f"{base}/typed_orc")
-    declare_orc_table(spark, cleaned_t, CLEANED_SCHEMA, f"{base}/cleaned_orc")
-
-    raw = spread(spark.table(raw_t)).na.fill("")
-    p = AttritionPipeline(spark, raw, workdir=base, tables={"typed_orc": typed_t, "cleaned_orc": cleaned_t})
+    p = catalog_pipeline(spark, raw_location, base, database)
+    raw_t = f"{database}.{TABLE_PREFIX}raw"
     out: dict[str, DataFrame | str] = {
         "describe_raw": describe_table(spark, raw_t),
         "raw_record_count": p.raw_count(),

@@ -17,7 +17,7 @@ from churnlens.operators.quality import cleaned_check
 from churnlens.operators.rates import mapreduce_rate
 from churnlens.plans import reports
 from churnlens.plans.clean import CHARGE, USAGE, threshold_specs
-from churnlens.plans.pipeline import AttritionPipeline
+from churnlens.plans.pipeline import AttritionPipeline, catalog_pipeline
 from churnlens.operators.quantiles import exact_quantiles
 from churnlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, COLUMNS, TYPED_SCHEMA
 from churnlens.session import scratch_dir
@@ -93,6 +93,15 @@ def _stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.orc(out)
 
 
+def _catalog_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records as CSV behind a declared external table; typed via INSERT
+    OVERWRITE into the declared ORC table, read back through the catalog."""
+    raw_dir = scratch_dir(spark, "catalog_raw")
+    write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), raw_dir)
+    p = catalog_pipeline(spark, raw_dir, scratch_dir(spark, "catalog"), database="churnlens_check_db")
+    return p.typed
+
+
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "raw_csv")
     write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), path)
@@ -141,6 +150,7 @@ QUERIES: dict[str, Query] = {
     "rate_usage_support": lambda s, d: reports.rate_usage_support(_cleaned(s, d)),
     "rate_charge_contract": lambda s, d: reports.rate_charge_contract(_cleaned(s, d)),
     "mapreduce_rate": lambda s, d: mapreduce_rate(_cleaned(s, d)),
+    "catalog_typed_rows": _catalog_typed,
     "stream_typed_rows": _stream_typed,
     "stream_running_rates": _stream_rates,
 }
