@@ -75,10 +75,22 @@ def _tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tsv(spark, path, CLEANED_SCHEMA)
 
 
+_RAW_CSV: dict[tuple[str, str], str] = {}
+
+
+def _raw_csv_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The raw records written once as CSV files (the text input of a real run)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RAW_CSV:
+        path = scratch_dir(spark, "raw_csv")
+        write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), path)
+        _RAW_CSV[key] = path
+    return _RAW_CSV[key]
+
+
 def _stream_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw records as CSV files, typed by the streaming ingest."""
-    raw_dir = scratch_dir(spark, "stream_raw")
-    write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), raw_dir)
+    raw_dir = _raw_csv_dir(spark, sf_dir)
     out, ckpt = scratch_dir(spark, "stream_typed"), scratch_dir(spark, "stream_ckpt")
     start_typed_ingest(spark, raw_dir, out, ckpt).awaitTermination()
     return spark.read.schema(TYPED_SCHEMA).orc(out)
@@ -86,8 +98,7 @@ def _stream_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running contract x payment totals over the streamed raw files."""
-    raw_dir = scratch_dir(spark, "stream_raw")
-    write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), raw_dir)
+    raw_dir = _raw_csv_dir(spark, sf_dir)
     out, ckpt = scratch_dir(spark, "stream_rates"), scratch_dir(spark, "stream_ckpt")
     start_running_rates(spark, raw_dir, out, ckpt).awaitTermination()
     return spark.read.orc(out)
@@ -96,16 +107,12 @@ def _stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _catalog_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records as CSV behind a declared external table; typed via INSERT
     OVERWRITE into the declared ORC table, read back through the catalog."""
-    raw_dir = scratch_dir(spark, "catalog_raw")
-    write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), raw_dir)
-    p = catalog_pipeline(spark, raw_dir, scratch_dir(spark, "catalog"), database="churnlens_check_db")
+    p = catalog_pipeline(spark, _raw_csv_dir(spark, sf_dir), scratch_dir(spark, "catalog"), database="churnlens_check_db")
     return p.typed
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "raw_csv")
-    write_raw_csv(_raw(spark, sf_dir).select(*COLUMNS), path)
-    return read_raw_csv(spark, path)
+    return read_raw_csv(spark, _raw_csv_dir(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
