@@ -39,7 +39,7 @@ from churnlens.sources.tables import (
     drop_table,
 )
 
-# --- fixed values: fields profiled for missing raw values --------------------
+# --- fixed values: profiled fields and the check output names ---------------
 MISSING_FIELDS = [
     "customer_id",
     "signup_date",
