@@ -43,20 +43,7 @@ def run_once(spark, sf_dir: str) -> dict[str, float]:
         t[name] = time.perf_counter() - t0
 
     timed("stage_raw_orc", lambda: p.raw_stored)
-    timed(
-        "profile_raw",
-        lambda: _collect_all(
-            [
-                p.raw_count(),
-                p.raw_key_uniqueness(),
-                p.raw_duplicate_keys(),
-                p.raw_missing(),
-                p.raw_frequencies("churn", "raw_churn_value"),
-                p.raw_frequencies("contract"),
-                p.raw_frequencies("payment_method"),
-            ]
-        ),
-    )
+    timed("profile_raw", lambda: _collect_all(list(p.profile().values())))
     timed("typed_orc", lambda: p.typed)
     timed(
         "validate_typed",

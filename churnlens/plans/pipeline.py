@@ -12,8 +12,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.functions.typing_rules import is_blank
 from churnlens.operators.quality import (
     cleaned_check,
+    count_when,
     duplicate_keys,
     invalid_rows,
     key_uniqueness,
@@ -53,6 +55,7 @@ MISSING_FIELDS = [
     "avg_monthly_gb",
     "churn",
 ]
+FREQUENCY_FIELDS = ["churn", "contract", "payment_method"]
 REQUIRED_NULLS = {
     "missing_customer_id": "customer_id",
     "invalid_or_missing_signup_date": "signup_date",
@@ -188,6 +191,51 @@ class AttritionPipeline:
     def raw_frequencies(self, col: str, alias: str | None = None) -> DataFrame:
         return value_frequencies(self.raw_stored, col, normalise=True, alias=alias)
 
+    def profile(self) -> dict[str, DataFrame]:
+        """The raw profile in three scans instead of seven.
+
+        Row count, key uniqueness and the missing-value report are one global
+        aggregate; the three category-frequency tables are one ``groupBy``
+        over (field, value) pairs, combined map-side.  Both small results are
+        written once and every report frame is a slice of them.  The
+        duplicate-key top 100 needs its own shuffle by key.
+        """
+        raw = self.raw_stored
+        key = F.trim(F.col("customer_id"))
+        summary = raw.agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count_distinct(key).alias("distinct_customer_ids"),
+            *[count_when(is_blank(F.col(f))).alias(f) for f in MISSING_FIELDS],
+        )
+        summary = self._store(summary.coalesce(1), "raw_profile_summary")
+        pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.lower(F.trim(F.col(c))).alias("value")) for c in FREQUENCY_FIELDS])
+        freq = raw.select(F.explode(pairs).alias("p")).groupBy("p.field", "p.value").agg(
+            F.count(F.lit(1)).alias("record_count")
+        )
+        freq = self._store(freq, "raw_profile_frequencies")
+
+        def frequencies(field: str, alias: str) -> DataFrame:
+            return (
+                freq.filter(F.col("field") == field)
+                .select(F.col("value").alias(alias), "record_count")
+                .orderBy(F.desc("record_count"), F.asc_nulls_first(alias))
+            )
+
+        pairs_sql = ", ".join(f"'{f}', `{f}`" for f in MISSING_FIELDS)
+        return {
+            "raw_record_count": summary.select(F.col("total_rows").alias("raw_record_count")),
+            "raw_key_uniqueness": summary.select(
+                "total_rows",
+                "distinct_customer_ids",
+                (F.col("total_rows") - F.col("distinct_customer_ids")).alias("duplicate_customer_id_rows"),
+            ),
+            "raw_missing": summary.selectExpr(f"stack({len(MISSING_FIELDS)}, {pairs_sql}) AS (field_name, missing_count)"),
+            "raw_churn_values": frequencies("churn", "raw_churn_value"),
+            "raw_contract_values": frequencies("contract", "contract"),
+            "raw_payment_values": frequencies("payment_method", "payment_method"),
+            "raw_duplicate_keys": self.raw_duplicate_keys(),
+        }
+
     # ---- validation of the typed table ----------------------------------
     def typed_required_nulls(self) -> DataFrame:
         return null_counts(self.typed, REQUIRED_NULLS, total="total_rows")
@@ -269,14 +317,8 @@ def run_script(
     raw_t = f"{database}.{TABLE_PREFIX}raw"
     out: dict[str, DataFrame | str] = {
         "describe_raw": describe_table(spark, raw_t),
-        "raw_record_count": p.raw_count(),
         "raw_preview": p.raw_preview(),
-        "raw_key_uniqueness": p.raw_key_uniqueness(),
-        "raw_duplicate_keys": p.raw_duplicate_keys(),
-        "raw_missing": p.raw_missing(),
-        "raw_churn_values": p.raw_frequencies("churn", "raw_churn_value"),
-        "raw_contract_values": p.raw_frequencies("contract"),
-        "raw_payment_values": p.raw_frequencies("payment_method"),
+        **p.profile(),
         "typed_required_nulls": p.typed_required_nulls(),
         "typed_analytic_nulls": p.typed_analytic_nulls(),
         "typed_invalid_rows": p.typed_invalid(),

@@ -114,3 +114,21 @@ def test_run_script_with_catalog_tables(spark, tmp_out):
     # dropping an external table leaves its files
     spark.sql("DROP TABLE churn_test_db.customer_churn_cleaned")
     assert glob.glob(os.path.join(base, "cleaned_orc", "*.orc"))
+
+
+def test_combined_profile_equals_single_statements(spark, tmp_out):
+    p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "prof"))
+    combined = p.profile()
+    single = {
+        "raw_record_count": p.raw_count(),
+        "raw_key_uniqueness": p.raw_key_uniqueness(),
+        "raw_missing": p.raw_missing(),
+        "raw_churn_values": p.raw_frequencies("churn", "raw_churn_value"),
+        "raw_contract_values": p.raw_frequencies("contract"),
+        "raw_payment_values": p.raw_frequencies("payment_method"),
+        "raw_duplicate_keys": p.raw_duplicate_keys(),
+    }
+    for name, want in single.items():
+        got = combined[name]
+        assert got.columns == want.columns, name
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], name
