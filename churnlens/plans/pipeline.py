@@ -248,29 +248,34 @@ class AttritionPipeline:
         return invalid_rows(self.typed, ["customer_id", "churn"], limit, order=order)
 
     # ---- checks and reports on the cleaned table --------------------------
+    @cached_property
+    def report_cells(self) -> DataFrame:
+        """Cells of every grouped check and report: one scan, one shuffle, written once."""
+        return self._store(reports.report_cells(self.cleaned), "report_cells")
+
     def checks(self) -> dict[str, DataFrame]:
-        c = self.cleaned
+        c, g = self.cleaned, reports.grouped_tables(self.report_cells)
         return {
             "cleaned_check": cleaned_check(c),
-            "churn_summary": reports.churn_summary(c, 4),
+            "churn_summary": g["churn_summary"],
             "describe_numeric": reports.descriptive_stats(c),
-            "freq_contract": reports.category_counts(c, "contract"),
-            "freq_payment": reports.category_counts(c, "payment_method"),
-            "freq_tenure_group": reports.category_counts(c, "tenure_group"),
+            "freq_contract": g["freq_contract"],
+            "freq_payment": g["freq_payment"],
+            "freq_tenure_group": g["freq_tenure_group"],
             "cleaned_nulls": reports.cleaned_nulls(c),
-            "rate_contract_payment": reports.rate_contract_payment(c, 4),
+            "rate_contract_payment": g["rate_contract_payment"],
         }
 
     def report_tables(self) -> dict[str, DataFrame]:
-        c = self.cleaned
+        g = reports.grouped_tables(self.report_cells)
         return {
-            "churn_distribution": reports.churn_summary(c, 2),
-            "contract_payment": reports.rate_contract_payment_report(c),
-            "tenure_satisfaction": reports.rate_tenure_satisfaction(c),
-            "complaints_calls": reports.rate_complaints_calls(c),
-            "usage_support": reports.rate_usage_support(c),
-            "charge_contract": reports.rate_charge_contract(c),
-            "mapreduce_rate": mapreduce_rate(c),
+            "churn_distribution": g["churn_distribution"],
+            "contract_payment": g["contract_payment"],
+            "tenure_satisfaction": g["tenure_satisfaction"],
+            "complaints_calls": g["complaints_calls"],
+            "usage_support": g["usage_support"],
+            "charge_contract": g["charge_contract"],
+            "mapreduce_rate": mapreduce_rate(self.cleaned),
         }
 
 

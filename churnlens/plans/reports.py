@@ -1,12 +1,23 @@
 """The report queries over the cleaned table.
 
-Each is ``filter -> group_rate -> labels -> business order``.  Grouping is by
-the stored code; labels are computed on the (few) result rows.
+Every grouped report is ``cells -> finish``: *cells* are the rows per key
+combination with ``total_customers`` and ``churned_customers``; *finish*
+keeps the wanted keys, adds labels and the rounded rate, and orders the rows.
+The report filters are all on group keys, so they can run after grouping.
+
+* Direct path (one statement, as a user runs it): cells are a ``groupBy``;
+  Catalyst pushes the key filters below the aggregate into the scan.
+* Combined path (the pipeline): ``report_cells`` computes the cells of every
+  report in one scan and one shuffle with ``GROUPING SETS`` (each row is
+  expanded once per set, then combined map-side), and each report is a
+  slice of that small table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions.labels import (
@@ -23,18 +34,174 @@ from churnlens.functions.labels import (
     code_rank,
 )
 from churnlens.operators.bands import MISSING
-from churnlens.operators.quality import null_counts, value_frequencies
-from churnlens.operators.rates import group_rate, share_of_total
+from churnlens.operators.quality import null_counts
+from churnlens.operators.quantiles import attach_scalars
+from churnlens.operators.rates import rate_expr
 from churnlens.operators.stats import describe_numeric
 
-_VIZ = {"count_name": "total_customers", "sum_name": "churned_customers", "rate_name": "churn_rate"}
-_OUT = ["total_customers", "churned_customers", "churn_rate"]
+N, S = "total_customers", "churned_customers"
+_OUT = [N, S, "churn_rate"]
+
+# --- fixed values: the key sets of the grouped checks and reports -------------
+CELL_SETS: dict[str, list[str]] = {
+    "churn": ["churn"],
+    "contract": ["contract"],
+    "payment_method": ["payment_method"],
+    "tenure_group": ["tenure_group"],
+    "contract_payment": ["contract", "payment_method"],
+    "tenure_satisfaction": ["tenure_group", "satisfaction_group"],
+    "complaints_calls": ["complaint_group", "service_call_group"],
+    "usage_support": ["usage_band", "has_tech_support"],
+    "charge_contract": ["monthly_charge_band", "contract"],
+}
+_CELL_COLS = list(dict.fromkeys(c for keys in CELL_SETS.values() for c in keys))
+
+
+# ---- cells ----------------------------------------------------------------
+def rate_cells(df: DataFrame, keys: Sequence[str], target: str = "churn") -> DataFrame:
+    """Rows and SUM(target) per key combination (partial aggregate, then shuffle)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(N), F.sum(target).cast("bigint").alias(S))
+
+
+def _gid(keys: Sequence[str]) -> int:
+    """``grouping_id()`` of a set: one bit per column that is not grouped."""
+    width = len(_CELL_COLS)
+    return sum(1 << (width - 1 - i) for i, c in enumerate(_CELL_COLS) if c not in keys)
+
+
+def report_cells(cleaned: DataFrame, target: str = "churn") -> DataFrame:
+    """The cells of every grouped report in one aggregate (GROUPING SETS)."""
+    sets = [[F.col(c) for c in keys] for keys in CELL_SETS.values()]
+    return cleaned.groupingSets(sets, *[F.col(c) for c in _CELL_COLS]).agg(
+        F.grouping_id().alias("gid"),
+        F.count(F.lit(1)).alias(N),
+        F.sum(target).cast("bigint").alias(S),
+    )
+
+
+def cells_of(all_cells: DataFrame, name: str) -> DataFrame:
+    keys = CELL_SETS[name]
+    return all_cells.filter(F.col("gid") == _gid(keys)).select(*keys, N, S)
+
+
+# ---- finishes -----------------------------------------------------------
+def _rate(dp: int | None) -> Column:
+    return rate_expr(F.col(S), F.col(N), dp).alias("churn_rate")
+
+
+def finish_churn_summary(cells: DataFrame, dp: int = 4) -> DataFrame:
+    label = F.when(F.col("churn") == 1, F.lit(STATUS_CHURNED)).otherwise(F.lit(STATUS_RETAINED))
+    total = cells.agg(F.sum(N).alias("__total"))  # one row: a scalar subquery
+    return (
+        attach_scalars(cells, total)
+        .orderBy(F.asc_nulls_first("churn"))
+        .select(label.alias("customer_status"), F.col(N).alias("customer_count"),
+                rate_expr(F.col(N), F.col("__total"), dp).alias("percentage"))
+    )
+
+
+def finish_counts(cells: DataFrame, key: str) -> DataFrame:
+    return cells.select(key, F.col(N).alias("customer_count")).orderBy(
+        F.desc("customer_count"), F.asc_nulls_first(key)
+    )
+
+
+def finish_rate_contract_payment(cells: DataFrame, dp: int = 4) -> DataFrame:
+    """All contract x payment groups, NULL keys kept, highest rate first."""
+    return cells.select("contract", "payment_method", N, F.col(S).alias("total_churned"), _rate(dp)).orderBy(
+        F.desc("churn_rate"), F.asc_nulls_first("contract"), F.asc_nulls_first("payment_method")
+    )
+
+
+def finish_contract_payment_report(cells: DataFrame) -> DataFrame:
+    return (
+        cells.filter(F.col("contract").isNotNull() & F.col("payment_method").isNotNull())
+        .select(F.col("contract").alias("contract_type"), "payment_method", N, S, _rate(2))
+        .orderBy("contract_type", F.desc("churn_rate"), "payment_method")
+    )
 
 
+def finish_tenure_satisfaction(cells: DataFrame) -> DataFrame:
+    return (
+        cells.filter((F.col("tenure_group") != MISSING) & (F.col("satisfaction_group") != MISSING))
+        .orderBy(code_rank("tenure_group", TENURE_LABELS), code_rank("satisfaction_group", SATISFACTION_LABELS))
+        .select(
+            code_label("tenure_group", TENURE_LABELS).alias("tenure"),
+            code_label("satisfaction_group", SATISFACTION_LABELS).alias("satisfaction"),
+            N, S, _rate(2),
+        )
+    )
+
+
+def finish_complaints_calls(cells: DataFrame) -> DataFrame:
+    return (
+        cells.filter((F.col("complaint_group") != MISSING) & (F.col("service_call_group") != MISSING))
+        .orderBy(code_rank("complaint_group", COMPLAINT_LABELS), code_rank("service_call_group", SERVICE_CALL_LABELS))
+        .select(
+            code_label("complaint_group", COMPLAINT_LABELS).alias("complaints"),
+            code_label("service_call_group", SERVICE_CALL_LABELS).alias("service_calls"),
+            N, S, _rate(2),
+        )
+    )
+
+
+def finish_usage_support(cells: DataFrame) -> DataFrame:
+    return (
+        cells.filter((F.col("usage_band") != MISSING) & F.col("has_tech_support").isin(0, 1))
+        .orderBy(code_rank("usage_band", USAGE_LABELS), F.desc("has_tech_support"))
+        .select(
+            code_label("usage_band", USAGE_LABELS).alias("internet_usage"),
+            code_label("has_tech_support", TECH_SUPPORT_LABELS).alias("tech_support"),
+            N, S, _rate(2),
+        )
+    )
+
+
+def finish_charge_contract(cells: DataFrame) -> DataFrame:
+    return (
+        cells.filter((F.col("monthly_charge_band") != MISSING) & F.col("contract").isNotNull())
+        .select("monthly_charge_band", "contract", N, S, _rate(2))
+        .orderBy(code_rank("monthly_charge_band", CHARGE_LABELS), F.desc("churn_rate"), "contract")
+        .select(
+            code_label("monthly_charge_band", CHARGE_LABELS).alias("charge_band"),
+            F.col("contract").alias("contract_type"),
+            *_OUT,
+        )
+    )
+
+
+# ---- direct statements ----------------------------------------------------
 def churn_summary(cleaned: DataFrame, dp: int = 4) -> DataFrame:
     """Churned vs retained: count and percentage of all customers, by code."""
-    label = F.when(F.col("churn") == 1, F.lit(STATUS_CHURNED)).otherwise(F.lit(STATUS_RETAINED))
-    return share_of_total(cleaned, "churn", label, dp=dp)
+    return finish_churn_summary(rate_cells(cleaned, ["churn"]), dp)
+
+
+def category_counts(cleaned: DataFrame, col: str) -> DataFrame:
+    return finish_counts(rate_cells(cleaned, [col]), col)
+
+
+def rate_contract_payment(cleaned: DataFrame, dp: int = 4) -> DataFrame:
+    return finish_rate_contract_payment(rate_cells(cleaned, CELL_SETS["contract_payment"]), dp)
+
+
+def rate_contract_payment_report(cleaned: DataFrame) -> DataFrame:
+    return finish_contract_payment_report(rate_cells(cleaned, CELL_SETS["contract_payment"]))
+
+
+def rate_tenure_satisfaction(cleaned: DataFrame) -> DataFrame:
+    return finish_tenure_satisfaction(rate_cells(cleaned, CELL_SETS["tenure_satisfaction"]))
+
+
+def rate_complaints_calls(cleaned: DataFrame) -> DataFrame:
+    return finish_complaints_calls(rate_cells(cleaned, CELL_SETS["complaints_calls"]))
+
+
+def rate_usage_support(cleaned: DataFrame) -> DataFrame:
+    return finish_usage_support(rate_cells(cleaned, CELL_SETS["usage_support"]))
+
+
+def rate_charge_contract(cleaned: DataFrame) -> DataFrame:
+    return finish_charge_contract(rate_cells(cleaned, CELL_SETS["charge_contract"]))
 
 
 def descriptive_stats(cleaned: DataFrame) -> DataFrame:
@@ -49,10 +216,6 @@ def descriptive_stats(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def category_counts(cleaned: DataFrame, col: str) -> DataFrame:
-    return value_frequencies(cleaned, col, normalise=False, count_col="customer_count")
-
-
 def cleaned_nulls(cleaned: DataFrame) -> DataFrame:
     return null_counts(
         cleaned,
@@ -69,59 +232,20 @@ def cleaned_nulls(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def rate_contract_payment(cleaned: DataFrame, dp: int = 4) -> DataFrame:
-    """All contract x payment groups, NULL keys kept, highest rate first."""
-    return group_rate(cleaned, ["contract", "payment_method"], dp=dp, null_keys="keep").orderBy(
-        F.desc("churn_rate"), F.asc_nulls_first("contract"), F.asc_nulls_first("payment_method")
-    )
-
-
-def rate_contract_payment_report(cleaned: DataFrame) -> DataFrame:
-    g = group_rate(cleaned, ["contract", "payment_method"], dp=2, null_keys="drop", **_VIZ)
-    return g.select(F.col("contract").alias("contract_type"), "payment_method", *_OUT).orderBy(
-        "contract_type", F.desc("churn_rate"), "payment_method"
-    )
-
-
-def rate_tenure_satisfaction(cleaned: DataFrame) -> DataFrame:
-    where = (F.col("tenure_group") != MISSING) & (F.col("satisfaction_group") != MISSING)
-    g = group_rate(cleaned, ["tenure_group", "satisfaction_group"], dp=2, where=where, **_VIZ)
-    return g.orderBy(
-        code_rank("tenure_group", TENURE_LABELS), code_rank("satisfaction_group", SATISFACTION_LABELS)
-    ).select(
-        code_label("tenure_group", TENURE_LABELS).alias("tenure"),
-        code_label("satisfaction_group", SATISFACTION_LABELS).alias("satisfaction"),
-        *_OUT,
-    )
-
-
-def rate_complaints_calls(cleaned: DataFrame) -> DataFrame:
-    where = (F.col("complaint_group") != MISSING) & (F.col("service_call_group") != MISSING)
-    g = group_rate(cleaned, ["complaint_group", "service_call_group"], dp=2, where=where, **_VIZ)
-    return g.orderBy(
-        code_rank("complaint_group", COMPLAINT_LABELS), code_rank("service_call_group", SERVICE_CALL_LABELS)
-    ).select(
-        code_label("complaint_group", COMPLAINT_LABELS).alias("complaints"),
-        code_label("service_call_group", SERVICE_CALL_LABELS).alias("service_calls"),
-        *_OUT,
-    )
-
-
-def rate_usage_support(cleaned: DataFrame) -> DataFrame:
-    where = (F.col("usage_band") != MISSING) & F.col("has_tech_support").isin(0, 1)
-    g = group_rate(cleaned, ["usage_band", "has_tech_support"], dp=2, where=where, **_VIZ)
-    return g.orderBy(code_rank("usage_band", USAGE_LABELS), F.desc("has_tech_support")).select(
-        code_label("usage_band", USAGE_LABELS).alias("internet_usage"),
-        code_label("has_tech_support", TECH_SUPPORT_LABELS).alias("tech_support"),
-        *_OUT,
-    )
-
-
-def rate_charge_contract(cleaned: DataFrame) -> DataFrame:
-    where = (F.col("monthly_charge_band") != MISSING) & F.col("contract").isNotNull()
-    g = group_rate(cleaned, ["monthly_charge_band", "contract"], dp=2, where=where, **_VIZ)
-    return g.orderBy(code_rank("monthly_charge_band", CHARGE_LABELS), F.desc("churn_rate"), "contract").select(
-        code_label("monthly_charge_band", CHARGE_LABELS).alias("charge_band"),
-        F.col("contract").alias("contract_type"),
-        *_OUT,
-    )
+# ---- combined path ------------------------------------------------------
+def grouped_tables(all_cells: DataFrame) -> dict[str, DataFrame]:
+    """Every grouped check and report as a slice of ``report_cells``."""
+    c = lambda name: cells_of(all_cells, name)
+    return {
+        "churn_summary": finish_churn_summary(c("churn"), 4),
+        "churn_distribution": finish_churn_summary(c("churn"), 2),
+        "freq_contract": finish_counts(c("contract"), "contract"),
+        "freq_payment": finish_counts(c("payment_method"), "payment_method"),
+        "freq_tenure_group": finish_counts(c("tenure_group"), "tenure_group"),
+        "rate_contract_payment": finish_rate_contract_payment(c("contract_payment"), 4),
+        "contract_payment": finish_contract_payment_report(c("contract_payment")),
+        "tenure_satisfaction": finish_tenure_satisfaction(c("tenure_satisfaction")),
+        "complaints_calls": finish_complaints_calls(c("complaints_calls")),
+        "usage_support": finish_usage_support(c("usage_support")),
+        "charge_contract": finish_charge_contract(c("charge_contract")),
+    }

@@ -132,3 +132,36 @@ def test_combined_profile_equals_single_statements(spark, tmp_out):
         got = combined[name]
         assert got.columns == want.columns, name
         assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], name
+
+
+def test_grouped_reports_from_one_aggregate_equal_direct_statements(spark, tmp_out):
+    from churnlens.plans import reports
+
+    p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "cells"))
+    c = p.cleaned
+    plan = p.report_cells._jdf.queryExecution().executedPlan().toString()
+    g = reports.grouped_tables(reports.report_cells(c))
+    assert "Expand" in _plan_text(reports.report_cells(c))
+    direct = {
+        "churn_summary": reports.churn_summary(c, 4),
+        "churn_distribution": reports.churn_summary(c, 2),
+        "freq_contract": reports.category_counts(c, "contract"),
+        "freq_payment": reports.category_counts(c, "payment_method"),
+        "freq_tenure_group": reports.category_counts(c, "tenure_group"),
+        "rate_contract_payment": reports.rate_contract_payment(c, 4),
+        "contract_payment": reports.rate_contract_payment_report(c),
+        "tenure_satisfaction": reports.rate_tenure_satisfaction(c),
+        "complaints_calls": reports.rate_complaints_calls(c),
+        "usage_support": reports.rate_usage_support(c),
+        "charge_contract": reports.rate_charge_contract(c),
+    }
+    assert set(direct) == set(g)
+    for name, want in direct.items():
+        got = g[name]
+        assert got.columns == want.columns, name
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], name
+    assert plan  # the stored cells table is a plain scan
+
+
+def _plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
