@@ -56,6 +56,7 @@ MISSING_FIELDS = [
     "churn",
 ]
 FREQUENCY_FIELDS = ["churn", "contract", "payment_method"]
+SMALL_CELLS = 100_000  # report cells read in one task at most (checked bound)
 REQUIRED_NULLS = {
     "missing_customer_id": "customer_id",
     "invalid_or_missing_signup_date": "signup_date",
@@ -250,8 +251,15 @@ class AttritionPipeline:
     # ---- checks and reports on the cleaned table --------------------------
     @cached_property
     def report_cells(self) -> DataFrame:
-        """Cells of every grouped check and report: one scan, one shuffle, written once."""
-        return self._store(reports.report_cells(self.cleaned), "report_cells")
+        """Cells of every grouped check and report: one scan, one shuffle, written once.
+
+        When the stored cells are few (checked: at most ``SMALL_CELLS`` rows)
+        they are read as one partition, so each report's ORDER BY is a local
+        sort instead of a sampled range shuffle; otherwise the sort stays
+        distributed.
+        """
+        cells = self._store(reports.report_cells(self.cleaned), "report_cells")
+        return cells.coalesce(1) if cells.count() <= SMALL_CELLS else cells
 
     def checks(self) -> dict[str, DataFrame]:
         c, g = self.cleaned, reports.grouped_tables(self.report_cells)
