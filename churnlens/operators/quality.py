@@ -99,15 +99,18 @@ def value_frequencies(
     )
 
 
+def null_count_aggs(cols: dict[str, str], total: str | None = None) -> list[Column]:
+    aggs = [F.count(F.lit(1)).alias(total)] if total else []
+    return aggs + [count_when(F.col(c).isNull()).alias(out) for out, c in cols.items()]
+
+
 def null_counts(
     df: DataFrame,
     cols: dict[str, str],
     total: str | None = None,
 ) -> DataFrame:
     """One row: optional total, then NULL count per column (``{output: column}``)."""
-    aggs = [F.count(F.lit(1)).alias(total)] if total else []
-    aggs += [count_when(F.col(c).isNull()).alias(out) for out, c in cols.items()]
-    return df.agg(*aggs)
+    return df.agg(*null_count_aggs(cols, total))
 
 
 def invalid_rows(
@@ -126,15 +129,23 @@ def invalid_rows(
     return out.limit(limit) if limit else out
 
 
-def cleaned_check(df: DataFrame, key: str = "customer_id", target: str = "churn") -> DataFrame:
-    """Rows, distinct keys, remaining duplicates, and rows missing the target."""
-    return df.agg(
+def cleaned_check_aggs(key: str = "customer_id", target: str = "churn") -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("cleaned_rows"),
         F.count_distinct(F.col(key)).alias("distinct_customer_ids"),
         count_when(F.col(target).isNull()).alias("missing_churn"),
-    ).select(
+    ]
+
+
+def cleaned_check_finish(agg: DataFrame) -> DataFrame:
+    return agg.select(
         "cleaned_rows",
         "distinct_customer_ids",
         (F.col("cleaned_rows") - F.col("distinct_customer_ids")).alias("remaining_duplicate_rows"),
         "missing_churn",
     )
+
+
+def cleaned_check(df: DataFrame, key: str = "customer_id", target: str = "churn") -> DataFrame:
+    """Rows, distinct keys, remaining duplicates, and rows missing the target."""
+    return cleaned_check_finish(df.agg(*cleaned_check_aggs(key, target)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
@@ -26,23 +26,13 @@ STAT_NAMES = {
 }
 
 
-def describe_numeric(
-    df: DataFrame,
-    columns: Sequence[tuple[str, str, Sequence[str]]],
-    dp: int = 2,
-    accuracy: int = DEFAULT_ACCURACY,
-    count_name: str | None = "record_count",
-    median: str = "exact",
-) -> DataFrame:
-    """``columns`` is a list of (column, label, stats) with stats from
-    ``mean median min max stddev``; output columns are ``<stat>_<label>``."""
-    medians: dict[str, float | None] = {}
-    if median == "exact":
-        specs = {f"{STAT_NAMES['median']}_{label}": (F.col(col), [0.5]) for col, label, st in columns if "median" in st}
-        if specs:
-            medians = {k: v[0] for k, v in exact_quantiles(df, specs, accuracy=accuracy).items()}
-    elif median != "approx":
-        raise ValueError(f"unknown median method {median!r}")
+Spec = Sequence[tuple[str, str, Sequence[str]]]
+
+
+def describe_aggs(columns: Spec, dp: int = 2, accuracy: int = DEFAULT_ACCURACY,
+                  count_name: str | None = "record_count", approx_median: bool = False) -> tuple[list[Column], list[str]]:
+    """Aggregate expressions and output names; exact medians are left out
+    (they are computed separately) unless ``approx_median``."""
     aggs = [F.count(F.lit(1)).alias(count_name)] if count_name else []
     names = [count_name] if count_name else []
     for col, label, stats in columns:
@@ -50,12 +40,11 @@ def describe_numeric(
         for s in stats:
             name = f"{STAT_NAMES[s]}_{label}"
             names.append(name)
-            if s == "median" and name in medians:
-                continue
             if s == "mean":
                 aggs.append(F.round(F.avg(c), dp).alias(name))
             elif s == "median":
-                aggs.append(F.percentile_approx(c.cast("double"), 0.5, accuracy).alias(name))
+                if approx_median:
+                    aggs.append(F.percentile_approx(c.cast("double"), 0.5, accuracy).alias(name))
             elif s == "min":
                 aggs.append(F.min(c).alias(name))
             elif s == "max":
@@ -64,6 +53,32 @@ def describe_numeric(
                 aggs.append(F.round(F.stddev_pop(c), dp).alias(name))
             else:
                 raise ValueError(f"unknown statistic {s!r}")
-    out = df.agg(*aggs)
-    cols = [F.lit(medians[n]).cast("double").alias(n) if n in medians else F.col(n) for n in names]
-    return out.select(*cols)
+    return aggs, names
+
+
+def exact_medians(df: DataFrame, columns: Spec, accuracy: int = DEFAULT_ACCURACY) -> dict[str, float | None]:
+    specs = {f"{STAT_NAMES['median']}_{label}": (F.col(col), [0.5]) for col, label, st in columns if "median" in st}
+    if not specs:
+        return {}
+    return {k: v[0] for k, v in exact_quantiles(df, specs, accuracy=accuracy).items()}
+
+
+def describe_finish(agg: DataFrame, names: list[str], medians: dict[str, float | None]) -> DataFrame:
+    return agg.select(*[F.lit(medians[n]).cast("double").alias(n) if n in medians else F.col(n) for n in names])
+
+
+def describe_numeric(
+    df: DataFrame,
+    columns: Spec,
+    dp: int = 2,
+    accuracy: int = DEFAULT_ACCURACY,
+    count_name: str | None = "record_count",
+    median: str = "exact",
+) -> DataFrame:
+    """``columns`` is a list of (column, label, stats) with stats from
+    ``mean median min max stddev``; output columns are ``<stat>_<label>``."""
+    if median not in ("exact", "approx"):
+        raise ValueError(f"unknown median method {median!r}")
+    medians = exact_medians(df, columns, accuracy) if median == "exact" else {}
+    aggs, names = describe_aggs(columns, dp, accuracy, count_name, approx_median=median == "approx")
+    return describe_finish(df.agg(*aggs), names, medians)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.typing_rules import is_blank
 from churnlens.operators.quality import (
-    cleaned_check,
     count_when,
     duplicate_keys,
     invalid_rows,
@@ -262,15 +261,16 @@ class AttritionPipeline:
         return cells.coalesce(1) if cells.count() <= SMALL_CELLS else cells
 
     def checks(self) -> dict[str, DataFrame]:
-        c, g = self.cleaned, reports.grouped_tables(self.report_cells)
+        g = reports.grouped_tables(self.report_cells)
+        one = reports.summary_tables(self.cleaned, self._store)
         return {
-            "cleaned_check": cleaned_check(c),
+            "cleaned_check": one["cleaned_check"],
             "churn_summary": g["churn_summary"],
-            "describe_numeric": reports.descriptive_stats(c),
+            "describe_numeric": one["describe_numeric"],
             "freq_contract": g["freq_contract"],
             "freq_payment": g["freq_payment"],
             "freq_tenure_group": g["freq_tenure_group"],
-            "cleaned_nulls": reports.cleaned_nulls(c),
+            "cleaned_nulls": one["cleaned_nulls"],
             "rate_contract_payment": g["rate_contract_payment"],
         }
 

@@ -34,10 +34,10 @@ from churnlens.functions.labels import (
     code_rank,
 )
 from churnlens.operators.bands import MISSING
-from churnlens.operators.quality import null_counts
+from churnlens.operators.quality import cleaned_check_aggs, cleaned_check_finish, null_count_aggs, null_counts
 from churnlens.operators.quantiles import attach_scalars
 from churnlens.operators.rates import rate_expr
-from churnlens.operators.stats import describe_numeric
+from churnlens.operators.stats import describe_aggs, describe_finish, describe_numeric, exact_medians
 
 N, S = "total_customers", "churned_customers"
 _OUT = [N, S, "churn_rate"]
@@ -204,32 +204,49 @@ def rate_charge_contract(cleaned: DataFrame) -> DataFrame:
     return finish_charge_contract(rate_cells(cleaned, CELL_SETS["charge_contract"]))
 
 
+# --- fixed values: the statistics and NULL checks of the cleaned table -------
+STATS_SPEC = [
+    ("tenure", "tenure", ["mean", "median", "min", "max", "stddev"]),
+    ("monthlycharges", "monthlycharges", ["mean", "median", "min", "max", "stddev"]),
+    ("totalcharges", "totalcharges", ["mean", "median", "min", "max"]),
+    ("customer_satisfaction", "satisfaction", ["mean", "median"]),
+]
+CLEANED_NULLS = {
+    "missing_tenure": "tenure",
+    "missing_contract": "contract",
+    "missing_payment_method": "payment_method",
+    "missing_monthlycharges": "monthlycharges",
+    "missing_totalcharges": "totalcharges",
+    "missing_satisfaction": "customer_satisfaction",
+    "missing_complaints": "num_complaints",
+    "missing_usage": "avg_monthly_gb",
+}
+
+
 def descriptive_stats(cleaned: DataFrame) -> DataFrame:
-    return describe_numeric(
-        cleaned,
-        [
-            ("tenure", "tenure", ["mean", "median", "min", "max", "stddev"]),
-            ("monthlycharges", "monthlycharges", ["mean", "median", "min", "max", "stddev"]),
-            ("totalcharges", "totalcharges", ["mean", "median", "min", "max"]),
-            ("customer_satisfaction", "satisfaction", ["mean", "median"]),
-        ],
-    )
+    return describe_numeric(cleaned, STATS_SPEC)
 
 
 def cleaned_nulls(cleaned: DataFrame) -> DataFrame:
-    return null_counts(
-        cleaned,
-        {
-            "missing_tenure": "tenure",
-            "missing_contract": "contract",
-            "missing_payment_method": "payment_method",
-            "missing_monthlycharges": "monthlycharges",
-            "missing_totalcharges": "totalcharges",
-            "missing_satisfaction": "customer_satisfaction",
-            "missing_complaints": "num_complaints",
-            "missing_usage": "avg_monthly_gb",
-        },
+    return null_counts(cleaned, CLEANED_NULLS)
+
+
+def summary_tables(cleaned: DataFrame, store) -> dict[str, DataFrame]:
+    """The cleaned check, NULL counts and statistics from one global aggregate.
+
+    ``store(df, name)`` writes the one-row result once; the exact medians
+    (two small passes of their own) are attached as literals.
+    """
+    stat_aggs, stat_names = describe_aggs(STATS_SPEC)
+    row = store(
+        cleaned.agg(*cleaned_check_aggs(), *null_count_aggs(CLEANED_NULLS), *stat_aggs).coalesce(1),
+        "cleaned_summary",
     )
+    return {
+        "cleaned_check": cleaned_check_finish(row),
+        "cleaned_nulls": row.select(*CLEANED_NULLS),
+        "describe_numeric": describe_finish(row, stat_names, exact_medians(cleaned, STATS_SPEC)),
+    }
 
 
 # ---- combined path ------------------------------------------------------

@@ -165,3 +165,20 @@ def test_grouped_reports_from_one_aggregate_equal_direct_statements(spark, tmp_o
 
 def _plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cleaned_summary_from_one_aggregate_equals_direct_statements(spark, tmp_out):
+    from churnlens.operators.quality import cleaned_check
+    from churnlens.plans import reports
+
+    p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "sum"))
+    c = p.cleaned
+    one = reports.summary_tables(c, p._store)
+    direct = {
+        "cleaned_check": cleaned_check(c),
+        "cleaned_nulls": reports.cleaned_nulls(c),
+        "describe_numeric": reports.descriptive_stats(c),
+    }
+    for name, want in direct.items():
+        assert one[name].columns == want.columns, name
+        assert [tuple(r) for r in one[name].collect()] == [tuple(r) for r in want.collect()], name
