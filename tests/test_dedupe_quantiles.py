@@ -128,3 +128,25 @@ def test_deduplicate_drops_invalid_before_ranking(spark):
     out = deduplicate(df).collect()
     # the newer 'a' row has no valid target, so the older valid one is kept
     assert [(r["customer_id"], r["signup_date"]) for r in out] == [("a", dt.date(2024, 1, 1))]
+
+
+def test_exact_quantiles_match_duckdb_on_lineitem(spark):
+    """60k real prices, a sketch so small that several narrowing rounds run."""
+    import duckdb
+
+    from conftest import SF_MID
+
+    path = f"{SF_MID}/lineitem.parquet"
+    probs = [0.01, 0.1, 0.25, 0.3333, 0.5, 0.6667, 0.75, 0.9, 0.99]
+    df = spark.read.parquet(path)
+    got = exact_quantiles(
+        df,
+        {"price": (F.col("l_extendedprice"), probs), "qty": (F.col("l_quantity"), probs)},
+        accuracy=50,
+        collect_limit=500,
+    )
+    con = duckdb.connect()
+    for name, col in (("price", "l_extendedprice"), ("qty", "l_quantity")):
+        sel = ", ".join(f"quantile_disc({col}, {p})" for p in probs)
+        want = list(con.execute(f"SELECT {sel} FROM read_parquet('{path}')").fetchone())
+        assert got[name] == want, name
