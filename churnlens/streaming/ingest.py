@@ -20,8 +20,12 @@ from churnlens.operators.typing import type_rows
 from churnlens.schema import RAW_SCHEMA
 from churnlens.sources.csv_raw import CSV_OPTIONS
 
+# Files per micro-batch: a large backlog is split into bounded batches (the
+# available-now trigger honours it), so no single batch plans the whole input.
+MAX_FILES_PER_TRIGGER = 10_000
 
-def raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+
+def raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """New raw CSV files under ``raw_dir`` as an all-text stream."""
     reader = spark.readStream.schema(RAW_SCHEMA).options(**CSV_OPTIONS)
     if max_files_per_trigger:
@@ -35,10 +39,11 @@ def start_typed_ingest(
     out_dir: str,
     checkpoint: str,
     available_now: bool = True,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Append typed rows for every new raw file to ORC under ``out_dir``."""
     w = (
-        type_rows(raw_stream(spark, raw_dir))
+        type_rows(raw_stream(spark, raw_dir, max_files_per_trigger))
         .writeStream.format("orc")
         .outputMode("append")
         .option("path", out_dir)
@@ -67,9 +72,10 @@ def start_running_rates(
     checkpoint: str,
     keys: Sequence[str] = ("contract", "payment_method"),
     available_now: bool = True,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Keep an ORC snapshot of the running rates current after every trigger."""
-    rates = running_rates(type_rows(raw_stream(spark, raw_dir)), keys)
+    rates = running_rates(type_rows(raw_stream(spark, raw_dir, max_files_per_trigger)), keys)
 
     def publish(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").orc(out_dir)
