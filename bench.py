@@ -44,10 +44,7 @@ def run_once(spark, sf_dir: str) -> dict[str, float]:
     timed("stage_raw_orc", lambda: p.raw_stored)
     timed("profile_raw", lambda: _collect_all(list(p.profile().values())))
     timed("typed_orc", lambda: p.typed)
-    timed(
-        "validate_typed",
-        lambda: _collect_all([p.typed_required_nulls(), p.typed_analytic_nulls(), p.typed_invalid()]),
-    )
+    timed("validate_typed", lambda: _collect_all(list(p.validation().values())))
     timed("dedupe", lambda: p.deduplicated)
     timed("clean_orc", lambda: p.cleaned)
     timed("report_cells", lambda: p.report_cells)

@@ -19,6 +19,7 @@ from churnlens.operators.quality import (
     invalid_rows,
     key_uniqueness,
     missing_report,
+    null_count_aggs,
     null_counts,
     preview,
     row_count,
@@ -243,6 +244,19 @@ class AttritionPipeline:
     def typed_analytic_nulls(self) -> DataFrame:
         return null_counts(self.typed, ANALYTIC_NULLS)
 
+    def validation(self) -> dict[str, DataFrame]:
+        """Both NULL reports of the typed table from one global aggregate
+        (written once), plus the bounded sample of rows to be excluded."""
+        row = self._store(
+            self.typed.agg(*null_count_aggs(REQUIRED_NULLS, total="total_rows"), *null_count_aggs(ANALYTIC_NULLS)).coalesce(1),
+            "typed_validation",
+        )
+        return {
+            "typed_required_nulls": row.select("total_rows", *REQUIRED_NULLS),
+            "typed_analytic_nulls": row.select(*ANALYTIC_NULLS),
+            "typed_invalid_rows": self.typed_invalid(),
+        }
+
     def typed_invalid(self, limit: int = 100) -> DataFrame:
         order = [ROW_ID] if ROW_ID in self.typed.columns else COLUMNS
         return invalid_rows(self.typed, ["customer_id", "churn"], limit, order=order)
@@ -332,9 +346,7 @@ def run_script(
         "describe_raw": describe_table(spark, raw_t),
         "raw_preview": p.raw_preview(),
         **p.profile(),
-        "typed_required_nulls": p.typed_required_nulls(),
-        "typed_analytic_nulls": p.typed_analytic_nulls(),
-        "typed_invalid_rows": p.typed_invalid(),
+        **p.validation(),
     }
     out.update(p.checks())
     out.update(p.report_tables())

@@ -182,3 +182,16 @@ def test_cleaned_summary_from_one_aggregate_equals_direct_statements(spark, tmp_
     for name, want in direct.items():
         assert one[name].columns == want.columns, name
         assert [tuple(r) for r in one[name].collect()] == [tuple(r) for r in want.collect()], name
+
+
+def test_validation_from_one_aggregate_equals_direct_statements(spark, tmp_out):
+    p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "val"))
+    one = p.validation()
+    direct = {
+        "typed_required_nulls": p.typed_required_nulls(),
+        "typed_analytic_nulls": p.typed_analytic_nulls(),
+        "typed_invalid_rows": p.typed_invalid(),
+    }
+    for name, want in direct.items():
+        assert one[name].columns == want.columns, name
+        assert [tuple(r) for r in one[name].collect()] == [tuple(r) for r in want.collect()], name
