@@ -40,3 +40,8 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows for this session, so that batches of long texts fit a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import quality_rules, secret_scan
+from churnlens.llm import neardup, quality_rules, secret_scan
 from churnlens.llm.common import table
 
 
@@ -18,9 +18,14 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op8_secret_scan": op8_secret_scan,
+    "op9_minhash_neardup": op9_minhash_neardup,
 }
 
 ORACLES: dict[str, str] = {}
