@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import mixing, neardup, quality_rules, secret_scan
+from churnlens.llm import mixing, neardup, quality_rules, secret_scan, sp_lattice
 from churnlens.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_schedule(table(spark, sf_dir, "documents"), max_repeats=mixing.MAX_REPEATS)
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_lattice.encode(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,6 +32,7 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash_neardup": op9_minhash_neardup,
