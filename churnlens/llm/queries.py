@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import mixing, neardup, quality_rules, secret_scan, sp_lattice
+from churnlens.llm import ann_tree, mixing, neardup, quality_rules, secret_scan, sp_lattice
 from churnlens.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_schedule(table(spark, sf_dir, "documents"), max_repeats=mixing.MAX_REPEATS)
 
 
+def op3_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_lattice.encode(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
+    "op3_kmeans_tree": op3_kmeans_tree,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
     "op8_secret_scan": op8_secret_scan,
