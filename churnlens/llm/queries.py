@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import ann_tree, mixing, neardup, quality_rules, secret_scan, sp_lattice
+from churnlens.llm import ann_tree, html_extract, mixing, neardup, quality_rules, secret_scan, sp_lattice
 from churnlens.llm.common import table
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_schedule(table(spark, sf_dir, "documents"), max_repeats=mixing.MAX_REPEATS)
 
@@ -35,6 +39,7 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
     "op2_source_mixing": op2_source_mixing,
     "op3_kmeans_tree": op3_kmeans_tree,
     "op5_sentencepiece": op5_sentencepiece,
