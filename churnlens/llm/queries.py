@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import ann_tree, html_extract, mixing, neardup, quality_rules, secret_scan, sp_lattice
+from churnlens.llm import ann_tree, chat_format, html_extract, mixing, neardup, quality_rules, secret_scan, sp_lattice, toxicity
 from churnlens.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
 
+def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_lattice.encode(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
@@ -42,8 +50,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_source_mixing": op2_source_mixing,
     "op3_kmeans_tree": op3_kmeans_tree,
+    "op4_toxicity_chain": op4_toxicity_chain,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
+    "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash_neardup": op9_minhash_neardup,
 }
