@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import ann_tree, chat_format, html_extract, mixing, neardup, quality_rules, secret_scan, sp_lattice, toxicity
+from churnlens.llm import ann_tree, chat_format, html_extract, mixing, neardup, ngram_lm, quality_rules, secret_scan, sp_lattice, toxicity
 from churnlens.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_source_mixing": op2_source_mixing,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash_neardup": op9_minhash_neardup,
+    "op10_ngram_lm": op10_ngram_lm,
 }
 
 ORACLES: dict[str, str] = {}
