@@ -29,14 +29,20 @@ def _star(edges: DataFrame) -> DataFrame:
     return small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u > v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(u, v): each node that has an edge and isn't the smallest of its component, with that smallest node.
 
     ``edges`` has two columns a, b of one orderable type; order, repeats and
-    loops don't matter; rows with a null are ignored.
+    loops don't matter; rows with a null are ignored.  With ``rounds`` the
+    steps end after so many: the pairs then connect the same nodes, though not
+    always to the smallest.
     """
-    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), F.col("a").isNotNull().alias("x"), F.col("b").isNotNull().alias("y"))
-    e = stored(e.where("x AND y AND u > v").select("u", "v").distinct(), "edges")
+    e = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    if rounds is not None:
+        for _ in range(rounds):
+            e = _star(e)
+        return stored(e, "edges")
+    e = stored(_star(e), "edges")
     digest = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = digest(e)
     while True:

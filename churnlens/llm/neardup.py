@@ -2,14 +2,15 @@
 
 A document is the set of its word shingles.  Documents of equal sets form one
 class; all further work is on classes.  Every class carries ``COORDS`` minwise
-tokens.  ``TREES`` independent trees branch the classes: a node picks one or
-two token coordinates by a hash of its path and sends each class to the child
-named by its token there (1.25 children a node and class on average, so two
-sets of similarity 0.8 are expected to stay together on one path, and less
-similar ones part).  A node of at most ``LEAF`` classes is compared
-exhaustively.  A larger node compares all its classes with one pivot and
-branches on, unless its classes already are in one component: then no pair in
-it can change the result.  Candidate pairs are confirmed on the full sets.
+tokens.  ``TREES`` independent trees branch the classes: a root's child is named by one
+token; a deeper node picks ``FAN`` groups of ``STEP`` token coordinates by a hash of
+its path, extends the path by the class's tokens there and so sends the class
+to ``FAN`` children (sets of similarity 0.8 stay together on 3 * 0.8 ** 4 = 1.2
+paths on average, sets of 0.6 on 0.4: they part).  A node of at most ``LEAF``
+classes is compared exhaustively.  A larger node compares all its classes with
+one pivot and branches on, unless its classes already are in one component:
+then no pair in it can change the result.  Candidate pairs are confirmed on
+the full sets, which are read for the classes of candidate pairs only.
 
 Nothing is grouped into one task: nodes are only counted (combined map-side),
 joined and self-joined below the leaf bound, and the trees' recursion is a
@@ -41,7 +42,8 @@ COORDS = 64
 #: One tree keeps a pair of similarity 0.8 together at its root with 0.8; 12 miss it with 0.2 ** 12 = 4e-9.
 TREES = 12
 LEAF = 12
-DEPTH = 10
+STEP, FAN = 4, 3
+DEPTH = 6
 #: Candidate pairs need this share of equal minwise tokens: five deviations under 0.8.
 LEAST_EQUAL = 0.55
 
@@ -85,59 +87,65 @@ def _sketch(size: int):
 
 
 def _full_sets(size: int):
+    """(cls, items) of the texts whose set is the expected class's."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(word_hashes(words(t)), size) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["cls", "items"],
-            )
+            good = [(c, s) for c, s in zip(b["cls"].to_pylist(), sets) if xxh3_128_digest(s.tobytes()) == c]
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in good], pa.binary()), pa.array([s.view(np.int64) for _, s in good], pa.list_(pa.int64()))], names=["cls", "items"])
 
     return run
 
 
 def _children(members: DataFrame, level: int) -> DataFrame:
-    """Members (node, cls, n, sig) of the next level."""
-    pick = lambda k: F.pmod(F.xxhash64(F.col("node"), F.lit(level), F.lit(k)), F.lit(COORDS)).cast("int")
-    second = F.pmod(F.xxhash64(F.col("node"), F.lit(level), F.lit(-1)), F.lit(4)) == 0
-    coords = F.when(second, F.array(pick(0), pick(1))).otherwise(F.array(pick(0)))
-    kids = members.select("cls", "n", "sig", "node", F.explode(F.array_distinct(coords)).alias("c"))
-    return kids.select(F.xxhash64("node", "c", F.get("sig", F.col("c"))).alias("node"), "cls", "n", "sig")
+    """Members (node, cls, n) of the next level, from members with their tokens."""
+    coord = lambda k: F.pmod(F.xxhash64(F.col("node"), F.lit(level), k), F.lit(COORDS)).cast("int")
+    tokens = lambda g: F.transform(F.sequence(g * STEP, g * STEP + (STEP - 1)), lambda k: F.get(F.col("sig"), coord(k)))
+    paths = F.transform(F.sequence(F.lit(0), F.lit(FAN - 1)), lambda g: F.xxhash64(F.col("node"), g, tokens(g)))
+    return members.select("cls", "n", F.explode(paths).alias("node"))
 
 
 def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members with their node's size and pivot, of nodes that have at least two components."""
+    """Members with component, node size and the node's pivot, of nodes that have at least two components."""
     m = members
     if labels is None:
         m = m.withColumn("comp", F.col("cls"))
     else:
-        m = m.join(labels.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left").withColumn("comp", F.coalesce("root", "cls")).drop("root")
-    stat = m.groupBy("node").agg(F.count("*").alias("size"), F.min("cls").alias("pivot"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+        label = labels.groupBy(F.col("u").alias("cls")).agg(F.min("v").alias("root"))
+        m = m.join(label, "cls", "left").select("node", "cls", "n", F.coalesce("root", "cls").alias("comp"))
+    stat = m.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct("cls", "n", "comp")).alias("pivot"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     return m.join(stat.where("size > 1 AND c0 <> c1").select("node", "size", "pivot"), "node")
 
 
 def _pairs(open_: DataFrame, everything: bool) -> DataFrame:
     """Candidate (a, b), a < b, of different components: exhaustive in small nodes, else with the pivot."""
-    small = F.lit(True) if everything else F.col("size") <= LEAF
-    left = open_.where(small).select("node", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    right = open_.where(small).select("node", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    fits = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 80) & (F.col("ca") != F.col("cb"))
-    out = left.join(right, "node").where((F.col("a") < F.col("b")) & fits).select("a", "b")
-    if not everything:
-        hub = open_.where(~small & (F.col("cls") == F.col("pivot"))).select("node", F.col("n").alias("na"), F.col("comp").alias("ca"))
-        rest = open_.where(~small & (F.col("cls") > F.col("pivot"))).select("node", F.col("pivot").alias("a"), F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-        out = out.unionByName(rest.join(hub, "node").where(fits).select("a", "b"))
-    return out.distinct()
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach ``percent`` of similarity."""
+    fits = lambda x, y: (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * 80) & (x["comp"] != y["comp"]) & (x["cls"] < y["cls"])
+    me = F.struct("cls", "n", "comp")
+    # at most LEAF classes in a list
+    lists = open_.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list(me).alias("m"))
+    two = lists.select("m", F.explode("m").alias("x")).select(F.explode(F.filter("m", lambda y: fits(F.col("x"), y))).alias("y"), "x")
+    large = open_.where(F.col("size") > LEAF)
+    if everything:
+        left = large.select("node", me.alias("x"))
+        hub = left.join(large.select("node", me.alias("y")), "node").where(fits(F.col("x"), F.col("y"))).select("x", "y")
+    else:
+        hub = large.select(F.col("pivot").alias("x"), me.alias("y")).where(fits(F.col("x"), F.col("y")))
+    return two.select("x", "y").unionByName(hub).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+
+
+def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose minwise tokens agree as often as LEAST_EQUAL."""
     sig = lambda k: classes.select(F.col("cls").alias(k), F.col("sig").alias(f"s{k}"))
     p = pairs.join(sig("a"), "a").join(sig("b"), "b")
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    p = stored(p.where(equal >= int(LEAST_EQUAL * COORDS)).select("a", "b"), "neardup-pairs")
+    return stored(p.where(equal >= int(LEAST_EQUAL * COORDS)).select("a", "b"), "neardup-pairs")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets reach ``percent`` of similarity."""
     item = lambda k: sets.select(F.col("cls").alias(k), F.col("items").alias(f"i{k}"))
-    p = p.join(item("a"), "a").join(item("b"), "b")
+    p = pairs.join(item("a"), "a").join(item("b"), "b")
     p = p.select("a", "b", F.size(F.array_intersect("ia", "ib")).alias("both"), (F.size("ia") + F.size("ib")).alias("total"))
     return p.where(F.col("both") * 100 >= (F.col("total") - F.col("both")) * percent).select("a", "b")
 
@@ -149,32 +157,31 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
     sketch = stored(docs.select("doc_id", "text").mapInArrow(_sketch(size), f"{schema}, cls binary, n bigint, sig array<int>"), "neardup-sketch")
     rows = sketch.where("cls IS NOT NULL")
     classes = stored(rows.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
-    root = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    members = classes.select("cls", "n", "sig", root.alias("c"))
-    members = members.select(F.xxhash64("c", F.get("sig", F.col("c"))).alias("node"), "cls", "n", "sig")
-    # the tokens stay behind at the first level: most classes are alone in all their nodes
-    opened = stored(_open(members.drop("sig"), None), "neardup-open")
-    need = stored(opened.select("cls").distinct(), "neardup-need")
-    # texts of one row for each class that shares a node; other rows of the same id are dropped by their own class
-    ids = classes.join(need, "cls", "left_semi").select("rep")
-    texts = docs.select("doc_id", "text").join(ids.distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    sets = texts.select("text").mapInArrow(_full_sets(size), "cls binary, items array<bigint>")
-    sets = stored(sets.where("cls IS NOT NULL").groupBy("cls").agg(F.first("items").alias("items")).join(need, "cls", "left_semi"), "neardup-sets")
-    tokens = stored(classes.join(need, "cls", "left_semi").select("cls", "sig"), "neardup-tokens")
-    edges, level = None, 0
+    members = classes.select("cls", "n", F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda c: F.xxhash64(c, F.get("sig", c)))).alias("node"))
+    opened = stored(_open(members, None), "neardup-open")
+    edges = sets = None
+    level = 0
     while True:
         last = level >= DEPTH
-        found = stored(_confirmed(_pairs(opened, last), tokens, sets, percent), "neardup-edges")
+        likely = _likely(_pairs(opened, last), classes)
+        need = likely.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        if sets is not None:
+            need = need.join(sets.select("cls"), "cls", "left_anti")
+        # one row's text for each class; another text under the same id isn't the class's and is left out
+        ids = classes.select("cls", "rep").join(need, "cls", "left_semi")
+        texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
+        more = stored(texts.mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
+        sets = more if sets is None else sets.unionByName(more)
+        found = _confirmed(likely, sets, percent)
         edges = found if edges is None else edges.unionByName(found)
         large = opened.where(F.col("size") > LEAF)
         if last or large.isEmpty():
             return sketch.drop("sig"), components(edges)
-        labels = components(edges)
-        edges = labels.select(F.col("u").alias("a"), F.col("v").alias("b"))  # as good as all edges, and no more than one a class
-        still = _open(large.select("node", "cls", "n"), labels).select("node", "cls", "n")
+        labels = components(edges, 2)
+        edges = labels.select(F.col("u").alias("a"), F.col("v").alias("b"))  # connects what all edges so far connect
         level += 1
-        kids = _children(still.join(tokens, "cls"), level).select("node", "cls", "n")
-        opened = stored(_open(kids, labels), "neardup-open")
+        still = _open(large.select("node", "cls", "n"), labels).select("node", "cls", "n")
+        opened = stored(_open(_children(still.join(classes.select("cls", "sig"), "cls"), level), labels), "neardup-open")
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
