@@ -9,13 +9,16 @@ the best path of a text is the best paths of its units, joined.
 * Documents are bundled (``BUNDLE_CHARS`` characters).  A bundle asks for its
   distinct units, one compressed list per shard (hash of the unit).
 * The distinct units of all bundles are the words of the lattice: substrings
-  up to the longest piece are exploded and equi-joined to the piece table
-  (a vocabulary file, so its broadcast is bounded); edges are grouped by unit
-  and end; ``aggregate`` folds Viterbi over the ends and a second fold walks
-  the back pointers.
+  up to ``HEAD`` characters are exploded and equi-joined to the piece table
+  (a vocabulary file, so its broadcast is bounded; a longer piece is joined by
+  its head and then compared); edges are grouped by unit and end; ``aggregate``
+  folds Viterbi over the ends and a second fold walks the back pointers.
 * Answers go back per (bundle, shard) and meet the bundle's texts, which are
   then put together by dictionary.
 
+A piece that others spell with a better sum of scores is on no best path;
+``useful_pieces`` leaves it out of the table.
+
 No word list is broadcast or collected: memory is bounded by a bundle and by
 the units of one shard.  Shards follow ``spark.sql.shuffle.partitions``.
 
@@ -45,8 +48,12 @@ from churnlens.llm.common import bounded_batches, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-BUNDLE_CHARS = 2_000_000
+BUNDLE_CHARS = 8_000_000
 UNIT_CHARS = 1024
+#: Distinct units that a task holds before it passes them on.
+SEEN = 500_000
+#: Substrings are joined up to this length.
+HEAD = 5
 MIN_SHARDS = 64
 _LETTER = r"\p{L}\p{M}"
 _N = f"{{1,{UNIT_CHARS}}}"
@@ -72,12 +79,44 @@ def read_pieces(model: str = MODEL) -> tuple[list[tuple[str, int, float]], list[
     return pieces, of_byte, min(s for _, _, s in pieces) - 10.0, max(len(p) for p, _, _ in pieces)
 
 
-def normalised(text: str | None) -> str:
-    return SPACE + text.replace(" ", SPACE) if text else ""
+def useful_pieces(pieces: list[tuple[str, int, float]], unknown: float, longest: int) -> list[tuple[str, int, float]]:
+    """The pieces that can be on a best path: no split of theirs has a better score."""
+    score = {p: s for p, _, s in pieces}
+
+    def best_split(p: str) -> float:
+        best = [0.0] + [-np.inf] * len(p)
+        for e in range(1, len(p) + 1):
+            for z in range(1, min(e, longest, len(p) - 1) + 1):
+                s = score.get(p[e - z : e], unknown if z == 1 else -np.inf)
+                best[e] = max(best[e], best[e - z] + s)
+        return best[-1]
+
+    return [x for x in pieces if len(x[0]) == 1 or best_split(x[0]) <= x[2]]
+
+
+def tokens(text: str | None) -> list[str]:
+    """Parts of a text, each of which stands for a space and itself; further spaces before a part belong to it."""
+    if not text:
+        return []
+    if SPACE in text:
+        text = text.replace(SPACE, " ")
+    parts = text.split(" ")
+    if "" not in parts:
+        return parts
+    out, run = [], ""
+    for x in parts:
+        if x:
+            out.append(run + x)
+            run = ""
+        else:
+            run += SPACE
+    if run:
+        out.append(run[1:])
+    return out
 
 
-def units(text: str | None) -> list[str]:
-    return _UNIT.findall(normalised(text))
+def units(token: str) -> list[str]:
+    return _UNIT.findall(SPACE + token)
 
 
 def _shard(unit: str, n: int) -> int:
@@ -123,16 +162,25 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, list, l
         yield flush()
 
 
+def _needed(texts: list[str | None]) -> dict[str, list[str]]:
+    """Units of each distinct token."""
+    seen: set[str] = set()
+    for t in texts:
+        seen.update(tokens(t))
+    return {x: units(x) for x in seen}
+
+
+def _by_shard(need: dict[str, list[str]], shards: int) -> list[tuple[int, list[str]]]:
+    by: dict[int, list[str]] = {}
+    for u in sorted({u for us in need.values() for u in us}):
+        by.setdefault(_shard(u, shards), []).append(u)
+    return sorted(by.items())
+
+
 def _ask(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bundle, _, texts in _bundles(batches):
-            need: set[str] = set()
-            for t in texts:
-                need.update(units(t))
-            by: dict[int, list[str]] = {}
-            for u in sorted(need):
-                by.setdefault(_shard(u, shards), []).append(u)
-            rows = sorted(by.items())
+            rows = _by_shard(_needed(texts), shards)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bundle] * len(rows), pa.binary()), pa.array([s for s, _ in rows], pa.int32()), pa.array([_pack(us) for _, us in rows], pa.binary())],
                 names=["bundle", "shard", "units"],
@@ -142,63 +190,63 @@ def _ask(shards: int):
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shard, unit) without the repeats that one task sees; a shard's rows come together."""
-    seen: dict[int, set[str]] = {}
+    """(shard, unit) without the repeats that one task sees close together."""
+    seen: dict[str, int] = {}
 
-    def out(shard: int) -> pa.RecordBatch:
-        us = list(seen.pop(shard))
-        return pa.RecordBatch.from_arrays([pa.array([shard] * len(us), pa.int32()), pa.array(us, pa.string())], names=["shard", "unit"])
+    def out() -> Iterator[pa.RecordBatch]:
+        t = pa.table({"shard": pa.array(seen.values(), pa.int32()), "unit": pa.array(seen, pa.string())})
+        yield from t.to_batches(max_chunksize=50_000)
 
     for b in batches:
         for s, blob in zip(b["shard"].to_pylist(), b["units"].to_pylist()):
-            for old in [x for x in seen if x != s]:
-                yield out(old)
-            seen.setdefault(s, set()).update(_unpack(blob))
-    for s in list(seen):
-        yield out(s)
+            seen.update(dict.fromkeys(_unpack(blob), s))
+            if len(seen) >= SEEN:
+                yield from out()
+                seen.clear()
+    yield from out()
 
 
-def best_paths(vocabulary: DataFrame, model: str = MODEL) -> DataFrame:
-    """(shard, unit, ids) for the distinct rows (shard, unit) of ``vocabulary``."""
+def best_paths(vocabulary: DataFrame, model: str = MODEL, parts: int = MIN_SHARDS) -> DataFrame:
+    """(shard, unit, ids) of the distinct units of ``vocabulary`` (shard, unit)."""
     spark = vocabulary.sparkSession
     pieces, of_byte, unknown, longest = read_pieces(model)
-    table = spark.createDataFrame([(p, i, float(s)) for p, i, s in pieces], "piece string, id int, score double")
-    words = vocabulary.groupBy("unit").agg(F.first("shard").alias("shard"))
+    table = [(p[:HEAD], p, len(p), i, float(s)) for p, i, s in useful_pieces(pieces, unknown, longest)]
+    table = spark.createDataFrame(table, "head string, piece string, len int, id int, score double")
+    # one exchange by unit serves the distinct and both groupings; the surrogate sorts faster than the unit
+    words = vocabulary.repartition(parts, "unit").groupBy("unit").agg(F.first("shard").alias("shard")).withColumn("uid", F.monotonically_increasing_id())
     n = F.char_length("unit")
-    cuts = words.select("shard", "unit", F.explode(F.sequence(F.lit(1), n)).alias("end"))
-    spans = cuts.select("shard", "unit", "end", F.explode(F.sequence(F.lit(1), F.least(F.col("end"), F.lit(longest)))).alias("size"))
-    spans = spans.select("shard", "unit", "end", "size", F.substring("unit", F.col("end") - F.col("size") + 1, F.col("size")).alias("piece"))
+    key = ["uid", "unit", "shard"]
+    cuts = words.select(*key, F.explode(F.sequence(F.lit(1), n)).alias("at"))
+    spans = cuts.select(*key, "at", F.explode(F.sequence(F.lit(1), F.least(n - F.col("at") + 1, F.lit(HEAD)))).alias("size"))
+    spans = spans.select(*key, "at", "size", F.substring("unit", F.col("at"), F.col("size")).alias("head"))
+    hits = spans.join(F.broadcast(table), "head", "left")
+    whole = (F.col("len") == F.col("size")) | (F.substring("unit", F.col("at"), F.col("len")) == F.col("piece"))
     # single characters always make an edge, so that every end can be reached
-    edges = spans.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR size = 1")
-    edge = F.struct(F.col("end"), F.col("size"), F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("score", F.lit(unknown)).alias("score"))
-    lattice = edges.groupBy("unit").agg(F.first("shard").alias("shard"), F.sort_array(F.collect_list(edge)).alias("edges"))
-    # forward: best[e] = (score, size, id) of the best path that ends at e; edges come by end, then by size
-    node = "struct<score:double,size:int,id:int>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("id")).cast(node))
-
-    def relax(best: Column, x: Column) -> Column:
-        new = F.struct((F.get(best, x["end"] - x["size"])["score"] + x["score"]).alias("score"), x["size"].alias("size"), x["id"].alias("id")).cast(node)
-        old = F.get(best, x["end"])
-        return (
-            F.when(old.isNull(), F.concat(best, F.array(new)))
-            .when(new["score"] >= old["score"], F.concat(F.slice(best, F.lit(1), x["end"]), F.array(new)))
-            .otherwise(best)
+    hits = hits.where(whole | ((F.col("size") == 1) & F.col("id").isNull()))
+    size = F.coalesce("len", F.lit(1))
+    edge = F.struct(F.coalesce("score", F.lit(unknown)).alias("score"), size.alias("size"), F.coalesce("id", F.lit(-1)).alias("id"))
+    edges = hits.select(*key, (F.col("at") + size - 1).alias("end"), edge.alias("edge"))
+    ends = edges.groupBy(*key, "end").agg(F.collect_list("edge").alias("into"))
+    lattice = ends.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("end", "into"))).alias("ends"))
+    # forward: best[e] = (score, size, id) of the best path that ends at e; equal scores: the longer piece
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("id")))
+
+    def reach(best: Column, x: Column) -> Column:
+        ways = F.transform(
+            x["into"], lambda y: F.struct((F.get(best, x["end"] - y["size"])["score"] + y["score"]).alias("score"), y["size"].alias("size"), y["id"].alias("id"))
         )
+        return F.concat(best, F.array(F.array_max(ways)))
 
-    best = lattice.select("shard", "unit", F.aggregate("edges", start, relax).alias("best"))
-    # backward: ends in descending order; an end on the path gives its piece
-    walk = F.aggregate(
-        F.sequence(F.size("best") - 1, F.lit(1), F.lit(-1)),
-        F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"), F.array().cast("array<int>").alias("ends")),
-        lambda s, e: F.when(
-            s["at"] == e,
-            F.struct(
-                (e - F.get(F.col("best"), e)["size"]).alias("at"),
-                F.concat(F.array(F.get(F.col("best"), e)["id"]), s["ids"]).alias("ids"),
-                F.concat(F.array(e), s["ends"]).alias("ends"),
-            ),
-        ).otherwise(s),
-    )
+    best = lattice.select("shard", "unit", F.aggregate("ends", start.cast("array<struct<score:double,size:int,id:int>>"), reach).alias("best"))
+    # backward: from the last end; an end on the path gives its piece
+    none, last = F.array().cast("array<int>"), F.size("best") - 1
+
+    def step(s: Column, x: Column) -> Column:
+        on = F.struct((s["end"] - x["size"]).alias("at"), (s["end"] - 1).alias("end"), F.concat(F.array(x["id"]), s["ids"]).alias("ids"), F.concat(F.array(s["end"]), s["ends"]).alias("ends"))
+        off = F.struct(s["at"].alias("at"), (s["end"] - 1).alias("end"), s["ids"].alias("ids"), s["ends"].alias("ends"))
+        return F.when(s["at"] == s["end"], on).otherwise(off)
+
+    walk = F.aggregate(F.reverse(F.slice("best", F.lit(2), last)), F.struct(last.alias("at"), last.alias("end"), none.alias("ids"), none.alias("ends")), step)
     path = best.select("shard", "unit", walk.alias("w"))
     # an unknown character becomes the pieces of its bytes
     byte_ids = F.array(*[F.lit(i) for i in of_byte])
@@ -213,22 +261,36 @@ def best_paths(vocabulary: DataFrame, model: str = MODEL) -> DataFrame:
             ),
         )
     )
-    return path.select("shard", "unit", F.when(F.exists("w.ids", lambda i: i < 0), spelled).otherwise(F.col("w")["ids"]).alias("ids"))
+    return path.select("shard", "unit", F.when(F.array_min("w.ids") < 0, spelled).otherwise(F.col("w")["ids"]).alias("ids"))
+
+
+def _answer(strings: list[str | None], byte_of: dict[int, int]):
+    """Answers of one shard: per asking bundle the ids of its units in the order asked, and whether they spell the unit."""
+
+    def run(asked: pa.Table, known: pa.Table) -> pa.Table:
+        flat = known["ids"].combine_chunks()
+        ids = flat.flatten().to_numpy(zero_copy_only=False).astype(np.uint16 if len(strings) <= 65536 else np.uint32)
+        ends = np.concatenate([[0], np.cumsum(flat.value_lengths().to_numpy(zero_copy_only=False))]) if len(flat) else np.zeros(1, np.int64)
+        names = known["unit"].to_pylist()
+        place = {u: i for i, u in enumerate(names)}
+        same = np.array([_spell(ids[a:b].tolist(), strings, byte_of) == u.replace(SPACE, " ") for u, a, b in zip(names, ends, ends[1:])], bool)
+        bundles, blobs = [], []
+        for b, blob in dict(zip(asked["bundle"].to_pylist(), asked["units"].to_pylist())).items():
+            at = np.fromiter(map(place.__getitem__, _unpack(blob)), np.int64)
+            size = (ends[at + 1] - ends[at]).astype(np.uint32)
+            picks = _ranges(ends[at], size)
+            bundles.append(b)
+            blobs.append(zstandard.compress(np.uint32(len(at)).tobytes() + size.tobytes() + np.packbits(same[at]).tobytes() + ids[picks].astype(np.uint32).tobytes(), 3))
+        return pa.table({"bundle": pa.array(bundles, pa.binary()), "shard": pa.array([asked["shard"][0].as_py()] * len(bundles) if len(bundles) else [], pa.int32()), "answer": pa.array(blobs, pa.binary())})
+
+    return run
 
 
-def _answer(key, asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Answers of one shard: per asking bundle the ids of its units, in the order asked."""
-    of = dict(zip(known["unit"].to_pylist(), (np.array(x, np.uint32).tobytes() for x in known["ids"].to_pylist())))
-    bundles, blobs = [], []
-    for b, blob in {b: u for b, u in zip(asked["bundle"].to_pylist(), asked["units"].to_pylist())}.items():
-        us = _unpack(blob)
-        ids = [of[u] for u in us]
-        sizes = np.array([len(x) // 4 for x in ids], np.uint32)
-        bundles.append(b)
-        raw = np.uint32(len(us)).tobytes() + sizes.tobytes() + b"".join(ids)
-        body = _pack(us)
-        blobs.append(np.uint32(len(body)).tobytes() + body + zstandard.compress(raw, 3))
-    return pa.table({"bundle": pa.array(bundles, pa.binary()), "answer": pa.array(blobs, pa.binary())})
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Concatenated index ranges start .. start + size."""
+    sizes = sizes.astype(np.int64)
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,39 +337,58 @@ def piece_strings(model: str = MODEL) -> tuple[list[str | None], dict[int, int]]
     return strings, {i: b for b, i in enumerate(of_byte)}
 
 
-def _assemble(strings: list[str | None], byte_of: dict[int, int]):
-    def run(key, answers: pa.Table, bundles: pa.Table) -> pa.Table:
-        of: dict[str, np.ndarray] = {}
-        for blob in answers["answer"].to_pylist():
-            cut = int(np.frombuffer(blob, np.uint32, 1)[0])
-            us = _unpack(blob[4 : 4 + cut])
-            raw = np.frombuffer(zstandard.decompress(blob[4 + cut :]), np.uint32)
-            n = int(raw[0])
-            ends = np.cumsum(raw[1 : n + 1], dtype=np.int64).tolist()
-            flat = raw[n + 1 :].astype(np.int32)
-            of.update(zip(us, (flat[a:b] for a, b in zip([0, *ends], ends))))
-        doc_ids, ids, same = [], [], []
-        # each unit's text as its pieces spell it, so that decoding a document is a join over its units
-        told = {u: _spell(x.tolist(), strings, byte_of) for u, x in of.items()}
+def _assemble(shards: int):
+    def run(answers: pa.Table, bundles: pa.Table) -> pa.Table:
+        got: dict[int, bytes] = dict(zip(answers["shard"].to_pylist(), answers["answer"].to_pylist()))
+        doc_ids, ids, sizes, same = [], [], [], []
         for row in bundles.to_pylist():
             body = zstandard.decompress(row["body"]).decode("utf-8", "surrogatepass")
-            at = 0
-            for i, n in zip(row["ids"], row["sizes"]):
-                t = body[at : at + max(n, 0)]
-                at += max(n, 0)
-                us = units(t)
-                missing = next((u for u in us if u not in of), None)
-                if missing is not None:
-                    raise RuntimeError(f"no path for {missing!r}: the documents changed between two reads")
+            cuts = np.concatenate([[0], np.cumsum(np.maximum(row["sizes"], 0))]).tolist()
+            texts = [body[a:b] for a, b in zip(cuts, cuts[1:])]
+            need = _needed(texts)
+            # pieces of every unit, from the shards' answers in the order asked
+            place: dict[str, int] = {}
+            flat, starts, lens, good, n = [], [], [], [], 0
+            for s, us in _by_shard(need, shards):
+                raw = zstandard.decompress(got[s]) if s in got else b"\0\0\0\0"
+                m = int(np.frombuffer(raw, np.uint32, 1)[0])
+                if m != len(us):
+                    raise RuntimeError("the documents changed between two reads")
+                size = np.frombuffer(raw, np.uint32, m, 4).astype(np.int64)
+                mark = -(-m // 8)
+                good.append(np.unpackbits(np.frombuffer(raw, np.uint8, mark, 4 + 4 * m), count=m))
+                x = np.frombuffer(raw[4 + 4 * m + mark :], np.uint32)
+                place.update(zip(us, range(len(place), len(place) + m)))
+                flat.append(x)
+                lens.append(size)
+                starts.append(n + np.cumsum(size) - size)
+                n += len(x)
+            cat = lambda xs, kind: np.concatenate(xs) if xs else np.empty(0, kind)
+            flat, starts, lens, good = cat(flat, np.uint32).astype(np.int32), cat(starts, np.int64), cat(lens, np.int64), cat(good, np.uint8)
+            # then of every distinct token
+            index = {t: i for i, t in enumerate(need)}
+            fan = np.fromiter(map(len, need.values()), np.int64, len(need))
+            parts = np.fromiter((place[u] for us in need.values() for u in us), np.int64, int(fan.sum()))
+            owner = np.repeat(np.arange(len(fan)), fan)
+            t_len = np.bincount(owner, lens[parts], len(fan)).astype(np.int64)
+            t_flat = flat[_ranges(starts[parts], lens[parts])]
+            t_start = np.cumsum(t_len) - t_len
+            t_good = np.bincount(owner, good[parts] == 0, len(fan)) == 0
+            for i, t in zip(row["ids"], texts):
+                at = np.fromiter(map(index.__getitem__, tokens(t)), np.int64)
                 doc_ids.append(i)
-                ids.append(np.concatenate([of[u] for u in us]) if us else np.empty(0, np.int32))
-                same.append("".join(told[u] for u in us)[1:] == t.replace(SPACE, " "))
+                sizes.append(int(t_len[at].sum()))
+                ids.append(t_flat[_ranges(t_start[at], t_len[at])])
+                # every unit spells itself, and the units are the whole text
+                same.append(bool(t_good[at].all()))
+        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+        values = np.concatenate(ids) if ids else np.empty(0, np.int32)
         return pa.table(
             {
                 "doc_id": pa.array(doc_ids, pa.int64()),
-                "n_pieces": pa.array([len(x) for x in ids], pa.int64()),
+                "n_pieces": pa.array(sizes, pa.int64()),
                 "round_trip": pa.array(same, pa.bool_()),
-                "ids": pa.array(ids, pa.list_(pa.int32())),
+                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
             }
         )
 
@@ -325,9 +406,8 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     shards = max(MIN_SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     asked = stored(d.mapInArrow(_ask(shards), "bundle binary, shard int, units binary"), "sp-asked")
-    vocabulary = asked.select("shard", "units").repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_distinct, "shard int, unit string")
-    known = stored(best_paths(vocabulary, model), "sp-known")
-    answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer, "bundle binary, answer binary")
+    vocabulary = asked.select("shard", "units").mapInArrow(_distinct, "shard int, unit string")
+    known = best_paths(vocabulary, model, shards)
+    answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer(*piece_strings(model)), "bundle binary, shard int, answer binary")
     texts = d.mapInArrow(_texts, "bundle binary, ids array<bigint>, sizes array<bigint>, body binary")
-    made = _assemble(*piece_strings(model))
-    return answers.groupBy("bundle").cogroup(texts.groupBy("bundle")).applyInArrow(made, "doc_id bigint, n_pieces bigint, round_trip boolean, ids array<int>")
+    return answers.groupBy("bundle").cogroup(texts.groupBy("bundle")).applyInArrow(_assemble(shards), "doc_id bigint, n_pieces bigint, round_trip boolean, ids array<int>")
