@@ -22,18 +22,20 @@ for _b in range(256):
 _U = np.uint64
 
 
+_L8, _H8 = _U(0x0101010101010101), _U(0x8080808080808080)
+
+
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Position of the k-th one of each word."""
-    out = np.zeros(len(word), np.int64)
-    left, open_ = k.copy(), np.ones(len(word), bool)
-    for i in range(8):
-        byte = ((word >> _U(8 * i)) & _U(255)).astype(np.int64)
-        n = _POP[byte]
-        here = open_ & (left < n)
-        out[here] = 8 * i + _SEL[byte[here], left[here]]
-        open_ &= ~here
-        left = np.where(open_, left - n, left)
-    return out
+    """Position of the k-th one of each word (which must have it): byte sums, then a table for the byte."""
+    with np.errstate(over="ignore"):
+        s = word - ((word >> _U(1)) & _U(0x5555555555555555))
+        s = (s & _U(0x3333333333333333)) + ((s >> _U(2)) & _U(0x3333333333333333))
+        s = ((s + (s >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _L8  # byte i: ones in bytes 0 .. i
+        k = k.astype(np.uint64)
+        full = ((((k * _L8) | _H8) - s) & _H8) >> _U(7)  # a one for each byte whose sum is at most k
+        at = ((full * _L8) >> _U(56)) << _U(3)
+        before = (s << _U(8)) >> at & _U(255)
+    return (at + _SEL[((word >> at) & _U(255)).astype(np.int64), (k - before).astype(np.int64)]).astype(np.int64)
 
 
 def ef_arrays(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:

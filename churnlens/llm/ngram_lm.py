@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from churnlens.llm.common import bounded_batches, stored
-from churnlens.llm.elias_fano import Trie, from_buffer, to_bytes, trie_image
+from churnlens.llm.elias_fano import OTHER_BITS, Trie, from_buffer, to_bytes, trie_image
 from churnlens.llm.text_hash import mixed, word_hashes, words
 
 HOT = 8192
@@ -54,7 +54,7 @@ MIN_COUNT = 2
 BUNDLE_CHARS = 4_000_000
 BUNDLE_TEXTS = 60_000
 SHARD_CHARS = 200_000_000
-MIN_SHARDS = 16
+MIN_SHARDS = 32
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 _S16, _S32 = np.uint64(16), np.uint64(32)
 
@@ -159,7 +159,10 @@ def _count(hot: np.ndarray, shards: int):
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of sorted shards: (word, -1, n) rows and (key, other, back, n) rows of pairs seen MIN_COUNT times."""
+    """Sums of sorted shards: (word, -1, n) rows, and (key, other, back, n, n_key) rows of pairs seen MIN_COUNT times.
+
+    A cold key's own count is in the same shard; n_key is 0 for a hot one.
+    """
     held: list[dict[str, np.ndarray]] = []
     shard = None
 
@@ -178,12 +181,16 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.add.reduceat(n, starts) if len(starts) else n
         keep = total >= MIN_COUNT
         starts, total = starts[keep], total[keep]
-        parts = [(uni, np.full(len(uni), -1, np.int64), np.zeros(len(uni), bool), uni_n), (key[starts], other[starts].astype(np.int64), back[starts] > 0, total)]
-        for k, o, b, c in parts:
+        key = key[starts]
+        at = np.minimum(np.searchsorted(uni, key), max(len(uni) - 1, 0))
+        n_key = np.where(uni[at] == key, uni_n[at], 0) if len(uni) else np.zeros(len(key), np.int64)
+        none = np.zeros(len(uni), np.int64)
+        parts = [(uni, none - 1, none > 0, uni_n, none), (key, other[starts].astype(np.int64), back[starts] > 0, total, n_key)]
+        for k, o, b, c, m in parts:
             for a in range(0, len(k), 100_000):
                 z = slice(a, a + 100_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[z].view(np.int64)), pa.array(o[z]), pa.array(b[z]), pa.array(c[z])], names=["key", "other", "back", "n"]
+                    [pa.array(k[z].view(np.int64)), pa.array(o[z]), pa.array(b[z]), pa.array(c[z]), pa.array(m[z])], names=["key", "other", "back", "n", "n_key"]
                 )
 
     for b in batches:
@@ -228,7 +235,7 @@ def train(docs: DataFrame, hot_size: int = HOT, shards: int | None = None) -> Mo
     shards = shards or max(MIN_SHARDS, -(-(chars or 0) // SHARD_CHARS))
     hot = _hot_words(docs, hot_size)
     lists = docs.select("text").mapInArrow(_count(hot, shards), "shard int, blob binary")
-    sums = lists.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_add_up, "key bigint, other bigint, back boolean, n bigint")
+    sums = lists.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_add_up, "key bigint, other bigint, back boolean, n bigint, n_key bigint")
     sums = stored(sums, "lm-counts")
     tokens, distinct = sums.where("other < 0").agg(F.sum("n"), F.count("*")).first()
     tokens = tokens or 0
@@ -237,7 +244,7 @@ def train(docs: DataFrame, hot_size: int = HOT, shards: int | None = None) -> Mo
     signed = lambda x: int(np.array([x], np.uint64).view(np.int64)[0])
     count = sums.where("other < 0").select(F.col("key").alias("w"), F.col("n"))
     pairs = sums.where("other >= 0").select(
-        "key", "other", "back", "n", F.when(F.col("back"), name("key")).otherwise(F.col("other")).alias("h48"), F.when(F.col("back"), F.col("other")).otherwise(name("key")).alias("w48")
+        "key", "other", "back", "n", "n_key", F.when(F.col("back"), name("key")).otherwise(F.col("other")).alias("h48"), F.when(F.col("back"), F.col("other")).otherwise(name("key")).alias("w48")
     )
     kept = pairs.groupBy("h48").agg(F.sum(F.col("n") - DISCOUNT).alias("used"))
     start = spark.createDataFrame([(signed(START), texts)], "w bigint, n bigint")
@@ -246,13 +253,16 @@ def train(docs: DataFrame, hot_size: int = HOT, shards: int | None = None) -> Mo
     known = stored(known, "lm-words")
     # two words of one 48-bit name: the more frequent one
     by_name = known.groupBy("h48").agg(F.max(F.struct("n", "rest")).alias("x")).select("h48", F.col("x.n").alias("nh"), F.col("x.rest").alias("rest"))
-    p = (F.col("nw") + 0.5) / F.lit(tokens + 0.5 * (distinct + 1))
+    hot_keys = F.broadcast(spark.createDataFrame([(signed(x), int(x >> _S16)) for x in hot], "hw bigint, hn bigint"))  # HOT + 2 rows
+    hot_known = stored(by_name.join(hot_keys, F.col("h48") == F.col("hn"), "left_semi"), "lm-hot")
+    # hot contexts and words come from the hot table; a cold word is its pair's key, a cold context needs the join
+    hot_h = pairs.join(F.broadcast(hot_known), "h48")
+    cold_h = pairs.join(hot_keys, F.col("h48") == F.col("hn"), "left_anti").join(by_name, "h48")
+    hot_w = F.broadcast(hot_known.select(F.col("h48").alias("w48"), F.col("nh").alias("n_hot")))
+    gained = hot_h.unionByName(cold_h).join(hot_w, "w48", "left")
+    p = (F.coalesce("n_hot", "n_key") + 0.5) / F.lit(tokens + 0.5 * (distinct + 1))
     low = F.col("rest") * p
-    gained = pairs.join(by_name, "h48").join(by_name.select(F.col("h48").alias("w48"), F.col("nh").alias("nw")), "w48")
     gained = gained.select("key", "other", "back", F.log10(((F.col("n") - DISCOUNT) / F.col("nh") + low) / low).alias("gain"))
-    hot_list = [signed(x) for x in hot]
-    hot_names = [int(x >> _S16) for x in hot]
-    hot_keys = F.broadcast(spark.createDataFrame([(x, y) for x, y in zip(hot_list, hot_names)], "hw bigint, hn bigint"))  # HOT + 2 rows
     both = gained.join(hot_keys.select("hw"), F.col("key") == F.col("hw"), "left_semi").join(hot_keys.select("hn"), F.col("other") == F.col("hn"), "left_semi").where("NOT back")
     logged = known.select("w", "n", F.log10("rest").alias("rest"))
     hot_words = logged.join(hot_keys.select("hw"), F.col("w") == F.col("hw"), "left_semi")
@@ -310,7 +320,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             hh = _is_hot(hot, h)
             more = np.bincount(doc[hh], hot_rest[np.searchsorted(hot, h[hh])], m)
             k, o = key[both], (other[both] >> _S32) << np.uint64(1)
-            more += np.bincount(doc[both], trie.gains(at[np.searchsorted(hot, k)], o), m)
+            i = np.searchsorted(hot, k)
+            pair, where = np.unique((i.astype(np.uint64) << np.uint64(OTHER_BITS)) | o, return_inverse=True)
+            gain = trie.gains(at[(pair >> np.uint64(OTHER_BITS)).astype(np.int64)], pair & np.uint64((1 << OTHER_BITS) - 1))
+            more += np.bincount(doc[both], gain[where], m)
             me = f"{task}-{number}"
             blob = pack(n=np.bincount(doc, minlength=m), known=known, base=base, more=more)
             rows = [(number % shards, me, blob, ids, held)]
