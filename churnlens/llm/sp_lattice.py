@@ -116,6 +116,11 @@ def tokens(text: str | None) -> list[str]:
 
 
 def units(token: str) -> list[str]:
+    if 1 < len(token) < UNIT_CHARS:  # words of letters, bare or with one mark behind them, need no pattern
+        if token.isalpha():
+            return [SPACE + token]
+        if token[-1] in ".,;:!?" and token[:-1].isalpha():
+            return [SPACE + token[:-1], token[-1]]
     return _UNIT.findall(SPACE + token)
 
 
