@@ -31,11 +31,9 @@ from churnlens.operators.quantiles import (
     quantile_thresholds,
 )
 from churnlens.operators.rates import (
-    group_rate,
     map_emit,
     mapreduce_rate,
     reduce_rate,
-    share_of_total,
 )
 from churnlens.operators.stats import describe_numeric
 from churnlens.operators.typing import type_rows
@@ -48,7 +46,6 @@ __all__ = [
     "duplicate_keys",
     "exact_quantiles",
     "fill_when",
-    "group_rate",
     "interaction_recency_group",
     "invalid_rows",
     "key_uniqueness",
@@ -66,7 +63,6 @@ __all__ = [
     "row_count",
     "satisfaction_group",
     "service_call_group",
-    "share_of_total",
     "tenure_group",
     "threshold_band",
     "type_rows",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions.typing_rules import is_blank
+from churnlens.operators.quantiles import attach_scalars
 
 
 def _c(col: str | Column) -> Column:
@@ -37,6 +38,16 @@ def preview(df: DataFrame, n: int = 10, order: Sequence[str | Column] | None = N
     return df.limit(n)
 
 
+def distinct_count(df: DataFrame, key: str | Column, name: str) -> DataFrame:
+    """Number of distinct non-NULL keys: only the key column is shuffled."""
+    k = df.select(_c(key).alias("__key")).filter(F.col("__key").isNotNull())
+    return k.distinct().agg(F.count(F.lit(1)).alias(name))
+
+
+def key_uniqueness_finish(one_row: DataFrame, total: str, distinct: str, dupes: str) -> DataFrame:
+    return one_row.select(total, distinct, (F.col(total) - F.col(distinct)).alias(dupes))
+
+
 def key_uniqueness(
     df: DataFrame,
     key: str | Column,
@@ -45,10 +56,8 @@ def key_uniqueness(
     dupes: str = "duplicate_customer_id_rows",
 ) -> DataFrame:
     """Rows, distinct keys, and rows beyond the first per key."""
-    k = _c(key)
-    return df.agg(
-        F.count(F.lit(1)).alias(total), F.count_distinct(k).alias(distinct)
-    ).select(total, distinct, (F.col(total) - F.col(distinct)).alias(dupes))
+    both = attach_scalars(row_count(df, total), distinct_count(df, key, distinct))
+    return key_uniqueness_finish(both, total, distinct, dupes)
 
 
 def duplicate_keys(
@@ -70,18 +79,29 @@ def duplicate_keys(
     return out.limit(limit) if limit else out
 
 
-def missing_report(
-    df: DataFrame,
-    fields: Sequence[str],
-    name_col: str = "field_name",
-    count_col: str = "missing_count",
-) -> DataFrame:
-    """One row per field: how many values are NULL or blank (single scan)."""
-    sums = df.agg(*[count_when(is_blank(F.col(f))).alias(f) for f in fields])
+def missing_aggs(fields: Sequence[str]) -> list[Column]:
+    return [count_when(is_blank(F.col(f))).alias(f) for f in fields]
+
+
+def missing_finish(sums: DataFrame, fields: Sequence[str], name_col: str = "field_name", count_col: str = "missing_count") -> DataFrame:
     pairs = ", ".join(f"'{f}', `{f}`" for f in fields)
     return sums.selectExpr(f"stack({len(fields)}, {pairs}) AS ({name_col}, {count_col})")
 
 
+def missing_report(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One row per field: how many values are NULL or blank (single scan)."""
+    return missing_finish(df.agg(*missing_aggs(fields)), fields)
+
+
+def normalised(col: str) -> Column:
+    return F.lower(F.trim(F.col(col)))
+
+
+def by_frequency(counts: DataFrame, name: str, count_col: str = "record_count") -> DataFrame:
+    """Counted values, largest first, ties by value."""
+    return counts.orderBy(F.desc(count_col), F.asc_nulls_first(name))
+
+
 def value_frequencies(
     df: DataFrame,
     col: str,
@@ -90,13 +110,9 @@ def value_frequencies(
     count_col: str = "record_count",
 ) -> DataFrame:
     """Counts per value (optionally of LOWER(TRIM(value))), largest first."""
-    v = F.lower(F.trim(F.col(col))) if normalise else F.col(col)
     name = alias or col
-    return (
-        df.groupBy(v.alias(name))
-        .agg(F.count(F.lit(1)).alias(count_col))
-        .orderBy(F.desc(count_col), F.asc_nulls_first(name))
-    )
+    v = normalised(col) if normalise else F.col(col)
+    return by_frequency(df.groupBy(v.alias(name)).agg(F.count(F.lit(1)).alias(count_col)), name, count_col)
 
 
 def null_count_aggs(cols: dict[str, str], total: str | None = None) -> list[Column]:
@@ -129,23 +145,15 @@ def invalid_rows(
     return out.limit(limit) if limit else out
 
 
-def cleaned_check_aggs(key: str = "customer_id", target: str = "churn") -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("cleaned_rows"),
-        F.count_distinct(F.col(key)).alias("distinct_customer_ids"),
-        count_when(F.col(target).isNull()).alias("missing_churn"),
-    ]
+def cleaned_check_aggs(target: str = "churn") -> list[Column]:
+    return [F.count(F.lit(1)).alias("cleaned_rows"), count_when(F.col(target).isNull()).alias("missing_churn")]
 
 
-def cleaned_check_finish(agg: DataFrame) -> DataFrame:
-    return agg.select(
-        "cleaned_rows",
-        "distinct_customer_ids",
-        (F.col("cleaned_rows") - F.col("distinct_customer_ids")).alias("remaining_duplicate_rows"),
-        "missing_churn",
-    )
+def cleaned_check_finish(one_row: DataFrame) -> DataFrame:
+    rows, ids = F.col("cleaned_rows"), F.col("distinct_customer_ids")
+    return one_row.select(rows, ids, (rows - ids).alias("remaining_duplicate_rows"), "missing_churn")
 
 
 def cleaned_check(df: DataFrame, key: str = "customer_id", target: str = "churn") -> DataFrame:
     """Rows, distinct keys, remaining duplicates, and rows missing the target."""
-    return cleaned_check_finish(df.agg(*cleaned_check_aggs(key, target)))
+    return cleaned_check_finish(attach_scalars(df.agg(*cleaned_check_aggs(target)), distinct_count(df, key, "distinct_customer_ids")))

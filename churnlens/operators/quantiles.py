@@ -2,25 +2,19 @@
 
 ``method="exact"`` returns, for each probability ``p``, the element of rank
 ``max(1, ceil(p * N))`` among the ``N`` non-NULL values (a discrete quantile:
-always an actual value).  It runs as a short series of distributed jobs:
-
-1. one aggregate pass finds, with a small sketch (``percentile_approx`` at
-   ``accuracy``, rank error at most ``N/accuracy``), the sketch's answer and a
-   value just below and just above the target rank;
-2. one counting pass counts ``N``, tests whether the sketch's answer has the
-   exact rank (it usually does), else checks that the pair brackets the
-   target and counts the values below, equal to and between the bracket ends;
-3. if the answer is a bracket end it is done; otherwise the open interior
-   holds about ``4 N / accuracy`` values.  If that count is within
-   ``collect_limit`` the interior's distinct values with their counts are
-   collected (a checked, bounded result, all targets in one job) and walked
-   in order; if not, the
-   same steps repeat on the interior, which shrinks about ``accuracy / 4``
-   times per round.
-
-No step holds more than one sketch per task and one bounded list on the
-driver, so it scales with the cluster.  Each round scans the input again, so
-pass a materialised (written or checkpointed) frame.
+always an actual value).  It is a histogram search:
+
+1. one aggregate gives count, min and max per value expression;
+2. every round cuts each target's bracket [lo, hi] into ``bins`` of equal
+   width and counts (bin, rows, min, max) with one ``groupBy``: map-side
+   combine leaves at most ``bins`` rows per task and bracket, and the driver
+   reads at most ``bins`` rows per bracket, whatever the input's size;
+3. the bin that holds the rank gives the next bracket, its own min..max.
+
+A bracket's min and max always fall in different bins, so every round parts
+values and the search ends when a bracket is one value.  Targets with the same
+expression and bracket share a histogram.  Each round scans the input again,
+so pass a materialised (written or checkpointed) frame.  NaN is not a value.
 
 ``method="approx"`` is plain ``percentile_approx`` (lazy, one pass).  Its
 memory per task grows with ``accuracy``.
@@ -30,165 +24,85 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
-DEFAULT_COLLECT_LIMIT = 100_000
-
-
-@dataclass
-class _Target:
-    spec: str
-    prob: float
-    k: int  # 1-based rank wanted inside (lo_open, hi_open)
-    lo_open: float | None = None  # subset: lo_open < v < hi_open
-    hi_open: float | None = None
-    answer: float | None = None
-    done: bool = False
-    use_range: bool = False  # bracket by the subset's min/max instead of the sketch
+DEFAULT_BINS = 1024
 
-
-def _in_subset(v: Column, t: _Target) -> Column:
-    cond = v.isNotNull()
-    if t.lo_open is not None:
-        cond = cond & (v > F.lit(t.lo_open))
-    if t.hi_open is not None:
-        cond = cond & (v < F.lit(t.hi_open))
-    return cond
+Specs = Mapping[str, tuple[Column, Sequence[float]]]
 
 
 def _rank(p: float, n: int) -> int:
     return min(n, max(1, math.ceil(p * n)))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    specs: Mapping[str, tuple[Column, Sequence[float]]],
-    accuracy: int = DEFAULT_ACCURACY,
-    collect_limit: int = DEFAULT_COLLECT_LIMIT,
-    max_rounds: int = 16,
-) -> dict[str, list[float | None]]:
+def _bin(v: Column, lo: float, hi: float, bins: int) -> Column:
+    """0 .. bins - 1 over [lo, hi]; lo falls in the first bin, hi in the last."""
+    if math.isinf(lo) or math.isinf(hi):
+        return F.when(v == lo, 0).when(v == hi, bins - 1).otherwise(bins // 2)
+    half = 0.5 if math.isinf(hi - lo) else 1.0  # a span beyond the largest double
+    share = (v * half - F.lit(lo * half)) / F.lit(hi * half - lo * half)
+    at = F.floor(share * bins).cast("int")
+    return F.when(v == lo, 0).when(v == hi, bins - 1).otherwise(F.least(F.greatest(at, F.lit(0)), F.lit(bins - 1)))
+
+
+def exact_quantiles(df: DataFrame, specs: Specs, bins: int = DEFAULT_BINS) -> dict[str, list[float | None]]:
     """Exact discrete quantiles for several value expressions at once."""
-    values = {name: expr.cast("double") for name, (expr, _) in specs.items()}
-    src = df.select(*[v.alias(f"v_{i}") for i, v in enumerate(values.values())])
-    col_of = {name: F.col(f"v_{i}") for i, name in enumerate(values)}
-
-    targets = [_Target(name, float(p), 0) for name, (_, probs) in specs.items() for p in probs]
-    sizes: dict[int, int] = {}
-    eps = 2.0 / accuracy
-
-    for _ in range(max_rounds):
-        active = [t for t in targets if not t.done]
-        if not active:
-            break
-        # pass 1: bracket each target rank with the sketch, and take the
-        # sketch's own answer as a candidate.  In the first round N is not
-        # known yet; p +- eps brackets rank ceil(p * N) anyway.
-        aggs = []
-        for j, t in enumerate(active):
-            v = col_of[t.spec]
-            sv = F.when(_in_subset(v, t), v)
-            if t.use_range:
-                aggs.append(F.array(F.min(sv), F.max(sv), F.min(sv)).alias(f"b{j}"))
-                continue
-            q = t.k / sizes[id(t)] if t.k else t.prob
-            qs = [max(0.0, q - eps), min(1.0, q + eps), min(1.0, q)]
-            aggs.append(F.percentile_approx(sv, qs, accuracy).alias(f"b{j}"))
-        brow = src.agg(*aggs).first()
-        bounds = []
-        for j, t in enumerate(active):
-            b = brow[f"b{j}"]
-            if b is None or b[0] is None:  # no values at all
-                t.done = True
-            bounds.append((None, None, None) if t.done else (b[0], b[1], b[2]))
-        active_b = [(t, b) for t, b in zip(active, bounds) if not t.done]
-
-        # pass 2: count N (first round), test the candidate, verify the bracket
-        aggs = []
-        for j, (t, (lo, hi, mid)) in enumerate(active_b):
-            v = col_of[t.spec]
-            s = _in_subset(v, t)
-            aggs += [
-                F.count_if(s).alias(f"n{j}"),
-                F.count_if(s & (v < F.lit(mid))).alias(f"ltm{j}"),
-                F.count_if(s & (v <= F.lit(mid))).alias(f"lem{j}"),
-                F.count_if(s & (v < F.lit(lo))).alias(f"lt{j}"),
-                F.count_if(s & (v == F.lit(lo))).alias(f"eqlo{j}"),
-                F.count_if(s & (v <= F.lit(hi))).alias(f"lehi{j}"),
-                F.count_if(s & (v == F.lit(hi))).alias(f"eqhi{j}"),
-            ]
-        crow = src.agg(*aggs).first() if aggs else None
-        for j, (t, (lo, hi, mid)) in enumerate(active_b):
-            n, ltm, lem, lt, eqlo, lehi, eqhi = (
-                int(crow[f"{x}{j}"]) for x in ("n", "ltm", "lem", "lt", "eqlo", "lehi", "eqhi")
-            )
-            if not t.k:
-                t.k = _rank(t.prob, n)
-                sizes[id(t)] = n
-            if ltm < t.k <= lem:
-                t.answer, t.done = mid, True
-                continue
-            if not (lt < t.k <= lehi):
-                # sketch bound missed (not expected): bracket by min/max next round
-                t.use_range = True
-                continue
-            t.use_range = False
-            if t.k <= lt + eqlo:
-                t.answer, t.done = lo, True
-            elif t.k > lehi - eqhi:
-                t.answer, t.done = hi, True
+    names = list(specs)
+    values = [F.nanvl(specs[n][0].cast("double"), F.lit(None).cast("double")) for n in names]
+    src = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+    aggs = [f(f"v{i}").alias(f"{k}{i}") for i in range(len(names)) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    first = src.agg(*aggs).first()
+
+    answers: dict[tuple[int, int], float | None] = {}
+    todo: dict[tuple[int, float, float], list[tuple[tuple[int, int], int]]] = {}  # bracket -> (target, rank inside)
+
+    def place(i: int, lo: float, hi: float, target: tuple[int, int], rank: int) -> None:
+        if lo == hi:
+            answers[target] = lo
+        else:
+            todo.setdefault((i, lo, hi), []).append((target, rank))
+
+    for i, n in enumerate(names):
+        for j, p in enumerate(specs[n][1]):
+            if first[f"n{i}"] == 0:
+                answers[i, j] = None
             else:
-                t.k -= lt + eqlo
-                t.lo_open, t.hi_open = lo, hi
-                sizes[id(t)] = lehi - eqhi - lt - eqlo
-
-        # step 3: resolve every small interior in one job from its distinct
-        # values (at most collect_limit rows per target, checked above)
-        small = [t for t in targets if not t.done and t.k and sizes[id(t)] <= collect_limit]
-        if small:
-            tagged = [
-                F.when(_in_subset(col_of[t.spec], t), F.struct(F.lit(i).alias("t"), col_of[t.spec].alias("v")))
-                for i, t in enumerate(small)
-            ]
-            rows = (
-                src.select(F.explode(F.filter(F.array(*tagged), lambda x: x.isNotNull())).alias("p"))
-                .groupBy("p.t", "p.v")
-                .agg(F.count(F.lit(1)).alias("c"))
-                .orderBy("t", "v")
-                .collect()
-            )
-            seen = [0] * len(small)
-            for r in rows:
-                t = small[r["t"]]
-                if t.done:
-                    continue
-                seen[r["t"]] += r["c"]
-                if seen[r["t"]] >= t.k:
-                    t.answer, t.done = r["v"], True
-    if any(not t.done for t in targets):
-        raise RuntimeError("exact quantile did not converge")
-
-    out: dict[str, list[float | None]] = {name: [] for name in specs}
-    for t in targets:
-        out[t.spec].append(t.answer)
-    return out
-
-
-def quantile_thresholds(
-    df: DataFrame,
-    specs: Mapping[str, tuple[Column, Sequence[float]]],
-    method: str = "exact",
-    accuracy: int | None = None,
-) -> DataFrame:
+                place(i, first[f"lo{i}"], first[f"hi{i}"], (i, j), _rank(float(p), first[f"n{i}"]))
+    while todo:
+        brackets, todo = list(todo.items()), {}
+        hits = []
+        for b, ((i, lo, hi), _) in enumerate(brackets):
+            v = F.col(f"v{i}")
+            hits.append(F.when(v.between(lo, hi), F.struct(F.lit(b).alias("b"), _bin(v, lo, hi, bins).alias("k"), v.alias("v"))))
+        rows = (
+            src.select(F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("x"))
+            .groupBy("x.b", "x.k")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi"))
+            .collect()
+        )
+        rows.sort(key=lambda r: (r["b"], r["k"]))
+        for b, ((i, _, _), targets) in enumerate(brackets):
+            mine = [r for r in rows if r["b"] == b]
+            for target, rank in targets:
+                for r in mine:
+                    if rank <= r["n"]:
+                        place(i, r["lo"], r["hi"], target, rank)
+                        break
+                    rank -= r["n"]
+    return {n: [answers[i, j] for j in range(len(specs[n][1]))] for i, n in enumerate(names)}
+
+
+def quantile_thresholds(df: DataFrame, specs: Specs, method: str = "exact", accuracy: int | None = None) -> DataFrame:
     """A one-row frame with one ``array<double>`` column per spec.
 
     ``specs`` maps output name -> (value expression, probabilities); a
     conditional expression (``F.when(cond, x)``) restricts the input rows.
+    The exact frame is an aggregate over ``df``: the search has found where
+    each cut lies, the aggregate takes the value from the table.
     """
-    spark: SparkSession = df.sparkSession
     if method == "approx":
         acc = accuracy or DEFAULT_ACCURACY
         return df.agg(
@@ -196,10 +110,12 @@ def quantile_thresholds(
         )
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
-    vals = exact_quantiles(df, specs, accuracy=accuracy or DEFAULT_ACCURACY)
-    return spark.range(1).select(
-        *[F.array(*[F.lit(x).cast("double") for x in vals[n]]).alias(n) for n in specs]
-    )
+    found = exact_quantiles(df, specs)
+    cuts = []
+    for n, (e, _) in specs.items():
+        v = e.cast("double")
+        cuts.append(F.array(*[F.max(F.when(v == F.lit(x), v)) if x is not None else F.lit(None).cast("double") for x in found[n]]).alias(n))
+    return df.agg(*cuts)
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

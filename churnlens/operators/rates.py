@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators.quantiles import attach_scalars
-
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -26,63 +24,6 @@ def rate_expr(num: Column, den: Column, dp: int | None) -> Column:
     return F.round(r, dp) if dp is not None else r
 
 
-def group_rate(
-    df: DataFrame,
-    keys: Sequence[str],
-    target: str = "churn",
-    dp: int | None = 4,
-    null_keys: str = "keep",
-    where: Column | None = None,
-    count_name: str = "total_customers",
-    sum_name: str = "total_churned",
-    rate_name: str = "churn_rate",
-) -> DataFrame:
-    """Per key combination: rows, SUM(target), and the rounded percentage.
-
-    ``null_keys="drop"`` removes rows with a NULL key before grouping;
-    ``"keep"`` reports them as their own group.
-    """
-    if null_keys not in ("keep", "drop"):
-        raise ValueError("null_keys must be 'keep' or 'drop'")
-    if null_keys == "drop":
-        for k in keys:
-            df = df.filter(F.col(k).isNotNull())
-    if where is not None:
-        df = df.filter(where)
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(count_name), F.sum(_c(target)).cast("bigint").alias(sum_name)
-    )
-    return agg.withColumn(rate_name, rate_expr(F.col(sum_name), F.col(count_name), dp))
-
-
-def share_of_total(
-    df: DataFrame,
-    key: str,
-    label: Column,
-    dp: int = 4,
-    label_name: str = "customer_status",
-    count_name: str = "customer_count",
-    share_name: str = "percentage",
-) -> DataFrame:
-    """Rows per key with the key's percentage of all rows, ordered by key.
-
-    The grand total (the sum of the group counts, i.e. the row count) is a
-    one-row scalar subquery, so no step gathers all groups into one
-    partition however many keys there are.
-    """
-    agg = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
-    total = df.agg(F.count(F.lit(1)).alias("__total"))
-    return (
-        attach_scalars(agg, total)
-        .orderBy(F.asc_nulls_first(key))
-        .select(
-            label.alias(label_name),
-            F.col(count_name),
-            rate_expr(F.col(count_name), F.col("__total"), dp).alias(share_name),
-        )
-    )
-
-
 def map_emit(df: DataFrame, keys: Sequence[str], target: str = "churn") -> DataFrame:
     """Map step: valid records only, emitted as key -> (1, target)."""
     cond = F.col(target).isin(0, 1)
@@ -102,9 +43,12 @@ def reduce_rate(
     agg = emitted.groupBy(*keys).agg(
         F.sum("n").cast("bigint").alias(count_name), F.sum("c").cast("bigint").alias(sum_name)
     )
-    n, s = F.col(count_name), F.col(sum_name)
-    rate = F.when(n > 0, s.cast("double") / n.cast("double") * F.lit(100.0)).otherwise(F.lit(0.0))
-    return agg.select(*keys, count_name, sum_name, rate.alias(rate_name))
+    return agg.select(*keys, count_name, sum_name, guarded_rate(F.col(sum_name), F.col(count_name)).alias(rate_name))
+
+
+def guarded_rate(num: Column, den: Column) -> Column:
+    """num / den * 100, unrounded, 0 for an empty group."""
+    return F.when(den > 0, num.cast("double") / den.cast("double") * F.lit(100.0)).otherwise(F.lit(0.0))
 
 
 def mapreduce_rate(df: DataFrame, keys: Sequence[str] = ("contract", "payment_method"), target: str = "churn") -> DataFrame:

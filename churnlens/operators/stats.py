@@ -2,9 +2,9 @@
 
 Mean, min, max and population standard deviation are algebraic aggregates
 (partial per task, merged once).  Medians are exact discrete medians by
-default (all of them found together by ``exact_quantiles``: two narrow passes,
-bounded memory), so they are deterministic and do not depend on how rows are
-partitioned; ``median="approx"`` uses ``percentile_approx`` at ``accuracy``.
+default (all of them found together by ``exact_quantiles``: a few narrow
+passes, bounded memory), so they are deterministic and do not depend on how
+rows are partitioned; ``median="approx"`` uses ``percentile_approx`` at ``accuracy``.
 """
 
 from __future__ import annotations
@@ -56,11 +56,11 @@ def describe_aggs(columns: Spec, dp: int = 2, accuracy: int = DEFAULT_ACCURACY,
     return aggs, names
 
 
-def exact_medians(df: DataFrame, columns: Spec, accuracy: int = DEFAULT_ACCURACY) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, columns: Spec) -> dict[str, float | None]:
     specs = {f"{STAT_NAMES['median']}_{label}": (F.col(col), [0.5]) for col, label, st in columns if "median" in st}
     if not specs:
         return {}
-    return {k: v[0] for k, v in exact_quantiles(df, specs, accuracy=accuracy).items()}
+    return {k: v[0] for k, v in exact_quantiles(df, specs).items()}
 
 
 def describe_finish(agg: DataFrame, names: list[str], medians: dict[str, float | None]) -> DataFrame:
@@ -79,6 +79,6 @@ def describe_numeric(
     ``mean median min max stddev``; output columns are ``<stat>_<label>``."""
     if median not in ("exact", "approx"):
         raise ValueError(f"unknown median method {median!r}")
-    medians = exact_medians(df, columns, accuracy) if median == "exact" else {}
+    medians = exact_medians(df, columns) if median == "exact" else {}
     aggs, names = describe_aggs(columns, dp, accuracy, count_name, approx_median=median == "approx")
     return describe_finish(df.agg(*aggs), names, medians)

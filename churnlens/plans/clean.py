@@ -30,7 +30,7 @@ def deduplicate(typed: DataFrame, key: str = "customer_id", target: str = "churn
     """
     valid = valid_target_rows(typed, key, target)
     tiebreak = [ROW_ID] if ROW_ID in typed.columns else None
-    out = latest_per_key(valid, key, [F.col("signup_date").desc_nulls_last()], tiebreak)
+    out = latest_per_key(valid, key, {"signup_date": F.col("signup_date").desc_nulls_last()}, tiebreak)
     return out.select(*COLUMNS)
 
 
@@ -82,7 +82,7 @@ def clean(
         dedup = materialize(dedup, "deduplicated")
     specs = threshold_specs(dedup)
     if method == "exact":
-        cuts = exact_quantiles(dedup, specs, **({"accuracy": accuracy} if accuracy else {}))
+        cuts = exact_quantiles(dedup, specs)
         return add_groups(dedup, cuts[CHARGE], cuts[USAGE])
     th = quantile_thresholds(dedup, specs, method=method, accuracy=accuracy)
     joined = attach_scalars(dedup, th)

@@ -12,24 +12,27 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.functions.typing_rules import is_blank
 from churnlens.operators.quality import (
-    count_when,
+    by_frequency,
+    distinct_count,
     duplicate_keys,
     invalid_rows,
     key_uniqueness,
+    key_uniqueness_finish,
+    missing_aggs,
+    missing_finish,
     missing_report,
+    normalised,
     null_count_aggs,
     null_counts,
     preview,
     row_count,
     value_frequencies,
 )
-from churnlens.operators.rates import mapreduce_rate
+from churnlens.operators.quantiles import attach_scalars
 from churnlens.operators.typing import type_rows
 from churnlens.plans import reports
 from churnlens.plans.clean import clean, deduplicate
-from churnlens.plans.parallel import spread
 from churnlens.schema import CLEANED_SCHEMA, COLUMNS, RAW_SCHEMA, ROW_ID, TYPED_SCHEMA
 from churnlens.session import scratch_dir
 from churnlens.sinks.writers import export_tsv, read_tsv
@@ -39,6 +42,7 @@ from churnlens.sources.tables import (
     declare_orc_table,
     describe_table,
     drop_table,
+    use_database,
 )
 
 # --- fixed values: profiled fields and the check output names ---------------
@@ -56,7 +60,6 @@ MISSING_FIELDS = [
     "churn",
 ]
 FREQUENCY_FIELDS = ["churn", "contract", "payment_method"]
-SMALL_CELLS = 100_000  # report cells read in one task at most (checked bound)
 REQUIRED_NULLS = {
     "missing_customer_id": "customer_id",
     "invalid_or_missing_signup_date": "signup_date",
@@ -73,25 +76,6 @@ ANALYTIC_NULLS = {
 }
 
 
-def is_columnar_scan(df: DataFrame) -> bool:
-    """True when ``df`` only projects / filters a Parquet or ORC file scan."""
-    try:
-        text = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:
-        return False
-    for line in text.splitlines():
-        node = line.lstrip(" :+-")
-        if not node:
-            continue
-        head = node.split(" ", 1)[0]
-        if head in ("Project", "Filter"):
-            continue
-        if head == "Relation" and node.split()[-1] in ("parquet", "orc"):
-            continue
-        return False
-    return True
-
-
 class AttritionPipeline:
     """One run over one raw frame; each stage is written once, on first use."""
 
@@ -102,7 +86,7 @@ class AttritionPipeline:
         workdir: str | None = None,
         quantile_method: str = "exact",
         accuracy: int | None = None,
-        stage_raw: bool | str = "auto",
+        stage_raw: bool = True,
         tables: dict[str, str] | None = None,
     ) -> None:
         self.spark = spark
@@ -137,13 +121,11 @@ class AttritionPipeline:
         Every profile query and the typing stage read the raw input; from ORC
         each reads only the columns it uses, instead of re-parsing (or, for a
         derived input, recomputing) all 32 columns per query.  With
-        ``stage_raw="auto"`` an input that already is a plain Parquet/ORC
-        scan is used as it is (its scans prune columns by themselves).
+        ``stage_raw=False`` the input is used as it is: right for one that
+        already is a columnar scan.  The preview and the row count always
+        read the input itself.
         """
-        stage = self.stage_raw
-        if stage == "auto":
-            stage = not is_columnar_scan(self.raw)
-        return self._store(self.raw, "raw_orc") if stage else self.raw
+        return self._store(self.raw, "raw_orc") if self.stage_raw else self.raw
 
     @cached_property
     def typed(self) -> DataFrame:
@@ -174,11 +156,11 @@ class AttritionPipeline:
 
     # ---- profile of the raw input ---------------------------------------
     def raw_count(self) -> DataFrame:
-        return row_count(self.raw_stored, "raw_record_count")
+        return row_count(self.raw, "raw_record_count")
 
-    def raw_preview(self, n: int = 10) -> DataFrame:
-        order = [ROW_ID] if ROW_ID in self.raw.columns else COLUMNS
-        return preview(self.raw_stored, n, order=order)
+    def raw_preview(self, n: int = 10, order: list[str] | None = None) -> DataFrame:
+        """Any ``n`` raw rows (reads as few splits as it needs); a fixed choice with ``order``."""
+        return preview(self.raw, n, order=order)
 
     def raw_key_uniqueness(self) -> DataFrame:
         return key_uniqueness(self.raw_stored, F.trim(F.col("customer_id")))
@@ -192,45 +174,34 @@ class AttritionPipeline:
     def raw_frequencies(self, col: str, alias: str | None = None) -> DataFrame:
         return value_frequencies(self.raw_stored, col, normalise=True, alias=alias)
 
+    @cached_property
     def profile(self) -> dict[str, DataFrame]:
-        """The raw profile in three scans instead of seven.
-
-        Row count, key uniqueness and the missing-value report are one global
-        aggregate; the three category-frequency tables are one ``groupBy``
-        over (field, value) pairs, combined map-side.  Both small results are
-        written once and every report frame is a slice of them.  The
-        duplicate-key top 100 needs its own shuffle by key.
+        """The raw profile in four scans instead of seven.
+
+        Row count and missing values are one global aggregate; the distinct
+        keys are counted over the key column alone; the three category
+        frequencies are one ``groupBy`` over (field, value) pairs, combined
+        map-side.  The small results are written once and every report frame
+        is a slice of them.  The duplicate-key top 100 needs its own shuffle
+        by key.
         """
         raw = self.raw_stored
-        key = F.trim(F.col("customer_id"))
-        summary = raw.agg(
-            F.count(F.lit(1)).alias("total_rows"),
-            F.count_distinct(key).alias("distinct_customer_ids"),
-            *[count_when(is_blank(F.col(f))).alias(f) for f in MISSING_FIELDS],
-        )
-        summary = self._store(summary.coalesce(1), "raw_profile_summary")
-        pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.lower(F.trim(F.col(c))).alias("value")) for c in FREQUENCY_FIELDS])
+        sums = raw.agg(F.count(F.lit(1)).alias("total_rows"), *missing_aggs(MISSING_FIELDS))
+        ids = distinct_count(raw, F.trim(F.col("customer_id")), "distinct_customer_ids")
+        summary = self._store(attach_scalars(sums, ids), "raw_profile_summary")
+        pairs = F.array(*[F.struct(F.lit(c).alias("field"), normalised(c).alias("value")) for c in FREQUENCY_FIELDS])
         freq = raw.select(F.explode(pairs).alias("p")).groupBy("p.field", "p.value").agg(
             F.count(F.lit(1)).alias("record_count")
         )
         freq = self._store(freq, "raw_profile_frequencies")
 
         def frequencies(field: str, alias: str) -> DataFrame:
-            return (
-                freq.filter(F.col("field") == field)
-                .select(F.col("value").alias(alias), "record_count")
-                .orderBy(F.desc("record_count"), F.asc_nulls_first(alias))
-            )
+            return by_frequency(freq.filter(F.col("field") == field).select(F.col("value").alias(alias), "record_count"), alias)
 
-        pairs_sql = ", ".join(f"'{f}', `{f}`" for f in MISSING_FIELDS)
         return {
             "raw_record_count": summary.select(F.col("total_rows").alias("raw_record_count")),
-            "raw_key_uniqueness": summary.select(
-                "total_rows",
-                "distinct_customer_ids",
-                (F.col("total_rows") - F.col("distinct_customer_ids")).alias("duplicate_customer_id_rows"),
-            ),
-            "raw_missing": summary.selectExpr(f"stack({len(MISSING_FIELDS)}, {pairs_sql}) AS (field_name, missing_count)"),
+            "raw_key_uniqueness": key_uniqueness_finish(summary, "total_rows", "distinct_customer_ids", "duplicate_customer_id_rows"),
+            "raw_missing": missing_finish(summary, MISSING_FIELDS),
             "raw_churn_values": frequencies("churn", "raw_churn_value"),
             "raw_contract_values": frequencies("contract", "contract"),
             "raw_payment_values": frequencies("payment_method", "payment_method"),
@@ -244,11 +215,12 @@ class AttritionPipeline:
     def typed_analytic_nulls(self) -> DataFrame:
         return null_counts(self.typed, ANALYTIC_NULLS)
 
+    @cached_property
     def validation(self) -> dict[str, DataFrame]:
         """Both NULL reports of the typed table from one global aggregate
-        (written once), plus the bounded sample of rows to be excluded."""
+        (written once), plus a bounded look at the rows to be excluded."""
         row = self._store(
-            self.typed.agg(*null_count_aggs(REQUIRED_NULLS, total="total_rows"), *null_count_aggs(ANALYTIC_NULLS)).coalesce(1),
+            self.typed.agg(*null_count_aggs(REQUIRED_NULLS, total="total_rows"), *null_count_aggs(ANALYTIC_NULLS)),
             "typed_validation",
         )
         return {
@@ -257,25 +229,23 @@ class AttritionPipeline:
             "typed_invalid_rows": self.typed_invalid(),
         }
 
-    def typed_invalid(self, limit: int = 100) -> DataFrame:
-        order = [ROW_ID] if ROW_ID in self.typed.columns else COLUMNS
+    def typed_invalid(self, limit: int = 100, order: list[str] | None = None) -> DataFrame:
+        """Any ``limit`` rows that will be excluded; a fixed choice with ``order``."""
         return invalid_rows(self.typed, ["customer_id", "churn"], limit, order=order)
 
     # ---- checks and reports on the cleaned table --------------------------
     @cached_property
     def report_cells(self) -> DataFrame:
-        """Cells of every grouped check and report: one scan, one shuffle, written once.
+        """Cells of every grouped check and report: one scan, one shuffle, written once."""
+        return self._store(reports.report_cells(self.cleaned), "report_cells")
 
-        When the stored cells are few (checked: at most ``SMALL_CELLS`` rows)
-        they are read as one partition, so each report's ORDER BY is a local
-        sort instead of a sampled range shuffle; otherwise the sort stays
-        distributed.
-        """
-        cells = self._store(reports.report_cells(self.cleaned), "report_cells")
-        return cells.coalesce(1) if cells.count() <= SMALL_CELLS else cells
+    @cached_property
+    def grouped(self) -> dict[str, DataFrame]:
+        return reports.grouped_tables(self.report_cells)
 
+    @cached_property
     def checks(self) -> dict[str, DataFrame]:
-        g = reports.grouped_tables(self.report_cells)
+        g = self.grouped
         one = reports.summary_tables(self.cleaned, self._store)
         return {
             "cleaned_check": one["cleaned_check"],
@@ -288,17 +258,10 @@ class AttritionPipeline:
             "rate_contract_payment": g["rate_contract_payment"],
         }
 
+    @cached_property
     def report_tables(self) -> dict[str, DataFrame]:
-        g = reports.grouped_tables(self.report_cells)
-        return {
-            "churn_distribution": g["churn_distribution"],
-            "contract_payment": g["contract_payment"],
-            "tenure_satisfaction": g["tenure_satisfaction"],
-            "complaints_calls": g["complaints_calls"],
-            "usage_support": g["usage_support"],
-            "charge_contract": g["charge_contract"],
-            "mapreduce_rate": mapreduce_rate(self.cleaned),
-        }
+        names = ["churn_distribution", "contract_payment", "tenure_satisfaction", "complaints_calls", "usage_support", "charge_contract", "mapreduce_rate"]
+        return {n: self.grouped[n] for n in names}
 
 
 # --- fixed values: catalog names used by the batch script ---------------------
@@ -307,16 +270,22 @@ TABLE_PREFIX = "customer_churn_"
 
 
 def declare_tables(spark: SparkSession, raw_location: str, base: str, database: str = DATABASE) -> tuple[str, str, str]:
-    """CREATE DATABASE, then (re)declare the raw CSV, typed ORC and cleaned ORC
-    external tables; returns their qualified names (the session's current
-    database is left as it is)."""
-    create_database(spark, database, use=False)
-    raw_t, typed_t, cleaned_t = (f"{database}.{TABLE_PREFIX}{n}" for n in ("raw", "typed", "cleaned"))
-    for t in (raw_t, typed_t, cleaned_t):
-        drop_table(spark, t)
-    declare_csv_table(spark, raw_t, RAW_SCHEMA, raw_location)
-    declare_orc_table(spark, typed_t, TYPED_SCHEMA, f"{base}/typed_orc")
-    declare_orc_table(spark, cleaned_t, CLEANED_SCHEMA, f"{base}/cleaned_orc")
+    """CREATE and USE the database, then (re)declare the raw CSV, typed ORC and
+    cleaned ORC external tables; returns their qualified names.  The session's
+    current database is as before afterwards."""
+    names = [f"{TABLE_PREFIX}{n}" for n in ("raw", "typed", "cleaned")]
+    before = spark.catalog.currentDatabase()
+    create_database(spark, database)
+    use_database(spark, database)
+    try:
+        for t in names:
+            drop_table(spark, t)
+        declare_csv_table(spark, names[0], RAW_SCHEMA, raw_location)
+        declare_orc_table(spark, names[1], TYPED_SCHEMA, f"{base}/typed_orc")
+        declare_orc_table(spark, names[2], CLEANED_SCHEMA, f"{base}/cleaned_orc")
+    finally:
+        use_database(spark, before)
+    raw_t, typed_t, cleaned_t = (f"{database}.{t}" for t in names)
     return raw_t, typed_t, cleaned_t
 
 
@@ -324,7 +293,7 @@ def catalog_pipeline(spark: SparkSession, raw_location: str, base: str, database
     """A pipeline whose raw input is the declared CSV table and whose typed and
     cleaned stages INSERT OVERWRITE the declared ORC tables."""
     raw_t, typed_t, cleaned_t = declare_tables(spark, raw_location, base, database)
-    raw = spread(spark.table(raw_t)).na.fill("")
+    raw = spark.table(raw_t).na.fill("")
     return AttritionPipeline(spark, raw, workdir=base, tables={"typed_orc": typed_t, "cleaned_orc": cleaned_t})
 
 
@@ -345,10 +314,10 @@ def run_script(
     out: dict[str, DataFrame | str] = {
         "describe_raw": describe_table(spark, raw_t),
         "raw_preview": p.raw_preview(),
-        **p.profile(),
-        **p.validation(),
+        **p.profile,
+        **p.validation,
     }
-    out.update(p.checks())
-    out.update(p.report_tables())
+    out.update(p.checks)
+    out.update(p.report_tables)
     out["export_path"] = p.export(f"{base}/export_tsv")
     return out

@@ -3,6 +3,8 @@
 Each callable takes ``(spark, sf_dir)`` and returns a DataFrame.  All of them
 read the whole fixture (every order is one raw record).  The typed, de-duplicated
 and cleaned stages are written once per session and data folder and shared.
+``combined_*`` queries take their rows from the combined aggregates that the batch
+script runs; ``ordered_*`` queries number the rows of a report in its order.
 """
 
 from __future__ import annotations
@@ -14,17 +16,18 @@ from pyspark.sql import functions as F
 
 from churnlens.operators import bands
 from churnlens.operators.quality import cleaned_check
+from churnlens.operators.quantiles import attach_scalars, quantile_thresholds
 from churnlens.operators.rates import mapreduce_rate
 from churnlens.plans import reports
 from churnlens.plans.clean import CHARGE, USAGE, threshold_specs
 from churnlens.plans.pipeline import AttritionPipeline, catalog_pipeline
-from churnlens.operators.quantiles import exact_quantiles
-from churnlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, COLUMNS, TYPED_SCHEMA
+from churnlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, COLUMNS, ROW_ID, TYPED_SCHEMA
 from churnlens.session import scratch_dir
 from churnlens.sinks.writers import export_tsv, read_tsv
 from churnlens.sources.csv_raw import read_raw_csv, write_raw_csv
 from churnlens.sources.fixture import raw_records
-from churnlens.streaming.ingest import start_running_rates, start_typed_ingest
+from churnlens.sources.tables import describe_columns
+from churnlens.streaming.ingest import latest_snapshot, start_running_rates, start_typed_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,14 +56,18 @@ def _band(col: str | list[str], group: str) -> Query:
 
 def _thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     dedup = pipeline(spark, sf_dir).deduplicated
-    cuts = exact_quantiles(dedup, threshold_specs(dedup))
     names = {CHARGE: "charge", USAGE: "usage"}
-    cols = [
-        F.lit(v).cast("double").alias(f"{names[k]}_p{i + 1}")
-        for k in (CHARGE, USAGE)
-        for i, v in enumerate(cuts[k])
-    ]
-    return spark.range(1).select(*cols)
+    cuts = quantile_thresholds(dedup, threshold_specs(dedup))
+    return cuts.select(*[F.get(k, F.lit(i)).alias(f"{names[k]}_p{i + 1}") for k in (CHARGE, USAGE) for i in range(2)])
+
+
+def _banded_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two threshold bands with the cut points as an array column of a one-row frame."""
+    dedup = pipeline(spark, sf_dir).deduplicated
+    d = attach_scalars(dedup, quantile_thresholds(dedup, threshold_specs(dedup)))
+    return d.select(
+        "customer_id", bands.monthly_charge_band(F.col(CHARGE)).alias("monthly_charge_band"), bands.usage_band(F.col(USAGE)).alias("usage_band")
+    )
 
 
 def _filled_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,14 +108,28 @@ def _stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_dir = _raw_csv_dir(spark, sf_dir)
     out, ckpt = scratch_dir(spark, "stream_rates"), scratch_dir(spark, "stream_ckpt")
     start_running_rates(spark, raw_dir, out, ckpt).awaitTermination()
-    return spark.read.orc(out)
+    return latest_snapshot(spark, out)
 
 
-def _catalog_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw records as CSV behind a declared external table; typed via INSERT
-    OVERWRITE into the declared ORC table, read back through the catalog."""
-    p = catalog_pipeline(spark, _raw_csv_dir(spark, sf_dir), scratch_dir(spark, "catalog"), database="churnlens_check_db")
-    return p.typed
+_CATALOG: dict[tuple[str, str], AttritionPipeline] = {}
+CHECK_DB = "churnlens_check_db"
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> AttritionPipeline:
+    """Raw records as CSV behind a declared external table; typed and cleaned
+    rows go through INSERT OVERWRITE into the declared ORC tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CATALOG:
+        _CATALOG.clear()  # the tables are declared anew for another data folder
+        _CATALOG[key] = catalog_pipeline(spark, _raw_csv_dir(spark, sf_dir), scratch_dir(spark, "catalog"), database=CHECK_DB)
+    return _CATALOG[key]
+
+
+def _catalog_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DESCRIBE of the filled cleaned table, with the table's row count."""
+    p = _catalog(spark, sf_dir)
+    rows = p.cleaned.agg(F.count(F.lit(1)).alias("table_rows"))
+    return attach_scalars(describe_columns(spark, p.tables["cleaned_orc"]), rows)
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +138,7 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "row_count": lambda s, d: pipeline(s, d).raw_count(),
-    "preview": lambda s, d: pipeline(s, d).raw_preview(10),
+    "preview": lambda s, d: pipeline(s, d).raw_preview(10, order=[ROW_ID]),
     "raw_csv_roundtrip": _csv_roundtrip,
     "key_uniqueness": lambda s, d: pipeline(s, d).raw_key_uniqueness(),
     "duplicate_keys": lambda s, d: pipeline(s, d).raw_duplicate_keys(100),
@@ -128,7 +149,7 @@ QUERIES: dict[str, Query] = {
     "typed_rows": lambda s, d: pipeline(s, d).typed,
     "typed_nulls_required": lambda s, d: pipeline(s, d).typed_required_nulls(),
     "typed_nulls_analytic": lambda s, d: pipeline(s, d).typed_analytic_nulls(),
-    "invalid_rows": lambda s, d: pipeline(s, d).typed_invalid(100),
+    "invalid_rows": lambda s, d: pipeline(s, d).typed_invalid(100, order=[ROW_ID]),
     "latest_per_key": lambda s, d: pipeline(s, d).deduplicated,
     "quantile_thresholds": _thresholds,
     "filled_usage": _filled_usage,
@@ -157,7 +178,76 @@ QUERIES: dict[str, Query] = {
     "rate_usage_support": lambda s, d: reports.rate_usage_support(_cleaned(s, d)),
     "rate_charge_contract": lambda s, d: reports.rate_charge_contract(_cleaned(s, d)),
     "mapreduce_rate": lambda s, d: mapreduce_rate(_cleaned(s, d)),
-    "catalog_typed_rows": _catalog_typed,
+    "threshold_bands_by_column": _banded_by_column,
+    "catalog_typed_rows": lambda s, d: _catalog(s, d).typed,
+    "catalog_cleaned_rows": lambda s, d: _catalog(s, d).cleaned.select(*CLEANED_COLUMNS),
+    "catalog_describe": _catalog_describe,
     "stream_typed_rows": _stream_typed,
     "stream_running_rates": _stream_rates,
 }
+
+
+# ---- the combined path: what the batch script runs ------------------------
+#: combined frame -> the one-statement query with the same result
+COMBINED = {
+    "profile": {
+        "raw_record_count": "row_count",
+        "raw_key_uniqueness": "key_uniqueness",
+        "raw_missing": "missing_report",
+        "raw_churn_values": "freq_raw_churn",
+        "raw_contract_values": "freq_raw_contract",
+        "raw_payment_values": "freq_raw_payment",
+        "raw_duplicate_keys": "duplicate_keys",
+    },
+    "validation": {"typed_required_nulls": "typed_nulls_required", "typed_analytic_nulls": "typed_nulls_analytic"},
+    "checks": {
+        "cleaned_check": "cleaned_check",
+        "churn_summary": "share_of_total_4dp",
+        "describe_numeric": "describe_numeric",
+        "freq_contract": "freq_contract",
+        "freq_payment": "freq_payment",
+        "freq_tenure_group": "freq_tenure_group",
+        "cleaned_nulls": "cleaned_nulls",
+        "rate_contract_payment": "rate_contract_payment_4dp",
+    },
+    "report_tables": {
+        "churn_distribution": "share_of_total_2dp",
+        "contract_payment": "rate_contract_payment_2dp",
+        "tenure_satisfaction": "rate_tenure_satisfaction",
+        "complaints_calls": "rate_complaints_calls",
+        "usage_support": "rate_usage_support",
+        "charge_contract": "rate_charge_contract",
+        "mapreduce_rate": "mapreduce_rate",
+    },
+}
+
+
+def _combined(part: str, name: str) -> Query:
+    return lambda s, d: getattr(pipeline(s, d), part)[name]
+
+
+#: combined query -> its one-statement twin
+TWINS = {f"combined_{name}": twin for part in COMBINED.values() for name, twin in part.items()}
+QUERIES.update({f"combined_{name}": _combined(part, name) for part, names in COMBINED.items() for name in names})
+
+# ---- report order: each row with its place in the business order -----------
+#: ordered query -> the query whose rows it numbers
+ORDERED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "ordered_share_of_total": ("share_of_total_4dp", lambda c: reports.churn_summary(c, 4, "position")),
+    "ordered_freq_contract": ("freq_contract", lambda c: reports.category_counts(c, "contract", "position")),
+    "ordered_freq_payment": ("freq_payment", lambda c: reports.category_counts(c, "payment_method", "position")),
+    "ordered_freq_tenure_group": ("freq_tenure_group", lambda c: reports.category_counts(c, "tenure_group", "position")),
+    "ordered_rate_contract_payment": ("rate_contract_payment_4dp", lambda c: reports.rate_contract_payment(c, 4, "position")),
+    "ordered_contract_payment_report": ("rate_contract_payment_2dp", lambda c: reports.rate_contract_payment_report(c, "position")),
+    "ordered_tenure_satisfaction": ("rate_tenure_satisfaction", lambda c: reports.rate_tenure_satisfaction(c, "position")),
+    "ordered_complaints_calls": ("rate_complaints_calls", lambda c: reports.rate_complaints_calls(c, "position")),
+    "ordered_usage_support": ("rate_usage_support", lambda c: reports.rate_usage_support(c, "position")),
+    "ordered_charge_contract": ("rate_charge_contract", lambda c: reports.rate_charge_contract(c, "position")),
+}
+
+
+def _ordered(make: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda s, d: make(_cleaned(s, d))
+
+
+QUERIES.update({name: _ordered(make) for name, (_, make) in ORDERED.items()})

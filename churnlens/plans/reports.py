@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.labels import (
@@ -34,9 +34,15 @@ from churnlens.functions.labels import (
     code_rank,
 )
 from churnlens.operators.bands import MISSING
-from churnlens.operators.quality import cleaned_check_aggs, cleaned_check_finish, null_count_aggs, null_counts
+from churnlens.operators.quality import (
+    cleaned_check_aggs,
+    cleaned_check_finish,
+    distinct_count,
+    null_count_aggs,
+    null_counts,
+)
 from churnlens.operators.quantiles import attach_scalars
-from churnlens.operators.rates import rate_expr
+from churnlens.operators.rates import guarded_rate, rate_expr
 from churnlens.operators.stats import describe_aggs, describe_finish, describe_numeric, exact_medians
 
 N, S = "total_customers", "churned_customers"
@@ -89,119 +95,109 @@ def _rate(dp: int | None) -> Column:
     return rate_expr(F.col(S), F.col(N), dp).alias("churn_rate")
 
 
-def finish_churn_summary(cells: DataFrame, dp: int = 4) -> DataFrame:
+def _ordered(rows: DataFrame, order: Sequence[Column], out: Sequence[Column | str], position: str | None) -> DataFrame:
+    """``out`` columns of the (few, grouped) rows in ``order``; with ``position``
+    also each row's place in that order, from 1."""
+    if position is None:
+        return rows.orderBy(*order).select(*out)
+    place = F.row_number().over(Window.orderBy(*order)).alias(position)
+    return rows.select(place, *out).orderBy(position)
+
+
+def finish_churn_summary(cells: DataFrame, dp: int = 4, position: str | None = None) -> DataFrame:
     label = F.when(F.col("churn") == 1, F.lit(STATUS_CHURNED)).otherwise(F.lit(STATUS_RETAINED))
     total = cells.agg(F.sum(N).alias("__total"))  # one row: a scalar subquery
-    return (
-        attach_scalars(cells, total)
-        .orderBy(F.asc_nulls_first("churn"))
-        .select(label.alias("customer_status"), F.col(N).alias("customer_count"),
-                rate_expr(F.col(N), F.col("__total"), dp).alias("percentage"))
-    )
+    out = [label.alias("customer_status"), F.col(N).alias("customer_count"), rate_expr(F.col(N), F.col("__total"), dp).alias("percentage")]
+    return _ordered(attach_scalars(cells, total), [F.asc_nulls_first("churn")], out, position)
 
 
-def finish_counts(cells: DataFrame, key: str) -> DataFrame:
-    return cells.select(key, F.col(N).alias("customer_count")).orderBy(
-        F.desc("customer_count"), F.asc_nulls_first(key)
-    )
+def finish_counts(cells: DataFrame, key: str, position: str | None = None) -> DataFrame:
+    return _ordered(cells, [F.desc(N), F.asc_nulls_first(key)], [key, F.col(N).alias("customer_count")], position)
 
 
-def finish_rate_contract_payment(cells: DataFrame, dp: int = 4) -> DataFrame:
+def finish_rate_contract_payment(cells: DataFrame, dp: int = 4, position: str | None = None) -> DataFrame:
     """All contract x payment groups, NULL keys kept, highest rate first."""
-    return cells.select("contract", "payment_method", N, F.col(S).alias("total_churned"), _rate(dp)).orderBy(
-        F.desc("churn_rate"), F.asc_nulls_first("contract"), F.asc_nulls_first("payment_method")
-    )
+    order = [F.desc("churn_rate"), F.asc_nulls_first("contract"), F.asc_nulls_first("payment_method")]
+    return _ordered(cells.withColumn("churn_rate", _rate(dp)), order, ["contract", "payment_method", N, F.col(S).alias("total_churned"), "churn_rate"], position)
 
 
-def finish_contract_payment_report(cells: DataFrame) -> DataFrame:
-    return (
-        cells.filter(F.col("contract").isNotNull() & F.col("payment_method").isNotNull())
-        .select(F.col("contract").alias("contract_type"), "payment_method", N, S, _rate(2))
-        .orderBy("contract_type", F.desc("churn_rate"), "payment_method")
-    )
+def _labelled(cells: DataFrame, keep: Column, order: Sequence[Column], keys: Sequence[Column], position: str | None) -> DataFrame:
+    """A labelled report: wanted key combinations, business order, labels, counts and the 2-place rate."""
+    return _ordered(cells.filter(keep).withColumn("churn_rate", _rate(2)), order, [*keys, *_OUT], position)
 
 
-def finish_tenure_satisfaction(cells: DataFrame) -> DataFrame:
-    return (
-        cells.filter((F.col("tenure_group") != MISSING) & (F.col("satisfaction_group") != MISSING))
-        .orderBy(code_rank("tenure_group", TENURE_LABELS), code_rank("satisfaction_group", SATISFACTION_LABELS))
-        .select(
-            code_label("tenure_group", TENURE_LABELS).alias("tenure"),
-            code_label("satisfaction_group", SATISFACTION_LABELS).alias("satisfaction"),
-            N, S, _rate(2),
-        )
-    )
+def finish_contract_payment_report(cells: DataFrame, position: str | None = None) -> DataFrame:
+    keep = F.col("contract").isNotNull() & F.col("payment_method").isNotNull()
+    order = [F.col("contract"), F.desc("churn_rate"), F.col("payment_method")]
+    return _labelled(cells, keep, order, [F.col("contract").alias("contract_type"), F.col("payment_method")], position)
 
 
-def finish_complaints_calls(cells: DataFrame) -> DataFrame:
-    return (
-        cells.filter((F.col("complaint_group") != MISSING) & (F.col("service_call_group") != MISSING))
-        .orderBy(code_rank("complaint_group", COMPLAINT_LABELS), code_rank("service_call_group", SERVICE_CALL_LABELS))
-        .select(
-            code_label("complaint_group", COMPLAINT_LABELS).alias("complaints"),
-            code_label("service_call_group", SERVICE_CALL_LABELS).alias("service_calls"),
-            N, S, _rate(2),
-        )
-    )
+def finish_tenure_satisfaction(cells: DataFrame, position: str | None = None) -> DataFrame:
+    keep = (F.col("tenure_group") != MISSING) & (F.col("satisfaction_group") != MISSING)
+    order = [code_rank("tenure_group", TENURE_LABELS), code_rank("satisfaction_group", SATISFACTION_LABELS)]
+    keys = [code_label("tenure_group", TENURE_LABELS).alias("tenure"), code_label("satisfaction_group", SATISFACTION_LABELS).alias("satisfaction")]
+    return _labelled(cells, keep, order, keys, position)
 
 
-def finish_usage_support(cells: DataFrame) -> DataFrame:
-    return (
-        cells.filter((F.col("usage_band") != MISSING) & F.col("has_tech_support").isin(0, 1))
-        .orderBy(code_rank("usage_band", USAGE_LABELS), F.desc("has_tech_support"))
-        .select(
-            code_label("usage_band", USAGE_LABELS).alias("internet_usage"),
-            code_label("has_tech_support", TECH_SUPPORT_LABELS).alias("tech_support"),
-            N, S, _rate(2),
-        )
-    )
+def finish_complaints_calls(cells: DataFrame, position: str | None = None) -> DataFrame:
+    keep = (F.col("complaint_group") != MISSING) & (F.col("service_call_group") != MISSING)
+    order = [code_rank("complaint_group", COMPLAINT_LABELS), code_rank("service_call_group", SERVICE_CALL_LABELS)]
+    keys = [code_label("complaint_group", COMPLAINT_LABELS).alias("complaints"), code_label("service_call_group", SERVICE_CALL_LABELS).alias("service_calls")]
+    return _labelled(cells, keep, order, keys, position)
 
 
-def finish_charge_contract(cells: DataFrame) -> DataFrame:
-    return (
-        cells.filter((F.col("monthly_charge_band") != MISSING) & F.col("contract").isNotNull())
-        .select("monthly_charge_band", "contract", N, S, _rate(2))
-        .orderBy(code_rank("monthly_charge_band", CHARGE_LABELS), F.desc("churn_rate"), "contract")
-        .select(
-            code_label("monthly_charge_band", CHARGE_LABELS).alias("charge_band"),
-            F.col("contract").alias("contract_type"),
-            *_OUT,
-        )
-    )
+def finish_usage_support(cells: DataFrame, position: str | None = None) -> DataFrame:
+    keep = (F.col("usage_band") != MISSING) & F.col("has_tech_support").isin(0, 1)
+    order = [code_rank("usage_band", USAGE_LABELS), F.desc("has_tech_support")]
+    keys = [code_label("usage_band", USAGE_LABELS).alias("internet_usage"), code_label("has_tech_support", TECH_SUPPORT_LABELS).alias("tech_support")]
+    return _labelled(cells, keep, order, keys, position)
+
+
+def finish_charge_contract(cells: DataFrame, position: str | None = None) -> DataFrame:
+    keep = (F.col("monthly_charge_band") != MISSING) & F.col("contract").isNotNull()
+    order = [code_rank("monthly_charge_band", CHARGE_LABELS), F.desc("churn_rate"), F.col("contract")]
+    keys = [code_label("monthly_charge_band", CHARGE_LABELS).alias("charge_band"), F.col("contract").alias("contract_type")]
+    return _labelled(cells, keep, order, keys, position)
+
+
+def finish_mapreduce_rate(cells: DataFrame) -> DataFrame:
+    """The unrounded, zero-guarded rate per contract x payment, NULL keys left out."""
+    rows = cells.filter(F.col("contract").isNotNull() & F.col("payment_method").isNotNull())
+    return rows.select("contract", "payment_method", N, F.col(S).alias("total_churned"), guarded_rate(F.col(S), F.col(N)).alias("churn_rate"))
 
 
 # ---- direct statements ----------------------------------------------------
-def churn_summary(cleaned: DataFrame, dp: int = 4) -> DataFrame:
+def churn_summary(cleaned: DataFrame, dp: int = 4, position: str | None = None) -> DataFrame:
     """Churned vs retained: count and percentage of all customers, by code."""
-    return finish_churn_summary(rate_cells(cleaned, ["churn"]), dp)
+    return finish_churn_summary(rate_cells(cleaned, ["churn"]), dp, position)
 
 
-def category_counts(cleaned: DataFrame, col: str) -> DataFrame:
-    return finish_counts(rate_cells(cleaned, [col]), col)
+def category_counts(cleaned: DataFrame, col: str, position: str | None = None) -> DataFrame:
+    return finish_counts(rate_cells(cleaned, [col]), col, position)
 
 
-def rate_contract_payment(cleaned: DataFrame, dp: int = 4) -> DataFrame:
-    return finish_rate_contract_payment(rate_cells(cleaned, CELL_SETS["contract_payment"]), dp)
+def rate_contract_payment(cleaned: DataFrame, dp: int = 4, position: str | None = None) -> DataFrame:
+    return finish_rate_contract_payment(rate_cells(cleaned, CELL_SETS["contract_payment"]), dp, position)
 
 
-def rate_contract_payment_report(cleaned: DataFrame) -> DataFrame:
-    return finish_contract_payment_report(rate_cells(cleaned, CELL_SETS["contract_payment"]))
+def rate_contract_payment_report(cleaned: DataFrame, position: str | None = None) -> DataFrame:
+    return finish_contract_payment_report(rate_cells(cleaned, CELL_SETS["contract_payment"]), position)
 
 
-def rate_tenure_satisfaction(cleaned: DataFrame) -> DataFrame:
-    return finish_tenure_satisfaction(rate_cells(cleaned, CELL_SETS["tenure_satisfaction"]))
+def rate_tenure_satisfaction(cleaned: DataFrame, position: str | None = None) -> DataFrame:
+    return finish_tenure_satisfaction(rate_cells(cleaned, CELL_SETS["tenure_satisfaction"]), position)
 
 
-def rate_complaints_calls(cleaned: DataFrame) -> DataFrame:
-    return finish_complaints_calls(rate_cells(cleaned, CELL_SETS["complaints_calls"]))
+def rate_complaints_calls(cleaned: DataFrame, position: str | None = None) -> DataFrame:
+    return finish_complaints_calls(rate_cells(cleaned, CELL_SETS["complaints_calls"]), position)
 
 
-def rate_usage_support(cleaned: DataFrame) -> DataFrame:
-    return finish_usage_support(rate_cells(cleaned, CELL_SETS["usage_support"]))
+def rate_usage_support(cleaned: DataFrame, position: str | None = None) -> DataFrame:
+    return finish_usage_support(rate_cells(cleaned, CELL_SETS["usage_support"]), position)
 
 
-def rate_charge_contract(cleaned: DataFrame) -> DataFrame:
-    return finish_charge_contract(rate_cells(cleaned, CELL_SETS["charge_contract"]))
+def rate_charge_contract(cleaned: DataFrame, position: str | None = None) -> DataFrame:
+    return finish_charge_contract(rate_cells(cleaned, CELL_SETS["charge_contract"]), position)
 
 
 # --- fixed values: the statistics and NULL checks of the cleaned table -------
@@ -234,14 +230,14 @@ def cleaned_nulls(cleaned: DataFrame) -> DataFrame:
 def summary_tables(cleaned: DataFrame, store) -> dict[str, DataFrame]:
     """The cleaned check, NULL counts and statistics from one global aggregate.
 
-    ``store(df, name)`` writes the one-row result once; the exact medians
-    (two small passes of their own) are attached as literals.
+    ``store(df, name)`` writes the one-row result once.  The distinct count is
+    a query of its own over the one key column, attached as a scalar, so the
+    aggregate's many buffers aren't shuffled per customer; the exact medians
+    (a few small passes) are attached as literals.
     """
     stat_aggs, stat_names = describe_aggs(STATS_SPEC)
-    row = store(
-        cleaned.agg(*cleaned_check_aggs(), *null_count_aggs(CLEANED_NULLS), *stat_aggs).coalesce(1),
-        "cleaned_summary",
-    )
+    sums = cleaned.agg(*cleaned_check_aggs(), *null_count_aggs(CLEANED_NULLS), *stat_aggs)
+    row = store(attach_scalars(sums, distinct_count(cleaned, "customer_id", "distinct_customer_ids")), "cleaned_summary")
     return {
         "cleaned_check": cleaned_check_finish(row),
         "cleaned_nulls": row.select(*CLEANED_NULLS),
@@ -265,4 +261,5 @@ def grouped_tables(all_cells: DataFrame) -> dict[str, DataFrame]:
         "complaints_calls": finish_complaints_calls(c("complaints_calls")),
         "usage_support": finish_usage_support(c("usage_support")),
         "charge_contract": finish_charge_contract(c("charge_contract")),
+        "mapreduce_rate": finish_mapreduce_rate(c("contract_payment")),
     }

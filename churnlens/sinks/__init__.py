@@ -1,11 +1,5 @@
-"""Writers: ORC tables, TSV export, and materialisation of intermediates."""
+"""Writers: the TSV export and its reader."""
 
-from churnlens.sinks.writers import (
-    export_tsv,
-    insert_overwrite,
-    materialize,
-    read_tsv,
-    write_orc,
-)
+from churnlens.sinks.writers import export_tsv, read_tsv
 
-__all__ = ["export_tsv", "insert_overwrite", "materialize", "read_tsv", "write_orc"]
+__all__ = ["export_tsv", "read_tsv"]

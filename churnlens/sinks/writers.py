@@ -1,10 +1,7 @@
-"""ORC / TSV writers.
+"""TSV writer and reader.
 
-Every writer is a distributed ``DataFrame.write``: each task writes its own
-part file, nothing passes through the driver.  Intermediates that are read
-more than once are written once to the shared checkpoint folder and read
-back, which also cuts the lineage so a lost executor does not replay the
-upstream shuffle.
+The export is a distributed ``DataFrame.write``: each task writes its own
+part file, nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -16,35 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.schema import CLEANED_COLUMNS
-from churnlens.session import scratch_dir
 
 TSV_NULL = "\\N"
 
 
-def write_orc(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
-    w = df.write.mode(mode)
-    if compression:
-        w = w.option("compression", compression)
-    w.orc(path)
-
-
-def materialize(df: DataFrame, name: str, fmt: str = "orc") -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and return the scan of it."""
-    spark: SparkSession = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
-
-
-def insert_overwrite(spark: SparkSession, table: str, df: DataFrame) -> None:
-    """INSERT OVERWRITE TABLE from a frame (columns matched by position).
-
-    Spark refuses to overwrite a table the query itself reads; materialise
-    such a frame first.
-    """
-    df.write.insertInto(table, overwrite=True)
-
-
 def export_tsv(
     df: DataFrame,
     path: str,

@@ -6,21 +6,21 @@ from churnlens.sources.tables import (
     create_database,
     declare_csv_table,
     declare_orc_table,
+    describe_columns,
     describe_table,
     drop_table,
-    read_orc,
-    read_table,
+    use_database,
 )
 
 __all__ = [
     "create_database",
     "declare_csv_table",
     "declare_orc_table",
+    "describe_columns",
     "describe_table",
     "drop_table",
     "raw_records",
-    "read_orc",
     "read_raw_csv",
-    "read_table",
+    "use_database",
     "write_raw_csv",
 ]

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from churnlens.plans.parallel import spread
 from churnlens.schema import RAW_SCHEMA
 
 CSV_OPTIONS = {
@@ -28,19 +27,19 @@ def read_raw_csv(
     path: str | list[str],
     schema: T.StructType = RAW_SCHEMA,
     empty_as_text: bool = True,
-    spread_small: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Scan raw CSV as all-text columns.
 
     With ``empty_as_text`` an empty field reads as ``''`` (a text-serde
     reader never produces NULL for a present field); Spark's own default is
-    NULL.  Either way the typing rules treat both as missing.  With
-    ``spread_small`` an input with fewer splits than cores (a few gzip
-    files, say) is dealt over all cores before the per-row work.
+    NULL.  Either way the typing rules treat both as missing.
+    ``partitions`` deals the rows round-robin over so many partitions before
+    the per-row work: for a few files that can't be split, gzip say.
     """
     df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    if spread_small:
-        df = spread(df)
+    if partitions:
+        df = df.repartition(partitions)
     if empty_as_text:
         df = df.na.fill("")
     return df

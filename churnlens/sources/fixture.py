@@ -8,8 +8,7 @@ values, mixed-case categories and ten flag spellings.
 
 Plan shape: line items are pre-aggregated per order (partial aggregate before
 the shuffle), left-joined to orders on the order key, then joined to
-customers.  An orders scan with fewer splits than cores is spread first, so
-the wide per-row expressions below do not run in one task.  Only the columns used are read, so the scans prune to them, and
+customers.  Only the columns used are read, so the scans prune to them, and
 Spark picks broadcast vs. sort-merge for the customer join from table size
 (AQE splits a skewed customer key at run time).
 """
@@ -19,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.plans.parallel import spread
 from churnlens.schema import COLUMNS, ROW_ID
 
 # --- fixed values: fixture flag spellings, indexed by ((key * P) % 101) % 10 --
@@ -51,13 +49,17 @@ def _flag(k: Column, mult: int) -> Column:
     return out
 
 
-def base_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with its customer and line-item summary."""
-    orders = spread(
-        spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-            "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority"
-        )
+def base_relation(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """One row per order with its customer and line-item summary.
+
+    ``partitions`` deals the orders round-robin first: for one small file on
+    many cores; without it the scan's own splits are kept.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority"
     )
+    if partitions:
+        orders = orders.repartition(partitions)
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         "c_custkey", "c_acctbal", "c_mktsegment"
     )
@@ -89,9 +91,9 @@ def base_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_records(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """32 text columns plus ``row_id`` (the order key, a tie-break only)."""
-    b = base_relation(spark, sf_dir)
+    b = base_relation(spark, sf_dir, partitions)
     k, ck = F.col("k"), F.col("ck")
     expr: dict[str, Column] = {
         "customer_id": F.when(k % 211 == 0, F.lit(""))

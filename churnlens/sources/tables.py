@@ -18,10 +18,17 @@ def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def create_database(spark: SparkSession, name: str, use: bool = True) -> None:
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(name)}")
-    if use:
-        spark.sql(f"USE {_q(name)}")
+
+
+def use_database(spark: SparkSession, name: str) -> None:
+    spark.sql(f"USE {_q(name)}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -30,15 +37,12 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def declare_csv_table(spark: SparkSession, name: str, schema: T.StructType, location: str) -> None:
-    opts = ", ".join(f"'{k}' '{v}'" for k, v in CSV_OPTIONS.items() if k != "escape")
-    spark.sql(
-        f"CREATE TABLE {_q(name)} ({ddl(schema)}) USING csv "
-        f"OPTIONS ({opts}, 'escape' '\\\\') LOCATION '{location}'"
-    )
+    opts = ", ".join(f"{_text(k)} {_text(v)}" for k, v in CSV_OPTIONS.items())
+    spark.sql(f"CREATE TABLE {_q(name)} ({ddl(schema)}) USING csv OPTIONS ({opts}) LOCATION {_text(location)}")
 
 
 def declare_orc_table(spark: SparkSession, name: str, schema: T.StructType, location: str) -> None:
-    spark.sql(f"CREATE TABLE {_q(name)} ({ddl(schema)}) USING orc LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {_q(name)} ({ddl(schema)}) USING orc LOCATION {_text(location)}")
 
 
 def describe_table(spark: SparkSession, name: str) -> DataFrame:
@@ -46,12 +50,8 @@ def describe_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)}")
 
 
-def read_orc(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.orc(path)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
+def describe_columns(spark: SparkSession, name: str) -> DataFrame:
+    """The columns of a table as DESCRIBE lists them: position, col_name, data_type."""
+    rows = spark.sql(f"DESCRIBE TABLE {_q(name)}").collect()  # a row per column
+    listed = [(i + 1, r["col_name"], r["data_type"]) for i, r in enumerate(rows)]
+    return spark.createDataFrame(listed, "position int, col_name string, data_type string")

@@ -16,17 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from churnlens.operators.rates import mapreduce_rate
 from churnlens.operators.typing import type_rows
 from churnlens.schema import RAW_SCHEMA
 from churnlens.sources.csv_raw import CSV_OPTIONS
 
-# Files per micro-batch: a large backlog is split into bounded batches (the
-# available-now trigger honours it), so no single batch plans the whole input.
-MAX_FILES_PER_TRIGGER = 10_000
+def raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New raw CSV files under ``raw_dir`` as an all-text stream.
 
-
-def raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """New raw CSV files under ``raw_dir`` as an all-text stream."""
+    ``max_files_per_trigger`` splits a backlog into bounded micro-batches (the
+    available-now trigger honours it and still takes every file).
+    """
     reader = spark.readStream.schema(RAW_SCHEMA).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -39,7 +39,7 @@ def start_typed_ingest(
     out_dir: str,
     checkpoint: str,
     available_now: bool = True,
-    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Append typed rows for every new raw file to ORC under ``out_dir``."""
     w = (
@@ -55,14 +55,7 @@ def start_typed_ingest(
 
 def running_rates(typed: DataFrame, keys: Sequence[str] = ("contract", "payment_method"), target: str = "churn") -> DataFrame:
     """Streaming per-key totals and unrounded rate over valid records."""
-    cond = F.col(target).isin(0, 1)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    agg = typed.filter(cond).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_customers"), F.sum(target).cast("bigint").alias("total_churned")
-    )
-    rate = F.col("total_churned").cast("double") / F.col("total_customers").cast("double") * F.lit(100.0)
-    return agg.select(*keys, "total_customers", "total_churned", rate.alias("churn_rate"))
+    return mapreduce_rate(typed, keys, target)
 
 
 def start_running_rates(
@@ -72,14 +65,23 @@ def start_running_rates(
     checkpoint: str,
     keys: Sequence[str] = ("contract", "payment_method"),
     available_now: bool = True,
-    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Keep an ORC snapshot of the running rates current after every trigger."""
+    """An ORC snapshot of the running rates after every trigger, each in a folder
+    of its own (``epoch=N``), so a reader never meets a half-written one.
+    ``latest_snapshot`` reads the newest."""
     rates = running_rates(type_rows(raw_stream(spark, raw_dir, max_files_per_trigger)), keys)
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").orc(out_dir)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").orc(f"{out_dir}/epoch={epoch}")
 
     w = rates.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def latest_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The rates of the newest epoch."""
+    every = spark.read.orc(out_dir)
+    newest = every.agg(F.max("epoch").alias("e")).scalar()
+    return every.filter(F.col("epoch") == newest).drop("epoch")

@@ -28,7 +28,7 @@ def test_latest_per_key_order_and_ties(spark):
         ("d", None, 1, 41),
     ]
     df = spark.createDataFrame(rows, "customer_id string, signup_date date, churn int, row_id long")
-    out = latest_per_key(df, "customer_id", [F.col("signup_date").desc_nulls_last()], ["row_id"])
+    out = latest_per_key(df, "customer_id", {"signup_date": F.col("signup_date").desc_nulls_last()}, ["row_id"])
     got = {r["customer_id"]: r["row_id"] for r in out.collect()}
     assert got == {"a": 11, "b": 21, "c": 31, "d": 41}
 
@@ -37,7 +37,7 @@ def test_latest_per_key_default_tiebreak_is_deterministic(spark):
     rows = [("k", 1, "x"), ("k", 1, "y"), ("k", 1, "a")]
     df = spark.createDataFrame(rows, "customer_id string, v int, w string")
     for n in (1, 3):
-        out = latest_per_key(df.repartition(n), "customer_id", [F.col("v").desc()])
+        out = latest_per_key(df.repartition(n), "customer_id", {"v": F.col("v").desc()})
         assert [r["w"] for r in out.collect()] == ["y"]
 
 
@@ -52,7 +52,7 @@ def test_dedupe_limits_each_key_before_the_shuffle(spark):
     rows = [(("hot" if i % 3 == 0 else f"k{i}"), dt.date(2024, 1, 1 + i % 28), 1, i) for i in range(n)]
     schema = "customer_id string, signup_date date, churn int, row_id long"
     df = spark.createDataFrame(rows, schema).repartition(6)
-    out = latest_per_key(df, "customer_id", [F.col("signup_date").desc_nulls_last()], ["row_id"])
+    out = latest_per_key(df, "customer_id", {"signup_date": F.col("signup_date").desc_nulls_last()}, ["row_id"])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     res = {r["customer_id"]: r["row_id"] for r in out.collect()}
@@ -70,8 +70,8 @@ def _brute(values, p):
     return v[k - 1]
 
 
-@pytest.mark.parametrize("accuracy,collect_limit", [(10_000, 100_000), (20, 40), (8, 10)])
-def test_exact_quantiles_match_brute_force(spark, accuracy, collect_limit):
+@pytest.mark.parametrize("bins", [1024, 7, 2])
+def test_exact_quantiles_match_brute_force(spark, bins):
     rnd = random.Random(7)
     vals = []
     for i in range(4000):
@@ -88,7 +88,7 @@ def test_exact_quantiles_match_brute_force(spark, accuracy, collect_limit):
     specs = {"all": (F.col("x"), probs), "cond": (F.when(F.col("f") == 1, F.col("x")), probs)}
     from churnlens.operators import quantiles as Q
 
-    got = Q.exact_quantiles(df, specs, accuracy=accuracy, collect_limit=collect_limit)
+    got = Q.exact_quantiles(df, specs, bins=bins)
     want_all = [_brute(vals, p) for p in probs]
     want_cond = [_brute([v for v, f in zip(vals, flags) if f == 1], p) for p in probs]
     assert got["all"] == want_all
@@ -131,7 +131,7 @@ def test_deduplicate_drops_invalid_before_ranking(spark):
 
 
 def test_exact_quantiles_match_duckdb_on_lineitem(spark):
-    """60k real prices, a sketch so small that several narrowing rounds run."""
+    """60k real prices, so few bins that many narrowing rounds run."""
     import duckdb
 
     from conftest import SF_MID
@@ -142,11 +142,20 @@ def test_exact_quantiles_match_duckdb_on_lineitem(spark):
     got = exact_quantiles(
         df,
         {"price": (F.col("l_extendedprice"), probs), "qty": (F.col("l_quantity"), probs)},
-        accuracy=50,
-        collect_limit=500,
+        bins=8,
     )
     con = duckdb.connect()
     for name, col in (("price", "l_extendedprice"), ("qty", "l_quantity")):
         sel = ", ".join(f"quantile_disc({col}, {p})" for p in probs)
         want = list(con.execute(f"SELECT {sel} FROM read_parquet('{path}')").fetchone())
         assert got[name] == want, name
+
+
+def test_exact_quantiles_of_extreme_values(spark):
+    inf = float("inf")
+    vals = [-1.7e308, 1.7e308, 5e-324, -5e-324, 0.0, -0.0, 1.0, 1.0 + 2**-52, inf, -inf, float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.2, 0.3, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
+    real = [v for v in vals if v is not None and v == v]
+    got = exact_quantiles(df, {"q": (F.col("x"), probs)}, bins=3)["q"]
+    assert got == [_brute(real, p) for p in probs]

@@ -6,8 +6,11 @@ import glob
 import gzip
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from churnlens.operators.rates import mapreduce_rate
 from churnlens.plans.pipeline import AttritionPipeline, run_script
 from churnlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, COLUMNS, RAW_SCHEMA, TYPED_SCHEMA
 from churnlens.sinks.writers import export_tsv, read_tsv
@@ -79,7 +82,7 @@ def test_pipeline_stages_are_written_orc(spark, tmp_out):
     assert p.typed.count() == 1500
     assert [f for f in p.typed.schema.fields if f.name != "row_id"] == list(TYPED_SCHEMA.fields)
     c = p.cleaned
-    check = p.checks()["cleaned_check"].first()
+    check = p.checks["cleaned_check"].first()
     assert check["remaining_duplicate_rows"] == 0 and check["missing_churn"] == 0
     assert check["cleaned_rows"] == c.count()
     for stage in ("typed_orc", "deduplicated", "cleaned_orc"):
@@ -118,7 +121,7 @@ def test_run_script_with_catalog_tables(spark, tmp_out):
 
 def test_combined_profile_equals_single_statements(spark, tmp_out):
     p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "prof"))
-    combined = p.profile()
+    combined = p.profile
     single = {
         "raw_record_count": p.raw_count(),
         "raw_key_uniqueness": p.raw_key_uniqueness(),
@@ -155,11 +158,12 @@ def test_grouped_reports_from_one_aggregate_equal_direct_statements(spark, tmp_o
         "usage_support": reports.rate_usage_support(c),
         "charge_contract": reports.rate_charge_contract(c),
     }
-    assert set(direct) == set(g)
+    assert set(direct) | {"mapreduce_rate"} == set(g)
     for name, want in direct.items():
         got = g[name]
         assert got.columns == want.columns, name
         assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], name
+    assert sorted(tuple(r) for r in g["mapreduce_rate"].collect()) == sorted(tuple(r) for r in mapreduce_rate(c).collect())
     assert plan  # the stored cells table is a plain scan
 
 
@@ -186,12 +190,69 @@ def test_cleaned_summary_from_one_aggregate_equals_direct_statements(spark, tmp_
 
 def test_validation_from_one_aggregate_equals_direct_statements(spark, tmp_out):
     p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "val"))
-    one = p.validation()
+    one = p.validation
     direct = {
         "typed_required_nulls": p.typed_required_nulls(),
         "typed_analytic_nulls": p.typed_analytic_nulls(),
-        "typed_invalid_rows": p.typed_invalid(),
     }
     for name, want in direct.items():
         assert one[name].columns == want.columns, name
         assert [tuple(r) for r in one[name].collect()] == [tuple(r) for r in want.collect()], name
+    excluded = {r["row_id"] for r in p.typed.filter("customer_id IS NULL OR churn IS NULL").collect()}
+    shown = {r["row_id"] for r in one["typed_invalid_rows"].collect()}
+    assert shown <= excluded and len(shown) == min(100, len(excluded))
+
+
+def test_reports_are_written_whole(spark, tmp_out, capsys):
+    from churnlens.__main__ import write_reports
+
+    wide = spark.range(250).selectExpr("concat('group ', id) AS name", "id AS customer_count")
+    write_reports({"wide": wide, "export_path": "somewhere"}, tmp_out)
+    assert spark.read.parquet(os.path.join(tmp_out, "reports", "wide")).count() == 250
+    said = capsys.readouterr().out
+    assert f"wide: {tmp_out}/reports/wide" in said and "export_path: somewhere" in said
+
+
+def test_stages_may_be_asked_for_twice(spark, tmp_out):
+    p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "twice"))
+    first = p.validation["typed_required_nulls"]
+    assert p.validation["typed_required_nulls"] is first
+    assert p.checks["cleaned_check"] is p.checks["cleaned_check"]
+    assert first.count() == 1
+
+
+def test_no_shared_folder_is_an_error():
+    from churnlens import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session(), "x")
+
+
+def test_jvm_flags_are_added_to_those_of_the_cluster(monkeypatch):
+    from churnlens import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return "-Dmine=1" if "executor" in key else default
+
+    monkeypatch.setattr(session, "SparkConf", Conf)
+    got = session._with_jvm_flag("-XX:+Flag")
+    assert got == {"spark.driver.extraJavaOptions": "-XX:+Flag", "spark.executor.extraJavaOptions": "-Dmine=1 -XX:+Flag"}
+
+
+def test_locations_are_quoted(spark, tmp_out):
+    from churnlens.schema import TYPED_SCHEMA
+    from churnlens.sources import create_database, declare_orc_table, drop_table
+
+    create_database(spark, "churn_quote_db")
+    place = os.path.join(tmp_out, "it's here")
+    declare_orc_table(spark, "churn_quote_db.t", TYPED_SCHEMA, place)
+    assert spark.table("churn_quote_db.t").columns == TYPED_SCHEMA.names
+    drop_table(spark, "churn_quote_db.t")

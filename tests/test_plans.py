@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 
 from churnlens.plans.clean import clean
-from churnlens.plans.parallel import spread
 from churnlens.plans.pipeline import AttritionPipeline
 from churnlens.schema import CLEANED_COLUMNS
 from churnlens.sources.fixture import raw_records
@@ -40,7 +40,8 @@ def test_profile_queries_read_only_their_columns(spark, tmp_out):
     p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "q"))
     assert _scan_columns(p.raw_frequencies("contract")) == ["contract"]
     assert sorted(_scan_columns(p.raw_missing())) == sorted(MISSING_FIELDS)
-    assert _scan_columns(p.raw_key_uniqueness()) == ["customer_id"]
+    schemas = set(re.findall(r"ReadSchema: (struct<[^>]*>)", _plan(p.raw_key_uniqueness())))
+    assert schemas == {"struct<>", "struct<customer_id:string>"}
 
 
 def test_report_filters_reach_the_scan(spark, tmp_out):
@@ -61,12 +62,49 @@ def test_typing_adds_no_shuffle(spark, tmp_out):
     assert "Exchange" not in _plan(type_rows(p.raw_stored))
 
 
-def test_spread_only_when_under_partitioned(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores * 2)
-    assert spread(many) is many
+def test_partitions_are_dealt_only_when_asked(spark, tmp_out):
+    from churnlens.sources.csv_raw import read_raw_csv, write_raw_csv
+    from churnlens.schema import COLUMNS
+
+    path = os.path.join(tmp_out, "csv")
+    write_raw_csv(raw_records(spark, SF_SMALL).select(*COLUMNS), path)
+    assert "Exchange" not in _plan(read_raw_csv(spark, path))
+    assert "RoundRobinPartitioning(5)" in _plan(read_raw_csv(spark, path, partitions=5))
+
+
+def test_distinct_counts_shuffle_the_key_alone(spark, tmp_out):
+    from churnlens.operators.quality import cleaned_check, key_uniqueness
+
+    p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "d"))
+    seen = []
+    store = lambda df, name: seen.append(df) or df
+    from churnlens.plans import reports
+
+    reports.summary_tables(p.cleaned, store)
+    for df in (cleaned_check(p.cleaned), key_uniqueness(p.raw_stored, "customer_id"), seen[0]):
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+        keyed = [x for x in text.splitlines() if "HashAggregate(keys=[__key" in x]
+        assert keyed and all("functions=[]" in x for x in keyed), text
+
+
+def test_preview_and_inspection_take_a_limit_without_a_sort(spark, tmp_out):
+    p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "v"))
+    plan = _plan(p.raw_preview())
+    assert "CollectLimit" in plan and "Sort" not in plan.replace("SortMergeJoin", "").replace("SortAggregate", "")
+    assert not os.path.exists(os.path.join(tmp_out, "v"))  # nothing was written for it
+    assert "TakeOrdered" not in _plan(p.typed_invalid()) and "TakeOrdered" in _plan(p.raw_preview(10, order=["row_id"]))
+
+
+def test_thresholds_are_a_plan_over_the_table(spark, tmp_out):
+    from churnlens.operators.quantiles import exact_quantiles, quantile_thresholds
+    from churnlens.plans.clean import threshold_specs
+
+    p = AttritionPipeline(spark, raw_records(spark, SF_SMALL), workdir=os.path.join(tmp_out, "t"))
+    d = p.deduplicated
+    th = quantile_thresholds(d, threshold_specs(d))
+    assert "Scan orc" in _plan(th)
+    assert {k: list(th.first()[k]) for k in th.columns} == exact_quantiles(d, threshold_specs(d))
 
 
 def test_dedupe_filter_is_pushed_below_the_window(spark):
@@ -83,19 +121,7 @@ def test_dedupe_filter_is_pushed_below_the_window(spark):
     assert filt > exch
 
 
-def test_raw_staging_only_when_it_saves_work(spark, tmp_out):
-    from churnlens.plans.pipeline import is_columnar_scan
-    from churnlens.sources.csv_raw import read_raw_csv, write_raw_csv
-    from churnlens.schema import COLUMNS
-
-    derived = raw_records(spark, SF_SMALL)
-    assert not is_columnar_scan(derived)  # joins + aggregate: stage once
-    orc_dir = os.path.join(tmp_out, "raw_orc")
-    derived.write.orc(orc_dir)
-    plain = spark.read.orc(orc_dir).filter("row_id > 0").select(*COLUMNS, "row_id")
-    assert is_columnar_scan(plain)  # already columnar: read it directly
-    csv_dir = os.path.join(tmp_out, "raw_csv")
-    write_raw_csv(derived.select(*COLUMNS), csv_dir)
-    assert not is_columnar_scan(read_raw_csv(spark, csv_dir))  # text: parse once
-    p = AttritionPipeline(spark, plain, workdir=os.path.join(tmp_out, "w"))
-    assert p.raw_stored is plain
+def test_raw_staging_is_a_plain_option(spark, tmp_out):
+    raw = raw_records(spark, SF_SMALL)
+    assert AttritionPipeline(spark, raw, workdir=os.path.join(tmp_out, "w"), stage_raw=False).raw_stored is raw
+    assert "Scan orc" in _plan(AttritionPipeline(spark, raw, workdir=os.path.join(tmp_out, "x")).raw_stored)

@@ -13,7 +13,8 @@ from churnlens.operators.quality import (
     null_counts,
     value_frequencies,
 )
-from churnlens.operators.rates import group_rate, map_emit, mapreduce_rate, reduce_rate, share_of_total
+from churnlens.operators.rates import map_emit, mapreduce_rate, reduce_rate
+from churnlens.plans import reports
 from churnlens.operators.stats import describe_numeric
 
 
@@ -49,32 +50,32 @@ def test_mapreduce_plan_has_partial_aggregate(spark):
     assert "partial_sum" in plan  # map-side combine before the exchange
 
 
-def test_group_rate_null_keys_and_rounding(spark):
+def test_rates_keep_or_drop_null_keys_and_round(spark):
     rows = [("a", "x", 1), ("a", "x", 0), ("a", "x", 0), (None, "x", 1), ("b", None, 0)]
     df = spark.createDataFrame(rows, "contract string, payment_method string, churn int")
-    keep = {(r[0], r[1]): tuple(r[2:]) for r in group_rate(df, ["contract", "payment_method"], dp=4).collect()}
+    keep = {(r[0], r[1]): tuple(r[2:]) for r in reports.rate_contract_payment(df, 4).collect()}
     assert keep[("a", "x")] == (3, 1, 33.3333)
     assert keep[(None, "x")] == (1, 1, 100.0)
     assert keep[("b", None)] == (1, 0, 0.0)
-    drop = group_rate(df, ["contract", "payment_method"], dp=2, null_keys="drop").collect()
+    drop = reports.rate_contract_payment_report(df).collect()
     assert [(r[0], r[1], r[4]) for r in drop] == [("a", "x", 33.33)]
 
 
 def test_mapreduce_totals_equal_report_totals(spark):
     rows = [("a", "x", 1), ("a", "x", 0), ("b", "y", 1), (None, "y", 1), ("b", None, 1)]
     df = spark.createDataFrame(rows, "contract string, payment_method string, churn int")
-    mr = {(r[0], r[1]): (r[2], r[3]) for r in mapreduce_rate(df).collect()}
-    rep = {(r[0], r[1]): (r[2], r[3]) for r in group_rate(df, ["contract", "payment_method"], null_keys="drop").collect()}
-    assert mr == rep
+    mr = sorted(tuple(r) for r in mapreduce_rate(df).collect())
+    assert [(r[0], r[1], r[2], r[3]) for r in mr] == sorted((r[0], r[1], r[2], r[3]) for r in reports.rate_contract_payment_report(df).collect())
+    cells = reports.rate_cells(df, ["contract", "payment_method"])
+    assert sorted(tuple(r) for r in reports.finish_mapreduce_rate(cells).collect()) == mr
 
 
 def test_share_of_total(spark):
     df = spark.createDataFrame([(1,)] * 3 + [(0,)] * 5, "churn int")
-    label = F.when(F.col("churn") == 1, F.lit("Churned")).otherwise(F.lit("Retained"))
-    out = share_of_total(df, "churn", label, dp=4).collect()
+    out = reports.churn_summary(df, 4).collect()
     assert [(r[0], r[1], r[2]) for r in out] == [("Retained", 5, 62.5), ("Churned", 3, 37.5)]
     assert abs(sum(r[2] for r in out) - 100.0) < 1e-9
-    plan = share_of_total(df, "churn", label)._jdf.queryExecution().executedPlan().toString()
+    plan = reports.churn_summary(df, 4)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan  # no single-partition window over all groups
 
 
