@@ -51,7 +51,7 @@ HOT = 8192
 HOT_SAMPLE = 2000
 DISCOUNT = 0.75
 MIN_COUNT = 2
-BUNDLE_CHARS = 4_000_000
+BUNDLE_CHARS = 3_000_000
 BUNDLE_TEXTS = 60_000
 SHARD_CHARS = 200_000_000
 MIN_SHARDS = 32
@@ -166,13 +166,27 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[dict[str, np.ndarray]] = []
     shard = None
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        uni, at = np.unique(np.concatenate([x["uni"] for x in held]), return_inverse=True)
-        uni_n = np.bincount(at, np.concatenate([x["uni_n"] for x in held]), len(uni)).astype(np.int64)
-        key = np.concatenate([np.repeat(x["keys"], x["fan"]) for x in held])
-        other = np.concatenate([x["o0"].astype(np.uint64) | x["o1"].astype(np.uint64) << _S16 | x["o2"].astype(np.uint64) << _S32 for x in held])
-        back = np.concatenate([np.unpackbits(x["back"], count=len(x["n"])) for x in held])
-        n = np.concatenate([x["n"] for x in held]).astype(np.int64)
+    def flush(lo: int, hi: int) -> Iterator[pa.RecordBatch]:
+        """The sums of the keys in [lo, hi): a quarter of a shard at a time bounds the arrays."""
+
+        def cut(sorted_keys: np.ndarray) -> slice:
+            a = np.searchsorted(sorted_keys, np.uint64(lo))
+            return slice(int(a), int(np.searchsorted(sorted_keys, np.uint64(hi - 1), side="right")))
+
+        uni_cut = [cut(x["uni"]) for x in held]
+        uni, at = np.unique(np.concatenate([x["uni"][z] for x, z in zip(held, uni_cut)]), return_inverse=True)
+        uni_n = np.bincount(at, np.concatenate([x["uni_n"][z] for x, z in zip(held, uni_cut)]), len(uni)).astype(np.int64)
+        keys, others, backs, ns = [], [], [], []
+        for x in held:
+            z = cut(x["keys"])
+            ends = np.cumsum(x["fan"], dtype=np.int64)
+            a, b = (int(ends[i - 1]) if i else 0 for i in (z.start, z.stop))
+            keys.append(np.repeat(x["keys"][z], x["fan"][z]))
+            others.append(x["o0"][a:b].astype(np.uint64) | x["o1"][a:b].astype(np.uint64) << _S16 | x["o2"][a:b].astype(np.uint64) << _S32)
+            backs.append(np.unpackbits(x["back"], count=len(x["n"]))[a:b])
+            ns.append(x["n"][a:b])
+        key, other, back, n = np.concatenate(keys), np.concatenate(others), np.concatenate(backs), np.concatenate(ns).astype(np.int64)
+        del keys, others, backs, ns
         order = np.lexsort((other, back, key))
         key, other, back, n = key[order], other[order], back[order], n[order]
         new = np.ones(len(key), bool)
@@ -181,27 +195,31 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.add.reduceat(n, starts) if len(starts) else n
         keep = total >= MIN_COUNT
         starts, total = starts[keep], total[keep]
-        key = key[starts]
+        key, other, back = key[starts], other[starts], back[starts]
         at = np.minimum(np.searchsorted(uni, key), max(len(uni) - 1, 0))
         n_key = np.where(uni[at] == key, uni_n[at], 0) if len(uni) else np.zeros(len(key), np.int64)
         none = np.zeros(len(uni), np.int64)
-        parts = [(uni, none - 1, none > 0, uni_n, none), (key, other[starts].astype(np.int64), back[starts] > 0, total, n_key)]
-        for k, o, b, c, m in parts:
+        for k, o, b, c, m in ((uni, none - 1, none > 0, uni_n, none), (key, other.astype(np.int64), back > 0, total, n_key)):
             for a in range(0, len(k), 100_000):
                 z = slice(a, a + 100_000)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k[z].view(np.int64)), pa.array(o[z]), pa.array(b[z]), pa.array(c[z]), pa.array(m[z])], names=["key", "other", "back", "n", "n_key"]
                 )
 
+    def quarters() -> Iterator[pa.RecordBatch]:
+        for q in range(4):
+            yield from flush(q << 62, (q + 1) << 62)
+        held.clear()
+        pa.default_memory_pool().release_unused()
+
     for b in batches:
         for s, blob in zip(b["shard"].to_pylist(), b["blob"].to_pylist()):
             if s != shard and held:
-                yield from flush()
-                held.clear()
+                yield from quarters()
             shard = s
             held.append(unpack(blob))
     if held:
-        yield from flush()
+        yield from quarters()
 
 
 class Model:
