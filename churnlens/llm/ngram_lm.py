@@ -267,7 +267,7 @@ def train(docs: DataFrame, hot_size: int = HOT, shards: int | None = None) -> Mo
     kept = pairs.groupBy("h48").agg(F.sum(F.col("n") - DISCOUNT).alias("used"))
     start = spark.createDataFrame([(signed(START), texts)], "w bigint, n bigint")
     known = count.unionByName(start).select("w", "n", name("w").alias("h48")).join(kept, "h48", "left")
-    known = known.select("w", "n", "h48", F.greatest(1 - F.coalesce("used", F.lit(0.0)) / F.col("n"), F.lit(1e-12)).alias("rest"))
+    known = known.select("w", "n", "h48", F.greatest(1 - F.coalesce(F.try_divide("used", "n"), F.lit(0.0)), F.lit(1e-12)).alias("rest"))
     known = stored(known, "lm-words")
     # two words of one 48-bit name: the more frequent one
     by_name = known.groupBy("h48").agg(F.max(F.struct("n", "rest")).alias("x")).select("h48", F.col("x.n").alias("nh"), F.col("x.rest").alias("rest"))
