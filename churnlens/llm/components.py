@@ -38,11 +38,12 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     always to the smallest.
     """
     e = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    # every step is written: a step refers to its input several times
+    e = stored(e.distinct(), "edges")
     if rounds is not None:
         for _ in range(rounds):
-            e = _star(e)
-        return stored(e, "edges")
-    e = stored(_star(e), "edges")
+            e = stored(_star(e), "edges")
+        return e
     digest = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = digest(e)
     while True:

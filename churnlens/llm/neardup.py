@@ -172,7 +172,7 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
         texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
         more = stored(texts.mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
         sets = more if sets is None else sets.unionByName(more)
-        found = _confirmed(likely, sets, percent)
+        found = stored(_confirmed(likely, sets, percent), "neardup-edges")
         edges = found if edges is None else edges.unionByName(found)
         large = opened.where(F.col("size") > LEAF)
         if last or large.isEmpty():
