@@ -47,7 +47,8 @@ from churnlens.llm.common import bounded_batches, stored
 from churnlens.llm.elias_fano import OTHER_BITS, Trie, from_buffer, to_bytes, trie_image
 from churnlens.llm.text_hash import mixed, word_hashes, words
 
-HOT = 8192
+#: Bounds the hot trie: at most (HOT + 2) ** 2 pairs, 4.2 million, of 25 bytes on their way through the driver.
+HOT = 2048
 HOT_SAMPLE = 2000
 DISCOUNT = 0.75
 MIN_COUNT = 2
