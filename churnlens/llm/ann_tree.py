@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from churnlens.llm.common import bounded_batches, stored
+from churnlens.llm.common import bounded_batches, bounded_sample, stored
 
 SAMPLE = 20_000
 BRANCH = 16
@@ -219,7 +219,7 @@ def nearest(table: DataFrame, is_query: str, k: int = K, target: float = TARGET)
     spark = table.sparkSession
     bounded_batches(spark, BLOCK)
     rows = valid_vectors(table)
-    first = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
+    first = bounded_sample(rows, "vec_id", SAMPLE).toArrow()
     if first.num_rows == 0:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     tree = fit_tree(_matrix(first["embedding"]))
@@ -231,7 +231,7 @@ def nearest(table: DataFrame, is_query: str, k: int = K, target: float = TARGET)
 
     indexed = stored(rows.mapInArrow(index, "leaf int, vec_id bigint, embedding array<double>"), "ann-index")
     queries = indexed.where(is_query)
-    probe = queries.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(CALIBRATION).select("vec_id", "embedding").toArrow()
+    probe = bounded_sample(queries, "vec_id", CALIBRATION, SEED).select("vec_id", "embedding").toArrow()
     probe = (probe["vec_id"].to_numpy(), _matrix(probe["embedding"]))
     # the leaves of the true neighbours: CALIBRATION x k rows
     exact = _exact(probe, indexed, k).join(indexed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").collect() if len(probe[0]) else []

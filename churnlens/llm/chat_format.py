@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from churnlens.llm.common import bounded_batches, stored
+from churnlens.llm.common import bounded_batches, bounded_sample, stored
 
 ROLES = ("system", "user", "assistant")
 #: role r: state 2r begins a turn, 2r + 1 goes on
@@ -171,7 +171,7 @@ def raw_transcripts(turns: DataFrame) -> DataFrame:
 
 def train(turns: DataFrame, conversations: int = SAMPLE):
     """The model from raw logs of at most ``conversations`` conversations with known roles."""
-    ids = turns.where("conv_id IS NOT NULL").select("conv_id").distinct().orderBy(F.xxhash64("conv_id"), "conv_id").limit(conversations)
+    ids = bounded_sample(turns.where("conv_id IS NOT NULL").select("conv_id").distinct(), "conv_id", conversations)
     rows = turns.join(F.broadcast(ids), "conv_id").where(F.col("role").isin(*ROLES)).select("conv_id", "turn", "role", "text")
     # a conversation's first BLOCK turns: bounds the sample whatever a conversation's length
     rows = rows.where(F.coalesce("turn", F.lit(-1)) < BLOCK).distinct().collect()

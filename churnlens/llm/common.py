@@ -34,6 +34,19 @@ def split_words(text: Column) -> Column:
     return F.when(F.coalesce(trimmed, F.lit("")) == "", none).otherwise(F.split(trimmed, BLANK_RUN))
 
 
+def bounded_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """At most ``n`` rows: those with the smallest hashes of ``key`` (ties by key).
+
+    Rows whose hash is beyond the share of 4 n in all rows are left out where
+    they are read, so what the tasks send for the final choice is about 4 n
+    rows altogether and doesn't grow with their number.
+    """
+    h = F.xxhash64(key, F.lit(seed))
+    least, span = -(1 << 63), (1 << 64) - 1
+    top = least + min(span, span * 4 * n // max(1, df.count()))
+    return df.where(h <= F.lit(top)).orderBy(h, key).limit(n)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from churnlens.llm import boosting
-from churnlens.llm.common import bounded_batches
+from churnlens.llm.common import bounded_batches, bounded_sample
 
 TRAIN_PAGES = 150
 VARIANTS = 2
@@ -378,7 +378,7 @@ def extract(page: str | None, model) -> str:
 def extract_pages(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     bounded_batches(pages.sparkSession)
-    sample = pages.where("html IS NOT NULL").select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id").limit(train_pages)
+    sample = bounded_sample(pages.where("html IS NOT NULL").select("page_id", "html"), "page_id", train_pages)
     model = train([r["html"] for r in sample.collect()])  # bounded by train_pages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

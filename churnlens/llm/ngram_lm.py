@@ -43,7 +43,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from churnlens.llm.common import bounded_batches, stored
+from churnlens.llm.common import bounded_batches, bounded_sample, stored
 from churnlens.llm.elias_fano import OTHER_BITS, Trie, from_buffer, to_bytes, trie_image
 from churnlens.llm.text_hash import mixed, word_hashes, words
 
@@ -116,7 +116,7 @@ def _shard_of(key: np.ndarray, shards: int) -> np.ndarray:
 
 def _hot_words(docs: DataFrame, size: int) -> np.ndarray:
     """Sorted hashes of the most frequent words of HOT_SAMPLE texts, with the start and the end."""
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(HOT_SAMPLE).select("text")
+    sample = bounded_sample(docs, "doc_id", HOT_SAMPLE).select("text")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (texts,) in _bundles(batches):

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from churnlens.llm.common import BLANK_RUN, split_words, stored
+from churnlens.llm.common import BLANK_RUN, bounded_sample, split_words, stored
 
 #: Bound on the labelled rows used for fitting (smallest hashes of doc_id first).
 MAX_LABELLED = 20_000
@@ -174,7 +174,7 @@ class Rule:
 def _labelled(stats: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     lab = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.avg("quality") < 0.5).alias("low"))
     # the bounded choice is made among label ids, before the join with the statistics
-    lab = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    lab = bounded_sample(lab, "doc_id", bound)
     rows = stats.where(~base_failed()).join(lab, "doc_id")
     return rows.select(*TESTED, "low", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) == 0).alias("held"))
 
@@ -286,7 +286,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     filter computes the statistics of every row beside its own columns, so no
     text is shuffled.
     """
-    lab = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+    lab = bounded_sample(labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id").distinct(), "doc_id", MAX_LABELLED)
     some = docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id", "left_semi")  # MAX_LABELLED ids bound the broadcast
     stats = stored(text_statistics(some, "doc_id"), "quality-stats")
     rules = learn_rules(_labelled(stats, labels, MAX_LABELLED))

@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from churnlens.llm.common import bounded_batches, stored
+from churnlens.llm.common import bounded_batches, bounded_sample, stored
 from churnlens.llm.linear import Sparse, fit, logit, sigmoid
 
 PER_CLASS = 3000
@@ -77,7 +77,7 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     sizes = {(r["junk"], r["toxic"]): r["count"] for r in lab.groupBy("junk", "toxic").count().collect()}
     parts = None
     for (junk, toxic), n in sorted(sizes.items()):
-        one = lab.where((F.col("junk") == junk) & (F.col("toxic") == toxic)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        one = bounded_sample(lab.where((F.col("junk") == junk) & (F.col("toxic") == toxic)), "doc_id", per_class)
         one = one.withColumn("weight", F.lit(n / min(n, per_class)))
         parts = one if parts is None else parts.unionByName(one)
     if parts is None:

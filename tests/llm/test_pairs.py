@@ -153,3 +153,12 @@ def test_nearest_leaves_bad_vectors_out(spark):
     assert {q for q, *_ in got} == {0, 20, 40, 60}
     assert {x for x in got if x[0] == 0} == {(0, 1, 20, 0.5), (0, 2, 40, 0.0), (0, 3, 60, -1.0)}
     assert ann_tree.nearest(df.limit(0), "vec_id % 20 = 0").count() == 0
+
+
+def test_bounded_sample_is_the_smallest_hashes(spark):
+    from churnlens.llm.common import bounded_sample
+
+    d = spark.range(20000).withColumnRenamed("id", "k")
+    want = [r[0] for r in d.orderBy(F.xxhash64("k", F.lit(0)), "k").limit(50).collect()]
+    assert [r[0] for r in bounded_sample(d, "k", 50).collect()] == want
+    assert bounded_sample(d.limit(0), "k", 5).count() == 0 and bounded_sample(d.limit(3), "k", 5).count() == 3
