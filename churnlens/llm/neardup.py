@@ -6,17 +6,18 @@ tokens.  ``TREES`` independent trees branch the classes: a root's child is named
 token; a deeper node picks ``FAN`` groups of ``STEP`` token coordinates by a hash of
 its path, extends the path by the class's tokens there and so sends the class
 to ``FAN`` children (sets of similarity 0.8 stay together on 3 * 0.8 ** 4 = 1.2
-paths on average, sets of 0.6 on 0.4: they part).  A node of at most ``LEAF``
-classes is compared exhaustively.  A larger node compares all its classes with
-one pivot and branches on, unless its classes already are in one component:
-then no pair in it can change the result.  Candidate pairs are confirmed on
+paths on average, sets of 0.6 on 0.4: they part).  Every
+node compares all its classes with one pivot.  If that leaves them in more
+than one component, a node of at most ``LEAF`` classes is compared exhaustively
+between its components and a larger one branches on; else no pair in it can
+change the result.  Candidate pairs are confirmed on
 the full sets, which are read for the classes of candidate pairs only.
 
 Nothing is grouped into one task: nodes are only counted (combined map-side),
 joined and self-joined below the leaf bound, and the trees' recursion is a
 loop over levels, each one written to the shared folder.  The levels end when
-no open large node is left; levels after ``DEPTH`` compare what remains open
-with every class of another component in its node.
+no open node is left; nodes that are large and open at level ``DEPTH`` compare
+their classes with every class of another component.
 
 Defined cases: null, empty and blank texts have the empty set, are linked with
 nothing and are kept.  Rows that repeat a doc_id are one vertex per distinct
@@ -99,39 +100,45 @@ def _full_sets(size: int):
 
 
 def _children(members: DataFrame, level: int) -> DataFrame:
-    """Members (node, cls, n) of the next level, from members with their tokens."""
+    """Members of the next level's nodes, from members with their tokens."""
     coord = lambda k: F.pmod(F.xxhash64(F.col("node"), F.lit(level), k), F.lit(COORDS)).cast("int")
     tokens = lambda g: F.transform(F.sequence(g * STEP, g * STEP + (STEP - 1)), lambda k: F.get(F.col("sig"), coord(k)))
     paths = F.transform(F.sequence(F.lit(0), F.lit(FAN - 1)), lambda g: F.xxhash64(F.col("node"), g, tokens(g)))
-    return members.select("cls", "n", F.explode(paths).alias("node"))
+    return members.select("cls", "n", "rep", F.explode(paths).alias("node"), F.lit(True).alias("fresh"))
 
 
 def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members with component, node size and the node's pivot, of nodes that have at least two components."""
-    m = members
     if labels is None:
-        m = m.withColumn("comp", F.col("cls"))
+        m = members.withColumn("comp", F.col("cls"))
     else:
         label = labels.groupBy(F.col("u").alias("cls")).agg(F.min("v").alias("root"))
-        m = m.join(label, "cls", "left").select("node", "cls", "n", F.coalesce("root", "cls").alias("comp"))
-    stat = m.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct("cls", "n", "comp")).alias("pivot"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+        m = members.join(label, "cls", "left").withColumn("comp", F.coalesce("root", "cls")).drop("root")
+    stat = m.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct(*_ME)).alias("pivot"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     return m.join(stat.where("size > 1 AND c0 <> c1").select("node", "size", "pivot"), "node")
 
 
-def _pairs(open_: DataFrame, everything: bool) -> DataFrame:
-    """Candidate (a, b), a < b, of different components: exhaustive in small nodes, else with the pivot."""
+_ME = ("cls", "n", "rep", "comp")
+
+
+def _pairs(open_: DataFrame, last: bool) -> DataFrame:
+    """Candidate (a, ra, b, rb), a < b, of different components.
+
+    A fresh node compares with its pivot.  One that is still open afterwards
+    compares what is left between its components, exhaustively if it is small
+    (or at the last level).
+    """
     fits = lambda x, y: (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * 80) & (x["comp"] != y["comp"]) & (x["cls"] < y["cls"])
-    me = F.struct("cls", "n", "comp")
+    me, x, y = F.struct(*_ME), F.col("x"), F.col("y")
+    star = open_.where("fresh").select(F.col("pivot").alias("x"), me.alias("y")).where(fits(x, y))
     # at most LEAF classes in a list
-    lists = open_.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list(me).alias("m"))
-    two = lists.select("m", F.explode("m").alias("x")).select(F.explode(F.filter("m", lambda y: fits(F.col("x"), y))).alias("y"), "x")
-    large = open_.where(F.col("size") > LEAF)
-    if everything:
-        left = large.select("node", me.alias("x"))
-        hub = left.join(large.select("node", me.alias("y")), "node").where(fits(F.col("x"), F.col("y"))).select("x", "y")
-    else:
-        hub = large.select(F.col("pivot").alias("x"), me.alias("y")).where(fits(F.col("x"), F.col("y")))
-    return two.select("x", "y").unionByName(hub).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+    lists = open_.where(~F.col("fresh") & (F.col("size") <= LEAF)).groupBy("node").agg(F.collect_list(me).alias("m"))
+    two = lists.select("m", F.explode("m").alias("x")).select("x", F.explode(F.filter("m", lambda z: fits(F.col("x"), z))).alias("y"))
+    out = star.unionByName(two)
+    if last:
+        large = open_.where(~F.col("fresh") & (F.col("size") > LEAF))
+        out = out.unionByName(large.select("node", me.alias("x")).join(large.select("node", me.alias("y")), "node").where(fits(x, y)).select("x", "y"))
+    return out.select(F.col("x.cls").alias("a"), F.col("x.rep").alias("ra"), F.col("y.cls").alias("b"), F.col("y.rep").alias("rb")).distinct()
 
 
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -139,7 +146,7 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     sig = lambda k: classes.select(F.col("cls").alias(k), F.col("sig").alias(f"s{k}"))
     p = pairs.join(sig("a"), "a").join(sig("b"), "b")
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return stored(p.where(equal >= int(LEAST_EQUAL * COORDS)).select("a", "b"), "neardup-pairs")
+    return stored(p.where(equal >= int(LEAST_EQUAL * COORDS)).select("a", "ra", "b", "rb"), "neardup-pairs")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,31 +164,36 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
     sketch = stored(docs.select("doc_id", "text").mapInArrow(_sketch(size), f"{schema}, cls binary, n bigint, sig array<int>"), "neardup-sketch")
     rows = sketch.where("cls IS NOT NULL")
     classes = stored(rows.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
-    members = classes.select("cls", "n", F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda c: F.xxhash64(c, F.get("sig", c)))).alias("node"))
+    roots = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda c: F.xxhash64(c, F.get("sig", c)))
+    members = classes.select("cls", "n", "rep", F.explode(roots).alias("node"), F.lit(True).alias("fresh"))
     opened = stored(_open(members, None), "neardup-open")
-    edges = sets = None
+    edges = None
     level = 0
     while True:
-        last = level >= DEPTH
+        last = level > DEPTH
         likely = _likely(_pairs(opened, last), classes)
-        need = likely.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        if sets is not None:
-            need = need.join(sets.select("cls"), "cls", "left_anti")
-        # one row's text for each class; another text under the same id isn't the class's and is left out
-        ids = classes.select("cls", "rep").join(need, "cls", "left_semi")
-        texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
-        more = stored(texts.mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
-        sets = more if sets is None else sets.unionByName(more)
-        found = stored(_confirmed(likely, sets, percent), "neardup-edges")
+        # one row's text for each class of a pair; another text under the same id isn't the class's and is left out
+        ends = F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("rep")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("rep")))
+        need = likely.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct()
+        texts = docs.select("doc_id", "text").join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
+        sets = stored(texts.mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
+        found = stored(_confirmed(likely.select("a", "b"), sets, percent), "neardup-edges")
         edges = found if edges is None else edges.unionByName(found)
-        large = opened.where(F.col("size") > LEAF)
-        if last or large.isEmpty():
-            return sketch.drop("sig"), components(edges)
-        labels = components(edges, 2)
+        labels = components(edges, 1)
         edges = labels.select(F.col("u").alias("a"), F.col("v").alias("b"))  # connects what all edges so far connect
-        level += 1
-        still = _open(large.select("node", "cls", "n"), labels).select("node", "cls", "n")
-        opened = stored(_open(_children(still.join(classes.select("cls", "sig"), "cls"), level), labels), "neardup-open")
+        # nodes seen for the first time and still open: small ones stay for the exhaustive round, large ones branch
+        again = _open(opened.where("fresh").select("node", "cls", "n", "rep", "fresh"), labels)
+        stay = again.where(F.lit(level >= DEPTH) | (F.col("size") <= LEAF)).withColumn("fresh", F.lit(False))
+        if level < DEPTH:
+            level += 1
+            large = again.where(F.col("size") > LEAF).select("node", "cls", "n", "rep")
+            kids = _open(_children(large.join(classes.select("cls", "sig"), "cls"), level), labels)
+            stay = stay.unionByName(kids.select(stay.columns))
+        else:
+            level += 1
+        opened = stored(stay, "neardup-open")
+        if last or opened.isEmpty():
+            return sketch.drop("sig"), components(edges)
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
