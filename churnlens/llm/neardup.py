@@ -42,6 +42,8 @@ from churnlens.llm.text_hash import shingles, word_hashes, words
 COORDS = 64
 #: One tree keeps a pair of similarity 0.8 together at its root with 0.8; 12 miss it with 0.2 ** 12 = 4e-9.
 TREES = 12
+#: Trees whose roots are compared first; the others then skip what these have connected.
+FIRST = 2
 LEAF = 12
 STEP, FAN = 4, 3
 DEPTH = 6
@@ -164,9 +166,12 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
     sketch = stored(docs.select("doc_id", "text").mapInArrow(_sketch(size), f"{schema}, cls binary, n bigint, sig array<int>"), "neardup-sketch")
     rows = sketch.where("cls IS NOT NULL")
     classes = stored(rows.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
-    roots = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda c: F.xxhash64(c, F.get("sig", c)))
-    members = classes.select("cls", "n", "rep", F.explode(roots).alias("node"), F.lit(True).alias("fresh"))
-    opened = stored(_open(members, None), "neardup-open")
+
+    def roots(first: int, upto: int) -> DataFrame:
+        nodes = F.transform(F.sequence(F.lit(first), F.lit(upto - 1)), lambda c: F.xxhash64(c, F.get("sig", c)))
+        return classes.select("cls", "n", "rep", F.explode(nodes).alias("node"), F.lit(True).alias("fresh"))
+
+    opened = stored(_open(roots(0, FIRST), None), "neardup-open")
     edges = None
     level = 0
     while True:
@@ -179,11 +184,14 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
         sets = stored(texts.mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
         found = stored(_confirmed(likely.select("a", "b"), sets, percent), "neardup-edges")
         edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges, 1)
+        labels = components(edges)
         edges = labels.select(F.col("u").alias("a"), F.col("v").alias("b"))  # connects what all edges so far connect
         # nodes seen for the first time and still open: small ones stay for the exhaustive round, large ones branch
         again = _open(opened.where("fresh").select("node", "cls", "n", "rep", "fresh"), labels)
         stay = again.where(F.lit(level >= DEPTH) | (F.col("size") <= LEAF)).withColumn("fresh", F.lit(False))
+        if level == 0:
+            others = _open(roots(FIRST, TREES), labels)
+            stay = stay.unionByName(others.select(stay.columns))
         if level < DEPTH:
             level += 1
             large = again.where(F.col("size") > LEAF).select("node", "cls", "n", "rep")
@@ -193,7 +201,7 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
             level += 1
         opened = stored(stay, "neardup-open")
         if last or opened.isEmpty():
-            return sketch.drop("sig"), components(edges)
+            return sketch.drop("sig"), labels
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
