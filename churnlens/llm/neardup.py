@@ -172,20 +172,21 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
         return classes.select("cls", "n", "rep", F.explode(nodes).alias("node"), F.lit(True).alias("fresh"))
 
     opened = stored(_open(roots(0, FIRST), None), "neardup-open")
-    edges = None
+    labels = classes.sparkSession.createDataFrame([], "u binary, v binary")
     level = 0
     while True:
         last = level > DEPTH
         likely = _likely(_pairs(opened, last), classes)
-        # one row's text for each class of a pair; another text under the same id isn't the class's and is left out
-        ends = F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("rep")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("rep")))
-        need = likely.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct()
-        texts = docs.select("doc_id", "text").join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
-        sets = stored(texts.mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
-        found = stored(_confirmed(likely.select("a", "b"), sets, percent), "neardup-edges")
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges)
-        edges = labels.select(F.col("u").alias("a"), F.col("v").alias("b"))  # connects what all edges so far connect
+        if not likely.isEmpty():
+            # one row's text for each class of a pair; another text under the same id isn't the class's and is left out
+            ends = F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("rep")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("rep")))
+            need = likely.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct()
+            texts = docs.select("doc_id", "text").join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
+            sets = stored(texts.mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
+            found = stored(_confirmed(likely.select("a", "b"), sets, percent), "neardup-edges")
+            if not found.isEmpty():
+                # the labels so far connect what all links so far connect
+                labels = components(labels.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(found))
         # nodes seen for the first time and still open: small ones stay for the exhaustive round, large ones branch
         again = _open(opened.where("fresh").select("node", "cls", "n", "rep", "fresh"), labels)
         stay = again.where(F.lit(level >= DEPTH) | (F.col("size") <= LEAF)).withColumn("fresh", F.lit(False))
