@@ -19,6 +19,11 @@ loop over levels, each one written to the shared folder.  The levels end when
 no open node is left; nodes that are large and open at level ``DEPTH`` compare
 their classes with every class of another component.
 
+A large open node may part a pair.  A class of which fewer than ``SETTLED``
+roots are small or connected is therefore branched again by ``EXTRA`` trees,
+each with minwise tokens of its own (``OWN``), so that even a pair that meets
+large nodes down to the last level is missed with less than ``MISSED``.
+
 Defined cases: null, empty and blank texts have the empty set, are linked with
 nothing and are kept.  Rows that repeat a doc_id are one vertex per distinct
 set, linked by nothing but similarity; null ids take part and give a class no
@@ -28,6 +33,7 @@ if its id equals the component's (null-safe).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +46,16 @@ from churnlens.llm.components import components
 from churnlens.llm.text_hash import shingles, word_hashes, words
 
 COORDS = 64
-#: One tree keeps a pair of similarity 0.8 together at its root with 0.8; 12 miss it with 0.2 ** 12 = 4e-9.
+#: One tree keeps a pair of similarity 0.8 together at its root with 0.8; 12 small or connected roots miss it with 0.2 ** 12 = 4e-9.
 TREES = 12
+#: A pair of similarity 0.8 may be missed with this, wherever it is.
+MISSED = 1e-6
+#: So many small or connected roots miss a pair with 0.2 ** 9 = 5e-7.
+SETTLED = 9
+#: A tree of own tokens parts a pair of similarity 0.8 on the way through DEPTH large nodes with 0.558 (20,000 simulated pairs).
+PARTED = 0.56
+EXTRA = math.ceil(math.log(MISSED) / math.log(PARTED))
+OWN = 32
 #: Trees whose roots are compared first; the others then skip what these have connected.
 FIRST = 2
 LEAF = 12
@@ -50,13 +64,18 @@ DEPTH = 6
 #: Candidate pairs need this share of equal minwise tokens: five deviations under 0.8.
 LEAST_EQUAL = 0.55
 
-_MULS = np.random.default_rng(20240601).integers(0, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def _odd(seed: int, n: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+_MULS = _odd(20240601, COORDS)
+_OWN_MULS = _odd(20240602, EXTRA * OWN)
 _BLOCK = 200_000
 
 
-def minwise(sets: list[np.ndarray]) -> np.ndarray:
-    """(len(sets), COORDS) minwise tokens of non-empty sets."""
-    out = np.empty((len(sets), COORDS), np.int32)
+def minwise(sets: list[np.ndarray], muls: np.ndarray = _MULS) -> np.ndarray:
+    """(len(sets), len(muls)) minwise tokens of non-empty sets."""
+    out = np.empty((len(sets), len(muls)), np.int32)
     at = 0
     while at < len(sets):
         n, upto = len(sets[at]), at + 1
@@ -64,8 +83,8 @@ def minwise(sets: list[np.ndarray]) -> np.ndarray:
             n, upto = n + len(sets[upto]), upto + 1
         x = np.concatenate(sets[at:upto])
         starts = np.cumsum([0] + [len(s) for s in sets[at : upto - 1]])
-        for k in range(COORDS):
-            out[at:upto, k] = np.minimum.reduceat((x * _MULS[k]) >> np.uint64(32), starts).astype(np.uint32).view(np.int32)
+        for k, mul in enumerate(muls):
+            out[at:upto, k] = np.minimum.reduceat((x * mul) >> np.uint64(32), starts).astype(np.uint32).view(np.int32)
         at = upto
     return out
 
@@ -101,12 +120,24 @@ def _full_sets(size: int):
     return run
 
 
-def _children(members: DataFrame, level: int) -> DataFrame:
+def _own_tokens(size: int):
+    """(cls, sigs) of the texts whose set is the expected class's: the tokens of the EXTRA trees, one after the other."""
+    full = _full_sets(size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in full(batches):
+            sets = [np.array(x, np.int64).view(np.uint64) for x in b["items"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["cls"], pa.array(list(minwise(sets, _OWN_MULS)), pa.list_(pa.int32()))], names=["cls", "sigs"])
+
+    return run
+
+
+def _children(members: DataFrame, level: int, coords: int) -> DataFrame:
     """Members of the next level's nodes, from members with their tokens."""
-    coord = lambda k: F.pmod(F.xxhash64(F.col("node"), F.lit(level), k), F.lit(COORDS)).cast("int")
+    coord = lambda k: F.pmod(F.xxhash64(F.col("node"), F.lit(level), k), F.lit(coords)).cast("int")
     tokens = lambda g: F.transform(F.sequence(g * STEP, g * STEP + (STEP - 1)), lambda k: F.get(F.col("sig"), coord(k)))
     paths = F.transform(F.sequence(F.lit(0), F.lit(FAN - 1)), lambda g: F.xxhash64(F.col("node"), g, tokens(g)))
-    return members.select("cls", "n", "rep", F.explode(paths).alias("node"), F.lit(True).alias("fresh"))
+    return members.select("cls", "n", "rep", "tree", F.lit(False).alias("top"), F.explode(paths).alias("node"), F.lit(True).alias("fresh"))
 
 
 def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -167,42 +198,72 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
     rows = sketch.where("cls IS NOT NULL")
     classes = stored(rows.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
 
+    none = classes.sparkSession.createDataFrame([], "u binary, v binary")
+    labels, unsettled = _linked(docs, classes, size, percent, none, classes.select("cls", "sig"), TREES)
+    hard = stored(unsettled.groupBy("cls").count().where(F.col("count") > TREES - SETTLED).join(classes, "cls").select("cls", "n", "rep"), "neardup-hard")
+    if not hard.isEmpty():
+        sigs = _texts(docs, hard.select("cls", "rep")).mapInArrow(_own_tokens(size), "cls binary, sigs array<int>").dropDuplicates(["cls"])
+        trees = F.transform(F.sequence(F.lit(0), F.lit(EXTRA - 1)), lambda t: F.struct(t.alias("tree"), F.slice("sigs", t * OWN + 1, OWN).alias("sig")))
+        own = sigs.select("cls", F.explode(trees).alias("t")).select("cls", "t.tree", "t.sig")
+        labels, _ = _linked(docs, hard.join(classes.select("cls", "sig"), "cls"), size, percent, labels, stored(own, "neardup-own"), EXTRA)
+    return sketch.drop("sig"), labels
+
+
+def _texts(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """(cls, text) of the rows named by (cls, rep); another text under the same id isn't the class's and is left out later."""
+    return docs.select("doc_id", "text").join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
+
+
+def _linked(docs: DataFrame, classes: DataFrame, size: int, percent: int, labels: DataFrame, tokens: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
+    """``labels`` with what ``trees`` trees link, and (cls) once per root that is large and open after its pivot.
+
+    ``tokens`` are (cls, sig) for all trees, or (cls, tree, sig).
+    """
+    own = "tree" in tokens.columns
+    by = ["cls", "tree"] if own else ["cls"]
+
     def roots(first: int, upto: int) -> DataFrame:
-        nodes = F.transform(F.sequence(F.lit(first), F.lit(upto - 1)), lambda c: F.xxhash64(c, F.get("sig", c)))
-        return classes.select("cls", "n", "rep", F.explode(nodes).alias("node"), F.lit(True).alias("fresh"))
+        if own:
+            m = tokens.where(F.col("tree").between(first, upto - 1)).join(classes.select("cls", "n", "rep"), "cls")
+            m = m.withColumn("node", F.xxhash64("tree", F.get("sig", F.lit(0))))
+        else:
+            nodes = F.transform(F.sequence(F.lit(first), F.lit(upto - 1)), lambda c: F.struct(c.alias("tree"), F.xxhash64(c, F.get("sig", c)).alias("node")))
+            m = classes.select("cls", "n", "rep", F.explode(nodes).alias("t")).select("cls", "n", "rep", "t.tree", "t.node")
+        return m.select("cls", "n", "rep", "tree", F.lit(True).alias("top"), "node", F.lit(True).alias("fresh"))
 
-    opened = stored(_open(roots(0, FIRST), None), "neardup-open")
-    labels = classes.sparkSession.createDataFrame([], "u binary, v binary")
+    opened = stored(_open(roots(0, FIRST), labels), "neardup-open")
+    unsettled = classes.select("cls").limit(0)
     level = 0
     while True:
         last = level > DEPTH
         likely = _likely(_pairs(opened, last), classes)
         if not likely.isEmpty():
-            # one row's text for each class of a pair; another text under the same id isn't the class's and is left out
+            # one row's text for each class of a pair
             ends = F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("rep")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("rep")))
             need = likely.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct()
-            texts = docs.select("doc_id", "text").join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
-            sets = stored(texts.mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
+            sets = stored(_texts(docs, need).mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
             found = stored(_confirmed(likely.select("a", "b"), sets, percent), "neardup-edges")
             if not found.isEmpty():
                 # the labels so far connect what all links so far connect
                 labels = components(labels.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(found))
         # nodes seen for the first time and still open: small ones stay for the exhaustive round, large ones branch
-        again = _open(opened.where("fresh").select("node", "cls", "n", "rep", "fresh"), labels)
+        again = _open(opened.where("fresh").select("node", "cls", "n", "rep", "tree", "top", "fresh"), labels)
+        if level < 2 and not own:  # roots are seen in the first two rounds
+            unsettled = unsettled.unionByName(stored(again.where(F.col("top") & (F.col("size") > LEAF)).select("cls"), "neardup-unsettled"))
         stay = again.where(F.lit(level >= DEPTH) | (F.col("size") <= LEAF)).withColumn("fresh", F.lit(False))
         if level == 0:
-            others = _open(roots(FIRST, TREES), labels)
+            others = _open(roots(FIRST, trees), labels)
             stay = stay.unionByName(others.select(stay.columns))
         if level < DEPTH:
             level += 1
-            large = again.where(F.col("size") > LEAF).select("node", "cls", "n", "rep")
-            kids = _open(_children(large.join(classes.select("cls", "sig"), "cls"), level), labels)
+            large = again.where(F.col("size") > LEAF).select("node", "cls", "n", "rep", "tree")
+            kids = _open(_children(large.join(tokens, by), level, OWN if own else COORDS), labels)
             stay = stay.unionByName(kids.select(stay.columns))
         else:
             level += 1
         opened = stored(stay, "neardup-open")
         if last or opened.isEmpty():
-            return sketch.drop("sig"), labels
+            return labels, unsettled
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:

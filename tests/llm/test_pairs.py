@@ -80,6 +80,19 @@ def test_neardup_compares_what_stays_open(spark, monkeypatch):
     _check(spark, _corpus(5))
 
 
+def test_neardup_keeps_links_in_large_nodes(spark):
+    """Copies of one text, each at 0.80 to 0.85 of it and less of one another: only the text links them."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(203)]
+    docs = {0: " ".join(base)}
+    for n in range(1, 401):
+        at = rng.randint(0, 1)
+        cuts = rng.sample(range(4 + at, 199, 4), 4 + at)  # a changed word changes four of 200 shingles
+        docs[n] = " ".join(f"x{n}" + w if i in cuts else w for i, w in enumerate(base))
+    rows = neardup.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in rows} == {0}
+
+
 def test_neardup_query(spark):
     docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
     rows = QUERIES["op9_minhash_neardup"](spark, "/root/testdata/sf0.001").collect()
