@@ -2,7 +2,7 @@
 
 Probabilities.  With counts c over the training tokens (N tokens, V distinct):
 unigram p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)); bigram p(w|h) = max(c(h,w) - D, 0) / c(h)
-for pairs seen at least ``MIN_COUNT`` times, plus rest(h) p(w), where rest(h) is the
+for pairs seen at least ``MIN_COUNT`` times (all), plus rest(h) p(w), where rest(h) is the
 mass that the pairs leave (1 for an unseen h).  They sum to one over the known
 words and one unknown.  A text's score is therefore
 
@@ -51,7 +51,7 @@ from churnlens.llm.text_hash import mixed, word_hashes, words
 HOT = 2048
 HOT_SAMPLE = 2000
 DISCOUNT = 0.75
-MIN_COUNT = 2
+MIN_COUNT = 1
 BUNDLE_CHARS = 3_000_000
 BUNDLE_TEXTS = 60_000
 SHARD_CHARS = 200_000_000

@@ -84,6 +84,13 @@ def test_lm_query(spark):
 
 
 def test_lm_cold_pairs_and_bundles(spark, monkeypatch):
+def test_lm_keeps_pairs_seen_once(spark):
+    docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
+    want = bigram_scores(docs, least=1)
+    for r in QUERIES["op10_ngram_lm"](spark, SF).collect():
+        assert math.isclose(r["score"], want[r["doc_id"]][4], rel_tol=2e-3, abs_tol=1e-2)
+
+
     docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
     monkeypatch.setattr(ngram_lm, "BUNDLE_CHARS", 20_000)
     d = table(spark, "documents").select("doc_id", "text")
