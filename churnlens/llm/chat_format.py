@@ -11,11 +11,12 @@ Tables of the model are counted on a bounded sample of conversations with
 known roles (``SAMPLE`` conversations, smallest hash of conv_id).
 
 A transcript may be of any length: it is cut into blocks of ``BLOCK`` segments
-by seq.  Per block, the best score from every state before it to every state
+by their number in it, whatever seq says.  Per block, the best score from every state before it to every state
 at its end is a small max-plus matrix; a scan over the matrices of a
 transcript gives the states at its block borders, and each block is then
-decoded between them, which is exactly the Viterbi path of the whole.  Blocks
-are formed by partitioning and sorting rows, never by a group of a whole
+decoded between them, which is exactly the Viterbi path of the whole.  Segments
+of long transcripts are numbered by a range partitioning and the counts of its
+parts.  Blocks are formed by partitioning and sorting rows, never by a group of a whole
 transcript; only transcripts of several blocks take part in the scan.
 
 Defined cases: a null seq counts as -1 (first), a null text as empty, null
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from churnlens.llm.common import bounded_batches, bounded_sample, stored
 
@@ -173,8 +174,9 @@ def train(turns: DataFrame, conversations: int = SAMPLE):
     """The model from raw logs of at most ``conversations`` conversations with known roles."""
     ids = bounded_sample(turns.where("conv_id IS NOT NULL").select("conv_id").distinct(), "conv_id", conversations)
     rows = turns.join(F.broadcast(ids), "conv_id").where(F.col("role").isin(*ROLES)).select("conv_id", "turn", "role", "text")
-    # a conversation's first BLOCK turns: bounds the sample whatever a conversation's length
-    rows = rows.where(F.coalesce("turn", F.lit(-1)) < BLOCK).distinct().collect()
+    # a conversation's first BLOCK turns: bounds the sample whatever a conversation's length; tasks send that many at most
+    first = Window.partitionBy("conv_id").orderBy(F.coalesce("turn", F.lit(-1)), F.coalesce("text", F.lit("")), "text", "role")
+    rows = rows.distinct().withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= BLOCK).drop("nth").collect()
     by: dict = {}
     for r in sorted(rows, key=lambda r: (str(r["conv_id"]), -1 if r["turn"] is None else r["turn"], r["text"] or "")):
         by.setdefault(str(r["conv_id"]), []).append((r["role"], raw_segment(r["conv_id"], r["turn"], r["role"], r["text"])))
@@ -198,18 +200,35 @@ def _groups(batches: Iterator[pa.RecordBatch], *extra: str) -> Iterator[tuple[tu
         yield key, texts, more
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """The rows (conv_id, seq, text) with the block of their number in the transcript, and whether there are several blocks."""
+    same = lambda c: F.col("conv_id").eqNullSafe(F.col(c))
+    long = stored(rows.groupBy("conv_id").count().where(F.col("count") > BLOCK).select(F.col("conv_id").alias("long")), "chat-long")
+    short = rows.join(long, same("long"), "left_anti").withColumns({"block": F.lit(0).cast("bigint"), "several": F.lit(False)})
+    if long.isEmpty():
+        return short
+    # parts in order of (conv_id, seq, text); ids go on by one within a part
+    some = rows.join(long, same("long"), "left_semi")
+    some = some.repartitionByRange("conv_id", "seq", F.substring("text", 1, 1000)).sortWithinPartitions("conv_id", "seq", "text")
+    some = stored(some.withColumn("id", F.monotonically_increasing_id()), "chat-ids").withColumn("part", F.shiftright("id", 33))
+    parts = some.groupBy("conv_id", "part").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("part")) - F.col("n")
+    parts = parts.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), (before - F.col("least")).alias("shift"))
+    some = some.join(parts, same("c") & (F.col("part") == F.col("p")))
+    return short.unionByName(some.select("conv_id", "seq", "text", F.floor((F.col("id") + F.col("shift")) / BLOCK).alias("block"), F.lit(True).alias("several")))
+
+
 def recover_turns(transcripts: DataFrame, model) -> DataFrame:
     """conv_id, block, turn (in the block), role, continued (from the block before), text, rendered."""
     bounded_batches(transcripts.sparkSession)
     start, step, tables = model
     kind = transcripts.schema["conv_id"].dataType.simpleString()
     seq = F.coalesce(F.col("seq").cast("bigint"), F.lit(-1))
-    rows = transcripts.select("conv_id", F.floor(seq / BLOCK).alias("block"), seq.alias("seq"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = stored(rows.groupBy("conv_id", "block", "seq", "text").agg(F.lit(1).alias("one")).drop("one"), "chat-rows")
+    rows = transcripts.select("conv_id", seq.alias("seq"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = _blocks(stored(rows.groupBy("conv_id", "seq", "text").agg(F.lit(1).alias("one")).drop("one"), "chat-rows"))
     dealt = lambda d: d.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "seq", "text")
     # transcripts of several blocks: states at the borders
-    long = rows.groupBy("conv_id").agg(F.min("block").alias("b0"), F.max("block").alias("b1")).where("b0 < b1").select("conv_id")
-    some = rows.join(long.withColumnRenamed("conv_id", "long"), F.col("conv_id").eqNullSafe(F.col("long")), "left_semi")
+    some = rows.where("several")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (conv, block), texts, _ in _groups(batches):

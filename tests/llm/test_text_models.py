@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -179,6 +180,29 @@ def test_chat_odd_rows(spark):
     assert chat_format.format_chats(turns.limit(0)).count() == 0
 
 
+def test_chat_blocks_hold_block_rows(spark, monkeypatch):
+    rng = random.Random(6)
+    raw = [(None, None, f"{rng.choice(('User: ', 'AI: ', ''))}line {i}\n") for i in range(300)] + [(1, 3, f"Q: why {i}?\n") for i in range(100)] + [(2, 900, "Human: hi\n")]
+    raw = spark.createDataFrame(raw, "conv_id long, seq long, text string")
+    turns = spark.createDataFrame([(7, None if i % 2 else 5, "user", f"t{i}") for i in range(90)], "conv_id long, turn long, role string, text string")
+    fit, seen = chat_format.fit_model, []
+    monkeypatch.setattr(chat_format, "fit_model", lambda by: seen.extend(by) or fit(by))
+    model = chat_format.train(turns)
+
+    def decoded():
+        rows = sorted(chat_format.recover_turns(raw, model).collect(), key=lambda r: (str(r["conv_id"]), r["block"], r["turn"]))
+        lines = [(r["conv_id"], x, r["role"]) for r in rows for x in r["text"].split("\n") if x.strip()]
+        most = max(Counter((r["conv_id"], r["block"]) for r in rows for x in r["text"].split("\n") if x.strip()).values())
+        return lines, most
+
+    whole, _ = decoded()
+    monkeypatch.setattr(chat_format, "BLOCK", 16)
+    cut, most = decoded()
+    assert cut == whole and most <= 16 and len(cut) == 401
+    chat_format.train(turns)
+    assert len(seen[-1][1]) == 16
+
+
 # ------------------------------------------------------------ pages
 
 
