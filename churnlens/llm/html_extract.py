@@ -16,7 +16,9 @@ adverts, forms, menus and comments, so that the trees learn the tokens and
 shapes of such blocks and not the place of one template.
 
 Defined cases: null or empty html gives the empty text; markup without closing
-tags is closed as browsers do for p, li, td and the like; repeated pages give
+tags is closed as browsers do for p, li, td and the like; a button, select,
+svg or the like without its end tag ends at the first block or at the end of
+the element around it; repeated pages give
 equal rows; a table without trainable pages uses the built-in variations of
 ``SEED_PAGE`` alone; further columns are ignored.
 """
@@ -45,8 +47,9 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style|data-truth)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
-#: Elements whose content is never text of the page.
-_SKIP = frozenset("script style title textarea template noscript iframe svg object select button".split())
+#: Elements of raw text, up to their end tag, and others whose content is never text of the page.
+_RAW = frozenset("script style title textarea iframe".split())
+_SKIP = frozenset("template noscript svg object select button".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()
@@ -73,6 +76,7 @@ _BOILER = frozenset(
 _CONTENT = frozenset("article content contents main post entry story body text prose page news blog document paragraph".split())
 
 _HEAD, _PARA, _ITEM, _CELL, _BOX = (frozenset(x.split()) for x in ("h1 h2 h3 h4 h5 h6", "p pre blockquote", "li dt dd", "td th caption", "div section"))
+_BLOCK = _SCOPE | _HEAD | _PARA | _ITEM | _CELL | frozenset("tr fieldset figure address details dialog".split())
 _NAVISH, _MAINISH = frozenset("nav header footer aside form menu fieldset dialog".split()), frozenset("article main".split())
 
 
@@ -103,11 +107,50 @@ def _describe(node: Node, attrs: str) -> None:
     node.good = sum(w in _CONTENT for w in words)
 
 
+def _raw_end(page: str, at: int, tag: str) -> int:
+    end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def _skip_end(page: str, at: int, tag: str, around: set[str], last: int) -> int:
+    """Where an element of _SKIP ends: behind its end tag (the page's last one is at ``last``).
+
+    One without an end tag, before the end of an element around it or the next
+    button or select, ends at the first block in it.
+    """
+    inside, block = [tag], None
+    while m := _TOKEN.search(page, at):
+        a, at = m.start(), m.end()
+        if m[2] is None:
+            continue
+        t = m[2].lower()
+        if m[1]:
+            if t in inside:
+                while inside.pop() != t:
+                    pass
+                if not inside:
+                    return at
+            elif t in around:
+                return a if block is None else block
+        elif t == tag and tag in ("button", "select"):
+            return a if block is None else block
+        elif t in _RAW:
+            at = _raw_end(page, at, t)
+        elif t not in _VOID and not m[3].endswith("/"):
+            inside.append(t)
+            if t in _BLOCK and block is None:
+                block = a
+        if block is not None and a > last:
+            return block
+    return len(page) if block is None else block
+
+
 def parse(page: str) -> Node:
     """The page's block elements and text runs (tag #text)."""
     root = cur = Node("#root", None)
     run: list[str] = []
     link = in_link = 0
+    last: dict[str, int] = {}
 
     def end_run() -> None:
         nonlocal link
@@ -146,9 +189,19 @@ def parse(page: str) -> Node:
                 end_run()
                 cur = up.parent
             continue
+        if tag in _RAW:
+            at = _raw_end(page, at, tag)
+            continue
         if tag in _SKIP:
-            end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if tag == "svg" and m[3].endswith("/"):
+                continue
+            if tag not in last:
+                last[tag] = max((e.start() for e in re.finditer(f"</{tag}\\b", page, re.I)), default=-1)
+            around, up = set(), cur
+            while up:
+                around.add(up.tag)
+                up = up.parent
+            at = _skip_end(page, at, tag, around, last[tag])
             continue
         if tag == "br":
             run.append(" ")

@@ -84,7 +84,6 @@ def test_lm_query(spark):
     _check_lm(QUERIES["op10_ngram_lm"](spark, SF).collect(), docs)
 
 
-def test_lm_cold_pairs_and_bundles(spark, monkeypatch):
 def test_lm_keeps_pairs_seen_once(spark):
     docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
     want = bigram_scores(docs, least=1)
@@ -92,6 +91,7 @@ def test_lm_keeps_pairs_seen_once(spark):
         assert math.isclose(r["score"], want[r["doc_id"]][4], rel_tol=2e-3, abs_tol=1e-2)
 
 
+def test_lm_cold_pairs_and_bundles(spark, monkeypatch):
     docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
     monkeypatch.setattr(ngram_lm, "BUNDLE_CHARS", 20_000)
     d = table(spark, "documents").select("doc_id", "text")
@@ -241,6 +241,16 @@ def test_extraction_leaves_boilerplate_out(spark, tag):
     assert html_extract.extract(PAGE % (tag, tag.split()[0]), model) == want
 
 
+@pytest.mark.parametrize(
+    "odd",
+    ['<svg viewBox="0 0 1 1"/>', "<button>Go", "<select><option>One<option>Two", '<object data="x">', "<div><button>Go</div>", "<button>Go <b>on</b></button>", "<svg><g><path d='m'/></g></svg>", "<noscript><p>no</p></noscript>", "<svg><path d='m'>"],
+)
+@pytest.mark.parametrize("place", ["<article><p>First.</p>%s<p>Second.</p></article>", "%s<article><p>First.</p><p>Second.</p></article>", "<article><p>First.</p><p>Second.</p>%s</article>"])
+def test_parse_keeps_text_after_odd_elements(odd, place):
+    page = f"<html><body>{place % odd}<p>After.</p><button>x</button><svg></svg></body></html>"
+    assert [n.text for n in html_extract.preorder(html_extract.parse(page)) if n.tag == "#text"] == ["First.", "Second.", "After."]
+
+
 def test_extraction_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>only text here, a paragraph</p>"), (4, "u", "<" * 500), (5, "u", "<div>" * 3000 + "deep"), (6, "u", "<!-- open"), (6, "u", "<!-- open")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(3))
