@@ -248,7 +248,8 @@ def nearest(table: DataFrame, is_query: str, k: int = K, target: float = TARGET)
             at = pa.array([i for i, _ in pairs], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([x for _, x in pairs], pa.int32()), b["vec_id"].take(at), b["embedding"].take(at)], names=["leaf", "query_id", "query"])
 
-    routed = stored(queries.select("vec_id", "embedding").mapInArrow(route, "leaf int, query_id bigint, query array<double>"), "ann-routed")
+    # a query row that is repeated asks once
+    routed = stored(queries.select("vec_id", "embedding").dropDuplicates().mapInArrow(route, "leaf int, query_id bigint, query array<double>"), "ann-routed")
     asked = {r["leaf"]: r["count"] for r in routed.groupBy("leaf").count().collect()}
     blocks = [(x, -(-n // BLOCK), -(-asked[x] // BLOCK)) for x, n in sizes.items() if x in asked]
     if not blocks:

@@ -158,6 +158,14 @@ def test_nearest_hot_vector_ties_and_blocks(spark, monkeypatch):
     assert [v for _, v in first] == [i for i in range(0, 300, 3) if i != 60][:20]
 
 
+def test_nearest_repeated_query_rows(spark):
+    x = np.random.default_rng(5).normal(size=(200, 8)).tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)] + [(0, x[0])] * 3, "vec_id long, embedding array<double>")
+    got = ann_tree.nearest(df, "vec_id = 0", target=1.0).collect()
+    assert sorted(r["rank"] for r in got) == list(range(1, 21))
+    assert len({r["vec_id"] for r in got}) == 20
+
+
 def test_nearest_leaves_bad_vectors_out(spark):
     bad = [None, [0.0, 0.0], [1.0, None], [float("nan"), 1.0], [float("inf"), 1.0], [1.0, 2.0, 3.0]]
     good = [[1.0, 0.0], [0.5, 0.5], [0.0, 1.0], [-1.0, 0.0]]
