@@ -192,6 +192,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """(doc_id, cls, n) of every row, and (u, v): classes linked to a smaller class, with the smallest of the component."""
+    if not 80 <= percent <= 100:
+        raise ValueError(f"percent must be from 80 to 100, as the size filter and the trees are laid out for: {percent}")
     bounded_batches(docs.sparkSession)
     schema = docs.select("doc_id").schema.simpleString()[7:-1]
     sketch = stored(docs.select("doc_id", "text").mapInArrow(_sketch(size), f"{schema}, cls binary, n bigint, sig array<int>"), "neardup-sketch")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from brute import near_components, table
 from pyspark.sql import functions as F
 
@@ -93,6 +94,14 @@ def test_neardup_keeps_links_in_large_nodes(spark):
     assert {r["component_id"] for r in rows} == {0}
 
 
+def test_neardup_rejects_percent_it_is_not_made_for(spark):
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d f")], "doc_id long, text string")
+    for find in (neardup.near_duplicates, neardup.drop_near_duplicates):
+        for percent in (60, 101):
+            with pytest.raises(ValueError):
+                find(docs, percent=percent)
+
+
 def test_neardup_query(spark):
     docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
     rows = QUERIES["op9_minhash_neardup"](spark, "/root/testdata/sf0.001").collect()
