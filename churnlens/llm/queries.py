@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import ann_tree, chat_format, html_extract, mixing, neardup, ngram_lm, quality_rules, secret_scan, sp_lattice, toxicity
+from churnlens.llm import (
+    ann_tree,
+    chat_format,
+    html_extract,
+    mixing,
+    neardup,
+    ngram_lm,
+    pii,
+    quality_rules,
+    secret_scan,
+    sp_lattice,
+    token_align,
+    toxicity,
+    whitening,
+)
 from churnlens.llm.common import table
 
 
@@ -50,6 +64,18 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_report(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_source_mixing": op2_source_mixing,
@@ -61,6 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash_neardup": op9_minhash_neardup,
     "op10_ngram_lm": op10_ngram_lm,
+    "op11_pii": op11_pii,
+    "op12_token_align": op12_token_align,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {}

@@ -94,7 +94,7 @@ def viterbi_pieces(text, pieces, of_byte, unknown, longest, space):
     return out
 
 
-def bigram_scores(docs, discount=0.75, least=2):
+def bigram_scores(docs, discount=0.75, least=1):
     """{id: (tokens, known, train tokens, base score, score)} with exact gains."""
     toks = {i: [*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()), "end"] for i, t in docs.items()}
     train = [i for i in docs if zlib.crc32(str(i).encode()) % 5 != 1]
@@ -120,3 +120,81 @@ def bigram_scores(docs, discount=0.75, least=2):
             score += math.log10(((n - discount) / context[h] if n >= least else 0.0) + rest * p)
         out[i] = (len(t), sum(count[w] > 0 for w in t), total, base, score)
     return out
+
+
+_PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def base_pii(t):
+    """(kind, start, end) by kind as listed, then start."""
+    out = []
+    for kind, pattern in _PII.items():
+        for m in re.finditer(pattern, t or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (13 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
+
+
+def aligned(docs, tokenizer, pieces):
+    """Rows of the alignment contract from the two libraries, by byte offsets."""
+    stand_in = {b: b for b in [*range(33, 127), *range(161, 173), *range(174, 256)]}
+    for b in range(256):
+        if b not in stand_in:
+            stand_in[b] = 256 + len(stand_in) - 188
+    byte = {chr(c): b for b, c in stand_in.items()}
+    rows, holds = {}, Counter()
+    for i, t in docs.items():
+        rows[i] = None
+        if not t:
+            continue
+        a = tokenizer.encode(" " + t, add_special_tokens=False).ids
+        b = pieces.encode(t)
+        a_bytes = [bytes(byte[c] for c in tokenizer.id_to_token(x)) for x in a]
+        b_bytes = [bytes([int(p[3:-1], 16)]) if re.fullmatch("<0x..>", p) else p.replace("\u2581", " ").encode() for p in map(pieces.id_to_piece, b)]
+        if not (b"".join(a_bytes) == b"".join(b_bytes) == (" " + t).encode()):
+            continue
+        owner = [[k for k, x in enumerate(side) for _ in x] for side in (a_bytes, b_bytes)]
+        links = sorted(set(zip(*owner)))
+        ends = [set(), set()]
+        for side, e in zip((a_bytes, b_bytes), ends):
+            n = 0
+            for x in side:
+                n += len(x)
+                e.add(n)
+        cuts, groups, at = sorted(ends[0] & ends[1]), [], 0
+        for c in cuts:
+            groups.append("|".join(",".join(str(ids[k]) for k in dict.fromkeys(own[at:c])) for ids, own in zip((a, b), owner)))
+            at = c
+        pairs = [(a[x], b[y]) for x, y in links]
+        rows[i] = (len(a), len(b), len(groups), pairs, hashlib.sha256(";".join(groups).encode()).hexdigest())
+        holds.update(set(pairs))
+    top = Counter()
+    for (x, _), n in holds.items():
+        top[x] = max(top[x], n)
+    out = {}
+    for i, r in rows.items():
+        if r is None:
+            out[i] = (0, 0, 0, 0, 0, 0, "")
+        else:
+            n_a, n_b, n_g, pairs, sha = r
+            out[i] = (n_a, n_b, n_g, len(pairs), sum(holds[p] == top[p[0]] for p in pairs), sum(holds[p] for p in pairs), sha)
+    return out
