@@ -177,7 +177,7 @@ def _dealt(edges: DataFrame, small: DataFrame, key: str, by: str) -> DataFrame:
     """``edges`` joined with ``small`` on ``key``; a hot key's edges are dealt by hash of ``by``."""
     salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).alias("salt")
     each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt")
-    return edges.select("*", salt).join(small.select("*", each), [key, "salt"]).drop("salt")
+    return edges.select("*", salt).join(small.select("*", each).hint("merge"), [key, "salt"]).drop("salt")
 
 
 def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:

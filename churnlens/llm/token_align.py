@@ -274,7 +274,7 @@ def align_report(docs: DataFrame, tokenizers: str = TOKENIZERS, bundle_bytes: in
     salt = F.pmod(F.col("bundle"), F.lit(SALTS)).cast("int").alias("salt")
     each = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     asks = bundles.select("bundle", salt, F.posexplode("pairs").alias("pos", "p")).select("bundle", "salt", "pos", "p.a", "p.b")
-    asked = asks.join(counts.select("*", each), ["a", "b", "salt"]).select(F.col("bundle").alias("asking"), "pos", "docs", F.col("best").cast("int").alias("best"))
+    asked = asks.join(counts.select("*", each).hint("merge"), ["a", "b", "salt"]).select(F.col("bundle").alias("asking"), "pos", "docs", F.col("best").cast("int").alias("best"))
     out = T.StructType([schema["docs"].dataType.elementType["doc_id"]])
     for n in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"):
         out = out.add(n, T.LongType())
