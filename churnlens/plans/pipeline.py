@@ -35,13 +35,16 @@ from churnlens.plans import reports
 from churnlens.plans.clean import clean, deduplicate
 from churnlens.schema import CLEANED_SCHEMA, COLUMNS, RAW_SCHEMA, ROW_ID, TYPED_SCHEMA
 from churnlens.session import scratch_dir
+from churnlens.sinks.overwrite import first_location, swap_overwrite
 from churnlens.sinks.writers import export_tsv, read_tsv
+from churnlens.sources.csv_quoted import read_quoted_csv
 from churnlens.sources.tables import (
     create_database,
     declare_csv_table,
     declare_orc_table,
     describe_table,
     drop_table,
+    table_location,
     use_database,
 )
 
@@ -101,13 +104,12 @@ class AttritionPipeline:
         return f"{self.workdir}/{name}"
 
     def _store(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a stage once: INSERT OVERWRITE into its catalog table when one
-        is bound to the stage, else ORC under ``workdir``; return its scan."""
+        """Write a stage once: overwrite its catalog table when one is bound to
+        the stage (old rows stay until the new ones are whole), else ORC under
+        ``workdir``; return its scan."""
         table = self.tables.get(name)
         if table:
-            cols = self.spark.table(table).columns
-            df.select(*cols).write.insertInto(table, overwrite=True)
-            self.spark.catalog.refreshTable(table)
+            swap_overwrite(df, table)
             return self.spark.table(table)
         path = self._path(name)
         df.write.mode("overwrite").orc(path)
@@ -271,18 +273,25 @@ TABLE_PREFIX = "customer_churn_"
 
 def declare_tables(spark: SparkSession, raw_location: str, base: str, database: str = DATABASE) -> tuple[str, str, str]:
     """CREATE and USE the database, then (re)declare the raw CSV, typed ORC and
-    cleaned ORC external tables; returns their qualified names.  The session's
-    current database is as before afterwards."""
+    cleaned ORC external tables; returns their qualified names.  A typed or
+    cleaned table that has been overwritten below ``base`` keeps its rows until
+    it is overwritten again.  The session's current database is as before
+    afterwards."""
     names = [f"{TABLE_PREFIX}{n}" for n in ("raw", "typed", "cleaned")]
     before = spark.catalog.currentDatabase()
     create_database(spark, database)
     use_database(spark, database)
     try:
+        places = dict(zip(names, (raw_location, f"{base}/typed_orc", f"{base}/cleaned_orc")))
         for t in names:
+            if t != names[0] and spark.catalog.tableExists(t):
+                now = table_location(spark, t)
+                if first_location(now).rstrip("/").endswith(places[t].rstrip("/")):
+                    places[t] = now
             drop_table(spark, t)
-        declare_csv_table(spark, names[0], RAW_SCHEMA, raw_location)
-        declare_orc_table(spark, names[1], TYPED_SCHEMA, f"{base}/typed_orc")
-        declare_orc_table(spark, names[2], CLEANED_SCHEMA, f"{base}/cleaned_orc")
+        declare_csv_table(spark, names[0], RAW_SCHEMA, places[names[0]])
+        declare_orc_table(spark, names[1], TYPED_SCHEMA, places[names[1]])
+        declare_orc_table(spark, names[2], CLEANED_SCHEMA, places[names[2]])
     finally:
         use_database(spark, before)
     raw_t, typed_t, cleaned_t = (f"{database}.{t}" for t in names)
@@ -290,10 +299,11 @@ def declare_tables(spark: SparkSession, raw_location: str, base: str, database:
 
 
 def catalog_pipeline(spark: SparkSession, raw_location: str, base: str, database: str = DATABASE) -> AttritionPipeline:
-    """A pipeline whose raw input is the declared CSV table and whose typed and
-    cleaned stages INSERT OVERWRITE the declared ORC tables."""
+    """A pipeline whose raw input is the files of the declared CSV table (read
+    with quotes in quoted fields written either way) and whose typed and
+    cleaned stages overwrite the declared ORC tables."""
     raw_t, typed_t, cleaned_t = declare_tables(spark, raw_location, base, database)
-    raw = spark.table(raw_t).na.fill("")
+    raw = read_quoted_csv(spark, table_location(spark, raw_t))
     return AttritionPipeline(spark, raw, workdir=base, tables={"typed_orc": typed_t, "cleaned_orc": cleaned_t})
 
 
@@ -306,8 +316,8 @@ def run_script(
     """The whole batch script against a raw CSV prefix, with catalog tables.
 
     Declares the database and the three external tables (raw CSV, typed ORC,
-    cleaned ORC) under ``base``, fills typed and cleaned with INSERT
-    OVERWRITE, exports TSV, and returns every check and report frame.
+    cleaned ORC) under ``base``, overwrites typed and cleaned, exports TSV,
+    and returns every check and report frame.
     """
     p = catalog_pipeline(spark, raw_location, base, database)
     raw_t = f"{database}.{TABLE_PREFIX}raw"

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,9 @@ from churnlens.plans.clean import CHARGE, USAGE, threshold_specs
 from churnlens.plans.pipeline import AttritionPipeline, catalog_pipeline
 from churnlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, COLUMNS, ROW_ID, TYPED_SCHEMA
 from churnlens.session import scratch_dir
+from churnlens.sinks.overwrite import swap_overwrite
 from churnlens.sinks.writers import export_tsv, read_tsv
+from churnlens.sources.csv_quoted import line_width_report, read_quoted_csv, write_quoted_csv
 from churnlens.sources.csv_raw import read_raw_csv, write_raw_csv
 from churnlens.sources.fixture import raw_records
 from churnlens.sources.tables import describe_columns
@@ -136,7 +139,49 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_csv(spark, _raw_csv_dir(spark, sf_dir))
 
 
+def quoted_records(raw: DataFrame) -> DataFrame:
+    """The raw records with quotes and commas inside two text fields."""
+    said = F.concat(F.lit('says "'), "education", F.lit('", or so, ""'))
+    return raw.withColumns({"education": said, "gender": F.concat(F.lit('"'), F.coalesce("gender", F.lit("")), F.lit('",'))})
+
+
+def _csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with quoted quotes: one half of the files doubles them, the other escapes them."""
+    rows = quoted_records(_raw(spark, sf_dir))
+    doubled, escaped = scratch_dir(spark, "raw_csv_doubled"), scratch_dir(spark, "raw_csv_escaped")
+    write_quoted_csv(rows.where(F.col(ROW_ID) % 2 == 0).select(*COLUMNS), doubled)
+    write_raw_csv(rows.where(F.col(ROW_ID) % 2 == 1).select(*COLUMNS), escaped)
+    return read_quoted_csv(spark, [doubled, escaped])
+
+
+def _csv_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which some lack their last field and some have one more."""
+    path = scratch_dir(spark, "raw_lines")
+    whole, short = (F.to_csv(F.struct(*cols), {"nullValue": ""}) for cols in (COLUMNS, COLUMNS[:-1]))
+    line = F.when(F.col(ROW_ID) % 97 == 0, short).when(F.col(ROW_ID) % 89 == 0, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    _raw(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return line_width_report(spark, path, header=False)
+
+
+def _overwrite_survives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed table after an overwrite that failed on some rows: still the rows of before."""
+    p = _catalog(spark, sf_dir)
+    typed, table = p.typed, p.tables["typed_orc"]
+    wrong = F.when(F.col("age") > 60, F.raise_error(F.lit("bad row")).cast("int")).otherwise(F.col("age"))
+    try:
+        swap_overwrite(typed.withColumn("age", wrong), table)
+    except PySparkException as e:
+        if "bad row" not in str(e):
+            raise
+    else:
+        raise AssertionError("the overwrite should have failed")
+    return spark.table(table)
+
+
 QUERIES: dict[str, Query] = {
+    "raw_csv_quoted": _csv_quoted,
+    "raw_csv_widths": _csv_widths,
+    "overwrite_survives_failure": _overwrite_survives,
     "row_count": lambda s, d: pipeline(s, d).raw_count(),
     "preview": lambda s, d: pipeline(s, d).raw_preview(10, order=[ROW_ID]),
     "raw_csv_roundtrip": _csv_roundtrip,

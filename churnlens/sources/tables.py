@@ -45,6 +45,20 @@ def declare_orc_table(spark: SparkSession, name: str, schema: T.StructType, loca
     spark.sql(f"CREATE TABLE {_q(name)} ({ddl(schema)}) USING orc LOCATION {_text(location)}")
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Where the files of a table are."""
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)}").collect():  # a row per column or property
+        if r["col_name"] == "Location":
+            return r["data_type"]
+    raise ValueError(f"{name} has no location")
+
+
+def set_location(spark: SparkSession, name: str, location: str) -> None:
+    """Point an external table to other files."""
+    spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION {_text(location)}")
+    spark.catalog.refreshTable(_q(name))
+
+
 def describe_table(spark: SparkSession, name: str) -> DataFrame:
     """Column and storage metadata rows (col_name, data_type, comment)."""
     return spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)}")
