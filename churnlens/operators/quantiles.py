@@ -2,13 +2,19 @@
 
 ``method="exact"`` returns, for each probability ``p``, the element of rank
 ``max(1, ceil(p * N))`` among the ``N`` non-NULL values (a discrete quantile:
-always an actual value).  It is a histogram search:
-
-1. one aggregate gives count, min and max per value expression;
-2. every round cuts each target's bracket [lo, hi] into ``bins`` of equal
-   width and counts (bin, rows, min, max) with one ``groupBy``: map-side
-   combine leaves at most ``bins`` rows per task and bracket, and the driver
-   reads at most ``bins`` rows per bracket, whatever the input's size;
+always an actual value).  Two scans find it, and a histogram search follows
+where they haven't:
+
+1. one aggregate gives count, min, max and a KLL sketch per value expression.
+   Sketches are merged in two levels, ``FAN`` groups of tasks first, so no task
+   merges those of all others.  The sketch's values around ``p``, as far as its
+   rank error goes, bracket the answer;
+2. a round cuts each target's bracket [lo, hi] into ``bins`` of equal width and
+   counts (bin, rows, min, max), and what lies below the bracket, with one
+   ``groupBy``: map-side combine leaves at most ``bins`` rows per task and
+   bracket, and the driver reads at most ``bins`` rows per bracket, whatever
+   the input's size.  The counts are exact, so they also tell when a sketch has
+   missed; the side that it missed is the next bracket then;
 3. the bin that holds the rank gives the next bracket, its own min..max.
 
 A bracket's min and max always fall in different bins, so every round parts
@@ -29,7 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
-DEFAULT_BINS = 1024
+DEFAULT_BINS = 4096
+SKETCH_K = 1024  # size of a sketch: about 10 KB
+FAN = 64
 
 Specs = Mapping[str, tuple[Column, Sequence[float]]]
 
@@ -48,16 +56,39 @@ def _bin(v: Column, lo: float, hi: float, bins: int) -> Column:
     return F.when(v == lo, 0).when(v == hi, bins - 1).otherwise(F.least(F.greatest(at, F.lit(0)), F.lit(bins - 1)))
 
 
-def exact_quantiles(df: DataFrame, specs: Specs, bins: int = DEFAULT_BINS) -> dict[str, list[float | None]]:
+def sketch_error(k: int) -> float:
+    """Rank error of a KLL sketch of size ``k`` that 99 in 100 sketches keep (the sketch's published fit)."""
+    return 2.296 / k**0.9723
+
+
+def sketch_brackets(src: DataFrame, probs: Sequence[Sequence[float]], k: int, error: float):
+    """One row: per column ``v<i>`` count (n), min (lo), max (hi) and the sketch's values ``error`` below and above each of ``probs[i]``."""
+    at = range(len(probs))
+    names = [f"v{i}" for i in at]
+    counts = [f(v).alias(f"{c}_{v}") for v in names for c, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    sketches = [F.kll_sketch_agg_double(v, F.lit(k)).alias(f"s_{v}") for v in names]
+    parts = src.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN)).alias("g")).agg(*counts, *sketches)
+    sums = [f(f"{c}_{v}").alias(f"{c}_{v}") for v in names for c, f in (("n", F.sum), ("lo", F.min), ("hi", F.max))]
+    merged = parts.agg(*sums, *[F.kll_merge_agg_double(F.when(F.col(f"n_{v}") > 0, F.col(f"s_{v}"))).alias(f"s_{v}") for v in names])
+    out = [F.coalesce(f"n_v{i}", F.lit(0)).alias(f"n{i}") for i in at] + [F.col(f"{c}_v{i}").alias(f"{c}{i}") for i in at for c in ("lo", "hi")]
+    for i in at:
+        for name, shift in (("below", -error), ("above", error)):
+            ranks = F.array(*[F.lit(min(1.0, max(0.0, float(p) + shift))) for p in probs[i]])
+            out.append(F.when(F.col(f"n_v{i}") > 0, F.kll_sketch_get_quantile_double(f"s_v{i}", ranks)).alias(f"{name}{i}"))
+    return merged.select(*out).first()
+
+
+def exact_quantiles(df: DataFrame, specs: Specs, bins: int = DEFAULT_BINS, k: int = SKETCH_K, error: float | None = None) -> dict[str, list[float | None]]:
     """Exact discrete quantiles for several value expressions at once."""
     names = list(specs)
     values = [F.nanvl(specs[n][0].cast("double"), F.lit(None).cast("double")) for n in names]
     src = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
-    aggs = [f(f"v{i}").alias(f"{k}{i}") for i in range(len(names)) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
-    first = src.agg(*aggs).first()
+    probs = [[float(p) for p in specs[n][1]] for n in names]
+    first = sketch_brackets(src, probs, k, 1.5 * sketch_error(k) if error is None else error)
 
     answers: dict[tuple[int, int], float | None] = {}
-    todo: dict[tuple[int, float, float], list[tuple[tuple[int, int], int]]] = {}  # bracket -> (target, rank inside)
+    # bracket -> its targets: (target, rank inside, or among all values in the first round)
+    todo: dict[tuple[int, float, float], list[tuple[tuple[int, int], int]]] = {}
 
     def place(i: int, lo: float, hi: float, target: tuple[int, int], rank: int) -> None:
         if lo == hi:
@@ -65,18 +96,25 @@ def exact_quantiles(df: DataFrame, specs: Specs, bins: int = DEFAULT_BINS) -> di
         else:
             todo.setdefault((i, lo, hi), []).append((target, rank))
 
-    for i, n in enumerate(names):
-        for j, p in enumerate(specs[n][1]):
-            if first[f"n{i}"] == 0:
+    for i in range(len(names)):
+        n, least, most = (first[f"{c}{i}"] for c in ("n", "lo", "hi"))
+        for j, p in enumerate(probs[i]):
+            if n == 0:
                 answers[i, j] = None
-            else:
-                place(i, first[f"lo{i}"], first[f"hi{i}"], (i, j), _rank(float(p), first[f"n{i}"]))
+            elif least == most:
+                answers[i, j] = least
+            else:  # the least and the largest values are exact; a sketch needn't hold them
+                lo = least if p <= sketch_error(k) else first[f"below{i}"][j]
+                hi = most if p >= 1 - sketch_error(k) else first[f"above{i}"][j]
+                todo.setdefault((i, lo, hi), []).append(((i, j), _rank(p, n)))
+    whole = True  # ranks are among all values, so what lies below a bracket is counted too
     while todo:
         brackets, todo = list(todo.items()), {}
         hits = []
         for b, ((i, lo, hi), _) in enumerate(brackets):
             v = F.col(f"v{i}")
-            hits.append(F.when(v.between(lo, hi), F.struct(F.lit(b).alias("b"), _bin(v, lo, hi, bins).alias("k"), v.alias("v"))))
+            hit = F.when(v.between(lo, hi), F.struct(F.lit(b).alias("b"), _bin(v, lo, hi, bins).alias("k"), v.alias("v")))
+            hits.append(hit.when(v < lo, F.struct(F.lit(b).alias("b"), F.lit(-1).alias("k"), v.alias("v"))) if whole else hit)
         rows = (
             src.select(F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("x"))
             .groupBy("x.b", "x.k")
@@ -84,7 +122,7 @@ def exact_quantiles(df: DataFrame, specs: Specs, bins: int = DEFAULT_BINS) -> di
             .collect()
         )
         rows.sort(key=lambda r: (r["b"], r["k"]))
-        for b, ((i, _, _), targets) in enumerate(brackets):
+        for b, ((i, _, hi), targets) in enumerate(brackets):
             mine = [r for r in rows if r["b"] == b]
             for target, rank in targets:
                 for r in mine:
@@ -92,6 +130,9 @@ def exact_quantiles(df: DataFrame, specs: Specs, bins: int = DEFAULT_BINS) -> di
                         place(i, r["lo"], r["hi"], target, rank)
                         break
                     rank -= r["n"]
+                else:  # beyond the bracket: the sketch's value was too small
+                    place(i, math.nextafter(hi, math.inf), first[f"hi{i}"], target, rank)
+        whole = False
     return {n: [answers[i, j] for j in range(len(specs[n][1]))] for i, n in enumerate(names)}
 
 

@@ -159,3 +159,30 @@ def test_exact_quantiles_of_extreme_values(spark):
     real = [v for v in vals if v is not None and v == v]
     got = exact_quantiles(df, {"q": (F.col("x"), probs)}, bins=3)["q"]
     assert got == [_brute(real, p) for p in probs]
+
+
+@pytest.mark.parametrize("error", [0.0, 0.5, -0.2])
+def test_quantiles_are_exact_whatever_the_sketch_says(spark, error):
+    """Brackets of no width, of everything, and beside the answer: the counts put them right."""
+    rnd = random.Random(3)
+    vals = [round(rnd.expovariate(0.01), 2) for _ in range(20_000)] + [7.0] * 10_000
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(9)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    assert exact_quantiles(df, {"q": (F.col("x"), probs)}, k=64, error=error)["q"] == [_brute(vals, p) for p in probs]
+
+
+def test_two_scans_are_enough_for_a_hundred_thousand_values(spark, tmp_out):
+    path = f"{tmp_out}/v"
+    spark.range(100_000).select((F.xxhash64("id") % 1_000_000 / 100).alias("x")).write.parquet(path)
+    df = spark.read.parquet(path)
+    from churnlens.operators import quantiles as Q
+
+    rounds = []
+    bins = Q._bin
+    Q._bin = lambda *a: rounds.append(1) or bins(*a)
+    try:
+        got = exact_quantiles(df, {"q": (F.col("x"), [0.3333, 0.6667])})["q"]
+    finally:
+        Q._bin = bins
+    assert got == [_brute([r["x"] for r in df.collect()], p) for p in (0.3333, 0.6667)]
+    assert len(rounds) == 2  # one histogram per cut, in one round after the sketch
