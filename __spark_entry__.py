@@ -347,6 +347,15 @@ def _table_sql() -> dict[str, str]:
         + " FROM raw",
         "raw_csv_widths": _R + "SELECT COUNT(*) AS total_lines, count_if(row_id % 97 = 0 OR row_id % 89 = 0) AS wrong_width_lines FROM raw",
         "overwrite_survives_failure": _T + f"SELECT {typed_columns} FROM typed",
+        "dropped_table_rows": _T + f"SELECT {typed_columns} FROM typed",
+        "preview_contained": _R + "SELECT least(10, COUNT(*)) AS preview_rows, least(10, COUNT(*)) AS raw_rows FROM raw",
+        "catalog_describe_extended": "SELECT described, property, value FROM (VALUES ('raw', 'csv'), ('typed', 'orc'), ('cleaned', 'orc')) t(described, source), "
+        "LATERAL (VALUES ('database', 'churnlens_check_db'), ('table', 'customer_churn_' || described), ('type', 'external'), ('provider', source)) p(property, value)",
+        "footer_ranges": _C
+        + "SELECT COUNT(*) AS cleaned_rows, "
+        + ", ".join(f"{f}({c}) AS {f}_{c}" for c in ("tenure", "monthlycharges", "totalcharges") for f in ("min", "max"))
+        + " FROM cleaned",
+        "running_rates": _C + mapped.format("cleaned"),
         "key_uniqueness": _R + _uniqueness("raw", "TRIM(customer_id)", ("total_rows", "distinct_customer_ids", "duplicate_customer_id_rows")),
         "duplicate_keys": _R
         + "SELECT * FROM (" + _tally("raw", "customer_id", "TRIM(customer_id)", "occurrence_count")
@@ -423,7 +432,15 @@ def _table_sql() -> dict[str, str]:
         "stream_typed_rows": _T + f"SELECT {typed_columns} FROM typed",
         "stream_running_rates": _T + mapped.format("typed"),
     }
-    sql.update({name: sql[twin] for name, twin in TWINS.items()})
+    again = {
+        "duplicate_keys_filtered": "duplicate_keys",
+        "footer_row_count": "row_count",
+        "footer_cleaned_nulls": "cleaned_nulls",
+        "clustered_latest_per_key": "latest_per_key",
+        "clustered_cleaned_rows": "cleaned_rows",
+        "clustered_cleaned_check": "cleaned_check",
+    }
+    sql.update({name: sql[twin] for name, twin in {**TWINS, **again}.items()})
     order = {
         "ordered_share_of_total": "customer_status DESC",
         "ordered_freq_contract": "customer_count DESC, contract NULLS FIRST",

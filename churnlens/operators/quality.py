@@ -60,18 +60,49 @@ def key_uniqueness(
     return key_uniqueness_finish(both, total, distinct, dupes)
 
 
+#: Bits of the filter's hash: 2^22 counters are at most 48 MB of a task's partial rows, and 512 KB as a bitmap.
+FILTER_BITS = 22
+
+
+def repeated_only(df: DataFrame, key: Column, bits: int = FILTER_BITS) -> DataFrame:
+    """``df`` without rows whose key can't be there twice, by one pass over hashed keys.
+
+    Keys are hashed to 2^bits counters, which tasks add up by themselves before
+    they exchange (counter, rows).  The counters of two or more rows become
+    bitmaps (2^bits / 8 bytes altogether, whatever the input's size), which
+    every task looks its rows up in.  No repeated key is ever left out; a
+    single one stays when it shares its counter.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    slots = df.select(slot.alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    word, at = F.bitmap_bucket_number("slot"), F.bitmap_bit_position("slot")
+    maps = slots.groupBy(word.alias("__map")).agg(F.bitmap_construct_agg(at).alias("__bits"))
+    rows = df.withColumn("__slot", slot).withColumn("__word", F.bitmap_bucket_number("__slot"))
+    at = F.bitmap_bit_position("__slot")
+    byte = F.call_function("substring", F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))
+    repeated = F.call_function("getbit", F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+    return rows.join(F.broadcast(maps), F.col("__word") == F.col("__map")).where(repeated).select(*df.columns)
+
+
 def duplicate_keys(
     df: DataFrame,
     key: str,
     limit: int | None = 100,
     key_expr: Column | None = None,
     count_name: str = "occurrence_count",
+    filter_bits: int | None = None,
 ) -> DataFrame:
-    """Keys seen more than once, most frequent first (ties by key), top ``limit``."""
+    """Keys seen more than once, most frequent first (ties by key), top ``limit``.
+
+    With ``filter_bits`` keys that can't be repeated are left out before the
+    keys themselves are exchanged (``repeated_only``): right for wide keys that
+    are mostly single.
+    """
     k = key_expr if key_expr is not None else F.col(key)
+    keys = df.filter(~is_blank(F.col(key))).select(k.alias(key))
     out = (
-        df.filter(~is_blank(F.col(key)))
-        .groupBy(k.alias(key))
+        (repeated_only(keys, F.col(key), filter_bits) if filter_bits else keys)
+        .groupBy(key)
         .agg(F.count(F.lit(1)).alias(count_name))
         .filter(F.col(count_name) > 1)
         .orderBy(F.desc(count_name), F.asc(key))
@@ -129,6 +160,19 @@ def null_counts(
     return df.agg(*null_count_aggs(cols, total))
 
 
+def null_counts_of_counts(df: DataFrame, cols: dict[str, str], total: str | None = None) -> DataFrame:
+    """``null_counts`` from row and value counts alone, which a scan of columnar
+    files can answer from their footers; NULL on empty input as there."""
+    n = F.count(F.lit(1))
+    out = [F.when(n > 0, n - F.count(c)).alias(name) for name, c in cols.items()]
+    return df.agg(*([n.alias(total)] if total else []), *out)
+
+
+def count_and_range(df: DataFrame, cols: Sequence[str], total: str = "row_count") -> DataFrame:
+    """One row: rows, and least and largest value per column (footers answer it too)."""
+    return df.agg(F.count(F.lit(1)).alias(total), *[f(c).alias(f"{name}_{c}") for c in cols for name, f in (("min", F.min), ("max", F.max))])
+
+
 def invalid_rows(
     df: DataFrame,
     required: Sequence[str],

@@ -7,6 +7,7 @@ the shared checkpoint folder; pass ``workdir`` for real table prefixes.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,7 @@ from churnlens.operators.quality import (
     missing_finish,
     missing_report,
     normalised,
-    null_count_aggs,
-    null_counts,
+    null_counts_of_counts,
     preview,
     row_count,
     value_frequencies,
@@ -44,6 +44,8 @@ from churnlens.sources.tables import (
     declare_orc_table,
     describe_table,
     drop_table,
+    scan_footers,
+    store_clustered,
     table_location,
     use_database,
 )
@@ -91,6 +93,7 @@ class AttritionPipeline:
         accuracy: int | None = None,
         stage_raw: bool = True,
         tables: dict[str, str] | None = None,
+        clusters: int | None = None,
     ) -> None:
         self.spark = spark
         self.raw = raw
@@ -99,6 +102,7 @@ class AttritionPipeline:
         self.accuracy = accuracy
         self.stage_raw = stage_raw
         self.tables = tables or {}
+        self.clusters = clusters  # buckets of the deduplicated and cleaned tables, by customer
 
     def _path(self, name: str) -> str:
         return f"{self.workdir}/{name}"
@@ -115,6 +119,17 @@ class AttritionPipeline:
         df.write.mode("overwrite").orc(path)
         return self.spark.read.orc(path)
 
+    def _store_by_key(self, df: DataFrame, name: str, key: str = "customer_id") -> DataFrame:
+        """``_store``, clustered by the key's hash if the run has ``clusters``."""
+        if self.clusters is None or name in self.tables:
+            return self._store(df, name)
+        return store_clustered(df, f"churnlens_{name}_{uuid.uuid4().hex[:12]}", self._path(name), key, self.clusters)
+
+    def footers(self, name: str) -> DataFrame:
+        """The files of a written stage, for counts and ranges that their footers answer."""
+        table = self.tables.get(name)
+        return scan_footers(self.spark, table_location(self.spark, table) if table else self._path(name))
+
     # ---- stages ---------------------------------------------------------
     @cached_property
     def raw_stored(self) -> DataFrame:
@@ -136,7 +151,7 @@ class AttritionPipeline:
 
     @cached_property
     def deduplicated(self) -> DataFrame:
-        return self._store(deduplicate(self.typed), "deduplicated")
+        return self._store_by_key(deduplicate(self.typed), "deduplicated")
 
     @cached_property
     def cleaned(self) -> DataFrame:
@@ -146,7 +161,7 @@ class AttritionPipeline:
             accuracy=self.accuracy,
             materialize=lambda df, name: self.deduplicated,
         )
-        return self._store(out, "cleaned_orc")
+        return self._store_by_key(out, "cleaned_orc")
 
     def export(self, path: str | None = None, compression: str | None = "gzip") -> str:
         path = path or self._path("export_tsv")
@@ -211,20 +226,27 @@ class AttritionPipeline:
         }
 
     # ---- validation of the typed table ----------------------------------
+    @cached_property
+    def typed_footers(self) -> DataFrame:
+        self.typed  # written first
+        return self.footers("typed_orc")
+
+    @cached_property
+    def cleaned_footers(self) -> DataFrame:
+        self.cleaned  # written first
+        return self.footers("cleaned_orc")
+
     def typed_required_nulls(self) -> DataFrame:
-        return null_counts(self.typed, REQUIRED_NULLS, total="total_rows")
+        return null_counts_of_counts(self.typed_footers, REQUIRED_NULLS, total="total_rows")
 
     def typed_analytic_nulls(self) -> DataFrame:
-        return null_counts(self.typed, ANALYTIC_NULLS)
+        return null_counts_of_counts(self.typed_footers, ANALYTIC_NULLS)
 
     @cached_property
     def validation(self) -> dict[str, DataFrame]:
-        """Both NULL reports of the typed table from one global aggregate
-        (written once), plus a bounded look at the rows to be excluded."""
-        row = self._store(
-            self.typed.agg(*null_count_aggs(REQUIRED_NULLS, total="total_rows"), *null_count_aggs(ANALYTIC_NULLS)),
-            "typed_validation",
-        )
+        """Both NULL reports of the typed table from the counts in its files'
+        footers (written once), plus a bounded look at the rows to be excluded."""
+        row = self._store(null_counts_of_counts(self.typed_footers, REQUIRED_NULLS | ANALYTIC_NULLS, total="total_rows"), "typed_validation")
         return {
             "typed_required_nulls": row.select("total_rows", *REQUIRED_NULLS),
             "typed_analytic_nulls": row.select(*ANALYTIC_NULLS),
@@ -238,8 +260,8 @@ class AttritionPipeline:
     # ---- checks and reports on the cleaned table --------------------------
     @cached_property
     def report_cells(self) -> DataFrame:
-        """Cells of every grouped check and report: one scan, one shuffle, written once."""
-        return self._store(reports.report_cells(self.cleaned), "report_cells")
+        """Cells of every grouped check and report: one scan, one shuffle, rolled up, written once."""
+        return self._store(reports.report_cells(self.cleaned, store=self._store), "report_cells")
 
     @cached_property
     def grouped(self) -> dict[str, DataFrame]:

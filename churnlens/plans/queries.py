@@ -16,12 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.operators import bands
-from churnlens.operators.quality import cleaned_check
+from churnlens.operators.incremental import RunningCells
+from churnlens.operators.quality import FILTER_BITS, cleaned_check, count_and_range, duplicate_keys, null_counts_of_counts, row_count
 from churnlens.operators.quantiles import attach_scalars, quantile_thresholds
 from churnlens.operators.rates import mapreduce_rate
 from churnlens.plans import reports
 from churnlens.plans.clean import CHARGE, USAGE, threshold_specs
-from churnlens.plans.pipeline import AttritionPipeline, catalog_pipeline
+from churnlens.plans.pipeline import TABLE_PREFIX, AttritionPipeline, catalog_pipeline
 from churnlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, COLUMNS, ROW_ID, TYPED_SCHEMA
 from churnlens.session import scratch_dir
 from churnlens.sinks.overwrite import swap_overwrite
@@ -29,7 +30,7 @@ from churnlens.sinks.writers import export_tsv, read_tsv
 from churnlens.sources.csv_quoted import line_width_report, read_quoted_csv, write_quoted_csv
 from churnlens.sources.csv_raw import read_raw_csv, write_raw_csv
 from churnlens.sources.fixture import raw_records
-from churnlens.sources.tables import describe_columns
+from churnlens.sources.tables import declare_orc_table, describe_columns, describe_table, drop_table
 from churnlens.streaming.ingest import latest_snapshot, start_running_rates, start_typed_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,7 +179,86 @@ def _overwrite_survives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def _preview_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unordered preview: how many rows it has, and how many of them are raw rows."""
+    raw = pipeline(spark, sf_dir).raw_stored
+    shown = spark.createDataFrame(pipeline(spark, sf_dir).raw_preview(10).collect(), raw.schema)  # ten rows, fixed
+    found = raw.join(F.broadcast(shown.select(F.col(ROW_ID).alias("__shown"))), F.col(ROW_ID) == F.col("__shown"), "left_semi").intersect(shown)
+    return attach_scalars(shown.agg(F.count(F.lit(1)).alias("preview_rows")), found.agg(F.count(F.lit(1)).alias("raw_rows")))
+
+
+def _dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that are read from the files of an external table after it was dropped."""
+    p = _catalog(spark, sf_dir)
+    name, place = f"{CHECK_DB}.dropped_rows", scratch_dir(spark, "dropped")
+    declare_orc_table(spark, name, TYPED_SCHEMA, place)
+    swap_overwrite(p.typed, name)
+    drop_table(spark, name)
+    if spark.catalog.tableExists(name):
+        raise AssertionError("the table should be gone")
+    return spark.read.schema(TYPED_SCHEMA).orc(place)
+
+
+def _describe_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extended description of the declared tables, as far as it doesn't hold places and times."""
+    kinds = {"raw": CHECK_DB, "typed": CHECK_DB, "cleaned": CHECK_DB}
+    _catalog(spark, sf_dir)
+    out = None
+    for n, db in kinds.items():
+        rows = describe_table(spark, f"{db}.{TABLE_PREFIX}{n}").where(F.col("col_name").isin("Database", "Table", "Type", "Provider"))
+        rows = rows.select(F.lit(n).alias("described"), F.lower("col_name").alias("property"), F.lower("data_type").alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+_CLUSTERED: dict[tuple[str, str], AttritionPipeline] = {}
+CLUSTERS = 8
+
+
+def clustered_pipeline(spark: SparkSession, sf_dir: str) -> AttritionPipeline:
+    """The run of ``pipeline`` with its deduplicated and cleaned tables clustered by customer."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CLUSTERED:
+        _CLUSTERED[key] = AttritionPipeline(spark, pipeline(spark, sf_dir).raw_stored, stage_raw=False, clusters=CLUSTERS)
+    return _CLUSTERED[key]
+
+
+def _footer_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_and_range(pipeline(spark, sf_dir).cleaned_footers, ["tenure", "monthlycharges", "totalcharges"], "cleaned_rows")
+
+
+def _footer_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pipeline(spark, sf_dir).typed
+    return row_count(pipeline(spark, sf_dir).footers("typed_orc"), "raw_record_count")
+
+
+BATCHES = 3
+
+
+def _running_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates per contract and payment method after the records came in three batches, newer and older ones mixed."""
+    typed, keys = pipeline(spark, sf_dir).typed, ["contract", "payment_method"]
+    newest = {"signup_date": F.col("signup_date").desc_nulls_last()}
+    cells = RunningCells(spark, scratch_dir(spark, "running"), keys, "customer_id", "churn", newest, [ROW_ID])
+    for n in range(BATCHES):
+        cells.add(typed.where(F.col(ROW_ID) % BATCHES == n), n)
+    return reports.finish_mapreduce_rate(cells.totals(BATCHES))
+
+
 QUERIES: dict[str, Query] = {
+    "preview_contained": _preview_contained,
+    "dropped_table_rows": _dropped,
+    "catalog_describe_extended": _describe_extended,
+    "duplicate_keys_filtered": lambda s, d: duplicate_keys(
+        pipeline(s, d).raw_stored, "customer_id", 100, key_expr=F.trim(F.col("customer_id")), filter_bits=FILTER_BITS
+    ),
+    "footer_row_count": _footer_count,
+    "footer_ranges": _footer_ranges,
+    "footer_cleaned_nulls": lambda s, d: null_counts_of_counts(pipeline(s, d).cleaned_footers, reports.CLEANED_NULLS),
+    "clustered_latest_per_key": lambda s, d: clustered_pipeline(s, d).deduplicated,
+    "clustered_cleaned_rows": lambda s, d: clustered_pipeline(s, d).cleaned.select(*CLEANED_COLUMNS),
+    "clustered_cleaned_check": lambda s, d: cleaned_check(clustered_pipeline(s, d).cleaned),
+    "running_rates": _running_rates,
     "raw_csv_quoted": _csv_quoted,
     "raw_csv_widths": _csv_widths,
     "overwrite_survives_failure": _overwrite_survives,

@@ -45,6 +45,35 @@ def declare_orc_table(spark: SparkSession, name: str, schema: T.StructType, loca
     spark.sql(f"CREATE TABLE {_q(name)} ({ddl(schema)}) USING orc LOCATION {_text(location)}")
 
 
+def scan_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A scan of ORC files by the V2 source, which answers COUNT, MIN and MAX
+    without grouping or filter from the files' footers.
+
+    The V2 source is chosen for this frame only.  The push-down setting is read
+    when a query runs, so it stays on; it changes where such a result is read
+    from and nothing else.
+    """
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ",".join(x for x in before.split(",") if x.strip() != "orc"))
+    spark.conf.set("spark.sql.orc.aggregatePushdown", "true")
+    try:
+        return spark.read.orc(path)
+    finally:
+        spark.conf.set(key, before)
+
+
+def store_clustered(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as an external ORC table clustered by the hash of ``key`` and return its scan.
+
+    Aggregates, windows and joins on the key then run without an exchange.
+    Rows that already lie by that hash (a window over the key) are written
+    from where they are.
+    """
+    df.write.format("orc").option("path", path).bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     """Where the files of a table are."""
     for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)}").collect():  # a row per column or property
