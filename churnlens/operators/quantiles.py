@@ -6,8 +6,8 @@ always an actual value).  Two scans find it, and a histogram search follows
 where they haven't:
 
 1. one aggregate gives count, min, max and a KLL sketch per value expression.
-   Sketches are merged in two levels, ``FAN`` groups of tasks first, so no task
-   merges those of all others.  The sketch's values around ``p``, as far as its
+   On more than ``FAN`` cores sketches are merged in two levels, ``FAN`` groups
+   of tasks first, so no task merges those of all others.  The sketch's values around ``p``, as far as its
    rank error goes, bracket the answer;
 2. a round cuts each target's bracket [lo, hi] into ``bins`` of equal width and
    counts (bin, rows, min, max), and what lies below the bracket, with one
@@ -61,15 +61,20 @@ def sketch_error(k: int) -> float:
     return 2.296 / k**0.9723
 
 
-def sketch_brackets(src: DataFrame, probs: Sequence[Sequence[float]], k: int, error: float):
+def sketch_brackets(src: DataFrame, probs: Sequence[Sequence[float]], k: int, error: float, fan: int | None = None):
     """One row: per column ``v<i>`` count (n), min (lo), max (hi) and the sketch's values ``error`` below and above each of ``probs[i]``."""
     at = range(len(probs))
     names = [f"v{i}" for i in at]
     counts = [f(v).alias(f"{c}_{v}") for v in names for c, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
     sketches = [F.kll_sketch_agg_double(v, F.lit(k)).alias(f"s_{v}") for v in names]
-    parts = src.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN)).alias("g")).agg(*counts, *sketches)
-    sums = [f(f"{c}_{v}").alias(f"{c}_{v}") for v in names for c, f in (("n", F.sum), ("lo", F.min), ("hi", F.max))]
-    merged = parts.agg(*sums, *[F.kll_merge_agg_double(F.when(F.col(f"n_{v}") > 0, F.col(f"s_{v}"))).alias(f"s_{v}") for v in names])
+    if fan is None:
+        fan = FAN if src.sparkSession.sparkContext.defaultParallelism > FAN else 1
+    if fan > 1:
+        parts = src.groupBy(F.pmod(F.spark_partition_id(), F.lit(fan)).alias("g")).agg(*counts, *sketches)
+        sums = [f(f"{c}_{v}").alias(f"{c}_{v}") for v in names for c, f in (("n", F.sum), ("lo", F.min), ("hi", F.max))]
+        merged = parts.agg(*sums, *[F.kll_merge_agg_double(F.when(F.col(f"n_{v}") > 0, F.col(f"s_{v}"))).alias(f"s_{v}") for v in names])
+    else:
+        merged = src.agg(*counts, *sketches)
     out = [F.coalesce(f"n_v{i}", F.lit(0)).alias(f"n{i}") for i in at] + [F.col(f"{c}_v{i}").alias(f"{c}{i}") for i in at for c in ("lo", "hi")]
     for i in at:
         for name, shift in (("below", -error), ("above", error)):

@@ -7,15 +7,15 @@ The report filters are all on group keys, so they can run after grouping.
 
 * Direct path (one statement, as a user runs it): cells are a ``groupBy``;
   Catalyst pushes the key filters below the aggregate into the scan.
-* Combined path (the pipeline): an aggregation lattice.  ``report_roots`` is
-  one scan with two groupings (each row is expanded twice and combined
-  map-side), ``report_cells`` rolls the nine key sets up from those few
-  cells, and each report is a slice of that small table.
+* Combined path (the pipeline): an aggregation lattice.  ``report_cells`` is
+  one scan with four groupings (each row is expanded four times, not nine,
+  and combined map-side); each of the nine key sets is a slice of those few
+  cells, rolled up where its root is finer.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,12 +62,14 @@ CELL_SETS: dict[str, list[str]] = {
     "charge_contract": ["monthly_charge_band", "contract"],
 }
 
-#: The finest groupings that the nine sets are rolled up from.  The second one's
-#: bands bound it to some ten thousand cells; the first one has all free text.
-#: One grouping of all ten columns would have up to a million cells a task.
+#: The finest groupings that the nine sets are rolled up from.  They share no
+#: column, and the bands bound all but the first, so a task's partial cells are
+#: a few hundred; one grouping of all ten columns could have a million.
 CELL_ROOTS: dict[str, list[str]] = {
     "offer": ["contract", "payment_method", "monthly_charge_band", "churn"],
-    "service": ["tenure_group", "satisfaction_group", "complaint_group", "service_call_group", "usage_band", "has_tech_support"],
+    "stay": ["tenure_group", "satisfaction_group"],
+    "contact": ["complaint_group", "service_call_group"],
+    "usage": ["usage_band", "has_tech_support"],
 }
 _CELL_COLS = [c for keys in CELL_ROOTS.values() for c in keys]
 
@@ -78,44 +80,28 @@ def rate_cells(df: DataFrame, keys: Sequence[str], target: str = "churn") -> Dat
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(N), F.sum(target).cast("bigint").alias(S))
 
 
-def _gid(keys: Sequence[str], columns: Sequence[str]) -> int:
+def _gid(keys: Sequence[str]) -> int:
     """``grouping_id()`` of a set: one bit per column that is not grouped."""
-    return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+    width = len(_CELL_COLS)
+    return sum(1 << (width - 1 - i) for i, c in enumerate(_CELL_COLS) if c not in keys)
 
 
-def _grouping(df: DataFrame, sets: dict[str, list[str]], columns: Sequence[str], *values: Column) -> DataFrame:
-    """GROUPING SETS over ``columns``, each row with the name of its set."""
-    out = df.groupingSets([[F.col(c) for c in keys] for keys in sets.values()], *[F.col(c) for c in columns]).agg(F.grouping_id().alias("gid"), *values)
-    name = F.create_map(*[F.lit(x) for n, keys in sets.items() for x in (_gid(keys, columns), n)])
-    return out.withColumn("cells", name[F.col("gid").cast("int")]).drop("gid")
-
-
-def report_roots(cleaned: DataFrame, target: str = "churn") -> DataFrame:
-    """The cells of the two root groupings: one scan, one shuffle."""
+def report_cells(cleaned: DataFrame, target: str = "churn") -> DataFrame:
+    """The cells of the root groupings (their ``grouping_id`` as gid): one scan, one shuffle."""
     # the target is a key of a root, so it is summed as a column of its own
     rows = cleaned.select(*_CELL_COLS, F.col(target).alias("__target"))
-    return _grouping(rows, CELL_ROOTS, _CELL_COLS, F.count(F.lit(1)).alias(N), F.sum("__target").cast("bigint").alias(S))
-
-
-def report_cells(cleaned: DataFrame, target: str = "churn", store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
-    """The cells of every grouped report, rolled up from those of the roots.
-
-    ``store(df, name)`` writes the root cells once; without it they are
-    computed for each root.
-    """
-    roots = report_roots(cleaned, target)
-    roots = store(roots, "report_roots") if store else roots
-    out = None
-    for root, columns in CELL_ROOTS.items():
-        sets = {n: keys for n, keys in CELL_SETS.items() if set(keys) <= set(columns)}
-        up = _grouping(roots.where(F.col("cells") == root).select(*columns, N, S), sets, columns, F.sum(N).alias(N), F.sum(S).alias(S))
-        out = up if out is None else out.unionByName(up, allowMissingColumns=True)
-    return out
+    out = rows.groupingSets([[F.col(c) for c in keys] for keys in CELL_ROOTS.values()], *[F.col(c) for c in _CELL_COLS])
+    return out.agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias(N), F.sum("__target").cast("bigint").alias(S))
 
 
 def cells_of(all_cells: DataFrame, name: str) -> DataFrame:
+    """The cells of one key set: those of its root, rolled up if the root is finer."""
     keys = CELL_SETS[name]
-    return all_cells.filter(F.col("cells") == name).select(*keys, N, S)
+    root = next(columns for columns in CELL_ROOTS.values() if set(keys) <= set(columns))
+    cells = all_cells.filter(F.col("gid") == _gid(root))
+    if len(keys) < len(root):
+        cells = cells.groupBy(*keys).agg(F.sum(N).alias(N), F.sum(S).alias(S))
+    return cells.select(*keys, N, S)
 
 
 # ---- finishes -----------------------------------------------------------

@@ -161,9 +161,13 @@ def test_exact_quantiles_of_extreme_values(spark):
     assert got == [_brute(real, p) for p in probs]
 
 
-@pytest.mark.parametrize("error", [0.0, 0.5, -0.2])
-def test_quantiles_are_exact_whatever_the_sketch_says(spark, error):
+@pytest.mark.parametrize("error, fan", [(0.0, 64), (0.5, 64), (-0.2, 1), (0.01, 64)])
+def test_quantiles_are_exact_whatever_the_sketch_says(spark, monkeypatch, error, fan):
     """Brackets of no width, of everything, and beside the answer: the counts put them right."""
+    from churnlens.operators import quantiles as Q
+
+    merged = Q.sketch_brackets
+    monkeypatch.setattr(Q, "sketch_brackets", lambda *a: merged(*a, fan=fan))
     rnd = random.Random(3)
     vals = [round(rnd.expovariate(0.01), 2) for _ in range(20_000)] + [7.0] * 10_000
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(9)
