@@ -13,9 +13,9 @@ between its components and a larger one branches on; else no pair in it can
 change the result.  Candidate pairs are confirmed on
 the full sets, which are read for the classes of candidate pairs only.
 
-Nothing is grouped into one task: nodes are only counted (combined map-side),
-joined and self-joined below the leaf bound, and the trees' recursion is a
-loop over levels, each one written to the shared folder.  The levels end when
+Nothing is grouped into one task: nodes are only counted (combined map-side)
+and joined, in blocks where they are large, and the trees' recursion is a loop
+over levels, each one written to the shared folder.  The levels end when
 no open node is left; nodes that are large and open at level ``DEPTH`` compare
 their classes with every class of another component.
 
@@ -38,10 +38,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_128_digest
 
-from churnlens.llm.common import bounded_batches, fresh, stored
+from churnlens.llm.common import batch_rows, fresh, stored
 from churnlens.llm.components import components
 from churnlens.llm.text_hash import shingles, word_hashes, words
 
@@ -71,6 +71,8 @@ def _odd(seed: int, n: int) -> np.ndarray:
 _MULS = _odd(20240601, COORDS)
 _OWN_MULS = _odd(20240602, EXTRA * OWN)
 _BLOCK = 200_000
+#: Texts of an Arrow batch; blocks of a node that is compared whole.
+BATCH, BLOCKS = 200, 16
 
 
 def minwise(sets: list[np.ndarray], muls: np.ndarray = _MULS) -> np.ndarray:
@@ -98,11 +100,12 @@ def _sketch(size: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     b["doc_id"],
+                    b["mark"],
                     pa.array([xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([next(sig) if len(s) else None for s in sets], pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "cls", "n", "sig"],
+                names=["doc_id", "mark", "cls", "n", "sig"],
             )
 
     return run
@@ -169,8 +172,12 @@ def _pairs(open_: DataFrame, last: bool) -> DataFrame:
     two = lists.select("m", F.explode("m").alias("x")).select("x", F.explode(F.filter("m", lambda z: fits(F.col("x"), z))).alias("y"))
     out = star.unionByName(two)
     if last:
-        large = open_.where(~F.col("fresh") & (F.col("size") > LEAF))
-        out = out.unionByName(large.select("node", me.alias("x")).join(large.select("node", me.alias("y")), "node").where(fits(x, y)).select("x", "y"))
+        # a node of any size is compared block by block: its pairs are dealt over BLOCKS ** 2 keys
+        large = open_.where(~F.col("fresh") & (F.col("size") > LEAF)).select("node", me.alias("m"), F.pmod(F.xxhash64("cls"), F.lit(BLOCKS)).alias("own"))
+        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(BLOCKS - 1).cast("bigint")))
+        left = large.select("node", F.col("m").alias("x"), F.col("own").alias("bx"), other.alias("by"))
+        right = large.select("node", F.col("m").alias("y"), other.alias("bx"), F.col("own").alias("by"))
+        out = out.unionByName(left.join(right, ["node", "bx", "by"]).where(fits(x, y)).select("x", "y"))
     return out.select(F.col("x.cls").alias("a"), F.col("x.rep").alias("ra"), F.col("y.cls").alias("b"), F.col("y.rep").alias("rb")).distinct()
 
 
@@ -194,11 +201,17 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
     """(doc_id, cls, n) of every row, and (u, v): classes linked to a smaller class, with the smallest of the component."""
     if not 80 <= percent <= 100:
         raise ValueError(f"percent must be from 80 to 100, as the size filter and the trees are laid out for: {percent}")
-    bounded_batches(docs.sparkSession)
+    with batch_rows(docs.sparkSession, BATCH):
+        return _similar_classes(docs, size, percent)
+
+
+def _similar_classes(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     schema = docs.select("doc_id").schema.simpleString()[7:-1]
-    sketch = stored(docs.select("doc_id", "text").mapInArrow(_sketch(size), f"{schema}, cls binary, n bigint, sig array<int>"), "neardup-sketch")
+    texts = docs.select("doc_id", "text", _mark().alias("mark"))
+    sketch = stored(texts.mapInArrow(_sketch(size), f"{schema}, mark bigint, cls binary, n bigint, sig array<int>"), "neardup-sketch")
     rows = sketch.where("cls IS NOT NULL")
-    classes = stored(rows.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
+    rep = F.min(F.struct(F.col("doc_id").alias("id"), "mark")).alias("rep")
+    classes = stored(rows.groupBy("cls").agg(rep, F.first("n").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
 
     none = classes.sparkSession.createDataFrame([], "u binary, v binary")
     labels, unsettled = _linked(docs, classes, size, percent, none, classes.select("cls", "sig"), TREES)
@@ -208,12 +221,23 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
         trees = F.transform(F.sequence(F.lit(0), F.lit(EXTRA - 1)), lambda t: F.struct(t.alias("tree"), F.slice("sigs", t * OWN + 1, OWN).alias("sig")))
         own = sigs.select("cls", F.explode(trees).alias("t")).select("cls", "t.tree", "t.sig")
         labels, _ = _linked(docs, hard.join(classes.select("cls", "sig"), "cls"), size, percent, labels, stored(own, "neardup-own"), EXTRA)
-    return sketch.drop("sig"), labels
+    return sketch.drop("sig", "mark"), labels
+
+
+def _mark() -> Column:
+    """Tells the texts of rows apart that share an id, or have none."""
+    return F.xxhash64("text")
 
 
 def _texts(docs: DataFrame, need: DataFrame) -> DataFrame:
-    """(cls, text) of the rows named by (cls, rep); another text under the same id isn't the class's and is left out later."""
-    return docs.select("doc_id", "text").join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
+    """(cls, text) of the rows named by (cls, rep): one a class, and its copies under the same id.
+
+    An id that many rows share names one of their texts, so a class never reads
+    the texts of others (two texts of one hash apart: they are left out later).
+    """
+    rows = docs.select("doc_id", "text", _mark().alias("mark"))
+    same = F.col("doc_id").eqNullSafe(F.col("rep.id")) & (F.col("mark") == F.col("rep.mark"))
+    return rows.join(need, same).select("cls", "text")
 
 
 def _linked(docs: DataFrame, classes: DataFrame, size: int, percent: int, labels: DataFrame, tokens: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:

@@ -92,4 +92,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_whitening": op13_whitening,
 }
 
-ORACLES: dict[str, str] = {}
+_NEAR = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct([array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)]) END AS shingles
+  FROM w
+), sizes AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM s
+), e AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n, unnest(shingles) AS shingle FROM s
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b
+    ON a.shingle = b.shingle AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 80 * (a.n + b.n - COUNT(*))
+), links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs
+), reach(x, y) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+), least AS (SELECT x, MIN(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least ON x = doc_id
+"""
+
+#: op9's contract is a result, whatever finds it: shingles, all pairs that share one, and a recursive closure.
+ORACLES: dict[str, str] = {"op9_minhash_neardup": _NEAR}

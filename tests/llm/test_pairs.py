@@ -109,6 +109,32 @@ def test_neardup_query(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_neardup_reads_a_text_a_class_whatever_the_ids(spark, monkeypatch):
+    """Near copies without ids, or under one id: as many texts are read as classes are needed."""
+    rng, need, read = random.Random(4), [], []
+    texts = []
+    for g in range(50):
+        words = [f"g{g}w{i}" for i in range(120)]
+        for _ in range(20):
+            w = list(words)
+            w[rng.randrange(120)] = f"x{rng.randrange(10**9)}"
+            texts.append(" ".join(w))
+    df = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    of = neardup._texts
+
+    def counted(docs, wanted):
+        out = of(docs, wanted)
+        need.append(wanted.count())
+        read.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "_texts", counted)
+    _, links = neardup.similar_classes(df)
+    assert need and read == need
+    # all classes of a family are in one component: 20 classes, 19 of them labelled
+    assert links.count() == 50 * 19 and links.select("v").distinct().count() == 50
+
+
 def test_neardup_odd_rows(spark):
     rows = [(None, "a b c d e"), (7, "a b c d e"), (7, "a b c d e"), (7, "other words are in this text"), (9, None), (None, None), (8, "A B C D E")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
