@@ -71,8 +71,8 @@ def _odd(seed: int, n: int) -> np.ndarray:
 _MULS = _odd(20240601, COORDS)
 _OWN_MULS = _odd(20240602, EXTRA * OWN)
 _BLOCK = 200_000
-#: Texts of an Arrow batch; blocks of a node that is compared whole.
-BATCH, BLOCKS = 200, 16
+#: Texts of an Arrow batch; classes of a block of a node that is compared whole.
+BATCH, BLOCK_ROWS = 200, 2048
 
 
 def minwise(sets: list[np.ndarray], muls: np.ndarray = _MULS) -> np.ndarray:
@@ -172,9 +172,10 @@ def _pairs(open_: DataFrame, last: bool) -> DataFrame:
     two = lists.select("m", F.explode("m").alias("x")).select("x", F.explode(F.filter("m", lambda z: fits(F.col("x"), z))).alias("y"))
     out = star.unionByName(two)
     if last:
-        # a node of any size is compared block by block: its pairs are dealt over BLOCKS ** 2 keys
-        large = open_.where(~F.col("fresh") & (F.col("size") > LEAF)).select("node", me.alias("m"), F.pmod(F.xxhash64("cls"), F.lit(BLOCKS)).alias("own"))
-        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(BLOCKS - 1).cast("bigint")))
+        # a node is compared block by block: its pairs are dealt over as many keys as it has pairs of blocks
+        large = open_.where(~F.col("fresh") & (F.col("size") > LEAF))
+        large = large.select("node", me.alias("m"), F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks")).withColumn("own", F.pmod(F.xxhash64("m.cls"), "blocks"))
+        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
         left = large.select("node", F.col("m").alias("x"), F.col("own").alias("bx"), other.alias("by"))
         right = large.select("node", F.col("m").alias("y"), other.alias("bx"), F.col("own").alias("by"))
         out = out.unionByName(left.join(right, ["node", "bx", "by"]).where(fits(x, y)).select("x", "y"))
