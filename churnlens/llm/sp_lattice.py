@@ -384,8 +384,8 @@ def _assemble(shards: int):
                 doc_ids.append(i)
                 sizes.append(int(t_len[at].sum()))
                 ids.append(t_flat[_ranges(t_start[at], t_len[at])])
-                # every unit spells itself, and the units are the whole text
-                same.append(bool(t_good[at].all()))
+                # every unit spells itself, and the units are the whole text; a space sign in it would come back as a space
+                same.append(SPACE not in t and bool(t_good[at].all()))
         offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
         values = np.concatenate(ids) if ids else np.empty(0, np.int32)
         return pa.table(

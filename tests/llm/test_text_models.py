@@ -47,7 +47,7 @@ def test_pieces_of_odd_texts(spark):
     assert len(rows) == 2 * len(ODD)
     for r in rows:
         t = ODD[r["doc_id"] % len(ODD)]
-        assert r["round_trip"], t
+        assert r["round_trip"] == ("▁" not in (t or "")), t
         assert sp_lattice.decode(r["ids"], strings, byte_of) == (t or "").replace("▁", " ")
         if len(t or "") < sp_lattice.UNIT_CHARS:
             assert r["ids"] == viterbi_pieces(t, *model), t
