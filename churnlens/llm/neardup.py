@@ -1,28 +1,28 @@
 """Near-duplicate documents by a chosen-path similarity join.
 
 A document is the set of its word shingles.  Documents of equal sets form one
-class; all further work is on classes.  Every class carries ``COORDS`` minwise
-tokens.  ``TREES`` independent trees branch the classes: a root's child is named by one
-token; a deeper node picks ``FAN`` groups of ``STEP`` token coordinates by a hash of
-its path, extends the path by the class's tokens there and so sends the class
-to ``FAN`` children (sets of similarity 0.8 stay together on 3 * 0.8 ** 4 = 1.2
-paths on average, sets of 0.6 on 0.4: they part).  Every
-node compares all its classes with one pivot.  If that leaves them in more
-than one component, a node of at most ``LEAF`` classes is compared exhaustively
-between its components and a larger one branches on; else no pair in it can
-change the result.  Candidate pairs are confirmed on
-the full sets, which are read for the classes of candidate pairs only.
-
-Nothing is grouped into one task: nodes are only counted (combined map-side)
-and joined, in blocks where they are large, and the trees' recursion is a loop
-over levels, each one written to the shared folder.  The levels end when
-no open node is left; nodes that are large and open at level ``DEPTH`` compare
-their classes with every class of another component.
-
-A large open node may part a pair.  A class of which fewer than ``SETTLED``
-roots are small or connected is therefore branched again by ``EXTRA`` trees,
-each with minwise tokens of its own (``OWN``), so that even a pair that meets
-large nodes down to the last level is missed with less than ``MISSED``.
+class; all further work is on classes.  ``TREES`` independent trees branch the
+classes at their roots by one minwise token each.  Every node compares all its
+classes with one pivot.  If that leaves them in more than one component, a node
+of at most ``LEAF`` classes is compared exhaustively between its components;
+else no pair in it can change the result.
+
+A larger open node may hide a pair.  A class of which fewer than ``SETTLED``
+roots are small or connected is therefore branched again by ``EXTRA`` trees
+with minwise tokens of their own: a node sends a class to ``FAN`` children, each
+chosen by ``STEP`` tokens of the level (sets of similarity 0.8 meet in one of
+them with 0.77, sets of 0.5 with 0.03), until it is small or connected; after
+``DEPTH`` levels what is left of a node is compared exhaustively.  A pair whose
+classes both are branched again is missed with less than ``MISSED``; a pair with
+a class that isn't, by the roots that settle it.
+
+Pairs must agree in size and in a sketch of four bits of each of ``COORDS``
+minwise tokens before they become rows; they are confirmed on the full sets,
+which are read for the classes of such pairs only.
+
+Nothing is grouped into one task but small nodes: nodes are counted (combined
+map-side) and joined, in blocks where they are large.  A level is one pass over
+all trees, and what it finds is written to the shared folder.
 
 Defined cases: null, empty and blank texts have the empty set, are linked with
 nothing and are kept.  Rows that repeat a doc_id are one vertex per distinct
@@ -43,7 +43,7 @@ from xxhash import xxh3_128_digest
 
 from churnlens.llm.common import batch_rows, fresh, stored
 from churnlens.llm.components import components
-from churnlens.llm.text_hash import shingles, word_hashes, words
+from churnlens.llm.text_hash import mixed, shingles, word_hashes, words
 
 COORDS = 64
 #: One tree keeps a pair of similarity 0.8 together at its root with 0.8; 12 small or connected roots miss it with 0.2 ** 12 = 4e-9.
@@ -52,24 +52,20 @@ TREES = 12
 MISSED = 1e-6
 #: So many small or connected roots miss a pair with 0.2 ** 9 = 5e-7.
 SETTLED = 9
-#: A tree of own tokens parts a pair of similarity 0.8 on the way through DEPTH large nodes with 0.558 (20,000 simulated pairs).
-PARTED = 0.56
+LEAF = 64
+STEP, FAN, DEPTH = 8, 8, 2
+#: A tree of own tokens parts a pair of similarity 0.8 if at one of its levels no child holds both.
+PARTED = 1 - (1 - (1 - 0.8**STEP) ** FAN) ** DEPTH
 EXTRA = math.ceil(math.log(MISSED) / math.log(PARTED))
-OWN = 32
-#: Trees whose roots are compared first; the others then skip what these have connected.
-FIRST = 2
-LEAF = 12
-STEP, FAN = 4, 3
-DEPTH = 6
-#: Candidate pairs need this share of equal minwise tokens: five deviations under 0.8.
-LEAST_EQUAL = 0.55
+#: Four-bit tokens that may differ: a pair of similarity 0.8 differs in 12 of 64 (deviation 3.1), in more than 30 with 2e-7.
+MOST_UNEQUAL = 30
 
 def _odd(seed: int, n: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 _MULS = _odd(20240601, COORDS)
-_OWN_MULS = _odd(20240602, EXTRA * OWN)
+_OWN_MULS = _odd(20240602, EXTRA * DEPTH * FAN * STEP)
 _BLOCK = 200_000
 #: Texts of an Arrow batch; classes of a block of a node that is compared whole.
 BATCH, BLOCK_ROWS = 200, 2048
@@ -91,21 +87,29 @@ def minwise(sets: list[np.ndarray], muls: np.ndarray = _MULS) -> np.ndarray:
     return out
 
 
+#: One bit of each of the COORDS tokens a column.
+_BITS = ("w0", "w1", "w2", "w3")
+
+
 def _sketch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(word_hashes(words(t)), size) for t in b["text"].to_pylist()]
             full = [s for s in sets if len(s)]
-            sig = iter(minwise(full)) if full else iter(())
+            sig = minwise(full) if full else np.empty((0, COORDS), np.int32)
+            at = np.cumsum([len(s) > 0 for s in sets]) - 1
+            roots = [sig[i, :TREES] if len(s) else None for i, s in zip(at, sets)]
+            bits = [np.packbits((sig >> k) & 1, axis=1).view(np.int64).ravel() for k in range(4)]
             yield pa.RecordBatch.from_arrays(
                 [
                     b["doc_id"],
                     b["mark"],
                     pa.array([xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([next(sig) if len(s) else None for s in sets], pa.list_(pa.int32())),
+                    pa.array(roots, pa.list_(pa.int32())),
+                    *(pa.array([w[i] if len(s) else None for i, s in zip(at, sets)], pa.int64()) for w in bits),
                 ],
-                names=["doc_id", "mark", "cls", "n", "sig"],
+                names=["doc_id", "mark", "cls", "n", "roots", *_BITS],
             )
 
     return run
@@ -123,71 +127,84 @@ def _full_sets(size: int):
     return run
 
 
-def _own_tokens(size: int):
-    """(cls, sigs) of the texts whose set is the expected class's: the tokens of the EXTRA trees, one after the other."""
+def _own_paths(size: int):
+    """(cls, tree, groups) of the texts whose set is the expected class's: a hash of STEP tokens for each level and child of the EXTRA trees."""
     full = _full_sets(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in full(batches):
-            sets = [np.array(x, np.int64).view(np.uint64) for x in b["items"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["cls"], pa.array(list(minwise(sets, _OWN_MULS)), pa.list_(pa.int32()))], names=["cls", "sigs"])
+            sets = [x.values.to_numpy().view(np.uint64) for x in b["items"]]
+            if not sets:
+                continue
+            tokens = minwise(sets, _OWN_MULS).view(np.uint32).astype(np.uint64).reshape(len(sets) * EXTRA, -1, STEP)
+            key = np.zeros(tokens.shape[:2], np.uint64)
+            for k in range(STEP):
+                key = mixed(key * _MULS[0] + tokens[:, :, k])
+            cls = [c for c in b["cls"].to_pylist() for _ in range(EXTRA)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cls, pa.binary()), pa.array(np.tile(np.arange(EXTRA, dtype=np.int32), len(sets))), pa.array(list(key.view(np.int64)), pa.list_(pa.int64()))],
+                names=["cls", "tree", "groups"],
+            )
 
     return run
 
 
-def _children(members: DataFrame, level: int, coords: int) -> DataFrame:
-    """Members of the next level's nodes, from members with their tokens."""
-    coord = lambda k: F.pmod(F.xxhash64(F.col("node"), F.lit(level), k), F.lit(coords)).cast("int")
-    tokens = lambda g: F.transform(F.sequence(g * STEP, g * STEP + (STEP - 1)), lambda k: F.get(F.col("sig"), coord(k)))
-    paths = F.transform(F.sequence(F.lit(0), F.lit(FAN - 1)), lambda g: F.xxhash64(F.col("node"), g, tokens(g)))
-    return members.select("cls", "n", "rep", "tree", F.lit(False).alias("top"), F.explode(paths).alias("node"), F.lit(True).alias("fresh"))
+def _children(members: DataFrame, level: int) -> DataFrame:
+    """(cls, tree, node) of the next level's nodes, from members (cls, tree, node, groups)."""
+    mine = F.slice("groups", level * FAN + 1, FAN)
+    return members.select("cls", "tree", F.explode(F.transform(mine, lambda key, g: F.xxhash64("node", g, key))).alias("node"))
 
 
-def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _members(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """``nodes`` (cls, node, ...) that hold several classes, with what is compared of the classes."""
+    several = nodes.groupBy("node").count().where("count > 1").select("node")
+    return stored(nodes.join(several, "node").join(classes.select("cls", "n", "rep", "bits"), "cls"), "neardup-members")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with component, node size and the node's pivot, of nodes that have at least two components."""
-    if labels is None:
-        m = members.withColumn("comp", F.col("cls"))
-    else:
-        label = labels.groupBy(F.col("u").alias("cls")).agg(F.min("v").alias("root"))
-        m = members.join(label, "cls", "left").withColumn("comp", F.coalesce("root", "cls")).drop("root")
+    m = members.join(labels.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left")
+    m = m.withColumn("comp", F.coalesce("root", "cls")).drop("root")
     stat = m.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct(*_ME)).alias("pivot"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     return m.join(stat.where("size > 1 AND c0 <> c1").select("node", "size", "pivot"), "node")
 
 
-_ME = ("cls", "n", "rep", "comp")
+_ME = ("cls", "n", "rep", "bits", "comp")
 
 
-def _pairs(open_: DataFrame, last: bool) -> DataFrame:
-    """Candidate (a, ra, b, rb), a < b, of different components.
+def _may_link(x: Column, y: Column) -> Column:
+    """Whether x comes first, is of another component, and sizes and sketches allow a link."""
+    unequal = F.lit(0).cast("bigint")
+    for w in _BITS:
+        unequal = unequal.bitwiseOR(x["bits"][w].bitwiseXOR(y["bits"][w]))
+    sizes = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * 80
+    return sizes & (x["comp"] != y["comp"]) & (x["cls"] < y["cls"]) & (F.bit_count(unequal) <= MOST_UNEQUAL)
 
-    A fresh node compares with its pivot.  One that is still open afterwards
-    compares what is left between its components, exhaustively if it is small
-    (or at the last level).
-    """
-    fits = lambda x, y: (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * 80) & (x["comp"] != y["comp"]) & (x["cls"] < y["cls"])
-    me, x, y = F.struct(*_ME), F.col("x"), F.col("y")
-    star = open_.where("fresh").select(F.col("pivot").alias("x"), me.alias("y")).where(fits(x, y))
-    # at most LEAF classes in a list
-    lists = open_.where(~F.col("fresh") & (F.col("size") <= LEAF)).groupBy("node").agg(F.collect_list(me).alias("m"))
-    two = lists.select("m", F.explode("m").alias("x")).select("x", F.explode(F.filter("m", lambda z: fits(F.col("x"), z))).alias("y"))
-    out = star.unionByName(two)
-    if last:
-        # a node is compared block by block: its pairs are dealt over as many keys as it has pairs of blocks
-        large = open_.where(~F.col("fresh") & (F.col("size") > LEAF))
-        large = large.select("node", me.alias("m"), F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks")).withColumn("own", F.pmod(F.xxhash64("m.cls"), "blocks"))
-        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-        left = large.select("node", F.col("m").alias("x"), F.col("own").alias("bx"), other.alias("by"))
-        right = large.select("node", F.col("m").alias("y"), other.alias("bx"), F.col("own").alias("by"))
-        out = out.unionByName(left.join(right, ["node", "bx", "by"]).where(fits(x, y)).select("x", "y"))
-    return out.select(F.col("x.cls").alias("a"), F.col("x.rep").alias("ra"), F.col("y.cls").alias("b"), F.col("y.rep").alias("rb")).distinct()
-
-
-def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose minwise tokens agree as often as LEAST_EQUAL."""
-    sig = lambda k: classes.select(F.col("cls").alias(k), F.col("sig").alias(f"s{k}"))
-    p = pairs.join(sig("a"), "a").join(sig("b"), "b")
-    equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return stored(p.where(equal >= int(LEAST_EQUAL * COORDS)).select("a", "ra", "b", "rb"), "neardup-pairs")
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x.cls").alias("a"), F.col("x.rep").alias("ra"), F.col("y.cls").alias("b"), F.col("y.rep").alias("rb"))
+
+
+def _star(open_: DataFrame) -> DataFrame:
+    """Candidate (a, ra, b, rb): each node's pivot with its other classes."""
+    return _ends(open_.select(F.col("pivot").alias("x"), F.struct(*_ME).alias("y")).where(_may_link(F.col("x"), F.col("y"))))
+
+
+def _small(open_: DataFrame) -> DataFrame:
+    """Candidates between the components of nodes of at most LEAF classes."""
+    lists = open_.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list(F.struct(*_ME)).alias("m"))
+    two = lists.select("m", F.explode("m").alias("x")).select("x", F.explode(F.filter("m", lambda z: _may_link(F.col("x"), z))).alias("y"))
+    return _ends(two)
+
+
+def _large(open_: DataFrame) -> DataFrame:
+    """Candidates between the components of larger nodes, block by block: a node is dealt over as many keys as it has pairs of blocks."""
+    large = open_.where(F.col("size") > LEAF).select("node", F.struct(*_ME).alias("m"), F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks"))
+    large = large.withColumn("own", F.pmod(F.xxhash64("m.cls"), "blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    left = large.select("node", F.col("m").alias("x"), F.col("own").alias("bx"), other.alias("by"))
+    right = large.select("node", F.col("m").alias("y"), other.alias("bx"), F.col("own").alias("by"))
+    return _ends(left.join(right, ["node", "bx", "by"]).where(_may_link(F.col("x"), F.col("y"))))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -209,20 +226,41 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
 def _similar_classes(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     schema = docs.select("doc_id").schema.simpleString()[7:-1]
     texts = docs.select("doc_id", "text", _mark().alias("mark"))
-    sketch = stored(texts.mapInArrow(_sketch(size), f"{schema}, mark bigint, cls binary, n bigint, sig array<int>"), "neardup-sketch")
-    rows = sketch.where("cls IS NOT NULL")
+    bits = ", ".join(f"{w} bigint" for w in _BITS)
+    sketch = stored(texts.mapInArrow(_sketch(size), f"{schema}, mark bigint, cls binary, n bigint, roots array<int>, {bits}"), "neardup-sketch")
     rep = F.min(F.struct(F.col("doc_id").alias("id"), "mark")).alias("rep")
-    classes = stored(rows.groupBy("cls").agg(rep, F.first("n").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
+    first = [F.first(c).alias(c) for c in ("n", "roots", *_BITS)]
+    classes = sketch.where("cls IS NOT NULL").groupBy("cls").agg(rep, *first)
+    classes = stored(classes.select("cls", "rep", "n", "roots", F.struct(*_BITS).alias("bits")), "neardup-classes")
 
     none = classes.sparkSession.createDataFrame([], "u binary, v binary")
-    labels, unsettled = _linked(docs, classes, size, percent, none, classes.select("cls", "sig"), TREES)
-    hard = stored(unsettled.groupBy("cls").count().where(F.col("count") > TREES - SETTLED).join(classes, "cls").select("cls", "n", "rep"), "neardup-hard")
+    roots = F.transform("roots", lambda token, tree: F.xxhash64(tree, token))
+    members = _members(classes.select("cls", F.explode(roots).alias("node")), classes)
+    labels = _linked(docs, _star(_open(members, none)), none, size, percent)
+    again = stored(_open(members, labels), "neardup-open")
+    labels = _linked(docs, _small(again), labels, size, percent)
+    unsettled = again.where(F.col("size") > LEAF).groupBy("cls").count().where(F.col("count") > TREES - SETTLED)
+    hard = stored(unsettled.join(classes, "cls").select("cls", "rep"), "neardup-hard")
     if not hard.isEmpty():
-        sigs = _texts(docs, hard.select("cls", "rep")).mapInArrow(_own_tokens(size), "cls binary, sigs array<int>").dropDuplicates(["cls"])
-        trees = F.transform(F.sequence(F.lit(0), F.lit(EXTRA - 1)), lambda t: F.struct(t.alias("tree"), F.slice("sigs", t * OWN + 1, OWN).alias("sig")))
-        own = sigs.select("cls", F.explode(trees).alias("t")).select("cls", "t.tree", "t.sig")
-        labels, _ = _linked(docs, hard.join(classes.select("cls", "sig"), "cls"), size, percent, labels, stored(own, "neardup-own"), EXTRA)
-    return sketch.drop("sig", "mark"), labels
+        labels = _branched(docs, hard, classes, labels, size, percent)
+    return sketch.select("doc_id", "cls", "n"), labels
+
+
+def _branched(docs: DataFrame, hard: DataFrame, classes: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
+    """``labels`` with what the EXTRA trees link of the classes ``hard``."""
+    paths = _texts(docs, hard).mapInArrow(_own_paths(size), "cls binary, tree int, groups array<bigint>")
+    paths = stored(paths.dropDuplicates(["cls", "tree"]), "neardup-paths")
+    nodes = _children(paths.withColumn("node", F.col("tree").cast("bigint")), 0)
+    wait = None
+    for level in range(1, DEPTH + 1):
+        members = _members(nodes, classes)
+        found = _star(_open(members, labels))
+        labels = _linked(docs, found if wait is None else found.unionByName(wait), labels, size, percent)
+        again = stored(_open(members, labels), "neardup-open")
+        wait = _small(again)
+        large = again.where(F.col("size") > LEAF)
+        nodes = _children(large.select("cls", "tree", "node").join(paths, ["cls", "tree"]), level)
+    return _linked(docs, wait.unionByName(_large(again)), labels, size, percent)
 
 
 def _mark() -> Column:
@@ -241,56 +279,20 @@ def _texts(docs: DataFrame, need: DataFrame) -> DataFrame:
     return rows.join(need, same).select("cls", "text")
 
 
-def _linked(docs: DataFrame, classes: DataFrame, size: int, percent: int, labels: DataFrame, tokens: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
-    """``labels`` with what ``trees`` trees link, and (cls) once per root that is large and open after its pivot.
-
-    ``tokens`` are (cls, sig) for all trees, or (cls, tree, sig).
-    """
-    own = "tree" in tokens.columns
-    by = ["cls", "tree"] if own else ["cls"]
-
-    def roots(first: int, upto: int) -> DataFrame:
-        if own:
-            m = tokens.where(F.col("tree").between(first, upto - 1)).join(classes.select("cls", "n", "rep"), "cls")
-            m = m.withColumn("node", F.xxhash64("tree", F.get("sig", F.lit(0))))
-        else:
-            nodes = F.transform(F.sequence(F.lit(first), F.lit(upto - 1)), lambda c: F.struct(c.alias("tree"), F.xxhash64(c, F.get("sig", c)).alias("node")))
-            m = classes.select("cls", "n", "rep", F.explode(nodes).alias("t")).select("cls", "n", "rep", "t.tree", "t.node")
-        return m.select("cls", "n", "rep", "tree", F.lit(True).alias("top"), "node", F.lit(True).alias("fresh"))
-
-    opened = stored(_open(roots(0, FIRST), labels), "neardup-open")
-    unsettled = classes.select("cls").limit(0)
-    level = 0
-    while True:
-        last = level > DEPTH
-        likely = _likely(_pairs(opened, last), classes)
-        if not likely.isEmpty():
-            # one row's text for each class of a pair
-            ends = F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("rep")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("rep")))
-            need = likely.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct()
-            sets = stored(_texts(docs, need).mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
-            found = stored(_confirmed(likely.select("a", "b"), sets, percent), "neardup-edges")
-            if not found.isEmpty():
-                # the labels so far connect what all links so far connect
-                labels = components(labels.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(found))
-        # nodes seen for the first time and still open: small ones stay for the exhaustive round, large ones branch
-        again = _open(opened.where("fresh").select("node", "cls", "n", "rep", "tree", "top", "fresh"), labels)
-        if level < 2 and not own:  # roots are seen in the first two rounds
-            unsettled = unsettled.unionByName(stored(again.where(F.col("top") & (F.col("size") > LEAF)).select("cls"), "neardup-unsettled"))
-        stay = again.where(F.lit(level >= DEPTH) | (F.col("size") <= LEAF)).withColumn("fresh", F.lit(False))
-        if level == 0:
-            others = _open(roots(FIRST, trees), labels)
-            stay = stay.unionByName(others.select(stay.columns))
-        if level < DEPTH:
-            level += 1
-            large = again.where(F.col("size") > LEAF).select("node", "cls", "n", "rep", "tree")
-            kids = _open(_children(large.join(tokens, by), level, OWN if own else COORDS), labels)
-            stay = stay.unionByName(kids.select(stay.columns))
-        else:
-            level += 1
-        opened = stored(stay, "neardup-open")
-        if last or opened.isEmpty():
-            return labels, unsettled
+def _linked(docs: DataFrame, pairs: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
+    """``labels`` with the candidate ``pairs`` (a, ra, b, rb) that the full sets confirm."""
+    pairs = stored(pairs.distinct(), "neardup-pairs")
+    if pairs.isEmpty():
+        return labels
+    # one row's text for each class of a pair
+    ends = F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("rep")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("rep")))
+    need = pairs.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct()
+    sets = stored(_texts(docs, need).mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
+    found = stored(_confirmed(pairs.select("a", "b"), sets, percent), "neardup-edges")
+    if found.isEmpty():
+        return labels
+    # the labels so far connect what all links so far connect
+    return components(labels.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(found))
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
