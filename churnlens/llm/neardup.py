@@ -286,7 +286,8 @@ def _linked(docs: DataFrame, pairs: DataFrame, labels: DataFrame, size: int, per
         return labels
     # one row's text for each class of a pair
     ends = F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("rep")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("rep")))
-    need = pairs.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct()
+    # written, so that Spark knows its size and can leave the texts where they are if it is small
+    need = stored(pairs.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct(), "neardup-need")
     sets = stored(_texts(docs, need).mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
     found = stored(_confirmed(pairs.select("a", "b"), sets, percent), "neardup-edges")
     if found.isEmpty():
