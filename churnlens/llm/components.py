@@ -29,6 +29,13 @@ def _star(edges: DataFrame) -> DataFrame:
     return small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u > v").distinct()
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every u has one v, which is no u itself: then v is the smallest of their component."""
+    ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))
+    seen = edges.select(F.explode(ends).alias("e")).groupBy("e.x").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("least"))
+    return seen.where("ups > 1 OR (ups = 1 AND least = 0)").isEmpty()
+
+
 def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(u, v): each node that has an edge and isn't the smallest of its component, with that smallest node.
 
@@ -44,11 +51,6 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
         for _ in range(rounds):
             e = stored(_star(e), "edges")
         return e
-    digest = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    seen = digest(e)
-    while True:
+    while not _is_done(e):
         e = stored(_star(e), "edges")
-        now = digest(e)
-        if now == seen:
-            return e
-        seen = now
+    return e
