@@ -24,8 +24,10 @@ the units of one shard.  Shards follow ``spark.sql.shuffle.partitions``.
 
 The best path maximises the sum of piece scores; ties prefer the longer last
 piece.  A character without a piece costs 10 below the least score and is
-written as byte pieces.  A unit longer than ``UNIT_CHARS`` code points is cut
-there (the fold's cost is quadratic in it): each cut is optimal by itself.
+written as byte pieces.  A unit longer than ``WINDOW`` code points is folded
+window by window, each from the last ends of the one before, so its path is the
+best of the whole unit at a cost that grows with its length.  All of its ends
+are in one row (some hundred bytes a code point).
 
 Defined cases: null and empty texts have no pieces and decode to the empty
 text; U+2581 in a text decodes to a space, everything else round-trips;
@@ -49,16 +51,15 @@ from churnlens.llm.common import bounded_batches, stored
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 BUNDLE_CHARS = 8_000_000
-UNIT_CHARS = 1024
+#: Ends that are folded at a time; at least the longest piece.
+WINDOW = 512
 #: Distinct units that a task holds before it passes them on.
 SEEN = 500_000
 #: Substrings are joined up to this length.
 HEAD = 5
 MIN_SHARDS = 64
 _LETTER = r"\p{L}\p{M}"
-_N = f"{{1,{UNIT_CHARS}}}"
-_UNIT = regex.compile(f"{SPACE}{{0,{UNIT_CHARS}}}(?:[{_LETTER}]{_N}|[^{_LETTER}{SPACE}]{_N})|{SPACE}{_N}")
-_WHOLE = regex.compile(f"{SPACE}*(?:[{_LETTER}]+|[^{_LETTER}{SPACE}]+)|{SPACE}+")
+_UNIT = regex.compile(f"{SPACE}*+(?:[{_LETTER}]++|[^{_LETTER}{SPACE}]++)|{SPACE}++")
 
 
 @lru_cache(maxsize=2)
@@ -73,7 +74,7 @@ def read_pieces(model: str = MODEL) -> tuple[list[tuple[str, int, float]], list[
         if sp.is_byte(i):
             of_byte[int(p[1:-1], 16)] = i
         elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-            if not _WHOLE.fullmatch(p):
+            if not _UNIT.fullmatch(p):
                 raise ValueError(f"piece {p!r} crosses the boundary of two units")
             pieces.append((p, i, sp.get_score(i)))
     return pieces, of_byte, min(s for _, _, s in pieces) - 10.0, max(len(p) for p, _, _ in pieces)
@@ -116,7 +117,7 @@ def tokens(text: str | None) -> list[str]:
 
 
 def units(token: str) -> list[str]:
-    if 1 < len(token) < UNIT_CHARS:  # words of letters, bare or with one mark behind them, need no pattern
+    if len(token) > 1:  # words of letters, bare or with one mark behind them, need no pattern
         if token.isalpha():
             return [SPACE + token]
         if token[-1] in ".,;:!?" and token[:-1].isalpha():
@@ -217,56 +218,81 @@ def best_paths(vocabulary: DataFrame, model: str = MODEL, parts: int = MIN_SHARD
     pieces, of_byte, unknown, longest = read_pieces(model)
     table = [(p[:HEAD], p, len(p), i, float(s)) for p, i, s in useful_pieces(pieces, unknown, longest)]
     table = spark.createDataFrame(table, "head string, piece string, len int, id int, score double")
-    # one exchange by unit serves the distinct and both groupings; the surrogate sorts faster than the unit
-    words = vocabulary.repartition(parts, "unit").groupBy("unit").agg(F.first("shard").alias("shard")).withColumn("uid", F.monotonically_increasing_id())
-    n = F.char_length("unit")
-    key = ["uid", "unit", "shard"]
-    cuts = words.select(*key, F.explode(F.sequence(F.lit(1), n)).alias("at"))
-    spans = cuts.select(*key, "at", F.explode(F.sequence(F.lit(1), F.least(n - F.col("at") + 1, F.lit(HEAD)))).alias("size"))
-    spans = spans.select(*key, "at", "size", F.substring("unit", F.col("at"), F.col("size")).alias("head"))
+    # one exchange by the unit's hash serves the distinct and both groupings, which compare numbers only
+    words = vocabulary.withColumn("hash", F.xxhash64("unit")).repartition(parts, "hash").groupBy("hash", "unit").agg(F.first("shard").alias("shard"))
+    words = words.withColumn("uid", F.monotonically_increasing_id())
+    key = ["hash", "uid", "shard"]
+    base, at, size, n = F.col("base"), F.col("at"), F.col("size"), F.char_length("unit")
+    # the unit itself stays with its first character only
+    windows = words.select(*key, "unit", F.explode(F.sequence(F.lit(0), n - 1, F.lit(WINDOW))).alias("base"))
+    part = F.substring("unit", base + 1, F.lit(WINDOW + longest))
+    windows = windows.select(*key, "base", F.when(base == 0, F.col("unit")).alias("unit"), part.alias("part"), (n - base).alias("left"))
+    cuts = windows.select(*key, "base", "unit", "part", "left", F.explode(F.sequence(F.lit(1), F.least("left", F.lit(WINDOW)))).alias("at"))
+    cuts = cuts.select(*key, "base", F.when(at == 1, F.col("unit")).alias("unit"), "part", "left", "at")
+    spans = cuts.select(*key, "base", "unit", "part", "at", F.explode(F.sequence(F.lit(1), F.least(F.col("left") - at + 1, F.lit(HEAD)))).alias("size"))
+    spans = spans.select(*key, "base", F.when(size == 1, F.col("unit")).alias("unit"), "part", "at", "size", F.substring("part", at, size).alias("head"))
     hits = spans.join(F.broadcast(table), "head", "left")
-    whole = (F.col("len") == F.col("size")) | (F.substring("unit", F.col("at"), F.col("len")) == F.col("piece"))
+    whole = (F.col("len") == size) | (F.substring("part", at, F.col("len")) == F.col("piece"))
     # single characters always make an edge, so that every end can be reached
-    hits = hits.where(whole | ((F.col("size") == 1) & F.col("id").isNull()))
+    hits = hits.where(whole | ((size == 1) & F.col("id").isNull()))
     size = F.coalesce("len", F.lit(1))
-    edge = F.struct(F.coalesce("score", F.lit(unknown)).alias("score"), size.alias("size"), F.coalesce("id", F.lit(-1)).alias("id"))
-    edges = hits.select(*key, (F.col("at") + size - 1).alias("end"), edge.alias("edge"))
-    ends = edges.groupBy(*key, "end").agg(F.collect_list("edge").alias("into"))
-    lattice = ends.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("end", "into"))).alias("ends"))
+    # a character without a piece: its code point, below 0
+    edge = F.struct(F.coalesce("score", F.lit(unknown)).alias("score"), size.alias("size"), F.coalesce("id", -1 - F.ascii("head")).alias("id"))
+    edges = hits.select(*key, "unit", (base + at + size - 1).alias("end"), edge.alias("edge"))
+    ends = edges.groupBy(*key, "end").agg(F.collect_list("edge").alias("into"), F.max("unit").alias("unit"))
+    lattice = ends.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("end", "into"))).alias("ends"), F.max("unit").alias("unit"))
     # forward: best[e] = (score, size, id) of the best path that ends at e; equal scores: the longer piece
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("id")))
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("id"))).cast("array<struct<score:double,size:int,id:int>>")
 
     def reach(best: Column, x: Column) -> Column:
+        """``best``, whose last is the end before x, and x."""
         ways = F.transform(
-            x["into"], lambda y: F.struct((F.get(best, x["end"] - y["size"])["score"] + y["score"]).alias("score"), y["size"].alias("size"), y["id"].alias("id"))
+            x["into"], lambda y: F.struct((F.get(best, F.size(best) - y["size"])["score"] + y["score"]).alias("score"), y["size"].alias("size"), y["id"].alias("id"))
         )
         return F.concat(best, F.array(F.array_max(ways)))
 
-    best = lattice.select("shard", "unit", F.aggregate("ends", start.cast("array<struct<score:double,size:int,id:int>>"), reach).alias("best"))
+    def reach_window(runs: Column, window: Column) -> Column:
+        """``runs`` and the run over a window's ends, which begins with the last ends of the run before."""
+        near = F.element_at(runs, -1)
+        near = F.slice(near, F.greatest(F.size(near) - longest + 1, F.lit(1)), F.lit(longest))
+        return F.concat(runs, F.array(F.aggregate(window, near, reach)))
+
+    n = F.size("ends")
+    parted = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / WINDOW).cast("int")), lambda k: F.slice("ends", k * WINDOW + 1, F.lit(WINDOW)))
+    best = F.when(n <= WINDOW, F.aggregate("ends", start, reach)).alias("best")
+    runs = F.when(n > WINDOW, F.aggregate(parted, F.array(start), reach_window)).alias("runs")
+    folded = lattice.select("shard", "unit", n.alias("n"), best, runs)
     # backward: from the last end; an end on the path gives its piece
-    none, last = F.array().cast("array<int>"), F.size("best") - 1
+    none, n = F.array().cast("array<int>"), F.col("n")
 
     def step(s: Column, x: Column) -> Column:
-        on = F.struct((s["end"] - x["size"]).alias("at"), (s["end"] - 1).alias("end"), F.concat(F.array(x["id"]), s["ids"]).alias("ids"), F.concat(F.array(s["end"]), s["ends"]).alias("ends"))
-        off = F.struct(s["at"].alias("at"), (s["end"] - 1).alias("end"), s["ids"].alias("ids"), s["ends"].alias("ends"))
+        on = F.struct((s["end"] - x["size"]).alias("at"), (s["end"] - 1).alias("end"), F.concat(F.array(x["id"]), s["ids"]).alias("ids"))
+        off = F.struct(s["at"].alias("at"), (s["end"] - 1).alias("end"), s["ids"].alias("ids"))
         return F.when(s["at"] == s["end"], on).otherwise(off)
 
-    walk = F.aggregate(F.reverse(F.slice("best", F.lit(2), last)), F.struct(last.alias("at"), last.alias("end"), none.alias("ids"), none.alias("ends")), step)
-    path = best.select("shard", "unit", walk.alias("w"))
+    def walk(best: Column, at: Column, end: Column) -> Column:
+        return F.aggregate(F.reverse(best), F.struct(at.alias("at"), end.alias("end"), none.alias("ids")), step)
+
+    own = F.transform(F.slice("runs", F.lit(2), F.size("runs") - 1), lambda r, k: F.slice(r, F.when(k == 0, 2).otherwise(longest + 1), F.lit(WINDOW)))
+    walks = F.aggregate(
+        F.reverse(own),
+        F.array(F.struct(n.alias("at"), n.alias("end"), none.alias("ids"))),
+        lambda done, w: F.concat(F.array(walk(w, F.get(done, F.lit(0))["at"], F.get(done, F.lit(0))["end"])), done),
+    )
+    short = walk(F.slice("best", F.lit(2), n), n, n)["ids"]
+    path = folded.select("shard", "unit", F.when(n <= WINDOW, short).otherwise(F.flatten(F.transform(walks, lambda w: w["ids"]))).alias("ids"))
     # an unknown character becomes the pieces of its bytes
     byte_ids = F.array(*[F.lit(i) for i in of_byte])
-    spelled = F.flatten(
-        F.transform(
-            "w.ids",
-            lambda i, k: F.when(i >= 0, F.array(i)).otherwise(
-                F.transform(
-                    F.split(F.regexp_replace(F.hex(F.encode(F.substring("unit", F.get(F.col("w")["ends"], k), F.lit(1)), "UTF-8")), "(..)(?=.)", "$1 "), " "),
-                    lambda h: F.get(byte_ids, F.conv(h, 16, 10).cast("int")),
-                )
-            ),
-        )
-    )
-    return path.select("shard", "unit", F.when(F.array_min("w.ids") < 0, spelled).otherwise(F.col("w")["ids"]).alias("ids"))
+
+    def spelled(i: Column) -> Column:
+        point = -1 - i
+        first = lambda mark, shift: F.get(byte_ids, F.shiftright(point, shift) + mark)
+        rest = lambda shift: F.get(byte_ids, F.shiftright(point, shift).bitwiseAND(F.lit(63)) + 128)
+        long = F.when(point < 0x10000, F.array(first(224, 12), rest(6), rest(0))).otherwise(F.array(first(240, 18), rest(12), rest(6), rest(0)))
+        return F.when(point < 0x80, F.array(first(0, 0))).when(point < 0x800, F.array(first(192, 6), rest(0))).otherwise(long)
+
+    all_spelled = F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(spelled(i))))
+    return path.select("shard", "unit", F.when(F.array_min("ids") < 0, all_spelled).otherwise(F.col("ids")).alias("ids"))
 
 
 def _answer(strings: list[str | None], byte_of: dict[int, int]):
@@ -334,6 +360,21 @@ def _spell(ids: list[int], pieces: list[str | None], byte_of: dict[int, int]) ->
     return "".join(out).replace(SPACE, " ")
 
 
+def decode_rows(encoded: DataFrame, model: str = MODEL) -> DataFrame:
+    """doc_id and text of every row of ``encoded`` (doc_id, ids): one pass, no shuffle.
+
+    Null and empty ids give the empty text; bytes that aren't UTF-8 are replaced.
+    """
+    strings, byte_of = piece_strings(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [decode(ids or [], strings, byte_of) for ids in b["ids"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    return encoded.select(F.col("doc_id").cast("bigint").alias("doc_id"), "ids").mapInArrow(run, "doc_id bigint, text string")
+
+
 def piece_strings(model: str = MODEL) -> tuple[list[str | None], dict[int, int]]:
     pieces, of_byte, _, _ = read_pieces(model)
     strings: list[str | None] = [None] * (max([i for _, i, _ in pieces] + of_byte) + 1)
