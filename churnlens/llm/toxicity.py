@@ -22,7 +22,8 @@ every whole text in one pass without a shuffle.
 
 Defined cases: null and empty texts have no features and get the models'
 base rate; null labels, labels without a document and contradicting labels
-(averaged, 0.5 counts as 1) don't fail; without toxic and non-toxic labels the
+(averaged, 0.5 counts as 1) don't fail; of rows that repeat a sampled doc_id the
+text with the smallest hash is learned from; without toxic and non-toxic labels the
 probabilities are 0 and nothing is flagged; equal statistics go by name;
 repeated rows give equal rows.
 """
@@ -82,8 +83,10 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
         parts = one if parts is None else parts.unionByName(one)
     if parts is None:
         return docs.select("doc_id", "text", F.lit(False).alias("junk"), F.lit(False).alias("toxic"), F.lit(1.0).alias("weight")).limit(0)
-    # at most 4 x PER_CLASS ids
-    return docs.select("doc_id", "text").join(F.broadcast(parts), "doc_id")
+    # at most 4 x PER_CLASS ids, and one text of each
+    rows = docs.select("doc_id", "text").join(F.broadcast(parts), "doc_id").withColumn("hashed", F.struct(F.xxhash64("text").alias("hash"), "text"))
+    rows = rows.groupBy("doc_id", "junk", "toxic", "weight").agg(F.min("hashed").alias("hashed"))
+    return rows.select("doc_id", "hashed.text", "junk", "toxic", "weight")
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
