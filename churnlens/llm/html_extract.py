@@ -29,7 +29,9 @@ import html as entities
 import math
 import random
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Container, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,9 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style|data-truth)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
+#: Begin of a tag, or (with a mark) of a declaration; comments and CDATA end anyway.
+_BEGIN = re.compile(r"<(?!!--|!\[CDATA\[)(?:([!?])|/?[a-zA-Z])")
+_depth = attrgetter("depth")
 
 #: Elements of raw text, up to their end tag, and others whose content is never text of the page.
 _RAW = frozenset("script style title textarea iframe".split())
@@ -112,7 +117,7 @@ def _raw_end(page: str, at: int, tag: str) -> int:
     return end.end() if end else len(page)
 
 
-def _skip_end(page: str, at: int, tag: str, around: set[str], last: int) -> int:
+def _skip_end(page: str, at: int, tag: str, around: Container[str], last: int) -> int:
     """Where an element of _SKIP ends: behind its end tag (the page's last one is at ``last``).
 
     One without an end tag, before the end of an element around it or the next
@@ -145,12 +150,49 @@ def _skip_end(page: str, at: int, tag: str, around: set[str], last: int) -> int:
     return len(page) if block is None else block
 
 
+def _closable(page: str) -> str:
+    """The page, each < whose tag or declaration never ends written as &lt;, so that no search for an end runs in vain."""
+    marks = [(m.start(), m[0]) for m in re.finditer("""[>"']""", page)]
+    # whether a tag that goes on at a mark, outside quotes, comes to its end; right to left
+    ends = [False] * (len(marks) + 1)
+    later: dict[str, int] = {}
+    for k in range(len(marks) - 1, -1, -1):
+        c = marks[k][1]
+        ends[k] = c == ">" or (c in later and ends[later[c] + 1])
+        later[c] = k
+    final, k, out, done = page.rfind(">"), 0, [], 0
+    for m in _BEGIN.finditer(page):
+        while k < len(marks) and marks[k][0] < m.start():
+            k += 1
+        if m.start() > final or not (m[1] or ends[k]):
+            out += [page[done : m.start()], "&lt;"]
+            done = m.start() + 1
+    return "".join(out) + page[done:] if out else page
+
+
 def parse(page: str) -> Node:
     """The page's block elements and text runs (tag #text)."""
+    page = _closable(page)
     root = cur = Node("#root", None)
     run: list[str] = []
     link = in_link = 0
     last: dict[str, int] = {}
+    #: open elements by tag, outermost first; tags without any are left out
+    opened: dict[str, list[Node]] = {}
+
+    def close(node: Node) -> None:
+        """End the open elements up to ``node``."""
+        nonlocal cur
+        up = cur
+        while True:
+            same = opened[up.tag]
+            same.pop()
+            if not same:
+                del opened[up.tag]
+            if up is node:
+                break
+            up = up.parent
+        cur = node.parent
 
     def end_run() -> None:
         nonlocal link
@@ -182,12 +224,9 @@ def parse(page: str) -> Node:
                 in_link = 0
             if tag in _INLINE or tag in _VOID:
                 continue
-            up = cur
-            while up.parent and up.tag != tag:
-                up = up.parent
-            if up.parent:
+            if tag in opened:
                 end_run()
-                cur = up.parent
+                close(opened[tag][-1])
             continue
         if tag in _RAW:
             at = _raw_end(page, at, tag)
@@ -197,11 +236,7 @@ def parse(page: str) -> Node:
                 continue
             if tag not in last:
                 last[tag] = max((e.start() for e in re.finditer(f"</{tag}\\b", page, re.I)), default=-1)
-            around, up = set(), cur
-            while up:
-                around.add(up.tag)
-                up = up.parent
-            at = _skip_end(page, at, tag, around, last[tag])
+            at = _skip_end(page, at, tag, opened, last[tag])
             continue
         if tag == "br":
             run.append(" ")
@@ -215,17 +250,20 @@ def parse(page: str) -> Node:
         end_run()
         in_link = 0
         # an open p ends at any block; li, td and the like end their own kind
-        up = cur
-        closes = _CLOSES.get(tag, ())
-        while up.parent and (up.tag == "p" or up.tag in closes or (closes and up.tag not in _SCOPE)):
-            if up.tag == "p" or up.tag in closes:
-                cur = up.parent
-            up = up.parent
+        closes = _CLOSES.get(tag)
+        if closes:
+            scope = max((opened[t][-1].depth for t in _SCOPE if t in opened and t not in closes), default=0)
+            inside = [(x := opened[t])[k] for t in (*closes, "p") if t in opened and (k := bisect_right(opened[t], scope, key=_depth)) < len(opened[t])]
+            if inside:
+                close(min(inside, key=_depth))
+        else:
+            while cur.tag == "p":
+                close(cur)
         node = Node(tag, cur)
         _describe(node, m[3])
         cur.kids.append(node)
-        if not m[3].endswith("/") or tag not in _VOID:
-            cur = node
+        opened.setdefault(tag, []).append(node)
+        cur = node
     piece(at, len(page))
     end_run()
     return root

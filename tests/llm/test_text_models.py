@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -24,6 +25,8 @@ def _frame(spark, texts):
 # ------------------------------------------------------------ pieces
 
 ODD = [None, "", " ", "   ", "\n\n", "a", "  two  spaces ", "é☃\U0001f600\x00 ﷽", "a▁b", "x" * 3000, "the\tthe\r\nthe", "ab" * 40 + "!?" * 40, "</s><unk><0x0A>"]
+# words about and beyond the length that is folded at once
+ODD += [" " * 1500 + "w", "=" * 1300, "\U0001f600é" * 700, *("".join(random.Random(n).choices("etaoinshr", k=n)) for n in (510, 511, 512, 513, 1023, 1024, 1025, 4000))]
 
 
 def test_pieces_match_viterbi_and_round_trip(spark):
@@ -49,11 +52,21 @@ def test_pieces_of_odd_texts(spark):
         t = ODD[r["doc_id"] % len(ODD)]
         assert r["round_trip"] == ("▁" not in (t or "")), t
         assert sp_lattice.decode(r["ids"], strings, byte_of) == (t or "").replace("▁", " ")
-        if len(t or "") < sp_lattice.UNIT_CHARS:
-            assert r["ids"] == viterbi_pieces(t, *model), t
+        assert r["ids"] == viterbi_pieces(t, *model), t
     assert sp_lattice.encode(_frame(spark, ODD).limit(0)).count() == 0
 
 
+def test_pieces_decode_as_rows(spark):
+    encoded = sp_lattice.encode(_frame(spark, ODD)).withColumn("text", F.lit(1))
+    none = spark.createDataFrame([(None, None), (-1, [])], "doc_id long, ids array<int>")
+    got = sp_lattice.decode_rows(encoded.select("doc_id", "ids", "text").unionByName(none, allowMissingColumns=True)).collect()
+    assert len(got) == len(ODD) + 2
+    for r in got:
+        t = ODD[r["doc_id"]] if (r["doc_id"] or -1) >= 0 else ""
+        assert r["text"] == ("" if r["doc_id"] is None else (t or "").replace("▁", " "))
+    assert "Python" not in sp_lattice.decode_rows(none)._jdf.queryExecution().executedPlan().toString().replace("PythonMapInArrow", "")
+
+
 # ------------------------------------------------------------ language model
 
 
@@ -251,6 +264,30 @@ def test_parse_keeps_text_after_odd_elements(odd, place):
     assert [n.text for n in html_extract.preorder(html_extract.parse(page)) if n.tag == "#text"] == ["First.", "Second.", "After."]
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div>" * 50 + "</section>x " * 100_000, "x " * 99_999 + "x"),
+        ("<x-a>" * 40_000 + "<li>a" * 40_000, None),
+        ("<a " * 100_000, "<a " * 99_999 + "<a"),
+        ("<p>a</p>" + "<a '\"" * 40_000 + '">"', None),
+        ("<p>a<b c='> d<p>e", "a<b c='> d\ne"),
+        ("a<!" * 100_000, "a<!" * 100_000),
+    ],
+)
+def test_parse_takes_time_in_proportion(page, text):
+    begun = time.process_time()
+    got = "\n".join(n.text for n in html_extract.preorder(html_extract.parse(page)) if n.tag == "#text")
+    assert time.process_time() - begun < 3
+    assert text is None or got == text
+
+
+def test_toxicity_learns_one_text_of_an_id(spark):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(50)] + [(2, "other"), (None, "none")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    assert sorted(r["doc_id"] for r in toxicity._sample(docs, labels, 10).collect()) == [1, 2]
+
+
 def test_extraction_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>only text here, a paragraph</p>"), (4, "u", "<" * 500), (5, "u", "<div>" * 3000 + "deep"), (6, "u", "<!-- open"), (6, "u", "<!-- open")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(3))
