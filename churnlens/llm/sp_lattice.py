@@ -218,10 +218,11 @@ def best_paths(vocabulary: DataFrame, model: str = MODEL, parts: int = MIN_SHARD
     pieces, of_byte, unknown, longest = read_pieces(model)
     table = [(p[:HEAD], p, len(p), i, float(s)) for p, i, s in useful_pieces(pieces, unknown, longest)]
     table = spark.createDataFrame(table, "head string, piece string, len int, id int, score double")
-    # one exchange by the unit's hash serves the distinct and both groupings, which compare numbers only
-    words = vocabulary.withColumn("hash", F.xxhash64("unit")).repartition(parts, "hash").groupBy("hash", "unit").agg(F.first("shard").alias("shard"))
+    # one exchange by a bucket of the unit, a small number, serves the distinct and both groupings, which compare numbers only
+    bucket = F.pmod(F.xxhash64("unit"), F.lit(16 * parts)).cast("int")
+    words = vocabulary.withColumn("bucket", bucket).repartition(parts, "bucket").groupBy("bucket", "unit").agg(F.first("shard").alias("shard"))
     words = words.withColumn("uid", F.monotonically_increasing_id())
-    key = ["hash", "uid", "shard"]
+    key = ["bucket", "uid", "shard"]
     base, at, size, n = F.col("base"), F.col("at"), F.col("size"), F.char_length("unit")
     # the unit itself stays with its first character only
     windows = words.select(*key, "unit", F.explode(F.sequence(F.lit(0), n - 1, F.lit(WINDOW))).alias("base"))
