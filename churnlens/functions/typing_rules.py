@@ -1,8 +1,10 @@
 """Column-level conversion rules: raw text in, typed value or NULL out.
 
-Every rule is a plain Spark expression (trim, lower, rlike, try_cast), so a
-whole row converts inside one whole-stage-codegen projection.  A value that
-does not convert becomes NULL; nothing raises, even with ANSI mode on.
+Every rule is a plain Spark expression (trim, lower, rlike, try_cast).  A value
+that does not convert becomes NULL; nothing raises, even with ANSI mode on.
+A number's rule has two steps, text to value (``to_int``, ``to_decimal``) and a
+range over the value (``within``).  The range names its value several times, so
+a wide table takes them in two projections: each text is then parsed once.
 
 Semantics pinned here, identically for every engine the results are checked
 against:
@@ -59,9 +61,8 @@ def to_int(col: str | Column) -> Column:
     return F.when(t.rlike(INT_PATTERN), whole.try_cast("int"))
 
 
-def int_in(col: str | Column, lo: int | None = None, hi: int | None = None) -> Column:
-    """INT kept only inside ``[lo, hi]`` (either side may be open)."""
-    v = to_int(col)
+def within(v: Column, lo: float | None = None, hi: float | None = None) -> Column:
+    """A value kept only inside ``[lo, hi]`` (either side may be open)."""
     if lo is not None and hi is not None:
         return F.when(v.between(lo, hi), v)
     if lo is not None:
@@ -71,17 +72,29 @@ def int_in(col: str | Column, lo: int | None = None, hi: int | None = None) -> C
     return v
 
 
+def finite_nonneg(v: Column) -> Column:
+    return F.when((v >= 0) & (v < F.lit(float("inf"))), v)
+
+
+def int_in(col: str | Column, lo: int | None = None, hi: int | None = None) -> Column:
+    """INT kept only inside ``[lo, hi]`` (either side may be open)."""
+    return within(to_int(col), lo, hi)
+
+
+def to_decimal(col: str | Column) -> Column:
+    """Text in decimal notation to DOUBLE, infinite beyond its range; anything else NULL."""
+    t = F.trim(_c(col))
+    return F.when(t.rlike(DOUBLE_PATTERN), t.try_cast("double"))
+
+
 def to_double(col: str | Column) -> Column:
     """Text in decimal notation to DOUBLE; anything else NULL."""
-    t = F.trim(_c(col))
-    v = t.try_cast("double")
-    finite = F.abs(v) < F.lit(float("inf"))
-    return F.when(t.rlike(DOUBLE_PATTERN) & finite, v)
+    v = to_decimal(col)
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
 
 
 def nonneg_double(col: str | Column) -> Column:
-    v = to_double(col)
-    return F.when(v >= 0, v)
+    return finite_nonneg(to_decimal(col))
 
 
 def strict_date(col: str | Column) -> Column:

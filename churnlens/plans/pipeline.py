@@ -34,7 +34,7 @@ from churnlens.operators.typing import type_rows
 from churnlens.plans import reports
 from churnlens.plans.clean import clean, deduplicate
 from churnlens.schema import CLEANED_SCHEMA, COLUMNS, RAW_SCHEMA, ROW_ID, TYPED_SCHEMA
-from churnlens.session import scratch_dir
+from churnlens.session import compiled_methods, scratch_dir
 from churnlens.sinks.overwrite import first_location, swap_overwrite
 from churnlens.sinks.writers import export_tsv, read_tsv
 from churnlens.sources.csv_quoted import read_quoted_csv
@@ -113,17 +113,20 @@ class AttritionPipeline:
         ``workdir``; return its scan."""
         table = self.tables.get(name)
         if table:
-            swap_overwrite(df, table)
+            with compiled_methods(self.spark):
+                swap_overwrite(df, table)
             return self.spark.table(table)
         path = self._path(name)
-        df.write.mode("overwrite").orc(path)
+        with compiled_methods(self.spark):
+            df.write.mode("overwrite").orc(path)
         return self.spark.read.orc(path)
 
     def _store_by_key(self, df: DataFrame, name: str, key: str = "customer_id") -> DataFrame:
         """``_store``, clustered by the key's hash if the run has ``clusters``."""
         if self.clusters is None or name in self.tables:
             return self._store(df, name)
-        return store_clustered(df, f"churnlens_{name}_{uuid.uuid4().hex[:12]}", self._path(name), key, self.clusters)
+        with compiled_methods(self.spark):
+            return store_clustered(df, f"churnlens_{name}_{uuid.uuid4().hex[:12]}", self._path(name), key, self.clusters)
 
     def footers(self, name: str) -> DataFrame:
         """The files of a written stage, for counts and ranges that their footers answer."""
@@ -140,14 +143,16 @@ class AttritionPipeline:
         derived input, recomputing) all 32 columns per query.  With
         ``stage_raw=False`` the input is used as it is: right for one that
         already is a columnar scan.  The preview and the row count always
-        read the input itself.
+        read the input itself, and so does the typing stage unless the copy
+        is there already: a run that asks for no profile needs no copy.
         """
         return self._store(self.raw, "raw_orc") if self.stage_raw else self.raw
 
     @cached_property
     def typed(self) -> DataFrame:
         """Typed rows (32 columns, plus the row key when the raw input has one)."""
-        return self._store(type_rows(self.raw_stored, passthrough=[ROW_ID]), "typed_orc")
+        raw = self.__dict__.get("raw_stored", self.raw)  # the copy, if this run has made it
+        return self._store(type_rows(raw, passthrough=[ROW_ID]), "typed_orc")
 
     @cached_property
     def deduplicated(self) -> DataFrame:

@@ -219,7 +219,8 @@ def clustered_pipeline(spark: SparkSession, sf_dir: str) -> AttritionPipeline:
     """The run of ``pipeline`` with its deduplicated and cleaned tables clustered by customer."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CLUSTERED:
-        _CLUSTERED[key] = AttritionPipeline(spark, pipeline(spark, sf_dir).raw_stored, stage_raw=False, clusters=CLUSTERS)
+        p = pipeline(spark, sf_dir)
+        _CLUSTERED[key] = AttritionPipeline(spark, p.__dict__.get("raw_stored", p.raw), stage_raw=False, clusters=CLUSTERS)
     return _CLUSTERED[key]
 
 

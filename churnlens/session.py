@@ -9,11 +9,17 @@ that every executor can read, so asking for one is an error.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_JIT_FLAG = "-XX:-DontCompileHugeMethods"
+_METHOD_KEY = "spark.sql.codegen.hugeMethodLimit"
+#: Bytecode up to which a JVM compiles a method; a larger one stays interpreted.
+JIT_LIMIT = 8000
 
 
 def _with_jvm_flag(flag: str) -> dict[str, str]:
@@ -50,7 +56,7 @@ def build_session(
         # the JVM's 8000-byte JIT limit, which would then stay interpreted for
         # the whole task.  With millions of rows per task, let the JIT compile
         # it (a single 150k-row task typed in 6.1 s instead of 15.4 s).
-        **_with_jvm_flag("-XX:-DontCompileHugeMethods"),
+        **_with_jvm_flag(_JIT_FLAG),
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -60,6 +66,27 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside have no projection that the JVM would only interpret.
+
+    The wide projections (the fixture's 33 expressions, the 32 typing rules)
+    become one method above ``JIT_LIMIT`` bytes.  Without the JVM flag of
+    ``build_session``, which a session that others made may lack, such a stage
+    runs as separate operators, whose expressions are split into methods that
+    are compiled.  The setting is put back afterwards.
+    """
+    if _JIT_FLAG in spark.sparkContext.getConf().get("spark.executor.extraJavaOptions", ""):
+        yield
+        return
+    before = spark.conf.get(_METHOD_KEY)
+    spark.conf.set(_METHOD_KEY, str(min(JIT_LIMIT, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_KEY, before)
+
+
 MB = 1 << 20
 
 
