@@ -7,14 +7,15 @@ letters to other characters or into a space (``read_pieces`` verifies it), so
 the best path of a text is the best paths of its units, joined.
 
 * Documents are bundled (``BUNDLE_CHARS`` characters).  A bundle asks for its
-  distinct units, one compressed list per shard (hash of the unit).
-* The distinct units of all bundles are the words of the lattice: substrings
+  distinct units, one compressed list per shard (hash of the unit), and keeps
+  its texts as unit numbers; both go through one exchange by shard.
+* The distinct units of a shard are the words of the lattice: substrings
   up to ``HEAD`` characters are exploded and equi-joined to the piece table
   (a vocabulary file, so its broadcast is bounded; a longer piece is joined by
-  its head and then compared); edges are grouped by unit and end; ``aggregate``
+  its head and then compared); edges are grouped by unit; ``aggregate``
   folds Viterbi over the ends and a second fold walks the back pointers.
-* Answers go back per (bundle, shard) and meet the bundle's texts, which are
-  then put together by dictionary.
+* Answers go back per (bundle, shard) to the partition that has the bundle's unit
+  numbers, whose pieces are then put together.  No text is read twice or exchanged.
 
 A piece that others spell with a better sum of scores is on no best path;
 ``useful_pieces`` leaves it out of the table.
@@ -36,6 +37,7 @@ repeated rows, null or repeated ids and further columns don't matter.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,18 +48,19 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from churnlens.llm.common import bounded_batches, stored
+from churnlens.llm.common import bounded_batches
+from churnlens.llm.elias_fano import from_buffer, to_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 BUNDLE_CHARS = 8_000_000
 #: Ends that are folded at a time; at least the longest piece.
 WINDOW = 512
-#: Distinct units that a task holds before it passes them on.
-SEEN = 500_000
 #: Substrings are joined up to this length.
 HEAD = 5
 MIN_SHARDS = 64
+#: Documents of an Arrow batch that is returned.
+BATCH = 200
 _LETTER = r"\p{L}\p{M}"
 _UNIT = regex.compile(f"{SPACE}*+(?:[{_LETTER}]++|[^{_LETTER}{SPACE}]++)|{SPACE}++")
 
@@ -168,101 +171,150 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, list, l
         yield flush()
 
 
-def _needed(texts: list[str | None]) -> dict[str, list[str]]:
-    """Units of each distinct token."""
-    seen: set[str] = set()
+def _numbered() -> defaultdict[str, int]:
+    """Numbers strings in the order in which they are first asked for."""
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    return number
+
+
+def _in_units(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct units of the texts; all texts as unit numbers; how many each text has."""
+    token, unit = _numbered(), _numbered()
+    rows = []
     for t in texts:
-        seen.update(tokens(t))
-    return {x: units(x) for x in seen}
+        parts = tokens(t)
+        rows.append(np.fromiter(map(token.__getitem__, parts), np.uint32, len(parts)))
+    ends = np.cumsum([0, *map(len, rows)])
+    row = np.concatenate(rows)
+    del rows
+    cut = [units(x) for x in token]
+    fan = np.fromiter(map(len, cut), np.int64, len(cut))
+    parts = np.fromiter((unit[u] for us in cut for u in us), np.uint32, int(fan.sum()))
+    del cut
+    size = fan[row]
+    per_text = np.diff(np.concatenate([[0], np.cumsum(size)])[ends])
+    return list(unit), parts[_ranges((np.cumsum(fan) - fan)[row], size)], per_text
+
+
+def _blob(**arrays: np.ndarray) -> bytes:
+    return zstandard.compress(to_bytes(arrays), 1)
+
+
+def _arrays(blob: bytes) -> dict[str, np.ndarray]:
+    return from_buffer(np.frombuffer(zstandard.decompress(blob), np.uint8))
+
+
+#: Lists of units have no ``part``, answers the shard they are from, and texts a body.
+_ROWS = "bundle binary, shard int, part int, units binary, body binary, ids array<bigint>"
+
 
+def _home(bundle: bytes, numbers: list[int]) -> int:
+    """The shard in whose partition a bundle's texts wait for the answers."""
+    return numbers[int.from_bytes(bundle[:8]) % len(numbers)]
 
-def _by_shard(need: dict[str, list[str]], shards: int) -> list[tuple[int, list[str]]]:
-    by: dict[int, list[str]] = {}
-    for u in sorted({u for us in need.values() for u in us}):
-        by.setdefault(_shard(u, shards), []).append(u)
-    return sorted(by.items())
 
+def _rows(bundles: list[bytes], shards: list[int], parts: list[int | None], units: list[bytes | None], bodies: list[bytes | None], ids: list[list | None]) -> pa.RecordBatch:
+    kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((bundles, shards, parts, units, bodies, ids), kinds)], names=["bundle", "shard", "part", "units", "body", "ids"])
+
+
+def _ask(numbers: list[int]):
+    """Per bundle a list of distinct units for each shard, and a row of all texts as unit numbers with their doc_ids."""
+    shards = len(numbers)
 
-def _ask(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bundle, _, texts in _bundles(batches):
-            rows = _by_shard(_needed(texts), shards)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bundle] * len(rows), pa.binary()), pa.array([s for s, _ in rows], pa.int32()), pa.array([_pack(us) for _, us in rows], pa.binary())],
-                names=["bundle", "shard", "units"],
-            )
+        for bundle, ids, texts in _bundles(batches):
+            names, row, per_text = _in_units(texts)
+            spaced = np.array([SPACE in t if t else False for t in texts], bool)
+            del texts
+            shard = np.fromiter((_shard(u, shards) for u in names), np.uint32, len(names))
+            order = np.argsort(shard, kind="stable")
+            ends = np.searchsorted(shard[order], np.arange(shards + 1))
+            lists = [(numbers[s], _pack([names[i] for i in order[a:b]])) for s, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
+            # numbers byte by byte: the high bytes of frequent units, which come first, are mostly 0
+            planes = {f"b{k}": (row >> np.uint32(8 * k)).astype(np.uint8) for k in range(4)}
+            body = _blob(shard=shard, per_text=per_text, spaced=np.packbits(spaced), **planes)
+            n, own = len(lists), _home(bundle, numbers)
+            yield _rows([bundle] * (n + 1), [*(s for s, _ in lists), own], [None] * (n + 1), [*(us for _, us in lists), None], [None] * n + [body], [None] * n + [ids])
 
     return run
 
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shard, unit) without the repeats that one task sees close together."""
-    seen: dict[str, int] = {}
+def _shard_units(asked: pa.Table) -> list[str]:
+    """The distinct units that a shard is asked for, in order."""
+    seen: set[str] = set()
+    for blob in asked["units"]:
+        if blob.is_valid:
+            seen.update(_unpack(blob.as_py()))
+    return sorted(seen)
 
-    def out() -> Iterator[pa.RecordBatch]:
-        t = pa.table({"shard": pa.array(seen.values(), pa.int32()), "unit": pa.array(seen, pa.string())})
-        yield from t.to_batches(max_chunksize=50_000)
 
-    for b in batches:
-        for s, blob in zip(b["shard"].to_pylist(), b["units"].to_pylist()):
-            seen.update(dict.fromkeys(_unpack(blob), s))
-            if len(seen) >= SEEN:
-                yield from out()
-                seen.clear()
-    yield from out()
+def _distinct(asked: pa.Table) -> pa.Table:
+    """(shard, k, unit) of one shard: its units with their numbers."""
+    us = _shard_units(asked)
+    shard = asked["shard"][0].as_py()
+    return pa.table({"shard": pa.array([shard] * len(us), pa.int32()), "k": pa.array(range(len(us)), pa.int32()), "unit": pa.array(us, pa.string())})
+
+
+def _even_numbers(spark: SparkSession, parts: int) -> list[int]:
+    """``parts`` numbers that Spark deals to as many partitions, one to each."""
+    number = F.col("id").cast("int")
+    found = spark.range(parts * 40).groupBy(F.pmod(F.hash(number), F.lit(parts)).alias("part")).agg(F.min(number).alias("number")).collect()
+    taken = {r["number"] for r in found}
+    spare = (i for i in range(parts * 41) if i not in taken)
+    return sorted(taken) + [next(spare) for _ in range(parts - len(taken))]
 
 
 def best_paths(vocabulary: DataFrame, model: str = MODEL, parts: int = MIN_SHARDS) -> DataFrame:
-    """(shard, unit, ids) of the distinct units of ``vocabulary`` (shard, unit)."""
+    """(shard, k, ids) of the units of ``vocabulary`` (shard, k, unit), in ``parts`` partitions by shard."""
     spark = vocabulary.sparkSession
     pieces, of_byte, unknown, longest = read_pieces(model)
     table = [(p[:HEAD], p, len(p), i, float(s)) for p, i, s in useful_pieces(pieces, unknown, longest)]
     table = spark.createDataFrame(table, "head string, piece string, len int, id int, score double")
-    # one exchange by a bucket of the unit, a small number, serves the distinct and both groupings, which compare numbers only
-    bucket = F.pmod(F.xxhash64("unit"), F.lit(16 * parts)).cast("int")
-    words = vocabulary.withColumn("bucket", bucket).repartition(parts, "bucket").groupBy("bucket", "unit").agg(F.first("shard").alias("shard"))
-    words = words.withColumn("uid", F.monotonically_increasing_id())
-    key = ["bucket", "uid", "shard"]
+    # the exchange by shard serves the grouping and the answers
+    words = vocabulary.repartition(parts, "shard")
+    key = ["shard", "k"]
     base, at, size, n = F.col("base"), F.col("at"), F.col("size"), F.char_length("unit")
-    # the unit itself stays with its first character only
     windows = words.select(*key, "unit", F.explode(F.sequence(F.lit(0), n - 1, F.lit(WINDOW))).alias("base"))
     part = F.substring("unit", base + 1, F.lit(WINDOW + longest))
-    windows = windows.select(*key, "base", F.when(base == 0, F.col("unit")).alias("unit"), part.alias("part"), (n - base).alias("left"))
-    cuts = windows.select(*key, "base", "unit", "part", "left", F.explode(F.sequence(F.lit(1), F.least("left", F.lit(WINDOW)))).alias("at"))
-    cuts = cuts.select(*key, "base", F.when(at == 1, F.col("unit")).alias("unit"), "part", "left", "at")
-    spans = cuts.select(*key, "base", "unit", "part", "at", F.explode(F.sequence(F.lit(1), F.least(F.col("left") - at + 1, F.lit(HEAD)))).alias("size"))
-    spans = spans.select(*key, "base", F.when(size == 1, F.col("unit")).alias("unit"), "part", "at", "size", F.substring("part", at, size).alias("head"))
+    windows = windows.select(*key, "base", part.alias("part"), (n - base).alias("left"))
+    cuts = windows.select(*key, "base", "part", "left", F.explode(F.sequence(F.lit(1), F.least("left", F.lit(WINDOW)))).alias("at"))
+    spans = cuts.select(*key, "base", "part", "at", F.explode(F.sequence(F.lit(1), F.least(F.col("left") - at + 1, F.lit(HEAD)))).alias("size"))
+    spans = spans.select(*key, "base", "part", "at", "size", F.substring("part", at, size).alias("head"))
     hits = spans.join(F.broadcast(table), "head", "left")
     whole = (F.col("len") == size) | (F.substring("part", at, F.col("len")) == F.col("piece"))
     # single characters always make an edge, so that every end can be reached
     hits = hits.where(whole | ((size == 1) & F.col("id").isNull()))
     size = F.coalesce("len", F.lit(1))
     # a character without a piece: its code point, below 0
-    edge = F.struct(F.coalesce("score", F.lit(unknown)).alias("score"), size.alias("size"), F.coalesce("id", -1 - F.ascii("head")).alias("id"))
-    edges = hits.select(*key, "unit", (base + at + size - 1).alias("end"), edge.alias("edge"))
-    ends = edges.groupBy(*key, "end").agg(F.collect_list("edge").alias("into"), F.max("unit").alias("unit"))
-    lattice = ends.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("end", "into"))).alias("ends"), F.max("unit").alias("unit"))
-    # forward: best[e] = (score, size, id) of the best path that ends at e; equal scores: the longer piece
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("id"))).cast("array<struct<score:double,size:int,id:int>>")
-
-    def reach(best: Column, x: Column) -> Column:
-        """``best``, whose last is the end before x, and x."""
-        ways = F.transform(
-            x["into"], lambda y: F.struct((F.get(best, F.size(best) - y["size"])["score"] + y["score"]).alias("score"), y["size"].alias("size"), y["id"].alias("id"))
-        )
-        return F.concat(best, F.array(F.array_max(ways)))
-
-    def reach_window(runs: Column, window: Column) -> Column:
-        """``runs`` and the run over a window's ends, which begins with the last ends of the run before."""
-        near = F.element_at(runs, -1)
-        near = F.slice(near, F.greatest(F.size(near) - longest + 1, F.lit(1)), F.lit(longest))
-        return F.concat(runs, F.array(F.aggregate(window, near, reach)))
-
-    n = F.size("ends")
-    parted = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / WINDOW).cast("int")), lambda k: F.slice("ends", k * WINDOW + 1, F.lit(WINDOW)))
-    best = F.when(n <= WINDOW, F.aggregate("ends", start, reach)).alias("best")
-    runs = F.when(n > WINDOW, F.aggregate(parted, F.array(start), reach_window)).alias("runs")
-    folded = lattice.select("shard", "unit", n.alias("n"), best, runs)
+    edge = [(base + at + size - 1).alias("end"), F.coalesce("score", F.lit(unknown)).alias("score"), size.alias("size"), F.coalesce("id", -1 - F.ascii("head")).alias("id")]
+    lattice = hits.select(*key, F.struct(*edge).alias("edge")).groupBy(*key).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    # forward, over the edges by end: ``best`` has (score, size, id) of the best path to each end from ``off`` on, ``cur`` that of the
+    # end after them, so far; equal scores: the longer piece
+    way = "struct<score:double,size:int,id:int>"
+    start = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("id")).cast(way)
+    nothing = F.struct(F.array().cast(f"array<array<{way}>>").alias("runs"), F.lit(0).alias("off"), F.array().cast(f"array<{way}>").alias("best"), start.alias("cur"))
+
+    def state(runs: Column, off: Column, best: Column, cur: Column) -> Column:
+        return F.struct(runs.alias("runs"), off.alias("off"), best.alias("best"), cur.alias("cur"))
+
+    def reach(s: Column, y: Column) -> Column:
+        """``s`` with the edge y, which ends at the current end or at the next."""
+        new = y["end"] > s["off"] + F.size(s["best"])
+        before = F.get(s["best"], y["end"] - y["size"] - s["off"])["score"]
+        score = F.when(new & (y["size"] == 1), s["cur"]["score"]).otherwise(before) + y["score"]
+        reached = F.struct(score.alias("score"), y["size"].alias("size"), y["id"].alias("id"))
+        grown = F.concat(s["best"], F.array(s["cur"]))
+        # a full run is put aside and the next begins with its last ends
+        kept = F.slice(grown, F.lit(WINDOW + 1), F.lit(longest))
+        turned = state(F.concat(s["runs"], F.array(grown)), s["off"] + WINDOW, kept, reached)
+        longer = F.when(F.size(s["best"]) + 1 >= WINDOW + longest, turned).otherwise(state(s["runs"], s["off"], grown, reached))
+        return F.when(new, longer).otherwise(state(s["runs"], s["off"], s["best"], F.greatest(s["cur"], reached)))
+
+    folded = lattice.select(*key, F.aggregate("edges", nothing, reach, lambda s: F.concat(s["runs"], F.array(F.concat(s["best"], F.array(s["cur"]))))).alias("runs"))
+    last = F.size(F.element_at("runs", -1)) - 1
+    folded = folded.select(*key, "runs", ((F.size("runs") - 1) * WINDOW + last).alias("n"))
     # backward: from the last end; an end on the path gives its piece
     none, n = F.array().cast("array<int>"), F.col("n")
 
@@ -274,14 +326,14 @@ def best_paths(vocabulary: DataFrame, model: str = MODEL, parts: int = MIN_SHARD
     def walk(best: Column, at: Column, end: Column) -> Column:
         return F.aggregate(F.reverse(best), F.struct(at.alias("at"), end.alias("end"), none.alias("ids")), step)
 
-    own = F.transform(F.slice("runs", F.lit(2), F.size("runs") - 1), lambda r, k: F.slice(r, F.when(k == 0, 2).otherwise(longest + 1), F.lit(WINDOW)))
+    own = F.transform("runs", lambda r, k: F.slice(r, F.when(k == 0, 2).otherwise(longest + 1), F.lit(WINDOW + longest)))
     walks = F.aggregate(
         F.reverse(own),
         F.array(F.struct(n.alias("at"), n.alias("end"), none.alias("ids"))),
         lambda done, w: F.concat(F.array(walk(w, F.get(done, F.lit(0))["at"], F.get(done, F.lit(0))["end"])), done),
     )
-    short = walk(F.slice("best", F.lit(2), n), n, n)["ids"]
-    path = folded.select("shard", "unit", F.when(n <= WINDOW, short).otherwise(F.flatten(F.transform(walks, lambda w: w["ids"]))).alias("ids"))
+    short = walk(F.slice(F.get("runs", F.lit(0)), F.lit(2), n), n, n)["ids"]
+    path = folded.select(*key, F.when(F.size("runs") == 1, short).otherwise(F.flatten(F.transform(walks, lambda w: w["ids"]))).alias("ids"))
     # an unknown character becomes the pieces of its bytes
     byte_ids = F.array(*[F.lit(i) for i in of_byte])
 
@@ -293,27 +345,33 @@ def best_paths(vocabulary: DataFrame, model: str = MODEL, parts: int = MIN_SHARD
         return F.when(point < 0x80, F.array(first(0, 0))).when(point < 0x800, F.array(first(192, 6), rest(0))).otherwise(long)
 
     all_spelled = F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(spelled(i))))
-    return path.select("shard", "unit", F.when(F.array_min("ids") < 0, all_spelled).otherwise(F.col("ids")).alias("ids"))
+    return path.select(*key, F.when(F.array_min("ids") < 0, all_spelled).otherwise(F.col("ids")).alias("ids"))
 
 
-def _answer(strings: list[str | None], byte_of: dict[int, int]):
+def _answer(strings: list[str | None], byte_of: dict[int, int], numbers: list[int]):
     """Answers of one shard: per asking bundle the ids of its units in the order asked, and whether they spell the unit."""
+    kind = np.uint16 if len(strings) <= 65536 else np.uint32
 
     def run(asked: pa.Table, known: pa.Table) -> pa.Table:
+        names = _shard_units(asked)
+        known = known.sort_by("k")
+        if known["k"].to_pylist() != list(range(len(names))):
+            raise RuntimeError("the documents changed between two reads")
         flat = known["ids"].combine_chunks()
-        ids = flat.flatten().to_numpy(zero_copy_only=False).astype(np.uint16 if len(strings) <= 65536 else np.uint32)
+        ids = flat.flatten().to_numpy(zero_copy_only=False).astype(kind)
         ends = np.concatenate([[0], np.cumsum(flat.value_lengths().to_numpy(zero_copy_only=False))]) if len(flat) else np.zeros(1, np.int64)
-        names = known["unit"].to_pylist()
         place = {u: i for i, u in enumerate(names)}
         same = np.array([_spell(ids[a:b].tolist(), strings, byte_of) == u.replace(SPACE, " ") for u, a, b in zip(names, ends, ends[1:])], bool)
+        lists = asked.filter(asked["units"].is_valid())
         bundles, blobs = [], []
-        for b, blob in dict(zip(asked["bundle"].to_pylist(), asked["units"].to_pylist())).items():
+        for b, blob in dict(zip(lists["bundle"].to_pylist(), lists["units"].to_pylist())).items():
             at = np.fromiter(map(place.__getitem__, _unpack(blob)), np.int64)
             size = (ends[at + 1] - ends[at]).astype(np.uint32)
-            picks = _ranges(ends[at], size)
             bundles.append(b)
-            blobs.append(zstandard.compress(np.uint32(len(at)).tobytes() + size.tobytes() + np.packbits(same[at]).tobytes() + ids[picks].astype(np.uint32).tobytes(), 3))
-        return pa.table({"bundle": pa.array(bundles, pa.binary()), "shard": pa.array([asked["shard"][0].as_py()] * len(bundles) if len(bundles) else [], pa.int32()), "answer": pa.array(blobs, pa.binary())})
+            blobs.append(_blob(size=size if size.max() > 255 else size.astype(np.uint8), same=np.packbits(same[at]), ids=ids[_ranges(ends[at], size)]))
+        n = len(bundles)
+        part = asked["shard"][0].as_py() if n else None
+        return pa.Table.from_batches([_rows(bundles, [_home(b, numbers) for b in bundles], [part] * n, blobs, [None] * n, [None] * n)])
 
     return run
 
@@ -325,22 +383,6 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per bundle: its id, doc_ids and compressed texts."""
-    for bundle, ids, texts in _bundles(batches):
-        body = "".join(t or "" for t in texts).encode("utf-8", "surrogatepass")
-        sizes = pa.array([-1 if t is None else len(t) for t in texts], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([bundle], pa.binary()),
-                pa.array([ids], pa.list_(pa.int64())),
-                pa.array([sizes.to_pylist()], pa.list_(pa.int64())),
-                pa.array([zstandard.compress(body, 3)], pa.binary()),
-            ],
-            names=["bundle", "ids", "sizes", "body"],
-        )
-
-
 def decode(ids: list[int], pieces: list[str | None], byte_of: dict[int, int]) -> str:
     """Text of piece ids: pieces joined, runs of byte pieces as UTF-8, the leading space dropped."""
     return _spell(ids, pieces, byte_of)[1:]
@@ -384,60 +426,53 @@ def piece_strings(model: str = MODEL) -> tuple[list[str | None], dict[int, int]]
     return strings, {i: b for b, i in enumerate(of_byte)}
 
 
-def _assemble(shards: int):
-    def run(answers: pa.Table, bundles: pa.Table) -> pa.Table:
-        got: dict[int, bytes] = dict(zip(answers["shard"].to_pylist(), answers["answer"].to_pylist()))
-        doc_ids, ids, sizes, same = [], [], [], []
-        for row in bundles.to_pylist():
-            body = zstandard.decompress(row["body"]).decode("utf-8", "surrogatepass")
-            cuts = np.concatenate([[0], np.cumsum(np.maximum(row["sizes"], 0))]).tolist()
-            texts = [body[a:b] for a, b in zip(cuts, cuts[1:])]
-            need = _needed(texts)
-            # pieces of every unit, from the shards' answers in the order asked
-            place: dict[str, int] = {}
-            flat, starts, lens, good, n = [], [], [], [], 0
-            for s, us in _by_shard(need, shards):
-                raw = zstandard.decompress(got[s]) if s in got else b"\0\0\0\0"
-                m = int(np.frombuffer(raw, np.uint32, 1)[0])
-                if m != len(us):
-                    raise RuntimeError("the documents changed between two reads")
-                size = np.frombuffer(raw, np.uint32, m, 4).astype(np.int64)
-                mark = -(-m // 8)
-                good.append(np.unpackbits(np.frombuffer(raw, np.uint8, mark, 4 + 4 * m), count=m))
-                x = np.frombuffer(raw[4 + 4 * m + mark :], np.uint32)
-                place.update(zip(us, range(len(place), len(place) + m)))
-                flat.append(x)
-                lens.append(size)
-                starts.append(n + np.cumsum(size) - size)
-                n += len(x)
-            cat = lambda xs, kind: np.concatenate(xs) if xs else np.empty(0, kind)
-            flat, starts, lens, good = cat(flat, np.uint32).astype(np.int32), cat(starts, np.int64), cat(lens, np.int64), cat(good, np.uint8)
-            # then of every distinct token
-            index = {t: i for i, t in enumerate(need)}
-            fan = np.fromiter(map(len, need.values()), np.int64, len(need))
-            parts = np.fromiter((place[u] for us in need.values() for u in us), np.int64, int(fan.sum()))
-            owner = np.repeat(np.arange(len(fan)), fan)
-            t_len = np.bincount(owner, lens[parts], len(fan)).astype(np.int64)
-            t_flat = flat[_ranges(starts[parts], lens[parts])]
-            t_start = np.cumsum(t_len) - t_len
-            t_good = np.bincount(owner, good[parts] == 0, len(fan)) == 0
-            for i, t in zip(row["ids"], texts):
-                at = np.fromiter(map(index.__getitem__, tokens(t)), np.int64)
-                doc_ids.append(i)
-                sizes.append(int(t_len[at].sum()))
-                ids.append(t_flat[_ranges(t_start[at], t_len[at])])
-                # every unit spells itself, and the units are the whole text; a space sign in it would come back as a space
-                same.append(SPACE not in t and bool(t_good[at].all()))
-        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
-        values = np.concatenate(ids) if ids else np.empty(0, np.int32)
-        return pa.table(
+_ENCODED = pa.schema({"doc_id": pa.int64(), "n_pieces": pa.int64(), "round_trip": pa.bool_(), "ids": pa.list_(pa.int32())})
+
+
+def _assemble(numbers: list[int]):
+    """The documents of one bundle: the pieces of its units, in the order of its texts.  Without texts the rows are what a shard was asked."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        texts = rows.filter(rows["body"].is_valid())
+        if not len(texts):
+            return _ENCODED.empty_table()
+        told = rows.filter(rows["part"].is_valid())
+        told = dict(zip(told["part"].to_pylist(), told["units"].to_pylist()))
+        body = _arrays(texts["body"][0].as_py())  # equal bundles have equal texts
+        # pieces of every unit, from the shards' answers in the order asked
+        flat, size, good = [np.empty(0, np.uint16)], [np.empty(0, np.int64)], [np.empty(0, np.uint8)]
+        asked = np.bincount(body["shard"], minlength=len(numbers))
+        for s in np.nonzero(asked)[0]:
+            x = _arrays(told.pop(numbers[s]))
+            if len(x["size"]) != asked[s]:
+                raise RuntimeError("the documents changed between two reads")
+            flat.append(x["ids"])
+            size.append(x["size"].astype(np.int64))
+            good.append(np.unpackbits(x["same"], count=len(x["size"])))
+        flat, size, good = np.concatenate(flat), np.concatenate(size), np.concatenate(good)
+        start = np.cumsum(size) - size
+        # answers are in the order of shards, units in that of their first place
+        at = np.empty(len(size), np.int64)
+        at[np.argsort(body["shard"], kind="stable")] = np.arange(len(size))
+        row = body["b0"].astype(np.uint32)
+        for k in range(1, 4):
+            row |= body[f"b{k}"].astype(np.uint32) << np.uint32(8 * k)
+        row = at[row]
+        units_of = np.concatenate([[0], np.cumsum(body["per_text"])])
+        ends = np.concatenate([[0], np.cumsum(size[row])])[units_of]
+        values = flat[_ranges(start[row], size[row])].astype(np.int32)
+        # every unit spells itself, and the units are the whole text; a space sign in it would come back as a space
+        bad = np.concatenate([[0], np.cumsum(good[row] == 0)])[units_of]
+        same = (np.diff(bad) == 0) & (np.unpackbits(body["spaced"], count=len(ends) - 1) == 0)
+        one = pa.table(
             {
-                "doc_id": pa.array(doc_ids, pa.int64()),
-                "n_pieces": pa.array(sizes, pa.int64()),
-                "round_trip": pa.array(same, pa.bool_()),
-                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                "n_pieces": pa.array(np.diff(ends)),
+                "round_trip": pa.array(same),
+                "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values)),
             }
         )
+        # in small batches, so that neither side holds a bundle's pieces twice
+        return pa.Table.from_batches([b for ids in texts["ids"] for b in one.add_column(0, "doc_id", pa.array(ids.values)).to_batches(BATCH)], _ENCODED)
 
     return run
 
@@ -445,16 +480,18 @@ def _assemble(shards: int):
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_pieces, round_trip (whether decoding gives the text back), ids (piece ids), one row per document.
 
-    ``docs`` is read twice and must give the same rows in the same order, as
-    files do; a difference is an error, never a wrong result.
+    Should ``docs`` be read twice (a lost executor's exchange is made again) it must
+    give the same rows in the same order, as files do; a difference is an error, never a wrong result.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     shards = max(MIN_SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    numbers = _even_numbers(spark, shards)
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    asked = stored(d.mapInArrow(_ask(shards), "bundle binary, shard int, units binary"), "sp-asked")
-    vocabulary = asked.select("shard", "units").mapInArrow(_distinct, "shard int, unit string")
+    # exchanged once: what follows has all of its columns, so Spark reuses it
+    asked = d.mapInArrow(_ask(numbers), _ROWS).repartition(shards, "shard")
+    vocabulary = asked.groupBy("shard").applyInArrow(_distinct, "shard int, k int, unit string")
     known = best_paths(vocabulary, model, shards)
-    answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer(*piece_strings(model)), "bundle binary, shard int, answer binary")
-    texts = d.mapInArrow(_texts, "bundle binary, ids array<bigint>, sizes array<bigint>, body binary")
-    return answers.groupBy("bundle").cogroup(texts.groupBy("bundle")).applyInArrow(_assemble(shards), "doc_id bigint, n_pieces bigint, round_trip boolean, ids array<int>")
+    answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer(*piece_strings(model), numbers), _ROWS)
+    # the texts are where they were dealt, and the answers come to them
+    return asked.union(answers.repartition(shards, "shard")).groupBy("shard", "bundle").applyInArrow(_assemble(numbers), "doc_id bigint, n_pieces bigint, round_trip boolean, ids array<int>")

@@ -67,6 +67,25 @@ def test_pieces_decode_as_rows(spark):
     assert "Python" not in sp_lattice.decode_rows(none)._jdf.queryExecution().executedPlan().toString().replace("PythonMapInArrow", "")
 
 
+def test_pieces_read_documents_once_and_exchange_no_text(spark):
+    got = sp_lattice.encode(table(spark, "documents"))
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    # the numbered texts with the lists of units, the distinct units, the answers
+    assert len([x for x in final.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]) == 3
+    assert "ReusedExchange" in final
+
+
+def test_pieces_of_equal_bundles_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(sp_lattice, "BUNDLE_CHARS", 1)  # numbers of the session are kept: a batch a bundle
+    rows = [(1, "one two two"), (1, "one two two"), (None, "one two two"), (2, None)] * 3
+    frames = [spark.createDataFrame(rows, "doc_id long, text string").coalesce(1) for _ in range(2)]
+    got = [tuple(r[:3]) for r in sp_lattice.encode(frames[0].union(frames[1])).collect()]
+    n = next(x[1] for x in got if x[0] == 1)
+    assert Counter(got) == Counter({(1, n, True): 12, (None, n, True): 6, (2, 0, True): 6})
+
+
 # ------------------------------------------------------------ language model
 
 
