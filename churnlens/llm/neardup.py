@@ -2,9 +2,10 @@
 
 A document is the set of its word shingles.  Documents of equal sets form one
 class; all further work is on classes.  ``TREES`` independent trees branch the
-classes at their roots by one minwise token each.  Every node compares all its
-classes with one pivot.  If that leaves them in more than one component, a node
-of at most ``LEAF`` classes is compared exhaustively between its components;
+classes at their roots by ``ROOT_STEP`` minwise tokens each, so that texts which
+share a common passage don't meet there, however many they are.  Every node
+compares all its classes with one pivot.  If that leaves them in more than one component, a node
+of at most ``LEAF`` classes is compared exhaustively between its components, a pair in one of its nodes only;
 else no pair in it can change the result.
 
 A larger open node may hide a pair.  A class of which fewer than ``SETTLED``
@@ -46,12 +47,12 @@ from churnlens.llm.components import components
 from churnlens.llm.text_hash import mixed, shingles, word_hashes, words
 
 COORDS = 64
-#: One tree keeps a pair of similarity 0.8 together at its root with 0.8; 12 small or connected roots miss it with 0.2 ** 12 = 4e-9.
-TREES = 12
+#: One tree keeps a pair of similarity 0.8 together at its root with 0.8 ** 3 = 0.512, and one of 0.05 with 0.0001; 21 small or connected roots miss the first with 3e-7.
+TREES, ROOT_STEP = 21, 3
 #: A pair of similarity 0.8 may be missed with this, wherever it is.
 MISSED = 1e-6
-#: So many small or connected roots miss a pair with 0.2 ** 9 = 5e-7.
-SETTLED = 9
+#: So many small or connected roots miss a pair with 0.488 ** 20 = 6e-7.
+SETTLED = 20
 LEAF = 64
 STEP, FAN, DEPTH = 8, 8, 2
 #: A tree of own tokens parts a pair of similarity 0.8 if at one of its levels no child holds both.
@@ -69,6 +70,8 @@ _OWN_MULS = _odd(20240602, EXTRA * DEPTH * FAN * STEP)
 _BLOCK = 200_000
 #: Texts of an Arrow batch; classes of a block of a node that is compared whole.
 BATCH, BLOCK_ROWS = 200, 2048
+#: Bits of the bitmap that tells which texts may be needed: 16 MB.
+MOST_BITS = 1 << 27
 
 
 def minwise(sets: list[np.ndarray], muls: np.ndarray = _MULS) -> np.ndarray:
@@ -87,6 +90,14 @@ def minwise(sets: list[np.ndarray], muls: np.ndarray = _MULS) -> np.ndarray:
     return out
 
 
+def _joined(tokens: np.ndarray) -> np.ndarray:
+    """One 64-bit hash of the tokens along the last axis."""
+    key = np.zeros(tokens.shape[:-1], np.uint64)
+    for k in range(tokens.shape[-1]):
+        key = mixed(key * _MULS[0] + tokens[..., k].astype(np.uint32))
+    return key
+
+
 #: One bit of each of the COORDS tokens a column.
 _BITS = ("w0", "w1", "w2", "w3")
 
@@ -98,7 +109,8 @@ def _sketch(size: int):
             full = [s for s in sets if len(s)]
             sig = minwise(full) if full else np.empty((0, COORDS), np.int32)
             at = np.cumsum([len(s) > 0 for s in sets]) - 1
-            roots = [sig[i, :TREES] if len(s) else None for i, s in zip(at, sets)]
+            top = (_joined(sig[:, : TREES * ROOT_STEP].reshape(-1, TREES, ROOT_STEP)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            roots = [top[i] if len(s) else None for i, s in zip(at, sets)]
             bits = [np.packbits((sig >> k) & 1, axis=1).view(np.int64).ravel() for k in range(4)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -136,10 +148,7 @@ def _own_paths(size: int):
             sets = [x.values.to_numpy().view(np.uint64) for x in b["items"]]
             if not sets:
                 continue
-            tokens = minwise(sets, _OWN_MULS).view(np.uint32).astype(np.uint64).reshape(len(sets) * EXTRA, -1, STEP)
-            key = np.zeros(tokens.shape[:2], np.uint64)
-            for k in range(STEP):
-                key = mixed(key * _MULS[0] + tokens[:, :, k])
+            key = _joined(minwise(sets, _OWN_MULS).reshape(len(sets) * EXTRA, -1, STEP))
             cls = [c for c in b["cls"].to_pylist() for _ in range(EXTRA)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cls, pa.binary()), pa.array(np.tile(np.arange(EXTRA, dtype=np.int32), len(sets))), pa.array(list(key.view(np.int64)), pa.list_(pa.int64()))],
@@ -191,10 +200,17 @@ def _star(open_: DataFrame) -> DataFrame:
 
 
 def _small(open_: DataFrame) -> DataFrame:
-    """Candidates between the components of nodes of at most LEAF classes."""
-    lists = open_.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list(F.struct(*_ME)).alias("m"))
-    two = lists.select("m", F.explode("m").alias("x")).select("x", F.explode(F.filter("m", lambda z: _may_link(F.col("x"), z))).alias("y"))
-    return _ends(two)
+    """Candidates between the components of nodes of at most LEAF classes, each from the first of the nodes that both classes are in."""
+    small = open_.where(F.col("size") <= LEAF).select("node", *_ME)
+    # a number of a class's nodes: TREES at the roots, EXTRA * FAN further down
+    own = small.groupBy("cls").agg(F.collect_set("node").alias("nodes"))
+    lists = small.join(own, "cls").groupBy("node").agg(F.collect_list(F.struct(*_ME, "nodes")).alias("m"))
+
+    def first(z: Column) -> Column:
+        return F.array_min(F.array_intersect(F.col("x.nodes"), z["nodes"])) == F.col("node")
+
+    two = lists.select("node", "m", F.explode("m").alias("x"))
+    return _ends(two.select("x", F.explode(F.filter("m", lambda z: _may_link(F.col("x"), z) & first(z))).alias("y")))
 
 
 def _large(open_: DataFrame) -> DataFrame:
@@ -274,11 +290,29 @@ def _texts(docs: DataFrame, need: DataFrame) -> DataFrame:
     An id that many rows share names one of their texts, so a class never reads
     the texts of others (two texts of one hash apart: they are left out later).
     """
-    rows = docs.select("doc_id", "text", _mark().alias("mark"))
+    rows = _perhaps(docs.select("doc_id", "text", _mark().alias("mark")), need.select("rep.id", "rep.mark"))
     same = F.col("doc_id").eqNullSafe(F.col("rep.id")) & (F.col("mark") == F.col("rep.mark"))
     return rows.join(need, same).select("cls", "text")
 
 
+def _perhaps(rows: DataFrame, need: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose (doc_id, mark) isn't among ``need`` (id, mark), so that their texts aren't exchanged.
+
+    A bitmap of hashes, of 16 bits a needed row and 16 MB at most, goes to the
+    tasks; beyond that more rows pass, never fewer.
+    """
+    bits = 1 << 15
+    while bits < min(16 * need.count(), MOST_BITS):
+        bits *= 2
+    place = lambda *c: F.pmod(F.xxhash64(*c), F.lit(bits))
+    at = need.select(place("id", "mark").alias("at"))
+    maps = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap"))
+    bit = F.bitmap_bit_position(place("doc_id", "mark")).cast("int")
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = rows.join(F.broadcast(maps), F.bitmap_bucket_number(place("doc_id", "mark")) == F.col("bucket"))
+    return joined.where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), bit % 8)) != 0).select("doc_id", "text", "mark")
+
+
 def _linked(docs: DataFrame, pairs: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
     """``labels`` with the candidate ``pairs`` (a, ra, b, rb) that the full sets confirm."""
     pairs = stored(pairs.distinct(), "neardup-pairs")

@@ -135,6 +135,37 @@ def test_neardup_reads_a_text_a_class_whatever_the_ids(spark, monkeypatch):
     assert links.count() == 50 * 19 and links.select("v").distinct().count() == 50
 
 
+def test_neardup_compares_a_pair_in_one_node(spark):
+    """Classes that meet in many nodes make one row a pair, not one a node."""
+    row = "(cls binary, n bigint, rep struct<id:bigint,mark:bigint>, bits struct<w0:bigint,w1:bigint,w2:bigint,w3:bigint>, comp binary, node bigint, size bigint)"
+    rows = [(bytes([c]), 100, (c, c), (0, 0, 0, 0), bytes([c]), node, 30) for c in range(30) for node in range(20) if c < 10 or node > 15]
+    got = neardup._small(spark.createDataFrame(rows, row[1:-1])).collect()
+    assert len(got) == 30 * 29 // 2 and len({(bytes(r["a"]), bytes(r["b"])) for r in got}) == len(got)
+
+
+def test_neardup_roots_part_texts_that_share_a_passage(spark, monkeypatch):
+    rng, again = random.Random(6), []
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(160)]) for _ in range(600)]
+    monkeypatch.setattr(neardup, "_branched", lambda *a: again.append(a) or a[3])
+    assert neardup.near_duplicates(_numbered(spark, texts)).where("kept").count() == 600
+    assert not again
+
+
+def _numbered(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_neardup_exchanges_few_texts_that_are_not_needed(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("doc_id"), F.lit("t").alias("text"), (F.col("id") % 7).alias("mark"))
+    need = rows.where("(mark = 3 AND doc_id % 50 = 1) OR (doc_id IS NULL AND mark = 2)").select(F.col("doc_id").alias("id"), "mark").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("rows.mark") == F.col("need.mark"))
+    wanted = lambda x: x.alias("rows").join(need.alias("need"), same).count()
+    passed = neardup._perhaps(rows, need)
+    assert passed.columns == rows.columns and wanted(passed) == wanted(rows) and passed.count() < wanted(rows) + 0.1 * 40_000
+    assert neardup._perhaps(rows, need.limit(0)).count() == 0
+
+
 def test_neardup_odd_rows(spark):
     rows = [(None, "a b c d e"), (7, "a b c d e"), (7, "a b c d e"), (7, "other words are in this text"), (9, None), (None, None), (8, "A B C D E")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
