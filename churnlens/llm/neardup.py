@@ -17,9 +17,14 @@ them with 0.77, sets of 0.5 with 0.03), until it is small or connected; after
 classes both are branched again is missed with less than ``MISSED``; a pair with
 a class that isn't, by the roots that settle it.
 
-Pairs must agree in size and in a sketch of four bits of each of ``COORDS``
-minwise tokens before they become rows; they are confirmed on the full sets,
-which are read for the classes of such pairs only.
+Pairs must agree in size and in two sketches before they become rows: four bits
+of each of ``COORDS`` minwise tokens, and the parities of the set's items in
+``64 * PARITIES`` cells.  Cells that differ hold an item of one set only, so
+there are no more of them than such items: the second sketch loses no link, and
+of a group of copies it leaves few pairs that aren't links.  Pairs are confirmed
+on the full sets, which are read for the classes of such pairs only.  At the
+roots a class is compared with one pivot first; nodes that this leaves open are
+compared with theirs.
 
 Nothing is grouped into one task but small nodes: nodes are counted (combined
 map-side) and joined, in blocks where they are large.  A level is one pass over
@@ -34,6 +39,7 @@ if its id equals the component's (null-safe).
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -60,6 +66,9 @@ PARTED = 1 - (1 - (1 - 0.8**STEP) ** FAN) ** DEPTH
 EXTRA = math.ceil(math.log(MISSED) / math.log(PARTED))
 #: Four-bit tokens that may differ: a pair of similarity 0.8 differs in 12 of 64 (deviation 3.1), in more than 30 with 2e-7.
 MOST_UNEQUAL = 30
+#: 64-bit words of the parity sketch: texts of 150 to 500 shingles pass it from a similarity of 0.77 or so.
+PARITIES = 12
+
 
 def _odd(seed: int, n: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,8 +107,19 @@ def _joined(tokens: np.ndarray) -> np.ndarray:
     return key
 
 
-#: One bit of each of the COORDS tokens a column.
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """(len(sets), PARITIES) words: a bit tells whether its cell holds an odd number of the set's items."""
+    cells = 64 * PARITIES
+    lens = [len(s) for s in sets]
+    x = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    cell = ((x >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+    held = np.bincount(np.repeat(np.arange(len(sets)), lens) * cells + cell, minlength=len(sets) * cells)
+    return np.packbits((held & 1).astype(bool).reshape(len(sets), cells), axis=1).view(np.int64)
+
+
+#: One bit of each of the COORDS tokens a column, and the words of the parity sketch.
 _BITS = ("w0", "w1", "w2", "w3")
+_CELLS = tuple(f"p{k}" for k in range(PARITIES))
 
 
 def _sketch(size: int):
@@ -111,7 +131,7 @@ def _sketch(size: int):
             at = np.cumsum([len(s) > 0 for s in sets]) - 1
             top = (_joined(sig[:, : TREES * ROOT_STEP].reshape(-1, TREES, ROOT_STEP)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             roots = [top[i] if len(s) else None for i, s in zip(at, sets)]
-            bits = [np.packbits((sig >> k) & 1, axis=1).view(np.int64).ravel() for k in range(4)]
+            bits = [np.packbits((sig >> k) & 1, axis=1).view(np.int64).ravel() for k in range(4)] + list(parities(full).T)
             yield pa.RecordBatch.from_arrays(
                 [
                     b["doc_id"],
@@ -121,7 +141,7 @@ def _sketch(size: int):
                     pa.array(roots, pa.list_(pa.int32())),
                     *(pa.array([w[i] if len(s) else None for i, s in zip(at, sets)], pa.int64()) for w in bits),
                 ],
-                names=["doc_id", "mark", "cls", "n", "roots", *_BITS],
+                names=["doc_id", "mark", "cls", "n", "roots", *_BITS, *_CELLS],
             )
 
     return run
@@ -167,7 +187,7 @@ def _children(members: DataFrame, level: int) -> DataFrame:
 def _members(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """``nodes`` (cls, node, ...) that hold several classes, with what is compared of the classes."""
     several = nodes.groupBy("node").count().where("count > 1").select("node")
-    return stored(nodes.join(several, "node").join(classes.select("cls", "n", "rep", "bits"), "cls"), "neardup-members")
+    return stored(nodes.join(several, "node").join(classes.select("cls", "n", "bits"), "cls"), "neardup-members")
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -178,39 +198,36 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return m.join(stat.where("size > 1 AND c0 <> c1").select("node", "size", "pivot"), "node")
 
 
-_ME = ("cls", "n", "rep", "bits", "comp")
+_ME = ("cls", "n", "bits", "comp")
 
 
-def _may_link(x: Column, y: Column) -> Column:
-    """Whether x comes first, is of another component, and sizes and sketches allow a link."""
-    unequal = F.lit(0).cast("bigint")
-    for w in _BITS:
-        unequal = unequal.bitwiseOR(x["bits"][w].bitwiseXOR(y["bits"][w]))
+def _may_link(x: Column, y: Column, open_: DataFrame) -> Column:
+    """Whether x comes first, is of another component, and sizes and sketches allow a link; ``open_`` says which sketches there are."""
+    differ = lambda w: x["bits"][w].bitwiseXOR(y["bits"][w])
+    unequal = functools.reduce(Column.bitwiseOR, map(differ, _BITS))
     sizes = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * 80
-    return sizes & (x["comp"] != y["comp"]) & (x["cls"] < y["cls"]) & (F.bit_count(unequal) <= MOST_UNEQUAL)
+    may = sizes & (x["comp"] != y["comp"]) & (x["cls"] < y["cls"]) & (F.bit_count(unequal) <= MOST_UNEQUAL)
+    if set(_CELLS) <= set(open_.schema["bits"].dataType.names):
+        # linked sets of n and m items differ in (n + m) / 9 at most
+        cells = sum((F.bit_count(differ(w)) for w in _CELLS[1:]), F.bit_count(differ(_CELLS[0])))
+        may = may & (cells * 9 <= x["n"] + y["n"])
+    return may
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("x.cls").alias("a"), F.col("x.rep").alias("ra"), F.col("y.cls").alias("b"), F.col("y.rep").alias("rb"))
+    return pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
 
 
 def _star(open_: DataFrame) -> DataFrame:
-    """Candidate (a, ra, b, rb): each node's pivot with its other classes."""
-    return _ends(open_.select(F.col("pivot").alias("x"), F.struct(*_ME).alias("y")).where(_may_link(F.col("x"), F.col("y"))))
+    """Candidate (a, b): each node's pivot with its other classes."""
+    return _ends(open_.select(F.col("pivot").alias("x"), F.struct(*_ME).alias("y")).where(_may_link(F.col("x"), F.col("y"), open_)))
 
 
 def _small(open_: DataFrame) -> DataFrame:
-    """Candidates between the components of nodes of at most LEAF classes, each from the first of the nodes that both classes are in."""
-    small = open_.where(F.col("size") <= LEAF).select("node", *_ME)
-    # a number of a class's nodes: TREES at the roots, EXTRA * FAN further down
-    own = small.groupBy("cls").agg(F.collect_set("node").alias("nodes"))
-    lists = small.join(own, "cls").groupBy("node").agg(F.collect_list(F.struct(*_ME, "nodes")).alias("m"))
-
-    def first(z: Column) -> Column:
-        return F.array_min(F.array_intersect(F.col("x.nodes"), z["nodes"])) == F.col("node")
-
-    two = lists.select("node", "m", F.explode("m").alias("x"))
-    return _ends(two.select("x", F.explode(F.filter("m", lambda z: _may_link(F.col("x"), z) & first(z))).alias("y")))
+    """Candidates between the components of nodes of at most LEAF classes, each once."""
+    lists = open_.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list(F.struct(*_ME)).alias("m"))
+    two = lists.select("m", F.explode("m").alias("x"))
+    return _ends(two.select("x", F.explode(F.filter("m", lambda z: _may_link(F.col("x"), z, open_))).alias("y"))).distinct()
 
 
 def _large(open_: DataFrame) -> DataFrame:
@@ -220,7 +237,7 @@ def _large(open_: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     left = large.select("node", F.col("m").alias("x"), F.col("own").alias("bx"), other.alias("by"))
     right = large.select("node", F.col("m").alias("y"), other.alias("bx"), F.col("own").alias("by"))
-    return _ends(left.join(right, ["node", "bx", "by"]).where(_may_link(F.col("x"), F.col("y"))))
+    return _ends(left.join(right, ["node", "bx", "by"]).where(_may_link(F.col("x"), F.col("y"), open_)))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -242,19 +259,21 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 80) -> tuple[
 def _similar_classes(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     schema = docs.select("doc_id").schema.simpleString()[7:-1]
     texts = docs.select("doc_id", "text", _mark().alias("mark"))
-    bits = ", ".join(f"{w} bigint" for w in _BITS)
+    bits = ", ".join(f"{w} bigint" for w in (*_BITS, *_CELLS))
     sketch = stored(texts.mapInArrow(_sketch(size), f"{schema}, mark bigint, cls binary, n bigint, roots array<int>, {bits}"), "neardup-sketch")
     rep = F.min(F.struct(F.col("doc_id").alias("id"), "mark")).alias("rep")
-    first = [F.first(c).alias(c) for c in ("n", "roots", *_BITS)]
+    first = [F.first(c).alias(c) for c in ("n", "roots", *_BITS, *_CELLS)]
     classes = sketch.where("cls IS NOT NULL").groupBy("cls").agg(rep, *first)
-    classes = stored(classes.select("cls", "rep", "n", "roots", F.struct(*_BITS).alias("bits")), "neardup-classes")
+    classes = stored(classes.select("cls", "rep", "n", "roots", F.struct(*_BITS, *_CELLS).alias("bits")), "neardup-classes")
 
     none = classes.sparkSession.createDataFrame([], "u binary, v binary")
     roots = F.transform("roots", lambda token, tree: F.xxhash64(tree, token))
     members = _members(classes.select("cls", F.explode(roots).alias("node")), classes)
-    labels = _linked(docs, _star(_open(members, none)), none, size, percent)
+    # copies share their pivots: one of them links a class, the others are asked where that leaves a node open
+    one = _star(_open(members, none)).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    labels = _linked(docs, one, classes, none, size, percent)
     again = stored(_open(members, labels), "neardup-open")
-    labels = _linked(docs, _small(again), labels, size, percent)
+    labels = _linked(docs, _star(again).unionByName(_small(again)), classes, labels, size, percent)
     unsettled = again.where(F.col("size") > LEAF).groupBy("cls").count().where(F.col("count") > TREES - SETTLED)
     hard = stored(unsettled.join(classes, "cls").select("cls", "rep"), "neardup-hard")
     if not hard.isEmpty():
@@ -271,12 +290,12 @@ def _branched(docs: DataFrame, hard: DataFrame, classes: DataFrame, labels: Data
     for level in range(1, DEPTH + 1):
         members = _members(nodes, classes)
         found = _star(_open(members, labels))
-        labels = _linked(docs, found if wait is None else found.unionByName(wait), labels, size, percent)
+        labels = _linked(docs, found if wait is None else found.unionByName(wait), classes, labels, size, percent)
         again = stored(_open(members, labels), "neardup-open")
         wait = _small(again)
         large = again.where(F.col("size") > LEAF)
         nodes = _children(large.select("cls", "tree", "node").join(paths, ["cls", "tree"]), level)
-    return _linked(docs, wait.unionByName(_large(again)), labels, size, percent)
+    return _linked(docs, wait.unionByName(_large(again)), classes, labels, size, percent)
 
 
 def _mark() -> Column:
@@ -313,17 +332,17 @@ def _perhaps(rows: DataFrame, need: DataFrame) -> DataFrame:
     return joined.where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), bit % 8)) != 0).select("doc_id", "text", "mark")
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
-    """``labels`` with the candidate ``pairs`` (a, ra, b, rb) that the full sets confirm."""
+def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
+    """``labels`` with the candidate ``pairs`` (a, b) that the full sets confirm."""
     pairs = stored(pairs.distinct(), "neardup-pairs")
     if pairs.isEmpty():
         return labels
     # one row's text for each class of a pair
-    ends = F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("rep")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("rep")))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     # written, so that Spark knows its size and can leave the texts where they are if it is small
-    need = stored(pairs.select(F.explode(ends).alias("e")).select("e.cls", "e.rep").distinct(), "neardup-need")
+    need = stored(ends.join(classes.select("cls", "rep"), "cls"), "neardup-need")
     sets = stored(_texts(docs, need).mapInArrow(_full_sets(size), "cls binary, items array<bigint>"), "neardup-sets")
-    found = stored(_confirmed(pairs.select("a", "b"), sets, percent), "neardup-edges")
+    found = stored(_confirmed(pairs, sets, percent), "neardup-edges")
     if found.isEmpty():
         return labels
     # the labels so far connect what all links so far connect

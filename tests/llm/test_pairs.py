@@ -143,6 +143,34 @@ def test_neardup_compares_a_pair_in_one_node(spark):
     assert len(got) == 30 * 29 // 2 and len({(bytes(r["a"]), bytes(r["b"])) for r in got}) == len(got)
 
 
+def test_neardup_copies_that_are_no_links_make_few_pairs(spark, monkeypatch):
+    """Copies of one text, two of them at about 0.67: they meet in all nodes, but few pairs become rows."""
+    rng, pairs = random.Random(9), []
+    base = [f"b{i}" for i in range(203)]
+    texts = []
+    for n in range(60):
+        cuts = rng.sample(range(4, 199, 4), 5)
+        texts.append(" ".join(f"x{n}" + w if i in cuts else w for i, w in enumerate(base)))
+    of = neardup._confirmed
+    monkeypatch.setattr(neardup, "_confirmed", lambda p, *a: pairs.append(p.count()) or of(p, *a))
+    rows = neardup.near_duplicates(_numbered(spark, texts)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == near_components(dict(enumerate(texts)))
+    assert sum(pairs) < 3 * len(texts)
+
+
+def test_neardup_parities_lose_no_link():
+    """Cells that differ are no more than the items of one set only, for small sets and for large ones."""
+    rng = np.random.default_rng(5)
+    for n in (1, 7, 150, 500, 5000):
+        items = np.unique(rng.integers(0, 2**64, 2 * n, dtype=np.uint64))
+        sets = [items[np.sort(rng.permutation(len(items))[: n + k % 3])] for k in range(12)] + [items[:n], items[: max(1, n * 9 // 10)]]
+        words = neardup.parities(sets).view(np.uint64)
+        for x, a in zip(words, sets):
+            for y, b in zip(words, sets):
+                assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+    assert neardup.parities([]).shape == (0, neardup.PARITIES)
+
+
 def test_neardup_roots_part_texts_that_share_a_passage(spark, monkeypatch):
     rng, again = random.Random(6), []
     passage = [f"p{i}" for i in range(40)]
