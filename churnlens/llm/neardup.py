@@ -5,8 +5,8 @@ class; all further work is on classes.  ``TREES`` independent trees branch the
 classes at their roots by ``ROOT_STEP`` minwise tokens each, so that texts which
 share a common passage don't meet there, however many they are.  Every node
 compares all its classes with one pivot.  If that leaves them in more than one component, a node
-of at most ``LEAF`` classes is compared exhaustively between its components, a pair in one of its nodes only;
-else no pair in it can change the result.
+of at most ``WHOLE`` classes is compared exhaustively between its components,
+which costs less than branching it; else no pair in it can change the result.
 
 A larger open node may hide a pair.  A class of which fewer than ``SETTLED``
 roots are small or connected is therefore branched again by ``EXTRA`` trees
@@ -59,7 +59,8 @@ TREES, ROOT_STEP = 21, 3
 MISSED = 1e-6
 #: So many small or connected roots miss a pair with 0.488 ** 20 = 6e-7.
 SETTLED = 20
-LEAF = 64
+#: A node of at most WHOLE classes is compared whole: at most WHOLE / 2 sketches a class; of at most LEAF, as one list, above by a join.
+LEAF, WHOLE = 64, 2048
 STEP, FAN, DEPTH = 8, 8, 2
 #: A tree of own tokens parts a pair of similarity 0.8 if at one of its levels no child holds both.
 PARTED = 1 - (1 - (1 - 0.8**STEP) ** FAN) ** DEPTH
@@ -191,22 +192,23 @@ def _members(nodes: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members with component, node size and the node's pivot, of nodes that have at least two components."""
+    """Members with component, node size and the node's pivot (any of its classes, another one in each node), of nodes that have at least two components."""
     m = members.join(labels.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left")
     m = m.withColumn("comp", F.coalesce("root", "cls")).drop("root")
-    stat = m.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct(*_ME)).alias("pivot"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    stat = m.groupBy("node").agg(F.count("*").alias("size"), F.min_by(F.struct(*_ME), F.xxhash64("node", "cls")).alias("pivot"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     return m.join(stat.where("size > 1 AND c0 <> c1").select("node", "size", "pivot"), "node")
 
 
 _ME = ("cls", "n", "bits", "comp")
+_FACTS = ("cls", "node", "n", "bits")
 
 
 def _may_link(x: Column, y: Column, open_: DataFrame) -> Column:
-    """Whether x comes first, is of another component, and sizes and sketches allow a link; ``open_`` says which sketches there are."""
+    """Whether x is of another component than y, and sizes and sketches allow a link; ``open_`` says which sketches there are."""
     differ = lambda w: x["bits"][w].bitwiseXOR(y["bits"][w])
     unequal = functools.reduce(Column.bitwiseOR, map(differ, _BITS))
     sizes = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * 80
-    may = sizes & (x["comp"] != y["comp"]) & (x["cls"] < y["cls"]) & (F.bit_count(unequal) <= MOST_UNEQUAL)
+    may = sizes & (x["comp"] != y["comp"]) & (F.bit_count(unequal) <= MOST_UNEQUAL)
     if set(_CELLS) <= set(open_.schema["bits"].dataType.names):
         # linked sets of n and m items differ in (n + m) / 9 at most
         cells = sum((F.bit_count(differ(w)) for w in _CELLS[1:]), F.bit_count(differ(_CELLS[0])))
@@ -214,20 +216,30 @@ def _may_link(x: Column, y: Column, open_: DataFrame) -> Column:
     return may
 
 
+def _first(x: Column, y: Column, open_: DataFrame) -> Column:
+    """``_may_link`` for one of the two orders of a pair."""
+    return (x["cls"] < y["cls"]) & _may_link(x, y, open_)
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+    return pairs.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
 
 
 def _star(open_: DataFrame) -> DataFrame:
-    """Candidate (a, b): each node's pivot with its other classes."""
-    return _ends(open_.select(F.col("pivot").alias("x"), F.struct(*_ME).alias("y")).where(_may_link(F.col("x"), F.col("y"), open_)))
+    """Candidate (x, y): each node's pivot with its other classes."""
+    return open_.select(F.col("pivot").alias("x"), F.struct(*_ME).alias("y")).where(_may_link(F.col("x"), F.col("y"), open_))
 
 
 def _small(open_: DataFrame) -> DataFrame:
     """Candidates between the components of nodes of at most LEAF classes, each once."""
     lists = open_.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list(F.struct(*_ME)).alias("m"))
     two = lists.select("m", F.explode("m").alias("x"))
-    return _ends(two.select("x", F.explode(F.filter("m", lambda z: _may_link(F.col("x"), z, open_))).alias("y"))).distinct()
+    return _ends(two.select("x", F.explode(F.filter("m", lambda z: _first(F.col("x"), z, open_))).alias("y"))).distinct()
+
+
+def _whole(open_: DataFrame) -> DataFrame:
+    """Candidates between the components of nodes of at most WHOLE classes."""
+    return _small(open_).unionByName(_large(open_.where(F.col("size") <= WHOLE)))
 
 
 def _large(open_: DataFrame) -> DataFrame:
@@ -237,7 +249,7 @@ def _large(open_: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     left = large.select("node", F.col("m").alias("x"), F.col("own").alias("bx"), other.alias("by"))
     right = large.select("node", F.col("m").alias("y"), other.alias("bx"), F.col("own").alias("by"))
-    return _ends(left.join(right, ["node", "bx", "by"]).where(_may_link(F.col("x"), F.col("y"), open_)))
+    return _ends(left.join(right, ["node", "bx", "by"]).where(_first(F.col("x"), F.col("y"), open_)))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -269,12 +281,16 @@ def _similar_classes(docs: DataFrame, size: int, percent: int) -> tuple[DataFram
     none = classes.sparkSession.createDataFrame([], "u binary, v binary")
     roots = F.transform("roots", lambda token, tree: F.xxhash64(tree, token))
     members = _members(classes.select("cls", F.explode(roots).alias("node")), classes)
-    # copies share their pivots: one of them links a class, the others are asked where that leaves a node open
-    one = _star(_open(members, none)).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    # copies share pivots: one of them links a class, the others are asked where that leaves a node open
+    one = _star(_open(members, none)).groupBy("y.cls").agg(F.min("x.cls").alias("pivot"))
+    one = _ends(one.select(F.struct("cls").alias("x"), F.struct(F.col("pivot").alias("cls")).alias("y")))
     labels = _linked(docs, one, classes, none, size, percent)
     again = stored(_open(members, labels), "neardup-open")
-    labels = _linked(docs, _star(again).unionByName(_small(again)), classes, labels, size, percent)
-    unsettled = again.where(F.col("size") > LEAF).groupBy("cls").count().where(F.col("count") > TREES - SETTLED)
+    labels = _linked(docs, _ends(_star(again)).unionByName(_small(again)), classes, labels, size, percent)
+    # larger nodes are compared after that, so that a group of copies is one component and makes no pairs
+    again = stored(_open(again.where(F.col("size") > LEAF).select(*_FACTS), labels), "neardup-open")
+    labels = _linked(docs, _large(again.where(F.col("size") <= WHOLE)), classes, labels, size, percent)
+    unsettled = again.where(F.col("size") > WHOLE).groupBy("cls").count().where(F.col("count") > TREES - SETTLED)
     hard = stored(unsettled.join(classes, "cls").select("cls", "rep"), "neardup-hard")
     if not hard.isEmpty():
         labels = _branched(docs, hard, classes, labels, size, percent)
@@ -289,13 +305,13 @@ def _branched(docs: DataFrame, hard: DataFrame, classes: DataFrame, labels: Data
     wait = None
     for level in range(1, DEPTH + 1):
         members = _members(nodes, classes)
-        found = _star(_open(members, labels))
+        found = _ends(_star(_open(members, labels)))
         labels = _linked(docs, found if wait is None else found.unionByName(wait), classes, labels, size, percent)
         again = stored(_open(members, labels), "neardup-open")
-        wait = _small(again)
-        large = again.where(F.col("size") > LEAF)
+        wait = _whole(again)
+        large = again.where(F.col("size") > WHOLE)
         nodes = _children(large.select("cls", "tree", "node").join(paths, ["cls", "tree"]), level)
-    return _linked(docs, wait.unionByName(_large(again)), classes, labels, size, percent)
+    return _linked(docs, wait.unionByName(_large(large)), classes, labels, size, percent)
 
 
 def _mark() -> Column:

@@ -81,6 +81,24 @@ def test_neardup_compares_what_stays_open(spark, monkeypatch):
     _check(spark, _corpus(5))
 
 
+@pytest.mark.parametrize("depth", [1, 2])
+def test_neardup_branches_nodes_above_whole(spark, monkeypatch, depth):
+    again, of = [], neardup._branched
+    for name, value in (("LEAF", 4), ("WHOLE", 4), ("DEPTH", depth)):
+        monkeypatch.setattr(neardup, name, value)
+    monkeypatch.setattr(neardup, "_branched", lambda *a: again.append(a) or of(*a))
+    _check(spark, _corpus(6))
+    assert again
+
+
+def test_neardup_compares_middling_nodes_whole(spark, monkeypatch):
+    """Groups of some hundred copies need no branches, which make rows of 128 children a class."""
+    again = []
+    monkeypatch.setattr(neardup, "_branched", lambda *a: again.append(a) or a[3])
+    test_neardup_keeps_links_in_large_nodes(spark)
+    assert not again
+
+
 def test_neardup_keeps_links_in_large_nodes(spark):
     """Copies of one text, each at 0.80 to 0.85 of it and less of one another: only the text links them."""
     rng = random.Random(8)
