@@ -3,8 +3,8 @@
 A sorted sequence keeps the low bits of each value packed and the high bits in
 unary (bit ``high + i`` is set for element i); a directory with the ones before
 each 64-bit word answers select.  ``find`` is a successor search: the high part
-names a run of equal high bits between two zeros, the low bits are compared
-inside that run.
+names a run of equal high bits between two zeros, the low bits are searched by
+halves inside that run.
 """
 
 from __future__ import annotations
@@ -101,13 +101,15 @@ class EliasFano:
         start = np.where(high > 0, self._before_zero(np.maximum(high - 1, 0)), 0)
         end = self._before_zero(high)
         todo = np.nonzero(start < end)[0]
-        i = start[todo]
-        while len(todo):
-            same = self._low(i) == low[todo]
+        a, b, low = start[todo], end[todo], low[todo]
+        while len(todo):  # halves each run: a frequent key's runs are long
+            i = (a + b) >> 1
+            got = self._low(i)
+            same, less = got == low, got < low
             out[todo[same]] = i[same]
-            i = i + 1
-            go = ~same & (i < end[todo])
-            todo, i = todo[go], i[go]
+            a, b = np.where(less, i + 1, a), np.where(less, b, i)
+            go = ~same & (a < b)
+            todo, a, b, low = todo[go], a[go], b[go], low[go]
         return out
 
 

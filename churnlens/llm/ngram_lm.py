@@ -44,8 +44,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from churnlens.llm.common import bounded_batches, bounded_sample, stored
-from churnlens.llm.elias_fano import OTHER_BITS, Trie, from_buffer, to_bytes, trie_image
-from churnlens.llm.text_hash import mixed, word_hashes, words
+from churnlens.llm.elias_fano import Trie, from_buffer, to_bytes, trie_image
+from churnlens.llm.text_hash import word_hashes, words
 
 #: Bounds the hot trie: at most (HOT + 2) ** 2 pairs, 4.2 million, of 25 bytes on their way through the driver.
 HOT = 2048
@@ -65,11 +65,26 @@ def held_out(doc_id: Column) -> Column:
 
 
 def pack(**arrays: np.ndarray) -> bytes:
-    return zstandard.compress(to_bytes(arrays), 1)
+    """Integer and float arrays, compressed; byte k of all entries lies together, so that bytes which hardly vary take no room."""
+    return zstandard.compress(to_bytes({f"{k}:{a.dtype.str}": np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.ravel() for k, a in arrays.items()}), 1)
 
 
 def unpack(blob: bytes) -> dict[str, np.ndarray]:
-    return from_buffer(np.frombuffer(zstandard.decompress(blob), np.uint8))
+    out = {}
+    for head, a in from_buffer(np.frombuffer(zstandard.decompress(blob), np.uint8)).items():
+        name, kind = head.split(":")
+        size = np.dtype(kind).itemsize
+        out[name] = np.ascontiguousarray(a.reshape(size, len(a) // size).T).ravel().view(kind)
+    return out
+
+
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of sorted unsigned numbers, which np.cumsum undoes."""
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
+
+
+def _sums(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def _bundles(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
@@ -87,31 +102,75 @@ def _bundles(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple
         yield tuple(map(list, zip(*rows)))
 
 
-def _pairs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, word, text number) of every token, the end included."""
+def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(word, text number) of every token, the end included."""
     toks = [word_hashes(words(t)) for t in texts]
     w = np.concatenate([x for t in toks for x in (t, [END])]).astype(np.uint64)
-    doc = np.repeat(np.arange(len(toks)), [len(t) + 1 for t in toks])
-    h = np.empty_like(w)
-    h[1:] = w[:-1]
-    h[np.concatenate([[0], np.nonzero(np.diff(doc))[0] + 1])] = START
-    return h, w, doc
+    return w, np.repeat(np.arange(len(toks)), [len(t) + 1 for t in toks])
 
 
-def _is_hot(hot: np.ndarray, x: np.ndarray) -> np.ndarray:
+def _place(hot: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Number of each word among the sorted hot ones, -1 for a cold one."""
     i = np.minimum(np.searchsorted(hot, x), len(hot) - 1)
-    return hot[i] == x
+    return np.where(hot[i] == x, i, -1)
+
 
+def _before(x: np.ndarray, doc: np.ndarray, first) -> np.ndarray:
+    """What stands before each token's ``x``; ``first`` at the start of a text."""
+    out = np.empty_like(x)
+    out[1:] = x[:-1]
+    out[np.concatenate([[0], np.nonzero(np.diff(doc))[0] + 1])] = first
+    return out
 
-def _keyed(h: np.ndarray, w: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, other, backward, both hot): the key is the colder word; backward marks a key that is the context."""
-    hw, hh = _is_hot(hot, w), _is_hot(hot, h)
-    back = hw & ~hh
-    return np.where(back, h, w), np.where(back, w, h), back, hw & hh
 
+#: Kinds of pairs: cold context and hot word; hot context and cold word; both cold.  The key of the second is the word, else the context.
+TO_HOT, FROM_HOT, COLD = 0, 1, 2
 
-def _shard_of(key: np.ndarray, shards: int) -> np.ndarray:
-    return (mixed(key) % np.uint64(shards)).astype(np.int64)
+
+class Tokens:
+    """The tokens of some texts with what each one follows: hot pairs by number, the others by kind, key and other word.
+
+    A hot other word is given by its number, a cold one by its 48-bit name.
+    """
+
+    def __init__(self, texts: list[str | None], hot: np.ndarray) -> None:
+        w, self.doc = _words(texts)
+        self.hot_word = _place(hot, w)
+        self.hot_context = _before(self.hot_word, self.doc, _place(hot, np.array([START]))[0])
+        h = _before(w, self.doc, START)
+        cold_h, cold_w = self.hot_context < 0, self.hot_word < 0
+        self.both = np.nonzero(~cold_h & ~cold_w)[0]
+        self.at = [np.nonzero(x)[0] for x in (cold_h & ~cold_w, ~cold_h & cold_w, cold_h & cold_w)]
+        self.key = [(w if kind == FROM_HOT else h)[i] for kind, i in enumerate(self.at)]
+        self.other = [self.hot_word[self.at[TO_HOT]].astype(np.uint32), self.hot_context[self.at[FROM_HOT]].astype(np.uint32), w[self.at[COLD]] >> _S16]
+
+
+def _bounds(shards: int) -> np.ndarray:
+    """The lowest key of each shard but the first: shards are ranges of equal width of the hash."""
+    return np.array([-(-(s << 32) // shards) << 32 for s in range(1, shards)], np.uint64)
+
+
+def _lists(keys: list[np.ndarray], shards: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], list[slice]]]:
+    """Per shard that has any: its distinct keys and, by kind, how many entries each has and where they are.  Keys are sorted within a kind."""
+    own = np.unique(np.concatenate(keys))
+    fans = [np.bincount(np.searchsorted(own, k), minlength=len(own)) for k in keys]
+    ends = [np.concatenate([[0], np.cumsum(f)]) for f in fans]
+    cuts = [0, *np.searchsorted(own, _bounds(shards)).tolist(), len(own)]
+    for s in range(shards):
+        a, b = cuts[s], cuts[s + 1]
+        if b > a:
+            yield s, own[a:b], [f[a:b].astype(np.uint32) for f in fans], [slice(int(e[a]), int(e[b])) for e in ends]
+
+
+def _summed(key: np.ndarray, other: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct sorted (key, other) with their sums of ``n``, or how often they occur."""
+    order = np.lexsort((other, key))
+    key, other = key[order], other[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (other[1:] != other[:-1])
+    first = np.nonzero(new)[0]
+    total = np.diff(np.append(first, len(key))) if n is None else np.add.reduceat(n[order], first) if len(first) else n
+    return key[first], other[first], total
 
 
 def _hot_words(docs: DataFrame, size: int) -> np.ndarray:
@@ -120,7 +179,7 @@ def _hot_words(docs: DataFrame, size: int) -> np.ndarray:
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (texts,) in _bundles(batches):
-            w, n = np.unique(_pairs(texts)[1], return_counts=True)
+            w, n = np.unique(_words(texts)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], names=["w", "n"])
 
     top = sample.mapInArrow(tally, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(size).collect()
@@ -129,121 +188,183 @@ def _hot_words(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _count(hot: np.ndarray, shards: int):
-    """Per bundle and shard: words and pairs with counts.  Hot pairs go by a hash of the pair."""
+    """Per bundle and shard a list of pairs with counts.  Hot pairs go by their number; hot words' counts, which a list of pairs doesn't tell, go along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (texts,) in _bundles(batches):
-            h, w, _ = _pairs(texts)
-            uni, uni_n = np.unique(w, return_counts=True)
-            _, first, n = np.unique(mixed(h) * np.uint64(3) + w, return_index=True, return_counts=True)
-            key, other, back, both = _keyed(h[first], w[first], hot)
-            to = np.where(both, _shard_of(key ^ mixed(other), shards), _shard_of(key, shards))
-            order = np.lexsort((other, key, to))
-            key, other, back, n, to = key[order], other[order], back[order], n[order], to[order]
-            uni_to = _shard_of(uni, shards)
-            ends = np.searchsorted(to, np.arange(shards + 1))
-            out = []
+            t = Tokens(texts, hot)
+            sums = [_summed(k, o) for k, o in zip(t.key, t.other)]
+            lists = {s: (own, fans, cut) for s, own, fans, cut in _lists([k for k, _, _ in sums], shards)}
+            both, both_n = np.unique(t.hot_context[t.both] * len(hot) + t.hot_word[t.both], return_counts=True)
+            word, word_n = np.unique(t.hot_word[t.hot_word >= 0], return_counts=True)
+            none = (np.zeros(0, np.uint64), [np.zeros(0, np.uint32)] * 3, [slice(0, 0)] * 3)
+            rows = []
             for s in range(shards):
-                a, b = ends[s], ends[s + 1]
-                ks, fan = np.unique(key[a:b], return_counts=True)
-                mine = uni_to == s
-                low = (other[a:b] >> _S16)
-                out.append(
-                    pack(
-                        uni=uni[mine], uni_n=uni_n[mine].astype(np.uint32), keys=ks, fan=fan.astype(np.uint32), n=n[a:b].astype(np.uint32), back=np.packbits(back[a:b]),
-                        o0=(low & np.uint64(0xFFFF)).astype(np.uint16), o1=((low >> _S16) & np.uint64(0xFFFF)).astype(np.uint16), o2=(low >> _S32).astype(np.uint16),
-                    )
-                )
-            yield pa.RecordBatch.from_arrays([pa.array(range(shards), pa.int32()), pa.array(out, pa.binary())], names=["shard", "blob"])
+                own, fans, cut = lists.get(s, none)
+                b, u = both % shards == s, word % shards == s
+                if len(own) or b.any() or u.any():
+                    parts = {f"{x}{kind}": a[cut[kind]] for kind, (_, o, n) in enumerate(sums) for x, a in (("other", o), ("n", n.astype(np.uint32)))}
+                    parts |= {f"fan{kind}": f for kind, f in enumerate(fans)}
+                    hots = dict(both=_steps(both[b].astype(np.uint64)), both_n=both_n[b].astype(np.uint32), word=word[u].astype(np.uint32), word_n=word_n[u].astype(np.uint32))
+                    rows.append((s, pack(keys=_steps(own), **parts, **hots)))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.binary()))], names=["shard", "blob"])
 
     return run
 
 
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of sorted shards: (word, -1, n) rows, and (key, other, back, n, n_key) rows of pairs seen MIN_COUNT times.
+#: Per quarter of a shard: words and their pairs, packed; tokens and distinct words; with the last, counts and pairs' mass of hot words and the hot pairs.
+SUMS = "shard int, part int, words binary, pairs binary, tokens bigint, distinct bigint, hot_n array<bigint>, hot_used array<double>, hot_pairs binary"
+QUARTERS = 4
 
-    A cold key's own count is in the same shard; n_key is 0 for a hot one.
-    """
-    held: list[dict[str, np.ndarray]] = []
-    shard = None
-
-    def flush(lo: int, hi: int) -> Iterator[pa.RecordBatch]:
-        """The sums of the keys in [lo, hi): a quarter of a shard at a time bounds the arrays."""
-
-        def cut(sorted_keys: np.ndarray) -> slice:
-            a = np.searchsorted(sorted_keys, np.uint64(lo))
-            return slice(int(a), int(np.searchsorted(sorted_keys, np.uint64(hi - 1), side="right")))
-
-        uni_cut = [cut(x["uni"]) for x in held]
-        uni, at = np.unique(np.concatenate([x["uni"][z] for x, z in zip(held, uni_cut)]), return_inverse=True)
-        uni_n = np.bincount(at, np.concatenate([x["uni_n"][z] for x, z in zip(held, uni_cut)]), len(uni)).astype(np.int64)
-        keys, others, backs, ns = [], [], [], []
-        for x in held:
-            z = cut(x["keys"])
-            ends = np.cumsum(x["fan"], dtype=np.int64)
-            a, b = (int(ends[i - 1]) if i else 0 for i in (z.start, z.stop))
-            keys.append(np.repeat(x["keys"][z], x["fan"][z]))
-            others.append(x["o0"][a:b].astype(np.uint64) | x["o1"][a:b].astype(np.uint64) << _S16 | x["o2"][a:b].astype(np.uint64) << _S32)
-            backs.append(np.unpackbits(x["back"], count=len(x["n"]))[a:b])
-            ns.append(x["n"][a:b])
-        key, other, back, n = np.concatenate(keys), np.concatenate(others), np.concatenate(backs), np.concatenate(ns).astype(np.int64)
-        del keys, others, backs, ns
-        order = np.lexsort((other, back, key))
-        key, other, back, n = key[order], other[order], back[order], n[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (other[1:] != other[:-1]) | (back[1:] != back[:-1])
-        starts = np.nonzero(new)[0]
-        total = np.add.reduceat(n, starts) if len(starts) else n
-        keep = total >= MIN_COUNT
-        starts, total = starts[keep], total[keep]
-        key, other, back = key[starts], other[starts], back[starts]
-        at = np.minimum(np.searchsorted(uni, key), max(len(uni) - 1, 0))
-        n_key = np.where(uni[at] == key, uni_n[at], 0) if len(uni) else np.zeros(len(key), np.int64)
-        none = np.zeros(len(uni), np.int64)
-        for k, o, b, c, m in ((uni, none - 1, none > 0, uni_n, none), (key, other.astype(np.int64), back > 0, total, n_key)):
-            for a in range(0, len(k), 100_000):
-                z = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[z].view(np.int64)), pa.array(o[z]), pa.array(b[z]), pa.array(c[z]), pa.array(m[z])], names=["key", "other", "back", "n", "n_key"]
-                )
-
-    def quarters() -> Iterator[pa.RecordBatch]:
-        for q in range(4):
-            yield from flush(q << 62, (q + 1) << 62)
-        held.clear()
-        pa.default_memory_pool().release_unused()
 
-    for b in batches:
-        for s, blob in zip(b["shard"].to_pylist(), b["blob"].to_pylist()):
-            if s != shard and held:
-                yield from quarters()
-            shard = s
-            held.append(unpack(blob))
-    if held:
-        yield from quarters()
+def _add_up(hot_size: int, shards: int):
+    """The sums of sorted shards, as rows of SUMS.  A cold word's count is that of the pairs whose context it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        shard = None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            """A quarter of a shard at a time bounds the arrays."""
+            hot_n, used = np.zeros(hot_size, np.int64), np.zeros(hot_size)
+            for x in held:
+                hot_n[x["word"]] += x["word_n"]
+                x["keys"] = _sums(x["keys"])
+                for kind in range(3):
+                    x[f"end{kind}"] = np.concatenate([[0], np.cumsum(x[f"fan{kind}"], dtype=np.int64)])
+            pair, at = np.unique(np.concatenate([_sums(x["both"]) for x in held]), return_inverse=True)
+            pair_n = np.bincount(at, np.concatenate([x["both_n"] for x in held]), len(pair)).astype(np.uint64)
+            inner = np.array([((shard * QUARTERS + q) << 64) // (shards * QUARTERS) for q in range(1, QUARTERS)], np.uint64)
+            cuts = [[0, *np.searchsorted(x["keys"], inner).tolist(), len(x["keys"])] for x in held]
+            for q in range(QUARTERS):
+                sums = []
+                for kind in range(3):
+                    keys, others, ns = [], [], []
+                    for x, c in zip(held, cuts):
+                        a, b = c[q], c[q + 1]
+                        z = slice(int(x[f"end{kind}"][a]), int(x[f"end{kind}"][b]))
+                        keys.append(np.repeat(x["keys"][a:b], x[f"fan{kind}"][a:b]))
+                        others.append(x[f"other{kind}"][z])
+                        ns.append(x[f"n{kind}"][z].astype(np.int64))
+                    sums.append(_summed(np.concatenate(keys), np.concatenate(others), np.concatenate(ns)))
+                own = np.unique(np.concatenate([k for k, _, _ in sums]))
+                n, packed = np.zeros(len(own), np.int64), {}
+                for kind, (key, other, total) in enumerate(sums):
+                    at = np.searchsorted(own, key)
+                    if kind != FROM_HOT:
+                        n += np.bincount(at, total, len(own)).astype(np.int64)
+                    keep = total >= MIN_COUNT
+                    at, other, total = at[keep], other[keep], total[keep]
+                    if kind == FROM_HOT:
+                        used += np.bincount(other, total - DISCOUNT, hot_size)
+                    packed |= {f"fan{kind}": np.bincount(at, minlength=len(own)).astype(np.uint32), f"other{kind}": other, f"n{kind}": total.astype(np.uint64)}
+                last = q == QUARTERS - 1
+                tokens = int(n.sum()) + (int(hot_n.sum()) if last else 0)
+                distinct = len(own) + (int((hot_n > 0).sum()) if last else 0)
+                row = (shard, q, pack(keys=_steps(own), n=n.astype(np.uint64)), pack(**packed), tokens, distinct)
+                row += (hot_n, used, pack(pair=_steps(pair), n=pair_n)) if last else (None, None, None)
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[c.split()[0] for c in SUMS.split(", ")])
+            held.clear()
+            pa.default_memory_pool().release_unused()
+
+        for b in batches:
+            for s, blob in zip(b["shard"], b["blob"]):
+                if s.as_py() != shard and held:
+                    yield from flush()
+                shard = s.as_py()
+                held.append(unpack(blob.as_py()))
+        if held:
+            yield from flush()
+
+    return run
+
+
+class Hot:
+    """Counts (of the start: the texts) and rest weights of the hot words."""
+
+    def __init__(self, words: np.ndarray, n: np.ndarray, used: np.ndarray, tokens: int, distinct: int) -> None:
+        self.words, self.n, self.tokens, self.distinct = words, n, tokens, distinct
+        self.rest = _rest(used, n)
+
+    def gain(self, n: np.ndarray, n_context: np.ndarray, rest: np.ndarray, n_word: np.ndarray) -> np.ndarray:
+        low = rest * (n_word + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
+        return np.log10(((n.astype(np.float64) - DISCOUNT) / n_context + low) / low)
+
+
+def _rest(used: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.maximum(1 - used / np.maximum(n, 1), 1e-12)
 
 
 class Model:
-    """Tries by shard (a stored table), the hot trie's image, and the totals."""
+    """Sums by shard and the counts of the cold words that its pairs end in (stored tables, from which a shard's trie is built where it is asked), the hot words and their trie's image."""
+
+    def __init__(self, hot: Hot, image: bytes, sums: DataFrame, others: DataFrame, shards: int) -> None:
+        self.hot, self.image, self.sums, self.others, self.shards = hot, image, sums, others, shards
 
-    def __init__(self, hot: np.ndarray, image: bytes, tries: DataFrame, shards: int, tokens: int, distinct: int) -> None:
-        self.hot, self.image, self.tries, self.shards, self.tokens, self.distinct = hot, image, tries, shards, tokens, distinct
 
+def _split_names(names: np.ndarray, shards: int) -> list[np.ndarray]:
+    """Sorted 48-bit names by shard."""
+    return np.split(names, np.searchsorted(names << _S16, _bounds(shards)))
 
-def _u64(column) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) if isinstance(column, pa.Array) else column.to_numpy().astype(np.int64).view(np.uint64)
 
+def _ask(shards: int):
+    """Per quarter of a shard: the names of the cold words that its pairs end in, one list per shard that counted them."""
 
-def _trie_of(word_rows: pa.Table, pair_rows: pa.Table) -> bytes:
-    keys = _u64(word_rows["w"])
-    order = np.argsort(keys)
-    extra = np.setdiff1d(_u64(pair_rows["key"]), keys)  # a key that only the other direction knows can't be; keep the trie sound if a hash says so
-    all_keys = np.concatenate([keys[order], extra])
-    n = np.concatenate([word_rows["n"].to_numpy()[order], np.zeros(len(extra), np.int64)])
-    rest = np.concatenate([word_rows["rest"].to_numpy()[order], np.zeros(len(extra))])
-    again = np.argsort(all_keys, kind="stable")
-    other = (_u64(pair_rows["other"]) >> _S16) << np.uint64(1) | pair_rows["back"].to_numpy().astype(np.uint64)
-    return trie_image(all_keys[again], n[again], rest[again], _u64(pair_rows["key"]), other, pair_rows["gain"].to_numpy())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s, part, blob in zip(b["shard"], b["part"], b["pairs"]):
+                lists = _split_names(np.unique(unpack(blob.as_py())[f"other{COLD}"]), shards)
+                rows = [(to, s.as_py(), part.as_py(), pack(names=_steps(x))) for to, x in enumerate(lists) if len(x)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["to", "shard", "part", "blob"])
+
+    return run
+
+
+def _answer(key, asked: pa.Table, words: pa.Table) -> pa.Table:
+    """The counts of each list of names, in its order."""
+    known = [unpack(x) for x in words["words"].to_pylist()]
+    name = np.concatenate([_sums(x["keys"]) for x in known] or [np.zeros(0, np.uint64)]) >> _S16
+    n = np.concatenate([x["n"] for x in known] or [np.zeros(0, np.uint64)])
+    order = np.lexsort((n, name))[::-1]  # two words of one 48-bit name: the more frequent one
+    name, first = np.unique(name[order], return_index=True)
+    n = n[order][first]
+    out = []
+    for blob in asked["blob"].to_pylist():
+        names = _sums(unpack(blob)["names"])
+        i = np.minimum(np.searchsorted(name, names), max(len(name) - 1, 0))
+        out.append(pack(n=np.where(name[i] == names, n[i], np.uint64(0)) if len(name) else np.zeros(len(names), np.uint64)))
+    return pa.table([asked["shard"], asked["part"], asked["to"], pa.array(out, pa.binary())], names=["shard", "part", "to", "blob"])
+
+
+def _trie_of(hot: Hot, parts: list[tuple[bytes, bytes]], answers: dict[tuple[int, int], bytes], shards: int) -> bytes:
+    """Image of the trie of a shard's (words, pairs) by quarter, with the counts that other shards answered by (quarter, shard)."""
+    all_keys, all_n, all_rest, all_key, all_other, all_gain = ([np.zeros(0, t)] for t in (np.uint64, np.int64, np.float64, np.uint64, np.uint64, np.float64))
+    for part, (words_blob, pairs_blob) in enumerate(parts):
+        x, y = unpack(words_blob), unpack(pairs_blob)
+        key, n = _sums(x["keys"]), x["n"].astype(np.int64)
+        at = [np.repeat(np.arange(len(key)), y[f"fan{kind}"]) for kind in range(3)]
+        used = sum(np.bincount(at[kind], y[f"n{kind}"].astype(np.float64) - DISCOUNT, len(key)) for kind in (TO_HOT, COLD))
+        rest = _rest(used, n)
+        names, where = np.unique(y[f"other{COLD}"], return_inverse=True)
+        n_other = np.concatenate([unpack(answers[part, to])["n"] for to, z in enumerate(_split_names(names, shards)) if len(z)] or [np.zeros(0, np.uint64)]).astype(np.int64)
+        for kind in range(3):
+            i, other, m = at[kind], y[f"other{kind}"], y[f"n{kind}"]
+            if kind == TO_HOT:
+                gain = hot.gain(m, n[i], rest[i], hot.n[other])
+            elif kind == FROM_HOT:
+                gain = hot.gain(m, hot.n[other], hot.rest[other], n[i])
+            else:
+                gain = hot.gain(m, n[i], rest[i], n_other[where])
+            short = other >> _S16 if kind == COLD else hot.words[other] >> _S32
+            all_key.append(key[i])
+            all_other.append(short << np.uint64(1) | np.uint64(kind != FROM_HOT))
+            all_gain.append(gain)
+        all_keys.append(key)
+        all_n.append(n)
+        all_rest.append(np.log10(rest))
+    return trie_image(*map(np.concatenate, (all_keys, all_n, all_rest, all_key, all_other, all_gain)))
 
 
 def train(docs: DataFrame, hot_size: int = HOT, shards: int | None = None) -> Model:
@@ -254,57 +375,24 @@ def train(docs: DataFrame, hot_size: int = HOT, shards: int | None = None) -> Mo
     shards = shards or max(MIN_SHARDS, -(-(chars or 0) // SHARD_CHARS))
     hot = _hot_words(docs, hot_size)
     lists = docs.select("text").mapInArrow(_count(hot, shards), "shard int, blob binary")
-    sums = lists.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_add_up, "key bigint, other bigint, back boolean, n bigint, n_key bigint")
-    sums = stored(sums, "lm-counts")
-    tokens, distinct = sums.where("other < 0").agg(F.sum("n"), F.count("*")).first()
-    tokens = tokens or 0
-    # signed 64-bit arithmetic: the unsigned shift by 16 gives a word's 48-bit name
-    name = lambda c: F.shiftrightunsigned(c, 16)
-    signed = lambda x: int(np.array([x], np.uint64).view(np.int64)[0])
-    count = sums.where("other < 0").select(F.col("key").alias("w"), F.col("n"))
-    pairs = sums.where("other >= 0").select(
-        "key", "other", "back", "n", "n_key", F.when(F.col("back"), name("key")).otherwise(F.col("other")).alias("h48"), F.when(F.col("back"), F.col("other")).otherwise(name("key")).alias("w48")
-    )
-    kept = pairs.groupBy("h48").agg(F.sum(F.col("n") - DISCOUNT).alias("used"))
-    start = spark.createDataFrame([(signed(START), texts)], "w bigint, n bigint")
-    known = count.unionByName(start).select("w", "n", name("w").alias("h48")).join(kept, "h48", "left")
-    known = known.select("w", "n", "h48", F.greatest(1 - F.coalesce(F.try_divide("used", "n"), F.lit(0.0)), F.lit(1e-12)).alias("rest"))
-    known = stored(known, "lm-words")
-    # two words of one 48-bit name: the more frequent one
-    by_name = known.groupBy("h48").agg(F.max(F.struct("n", "rest")).alias("x")).select("h48", F.col("x.n").alias("nh"), F.col("x.rest").alias("rest"))
-    hot_keys = F.broadcast(spark.createDataFrame([(signed(x), int(x >> _S16)) for x in hot], "hw bigint, hn bigint"))  # HOT + 2 rows
-    hot_known = stored(by_name.join(hot_keys, F.col("h48") == F.col("hn"), "left_semi"), "lm-hot")
-    # hot contexts and words come from the hot table; a cold word is its pair's key, a cold context needs the join
-    hot_h = pairs.join(F.broadcast(hot_known), "h48")
-    cold_h = pairs.join(hot_keys, F.col("h48") == F.col("hn"), "left_anti").join(by_name, "h48")
-    hot_w = F.broadcast(hot_known.select(F.col("h48").alias("w48"), F.col("nh").alias("n_hot")))
-    gained = hot_h.unionByName(cold_h).join(hot_w, "w48", "left")
-    p = (F.coalesce("n_hot", "n_key") + 0.5) / F.lit(tokens + 0.5 * (distinct + 1))
-    low = F.col("rest") * p
-    gained = gained.select("key", "other", "back", F.log10(((F.col("n") - DISCOUNT) / F.col("nh") + low) / low).alias("gain"))
-    both = gained.join(hot_keys.select("hw"), F.col("key") == F.col("hw"), "left_semi").join(hot_keys.select("hn"), F.col("other") == F.col("hn"), "left_semi").where("NOT back")
-    logged = known.select("w", "n", F.log10("rest").alias("rest"))
-    hot_words = logged.join(hot_keys.select("hw"), F.col("w") == F.col("hw"), "left_semi")
-    image = _trie_of(hot_words.toArrow(), both.select("key", "other", "back", "gain").toArrow())  # bounded by HOT
-    # everything else by shard; the shard of a key is computed in Python, as the lists' is
-    hot_set = hot
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            key = _u64(b["key"])
-            cold = ~_is_hot(hot_set, key)
-            t = pa.Table.from_batches([b]).filter(pa.array(cold))
-            for part in t.append_column("shard", pa.array(_shard_of(key[cold], shards).astype(np.int32))).to_batches():
-                yield part
-
-    word_rows = logged.select(F.col("w").alias("key"), "n", "rest").mapInArrow(deal, "key bigint, n bigint, rest double, shard int").withColumnRenamed("key", "w")
-    pair_rows = gained.mapInArrow(deal, "key bigint, other bigint, back boolean, gain double, shard int")
-
-    def build(key, w: pa.Table, p: pa.Table) -> pa.Table:
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "image": pa.array([_trie_of(w, p)], pa.binary())})
-
-    tries = stored(word_rows.groupBy("shard").cogroup(pair_rows.groupBy("shard")).applyInArrow(build, "shard int, image binary"), "lm-tries")
-    return Model(hot, image, tries, shards, tokens, distinct)
+    sums = stored(lists.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_add_up(len(hot), shards), SUMS), "lm-counts")
+    asked = sums.select("shard", "part", "pairs").mapInArrow(_ask(shards), "to int, shard int, part int, blob binary")
+    others = asked.groupBy("to").cogroup(sums.select("shard", "words").groupBy("shard")).applyInArrow(_answer, "shard int, part int, to int, blob binary")
+    others = stored(others, "lm-others")
+    tokens, distinct = sums.agg(F.sum("tokens"), F.sum("distinct")).first()
+    # HOT + 2 rows, and the hot pairs
+    n, used = np.zeros(len(hot), np.int64), np.zeros(len(hot))
+    each = sums.where("hot_n IS NOT NULL").select(F.posexplode(F.arrays_zip("hot_n", "hot_used")))
+    for r in each.groupBy("pos").agg(F.sum("col.hot_n").alias("n"), F.sum("col.hot_used").alias("used")).collect():
+        n[r["pos"]], used[r["pos"]] = r["n"], r["used"]
+    n[_place(hot, np.array([START]))[0]] = texts
+    blobs = [unpack(r["hot_pairs"]) for r in sums.where("hot_pairs IS NOT NULL").select("hot_pairs").collect()]
+    pair = np.concatenate([_sums(x["pair"]) for x in blobs] or [np.zeros(0, np.uint64)]).astype(np.int64)
+    m = np.concatenate([x["n"] for x in blobs] or [np.zeros(0, np.uint64)]).astype(np.int64)
+    h, w, m = pair[m >= MIN_COUNT] // len(hot), pair[m >= MIN_COUNT] % len(hot), m[m >= MIN_COUNT]
+    known = Hot(hot, n, used + np.bincount(h, m - DISCOUNT, len(hot)), tokens or 0, distinct or 0)
+    image = trie_image(hot, n, np.log10(known.rest), hot[w], (hot[h] >> _S32) << np.uint64(1), known.gain(m, n[h], known.rest[h], n[w]))
+    return Model(known, image, sums, others, shards)
 
 
 def _mapped(image: bytes) -> Trie:
@@ -315,88 +403,90 @@ def _mapped(image: bytes) -> Trie:
         return Trie(np.memmap(f.name, np.uint8, "r"))
 
 
+#: What a shard's task gets, in this order: its sums by quarter, the counts from other shards, and per bundle what is asked there or was summed up locally.
+PARTS, ANSWERS, ASKED = 0, 1, 2
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     bounded_batches(docs.sparkSession)
-    hot, image, shards, tokens = model.hot, model.image, model.shards, model.tokens
-    scale = np.log10(tokens + 0.5 * (model.distinct + 1))
+    hot, image, shards, tokens = model.hot, model.image, model.shards, model.hot.tokens
+    scale = np.log10(tokens + 0.5 * (model.hot.distinct + 1))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per bundle a row of sums over hot words and pairs, and a list per shard of what is asked there."""
         trie = _mapped(image)
         task = TaskContext.get().partitionId()
-        hot_n, hot_rest = np.zeros(len(hot), np.int64), np.zeros(len(hot))
-        at = trie.place(hot)
-        hot_n[at >= 0], hot_rest[at >= 0] = trie.counts[at[at >= 0]], trie.rest[at[at >= 0]]
         for number, (texts, ids, held) in enumerate(_bundles(batches, "doc_id", "held_out")):
-            h, w, doc = _pairs(texts)
-            m = len(texts)
-            key, other, back, both = _keyed(h, w, hot)
-            hw = _is_hot(hot, w)
-            c = hot_n[np.searchsorted(hot, w[hw])]
+            t = Tokens(texts, hot.words)
+            doc, m = t.doc, len(texts)
+            hw, hh = t.hot_word >= 0, t.hot_context >= 0
+            c = hot.n[t.hot_word[hw]]
             base = np.bincount(doc[hw], np.log10(c + 0.5) - scale, m)
             known = np.bincount(doc[hw], c > 0, m).astype(np.int64)
-            hh = _is_hot(hot, h)
-            more = np.bincount(doc[hh], hot_rest[np.searchsorted(hot, h[hh])], m)
-            k, o = key[both], (other[both] >> _S32) << np.uint64(1)
-            i = np.searchsorted(hot, k)
-            pair, where = np.unique((i.astype(np.uint64) << np.uint64(OTHER_BITS)) | o, return_inverse=True)
-            gain = trie.gains(at[(pair >> np.uint64(OTHER_BITS)).astype(np.int64)], pair & np.uint64((1 << OTHER_BITS) - 1))
-            more += np.bincount(doc[both], gain[where], m)
+            more = np.bincount(doc[hh], np.log10(hot.rest)[t.hot_context[hh]], m)
+            pair, where = np.unique(t.hot_word[t.both] * len(hot.words) + t.hot_context[t.both], return_inverse=True)
+            gain = trie.gains(pair // len(hot.words), (hot.words[pair % len(hot.words)] >> _S32) << np.uint64(1))
+            more += np.bincount(doc[t.both], gain[where], m)
             me = f"{task}-{number}"
             blob = pack(n=np.bincount(doc, minlength=m), known=known, base=base, more=more)
             rows = [(number % shards, me, blob, ids, held)]
             # lists: keys with their number of askers, askers ordered by key and text
-            cold = ~both
-            key, other, back, doc = key[cold], other[cold], back[cold], doc[cold]
-            to = _shard_of(key, shards)
-            order = np.lexsort((doc, key, to))
-            key, other, back, doc, to = key[order], other[order], back[order], doc[order], to[order]
-            ends = np.searchsorted(to, np.arange(shards + 1))
-            for s in range(shards):
-                a, b = ends[s], ends[s + 1]
-                if b > a:
-                    ks, fan = np.unique(key[a:b], return_counts=True)
-                    blob = pack(keys=ks, fan=fan.astype(np.uint32), other=(other[a:b] >> _S32).astype(np.uint32), back=np.packbits(back[a:b]), doc=doc[a:b].astype(np.uint16))
-                    rows.append((s, me, blob, None, None))
+            order = [np.argsort(k, kind="stable") for k in t.key]
+            asker = [doc[i[o]].astype(np.uint16) for i, o in zip(t.at, order)]
+            other = [x[o] for x, o in zip(t.other, order)]
+            other[COLD] = (other[COLD] >> _S16).astype(np.uint32)
+            for s, own, fans, cut in _lists([k[o] for k, o in zip(t.key, order)], shards):
+                parts = {f"{x}{kind}": a[kind][cut[kind]] for kind in range(3) for x, a in (("other", other), ("doc", asker))}
+                rows.append((s, me, pack(keys=_steps(own), **parts, **{f"fan{kind}": f for kind, f in enumerate(fans)}), None, None))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_())))],
                 names=["shard", "bundle", "blob", "ids", "held"],
             )
 
-    def remote(key, asked: pa.Table, tries: pa.Table) -> pa.Table:
-        """Partial sums per text of what one shard was asked; rows of local sums pass through."""
-        images = tries["image"].to_pylist()
-        trie = _mapped(images[0]) if images else None
-        out = []
-        for r in asked.to_pylist():
-            if r["ids"] is None:
-                x = unpack(r["blob"])
-                n = len(x["other"])
-                at = trie.place(x["keys"]) if trie else np.full(len(x["keys"]), -1, np.int64)
-                count = np.where(at >= 0, trie.counts[at], 0) if trie and len(trie.keys) else np.zeros(len(at), np.int64)
-                rest = np.where(at >= 0, trie.rest[at], 0.0) if trie and len(trie.keys) else np.zeros(len(at))
-                which = np.repeat(np.arange(len(at)), x["fan"])
-                back = np.unpackbits(x["back"], count=n)
-                doc = x["doc"].astype(np.int64)
-                texts, slot = np.unique(doc, return_inverse=True)
-                word = back == 0  # here the key is a token of its text
-                c = count[which[word]]
-                base = np.bincount(slot[word], np.log10(c + 0.5) - scale, len(texts))
-                known = np.bincount(slot[word], c > 0, len(texts)).astype(np.int64)
-                # as a context a token weighs its rest once: its next token is looked up elsewhere
-                more = np.bincount(slot[word], rest[which[word]], len(texts))
-                if trie:
-                    fan = trie.fan(at)
-                    some = np.nonzero(fan[which] > 0)[0]
-                    gain = trie.gains(at[which[some]], x["other"][some].astype(np.uint64) << np.uint64(1) | back[some].astype(np.uint64))
-                    more += np.bincount(slot[some], gain, len(texts))
-                r["blob"] = pack(texts=texts.astype(np.uint16), known=known, base=base, more=more)
-            out.append(r)
-        return pa.table(
-            [pa.array([r[c] for r in out], t) for c, t in (("bundle", pa.string()), ("blob", pa.binary()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())))],
-            names=["bundle", "blob", "ids", "held"],
-        )
+    def look_up(trie: Trie, blob: bytes) -> bytes:
+        """Partial sums per text of what one bundle asks."""
+        x = unpack(blob)
+        at = trie.place(_sums(x["keys"]))
+        there = at >= 0
+        count, rest = np.zeros(len(at), np.int64), np.zeros(len(at))
+        count[there], rest[there] = trie.counts[at[there]], trie.rest[at[there]]
+        which = [np.repeat(np.arange(len(at)), x[f"fan{kind}"]) for kind in range(3)]
+        texts, slot = np.unique(np.concatenate([x[f"doc{kind}"] for kind in range(3)]), return_inverse=True)
+        slot = np.split(slot, np.cumsum([len(w) for w in which])[:-1])
+        known, base, more = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
+        weight = np.log10(count + 0.5) - scale
+        for kind in range(3):
+            i, z = which[kind], slot[kind]
+            if kind != FROM_HOT:  # every cold token is the context of one pair
+                base += np.bincount(z, weight[i], len(texts))
+                known += np.bincount(z, count[i] > 0, len(texts)).astype(np.int64)
+                more += np.bincount(z, rest[i], len(texts))
+            other = x[f"other{kind}"]
+            short = (other if kind == COLD else hot.words[other] >> _S32).astype(np.uint64)
+            some = np.nonzero(there[i])[0]
+            more += np.bincount(z[some], trie.gains(at[i[some]], short[some] << np.uint64(1) | np.uint64(kind != FROM_HOT)), len(texts))
+        return pack(texts=texts, known=known.astype(np.uint32), base=base, more=more.astype(np.float32))
+
+    def remote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A shard's trie is built of its first rows; then its lists are answered, and rows of local sums pass through."""
+        shard, trie, parts, answers = None, None, [], {}
+        for b in batches:
+            for r in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
+                if r["shard"] != shard:
+                    shard, trie, parts, answers = r["shard"], None, [], {}
+                if r["kind"] == PARTS:
+                    parts.append((r["blob"], r["pairs"]))
+                elif r["kind"] == ANSWERS:
+                    answers[r["part"], r["to"]] = r["blob"]
+                else:
+                    if r["ids"] is None:
+                        if trie is None:
+                            trie = _mapped(_trie_of(hot, parts, answers, shards))
+                            parts, answers = [], {}
+                        r["blob"] = look_up(trie, r["blob"])
+                    kinds = (("bundle", pa.string()), ("blob", pa.binary()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())))
+                    yield pa.RecordBatch.from_arrays([pa.array([r[c]], k) for c, k in kinds], names=[c for c, _ in kinds])
 
     def total(t: pa.Table) -> pa.Table:
         rows = t.to_pylist()
@@ -407,7 +497,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             if r["ids"] is None:
                 y = unpack(r["blob"])
                 i = y["texts"].astype(np.int64)
-                known[i] += y["known"]
+                known[i] += y["known"].astype(np.int64)
                 base[i] += y["base"]
                 more[i] += y["more"]
         return pa.table(
@@ -423,8 +513,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         )
 
     d = docs.select("text", F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"))
-    asked = d.mapInArrow(local, "shard int, bundle string, blob binary, ids array<bigint>, held array<boolean>")
-    parts = asked.groupBy("shard").cogroup(model.tries.groupBy("shard")).applyInArrow(remote, "bundle string, blob binary, ids array<bigint>, held array<boolean>")
+    asked = d.mapInArrow(local, "shard int, bundle string, blob binary, ids array<bigint>, held array<boolean>").withColumn("kind", F.lit(ASKED))
+    sums = model.sums.select("shard", "part", F.col("words").alias("blob"), "pairs", F.lit(PARTS).alias("kind"))
+    answers = model.others.withColumn("kind", F.lit(ANSWERS))
+    rows = sums.unionByName(answers, allowMissingColumns=True).unionByName(asked, allowMissingColumns=True)
+    by_shard = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "part")
+    parts = by_shard.mapInArrow(remote, "bundle string, blob binary, ids array<bigint>, held array<boolean>")
     return parts.groupBy("bundle").applyInArrow(
         total, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )

@@ -101,6 +101,33 @@ def test_elias_fano(n, universe):
         assert (i >= 0) == (x in there) and (i < 0 or v[i] == x)
 
 
+def test_elias_fano_halves_long_runs(monkeypatch):
+    v = np.arange(50_000, dtype=np.uint64) * np.uint64(3) + np.uint64(1 << 40)  # one run of equal high parts
+    e = elias_fano.EliasFano(elias_fano.ef_arrays(v, 1 << 63))
+    steps = []
+    low = elias_fano.EliasFano._low
+    monkeypatch.setattr(elias_fano.EliasFano, "_low", lambda self, i: (steps.append(len(i)), low(self, i))[1])
+    q = np.concatenate([v, v + np.uint64(1)])
+    assert e.find(q).tolist() == [*range(50_000), *[-1] * 50_000]
+    assert len(steps) <= 20
+
+
+def test_lm_lists_keep_their_arrays():
+    arrays = {"a": np.arange(5, dtype=np.uint64) << np.uint64(50), "b": np.zeros(0, np.uint32), "c": np.array([1.5, -2.25, np.inf]), "d": np.arange(20, dtype=np.uint16)[::2]}
+    got = ngram_lm.unpack(ngram_lm.pack(**arrays))
+    assert {k: (a.dtype, a.tolist()) for k, a in got.items()} == {k: (a.dtype, a.tolist()) for k, a in arrays.items()}
+    keys = np.array([3, 3, 2**64 - 1], np.uint64)
+    assert ngram_lm._sums(ngram_lm._steps(keys)).tolist() == keys.tolist()
+
+
+def test_lm_training_writes_lists_not_rows(spark, monkeypatch):
+    kept = []
+    put = ngram_lm.stored
+    monkeypatch.setattr(ngram_lm, "stored", lambda df, name: (kept.append(put(df, name)), kept[-1])[1])
+    ngram_lm.train(table(spark, "documents").select("doc_id", "text"), shards=3)
+    assert kept and all(df.count() <= 4 * 3 * 3 for df in kept)  # quarters of shards, and what they ask of each shard; words and pairs are packed
+
+
 def _check_lm(rows, docs):
     want = bigram_scores(docs)
     assert sorted(r["doc_id"] for r in rows) == sorted(docs)
