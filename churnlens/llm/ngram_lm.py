@@ -14,13 +14,16 @@ so every token and every pair can be looked up where its data are.
 Placement.  The ``HOT`` most frequent words of a bounded sample, the text's
 start and its end are *hot*: a trie of the pairs among them is bounded by
 HOT squared and goes to every task as a memory-mapped file.  Any other pair is
-kept in the shard of its colder word, so no shard holds a frequent key.
-
-Training: tasks count words and pairs per bundle of texts, one compressed list
-per shard; a shard adds them up.  Scoring: tasks look hot pairs up and send the
-others, one list per bundle and shard; the shard's task maps its trie from a
-temporary file and returns partial sums per text.  Lists and shards are
-bounded by ``BUNDLE_CHARS`` and ``SHARD_CHARS``; shards grow with the corpus.
+kept in the shard of its context, or of its word if the context is hot, so no
+shard holds a frequent key and a cold context has all its pairs in one place.
+
+Training: tasks count pairs per bundle of texts, one compressed list per shard;
+a shard adds them up and asks other shards, in lists, how often the cold words
+occur that its pairs end in.  Scoring: tasks look hot pairs up and send the
+others, one list per bundle and shard; the shard's task builds its trie of the
+sums, maps it from a temporary file and returns partial sums per text.  No word
+or pair passes the disk as a row.  Lists and shards are bounded by
+``BUNDLE_CHARS`` and ``SHARD_CHARS``; shards grow with the corpus.
 
 Words are known by their 64-bit hash, second words inside a pair by 48 bits in
 training and 32 in the trie (a false match needs an equal hash under one key);
